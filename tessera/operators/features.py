@@ -13,9 +13,12 @@ from typing import Any
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+import tessera
+
 from tessera.operators.pixels import (
     FEATURE_WIDTH,
     INPUT_SIZE,
@@ -24,6 +27,9 @@ from tessera.operators.pixels import (
     scale_pixels,
 )
 
+# Workers get the code of this package with the UDF and need no copy of it.
+cloudpickle.register_pickle_by_value(tessera)
+
 Predict = Callable[[np.ndarray], np.ndarray]
 ModelFn = Callable[[Any], Predict]
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import lru_cache
 
 import numpy as np
 
@@ -60,7 +59,6 @@ def _along(batch: np.ndarray, weights: np.ndarray, axis: int) -> np.ndarray:
     return np.moveaxis(np.clip(np.rint(moved), 0, 255).astype(np.uint8), -1, axis)
 
 
-@lru_cache(maxsize=64)
 def _bicubic(source: int, target: int) -> np.ndarray:
     """Weights of cubic convolution (a = -0.5), widened when the image shrinks."""
     ratio = source / target

@@ -247,8 +247,9 @@ def _carry_before(effect: DataFrame, order: str, start: int, fold_rows: int) ->
     if runs == 1:
         opened = packed.withColumn("carry", F.lit(start).cast("long"))
     else:
-        whole = packed.select("run", _as_one("steps").alias("one")).select("run", "one.*")
-        opened = packed.join(_carry_before(whole, "run", start, fold_rows), "run")
+        whole = packed.select(F.col("run").alias("place"), _as_one("steps").alias("one"))
+        followed = _carry_before(whole.select("place", "one.*"), "place", start, fold_rows)
+        opened = packed.join(followed, F.col("run") == F.col("place"))
 
     def follow(state: Column, step: Column) -> Column:
         carry = state["carry"]

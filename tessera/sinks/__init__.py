@@ -57,8 +57,8 @@ def write_by_label(
     """``path/<label>=<value>/`` folders, one per label that has rows.
 
     By default each task writes what it holds and nothing is shuffled. With
-    ``files_per_label`` the rows of every label are spread over that many tasks by
-    the hash of ``spread_by``, so a label with most of the rows is never one task.
+    ``files_per_label`` the rows of every label are spread over up to that many tasks
+    by the hash of ``spread_by``, so a label with most of the rows is not one task.
     """
     if files_per_label is not None:
         if spread_by is None:
