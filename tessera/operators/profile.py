@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
@@ -14,19 +16,32 @@ def table_shape(df: DataFrame) -> DataFrame:
     )
 
 
+# Numeric columns per aggregate; with more, Spark gives up generated code for it.
+COLUMNS_PER_PASS = 8
+
+
 def describe_long(df: DataFrame) -> DataFrame:
     """Typed statistics, one row per numeric or string column.
 
-    Every statistic is part of a single aggregate over the table; only its one
-    result row is turned into one row per column.
+    Statistics of several columns share an aggregate that reads just those columns,
+    and only its one result row is turned into one row per column. Numbers and
+    strings are kept apart, as the minimum of a string rules out a hash aggregate.
     """
-    kept = [
-        f for f in df.schema.fields if isinstance(f.dataType, (NumericType, StringType))
+    numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
+    text = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
+    passes = [
+        _statistics(df, names[i : i + COLUMNS_PER_PASS], is_numeric)
+        for names, is_numeric in ((numeric, True), (text, False))
+        for i in range(0, len(names), COLUMNS_PER_PASS)
     ]
+    return reduce(DataFrame.unionByName, passes)
+
+
+def _statistics(df: DataFrame, names: list[str], numeric: bool) -> DataFrame:
+    none = F.lit(None)
     stats, rows = [], []
-    for i, field in enumerate(kept):
-        column = F.col(f"`{field.name}`")
-        numeric = isinstance(field.dataType, NumericType)
+    for i, name in enumerate(names):
+        column = F.col(f"`{name}`")
         stats += [
             F.count(column).alias(f"n{i}"),
             F.min(column).alias(f"min{i}"),
@@ -34,20 +49,17 @@ def describe_long(df: DataFrame) -> DataFrame:
         ]
         if numeric:
             stats += [F.avg(column).alias(f"avg{i}"), F.stddev(column).alias(f"std{i}")]
-
-        def when(is_kept: bool, name: str, kind: str):
-            return (F.col(name) if is_kept else F.lit(None)).cast(kind)
-
+        low, high = F.col(f"min{i}"), F.col(f"max{i}")
         rows.append(
             F.struct(
-                F.lit(field.name).alias("column"),
+                F.lit(name).alias("column"),
                 F.col(f"n{i}").alias("n"),
-                when(numeric, f"avg{i}", "double").alias("mean"),
-                when(numeric, f"std{i}", "double").alias("stddev"),
-                when(numeric, f"min{i}", "double").alias("min_value"),
-                when(numeric, f"max{i}", "double").alias("max_value"),
-                when(not numeric, f"min{i}", "string").alias("min_text"),
-                when(not numeric, f"max{i}", "string").alias("max_text"),
+                (F.col(f"avg{i}") if numeric else none).cast("double").alias("mean"),
+                (F.col(f"std{i}") if numeric else none).cast("double").alias("stddev"),
+                (low if numeric else none).cast("double").alias("min_value"),
+                (high if numeric else none).cast("double").alias("max_value"),
+                (none if numeric else low).cast("string").alias("min_text"),
+                (none if numeric else high).cast("string").alias("max_text"),
             )
         )
     return df.agg(*stats).select(F.inline(F.array(*rows)))

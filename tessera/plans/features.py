@@ -14,7 +14,7 @@ from tessera.operators.features import (
 from tessera.operators.pixels import FEATURE_WIDTH
 from tessera.plans.registry import query, table
 from tessera.sinks import write_parquet
-from tessera.sources import read_parquet
+from tessera.sources import read_parquet, spread_scan
 from tessera.workspace import scratch_path
 
 COMPONENTS = 4
@@ -91,7 +91,7 @@ def image_features(spark: SparkSession, sf_dir: str) -> DataFrame:
         "embedding",
         lambda x: F.lpad(F.hex(F.least(F.abs(F.round(x * 255)), F.lit(255)).cast("int")), 2, "0"),
     )
-    images = table(spark, sf_dir, "embeddings").select(
+    images = spread_scan(table(spark, sf_dir, "embeddings")).select(
         F.col("vec_id").cast("string").alias("path"),
         F.concat(F.lit("class "), "label").alias("label"),
         F.struct(

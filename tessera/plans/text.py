@@ -4,6 +4,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tessera.functions import text
 from tessera.plans.registry import query, table
+from tessera.sources import spread_scan
+
+
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread_scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 @query(
@@ -14,7 +19,7 @@ from tessera.plans.registry import query, table
     """
 )
 def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return text.word_count(table(spark, sf_dir, "documents"), "text")
+    return text.word_count(_documents(spark, sf_dir), "text")
 
 
 @query(
@@ -26,7 +31,7 @@ def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def word_count_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return text.normalized_word_count(table(spark, sf_dir, "documents"), "text")
+    return text.normalized_word_count(_documents(spark, sf_dir), "text")
 
 
 @query(
@@ -40,5 +45,5 @@ def word_count_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def word_count_by_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    per_document = text.document_word_count(table(spark, sf_dir, "documents"), "doc_id", "text")
+    per_document = text.document_word_count(_documents(spark, sf_dir), "doc_id", "text")
     return text.merge_word_counts(per_document)

@@ -6,7 +6,13 @@ from tessera.sources.files import (
     read_text_files,
     read_text_lines,
 )
-from tessera.sources.tables import read_csv, read_json, read_parquet, rename_dotted
+from tessera.sources.tables import (
+    read_csv,
+    read_json,
+    read_parquet,
+    rename_dotted,
+    spread_scan,
+)
 
 __all__ = [
     "decode_images",
@@ -19,4 +25,5 @@ __all__ = [
     "read_text_files",
     "read_text_lines",
     "rename_dotted",
+    "spread_scan",
 ]
