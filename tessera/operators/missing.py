@@ -6,13 +6,24 @@ Dropping rows and replacing values are ``df.na.drop`` and ``df.na.replace``.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.aggregates import most_frequent
+from tessera.operators.neighbours import (
+    nearest_by_distance,
+    nearest_by_mismatch,
+    nearest_by_order,
+)
 from tessera.workspace import materialize
 
+# The powers that make a Minkowski distance one of these.
+POWERS = {"euclidean": 2.0, "manhattan": 1.0, "mahalanobis": 2.0}
+
 
 def fill_mean(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Fill each column with its mean, all means from one aggregate.
@@ -95,79 +106,80 @@ def _value_at(values: DataFrame, rank: int, inside: int, bracket_rows: int) -> f
 
 
 def fill_knn(
-    df: DataFrame, target: str, feature: str, key: str, k: int = 5, bins: int | None = None
+    df: DataFrame,
+    target: str,
+    features: str | Sequence[str],
+    key: str,
+    k: int = 5,
+    metric: str = "euclidean",
+    power: float = 3.0,
 ) -> DataFrame:
-    """Fill ``target`` with its mean over the k rows nearest by one numeric feature.
+    """Fill ``target`` with its mean over the k rows nearest by ``features``.
 
-    Nearness is the absolute difference (in one dimension the Euclidean, Manhattan
-    and Minkowski distances agree); equals go by ``key``, which must be unique. Rows
-    without the feature stay unfilled. Exact, and no pairs are formed: donors are
-    numbered along the feature, and a row can only need the k distinct donor values
-    on either side of its place.
+    ``metric`` is ``euclidean``, ``manhattan``, ``minkowski`` (of ``power``),
+    ``mahalanobis`` (Euclidean after the features' covariance is taken out) or
+    ``hamming`` (number of features that differ, of any type). Equal distances go by
+    ``key``, which must be unique. Rows that lack a feature are no donors and stay
+    unfilled. The result is exact.
     """
-    known = F.col(target).isNotNull() & F.col(feature).isNotNull()
-    open_ = F.col(target).isNull() & F.col(feature).isNotNull()
-
-    # k donors of lowest key per feature value suffice, however many share the value;
-    # Spark prunes each task to k per value before the shuffle.
+    names = [features] if isinstance(features, str) else list(features)
+    has_features = reduce(and_, (F.col(c).isNotNull() for c in names))
+    known = F.col(target).isNotNull() & has_features
+    open_ = F.col(target).isNull() & has_features
+    if metric == "hamming":
+        x = F.struct(*names)
+    elif metric == "mahalanobis":
+        x = _whitened(df.where(has_features), names)
+    elif metric in POWERS or metric == "minkowski":
+        x = F.array(*(F.col(c).cast("double") for c in names))
+    else:
+        raise ValueError(f"unknown metric {metric!r}")
+
+    # Spark prunes each task to k donors per vector before the shuffle.
     lowest = Window.partitionBy("x").orderBy("donor")
     donors = (
         df.where(known)
-        .select(
-            F.col(feature).alias("x"), F.col(key).alias("donor"), F.col(target).alias("y")
-        )
+        .select(x.alias("x"), F.col(key).alias("donor"), F.col(target).cast("double").alias("y"))
         .withColumn("nth", F.row_number().over(lowest))
         .where(F.col("nth") <= k)
-        .groupBy("x")
-        .agg(F.collect_list(F.struct("donor", "y")).alias("donors"))
-    )
-    asked = df.where(open_).select(F.col(feature).alias("x")).distinct()
-
-    # One row per distinct feature value, in range-partitioned bins.
-    places = donors.join(asked.withColumn("asked", F.lit(True)), "x", "full")
-    ranged = places.repartitionByRange(bins, "x") if bins else places.repartitionByRange("x")
-    placed = materialize(ranged.withColumn("bin", F.spark_partition_id()), "knn-places")
-    is_donor = F.col("donors").isNotNull().cast("long")
-
-    # Position of each donor value = donor values in earlier bins + those before it in
-    # its bin. The bins are few: one row per partition.
-    before = Window.partitionBy(F.lit(0)).orderBy("bin").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    offsets = (
-        placed.groupBy("bin")
-        .agg(F.sum(is_donor).alias("inside"))
-        .withColumn("offset", F.coalesce(F.sum("inside").over(before), F.lit(0)))
-        .select("bin", "offset")
-    )
-    within = Window.partitionBy("bin").orderBy("x")
-    numbered = materialize(
-        placed.join(offsets, "bin")
-        .withColumn("place", F.col("offset") + F.sum(is_donor).over(within))
-        .select("x", "donors", "asked", "place"),
-        "knn-numbered",
-    )
-
-    wanted = numbered.where("asked").select(
-        F.col("x").alias("at"),
-        F.explode(F.sequence(F.col("place") - (k - 1), F.col("place") + k)).alias("place"),
-    )
-    near = (
-        wanted.join(numbered.where("donors IS NOT NULL"), "place")
-        .select("at", F.abs(F.col("x") - F.col("at")).alias("gap"), F.inline("donors"))
-        .withColumn(
-            "nth", F.row_number().over(Window.partitionBy("at").orderBy("gap", "donor"))
-        )
-        .where(F.col("nth") <= k)
-    )
-    found = materialize(
-        near.groupBy("at").agg(F.avg("y").alias("filled")), "knn-found"
+        .drop("nth")
     )
+    asked = df.where(open_).select(x.alias("x")).distinct()
+    if metric == "hamming":
+        near = nearest_by_mismatch(donors, asked, k)
+    elif len(names) == 1:
+        near = nearest_by_order(donors, asked, k)
+    else:
+        near = nearest_by_distance(donors, asked, k, POWERS.get(metric, power))
+    found = materialize(near.groupBy("x").agg(F.avg("y").alias("_filled")), "knn-found")
 
     filled = (
         df.where(open_)
-        .join(found, F.col(feature) == F.col("at"), "left")
-        .withColumn(target, F.col("filled").cast(df.schema[target].dataType))
+        .withColumn("x_", x)
+        .join(found, F.col("x_") == F.col("x"), "left")
+        .withColumn(target, F.col("_filled").cast(df.schema[target].dataType))
         .select(*df.columns)
     )
     return df.where(~open_).unionByName(filled)
+
+
+def _whitened(rows: DataFrame, names: Sequence[str]) -> Column:
+    """Features turned so that they are uncorrelated and of equal variance.
+
+    Directions without variance tell no rows apart and are left out.
+    """
+    pairs = [(a, b) for i, a in enumerate(names) for b in names[: i + 1]]
+    values = rows.agg(*(F.covar_samp(a, b) for a, b in pairs)).first()
+    covariance = np.zeros((len(names), len(names)))
+    for (a, b), value in zip(pairs, values):
+        i, j = names.index(a), names.index(b)
+        covariance[i, j] = covariance[j, i] = value or 0.0
+    variances, directions = np.linalg.eigh(covariance)
+    kept = variances > variances.max() * 1e-12
+    turn = (directions[:, kept] / np.sqrt(variances[kept])).T
+    return F.array(
+        *(
+            sum((F.col(c) * F.lit(float(w)) for c, w in zip(names, weights)), F.lit(0.0))
+            for weights in turn
+        )
+    )

@@ -88,41 +88,61 @@ def na_fill_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _CUSTOMER = """
     WITH c AS (
-        SELECT c_custkey, c_nationkey,
+        SELECT c_custkey, c_nationkey, c_mktsegment,
                CASE WHEN c_custkey % 10 <> 0 THEN c_acctbal END AS c_acctbal
         FROM customer
     ), ranked AS (
         SELECT q.c_custkey, d.c_acctbal,
-               row_number() OVER (
-                   PARTITION BY q.c_custkey
-                   ORDER BY abs(d.{feature} - q.{feature}), d.c_custkey) AS nth
+               row_number() OVER (PARTITION BY q.c_custkey ORDER BY {distance}, d.c_custkey) AS nth
         FROM c q JOIN c d ON q.c_acctbal IS NULL AND d.c_acctbal IS NOT NULL
     ), filled AS (
         SELECT c_custkey, avg(c_acctbal) AS c_acctbal FROM ranked WHERE nth <= 5
         GROUP BY c_custkey
     )
-    SELECT c.c_custkey, c.c_nationkey, round(coalesce(c.c_acctbal, f.c_acctbal), 4) AS c_acctbal
+    SELECT c.c_custkey, round(coalesce(c.c_acctbal, f.c_acctbal), 4) AS c_acctbal
     FROM c LEFT JOIN filled f ON c.c_custkey = f.c_custkey
 """
 
 
-def _customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _fill_balance(spark: SparkSession, sf_dir: str, features, **options) -> DataFrame:
     """Every tenth customer has no balance."""
     balance = F.when(F.col("c_custkey") % 10 != 0, F.col("c_acctbal"))
-    return table(spark, sf_dir, "customer").select(
-        "c_custkey", "c_nationkey", balance.alias("c_acctbal")
+    customer = table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_nationkey", "c_mktsegment", balance.alias("c_acctbal")
     )
+    filled = missing.fill_knn(customer, "c_acctbal", features, "c_custkey", **options)
+    return filled.select("c_custkey", F.round("c_acctbal", 4).alias("c_acctbal"))
 
 
-@query(_CUSTOMER.format(feature="c_nationkey"))
+@query(_CUSTOMER.format(distance="abs(d.c_nationkey - q.c_nationkey)"))
 def na_fill_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Many customers share the feature's value."""
-    filled = missing.fill_knn(_customer(spark, sf_dir), "c_acctbal", "c_nationkey", "c_custkey")
-    return filled.withColumn("c_acctbal", F.round("c_acctbal", 4))
+    """One feature, and many customers share its value."""
+    return _fill_balance(spark, sf_dir, "c_nationkey")
 
 
-@query(_CUSTOMER.format(feature="c_custkey"))
-def na_fill_knn_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every customer has its own value of the feature."""
-    filled = missing.fill_knn(_customer(spark, sf_dir), "c_acctbal", "c_custkey", "c_custkey")
-    return filled.withColumn("c_acctbal", F.round("c_acctbal", 4))
+@query(
+    _CUSTOMER.format(
+        distance="(d.c_nationkey - q.c_nationkey) ** 2 + (d.c_custkey - q.c_custkey) ** 2"
+    )
+)
+def na_fill_knn_euclidean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _fill_balance(spark, sf_dir, ["c_nationkey", "c_custkey"])
+
+
+@query(
+    _CUSTOMER.format(
+        distance="abs(d.c_nationkey - q.c_nationkey) + abs(d.c_custkey - q.c_custkey)"
+    )
+)
+def na_fill_knn_manhattan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _fill_balance(spark, sf_dir, ["c_nationkey", "c_custkey"], metric="manhattan")
+
+
+@query(
+    _CUSTOMER.format(
+        distance="CASE WHEN d.c_nationkey <> q.c_nationkey THEN 1 ELSE 0 END"
+        " + CASE WHEN d.c_mktsegment <> q.c_mktsegment THEN 1 ELSE 0 END"
+    )
+)
+def na_fill_knn_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _fill_balance(spark, sf_dir, ["c_nationkey", "c_mktsegment"], metric="hamming")

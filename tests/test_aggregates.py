@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-import random
 import statistics
 
 import numpy as np
@@ -85,44 +84,6 @@ def test_median_narrows_to_small_brackets(spark):
     assert missing.exact_median(df.where("v < -1"), "v") is None
 
 
-def brute_force(rows, k):
-    donors = [(x, key, y) for key, x, y in rows if y is not None and x is not None]
-    filled = {}
-    for key, x, y in rows:
-        if y is None and x is not None and donors:
-            nearest = sorted((abs(d - x), other, value) for d, other, value in donors)[:k]
-            y = sum(value for *_, value in nearest) / len(nearest)
-        filled[key] = y
-    return filled
-
-
-@pytest.mark.parametrize("span, bins", [(12, 3), (100_000, 5), (1, None)])
-def test_knn_fill_equals_brute_force(spark, span, bins):
-    draws = random.Random(span)
-    rows = [
-        (
-            key,
-            None if key % 41 == 0 else float(draws.randrange(span)),
-            None if draws.random() < 0.3 else draws.randrange(1000) / 4,
-        )
-        for key in range(400)
-    ]
-    df = spark.createDataFrame(rows, "key long, x double, y double")
-    filled = missing.fill_knn(df, "y", "x", "key", k=4, bins=bins)
-    assert filled.columns == df.columns
-    got = {r.key: r.y for r in filled.collect()}
-    assert got == pytest.approx(brute_force(rows, 4))
-
-
-def test_knn_fill_with_few_or_no_donors(spark):
-    rows = [(1, 1.0, None), (2, 5.0, 3.0), (3, 9.0, 5.0), (4, None, None)]
-    df = spark.createDataFrame(rows, "key long, x double, y double")
-    got = {r.key: r.y for r in missing.fill_knn(df, "y", "x", "key", k=5).collect()}
-    assert got == {1: 4.0, 2: 3.0, 3: 5.0, 4: None}
-    empty = missing.fill_knn(df.where("y IS NULL"), "y", "x", "key")
-    assert {r.key: r.y for r in empty.collect()} == {1: None, 4: None}
-
-
 def test_profile(spark):
     df = spark.createDataFrame([(1, "b", [1.0]), (3, None, [1.0, 2.0]), (None, "a", None)],
                                "i int, s string, v array<double>")
