@@ -34,9 +34,10 @@ def first_last(
 ) -> DataFrame:
     """``key, first_value, last_value`` by an explicit total order.
 
-    ``min_by`` and ``max_by`` combine before the shuffle, so no group is sorted.
+    ``min_by`` and ``max_by`` combine before the shuffle, so no group is sorted. With a
+    single number or time as the order, and a number as the value, they also hash.
     """
-    position = F.struct(*order)
+    position = F.col(order[0]) if len(order) == 1 else F.struct(*order)
     if ignore_nulls:
         position = F.when(F.col(value).isNotNull(), position)
     return df.groupBy(key).agg(

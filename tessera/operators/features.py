@@ -13,12 +13,9 @@ from typing import Any
 
 import numpy as np
 import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-import tessera
-
 from tessera.operators.pixels import (
     FEATURE_WIDTH,
     INPUT_SIZE,
@@ -27,9 +24,6 @@ from tessera.operators.pixels import (
     scale_pixels,
 )
 
-# Workers get the code of this package with the UDF and need no copy of it.
-cloudpickle.register_pickle_by_value(tessera)
-
 Predict = Callable[[np.ndarray], np.ndarray]
 ModelFn = Callable[[Any], Predict]
 
@@ -58,7 +52,8 @@ def pooled_model(weights: Sequence[np.ndarray]) -> Predict:
 
     def predict(batch: np.ndarray) -> np.ndarray:
         step = INPUT_SIZE // 7
-        cells = batch.reshape(len(batch), 7, step, 7, step, 3).mean(axis=(2, 4))
+        rows = batch.reshape(len(batch), 7, step, -1).sum(axis=2)
+        cells = rows.reshape(len(batch), 7, 7, step, 3).sum(axis=3) / step**2
         return np.clip(cells.reshape(len(batch), -1) @ kernel + bias, 0.0, 6.0)
 
     return predict

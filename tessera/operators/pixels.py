@@ -35,28 +35,31 @@ def pixels_from_rows(
 
 def scale_pixels(pixels: np.ndarray) -> np.ndarray:
     """0..255 to -1..1."""
-    return pixels.astype(np.float32) / np.float32(127.5) - np.float32(1.0)
+    return np.asarray(pixels, dtype=np.float32) / np.float32(127.5) - np.float32(1.0)
 
 
 def resize_all(images: Sequence[np.ndarray], side: int = INPUT_SIZE) -> np.ndarray:
-    """Stack of ``side`` x ``side`` images; those of equal size are resized together."""
-    resized = np.empty((len(images), side, side, 3), dtype=np.uint8)
+    """``side`` x ``side`` images, whole numbers 0..255; equal sizes are resized together."""
+    resized = np.empty((len(images), side, side, 3), dtype=np.float32)
     by_size: dict[tuple[int, int], list[int]] = {}
     for i, image in enumerate(images):
         by_size.setdefault(image.shape[:2], []).append(i)
     for (height, width), members in by_size.items():
-        batch = np.stack([images[i] for i in members])
+        batch = np.stack([images[i] for i in members]).astype(np.float32)
         batch = _along(batch, _bicubic(width, side), axis=2)
         resized[members] = _along(batch, _bicubic(height, side), axis=1)
     return resized
 
 
 def _along(batch: np.ndarray, weights: np.ndarray, axis: int) -> np.ndarray:
-    """One pass of a separable resize; bytes in, bytes out."""
-    if weights.shape[0] == weights.shape[1]:
+    """One pass of a separable resize, as one matrix product; whole numbers out."""
+    target, source = weights.shape
+    if target == source:
         return batch
-    moved = np.moveaxis(batch, axis, -1).astype(np.float32) @ weights.T
-    return np.moveaxis(np.clip(np.rint(moved), 0, 255).astype(np.uint8), -1, axis)
+    moved = np.moveaxis(batch, axis, 0)
+    passed = weights @ np.ascontiguousarray(moved).reshape(source, -1)
+    np.clip(np.rint(passed, out=passed), 0, 255, out=passed)
+    return np.moveaxis(passed.reshape(target, *moved.shape[1:]), 0, axis)
 
 
 def _bicubic(source: int, target: int) -> np.ndarray:

@@ -16,6 +16,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tessera.workspace import materialize
 
@@ -53,7 +54,8 @@ def class_counts_of(
     df: DataFrame, wanted: Sequence[str], label: str = "label"
 ) -> DataFrame:
     """Counts of the wanted classes only, zero for those without rows."""
-    listed = df.sparkSession.createDataFrame([(name,) for name in wanted], f"{label} string")
+    kind = StructType([df.schema[label]])
+    listed = df.sparkSession.createDataFrame([(name,) for name in wanted], kind)
     counted = class_counts(df.where(F.col(label).isin(*wanted)), label)
     return listed.join(counted, label, "left").select(
         label, F.coalesce("n", F.lit(0)).alias("n")
@@ -79,7 +81,7 @@ def proportional_plan(
     available = counts.agg(F.sum("n")).first()[0] or 0
     if size > available:
         raise ValueError(f"cannot draw {size} rows, only {available} are there")
-    if available == 0:
+    if size == 0:
         return counts.withColumn("quota", F.lit(0).cast("long"))
 
     share = F.bround(F.lit(size) / F.lit(available) * F.col("n")).cast("long")

@@ -139,13 +139,13 @@ def group_count_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-    SELECT user_id, arg_min(value, row(ts, event_id)) AS first_value,
-           arg_max(value, row(ts, event_id)) AS last_value
+    SELECT user_id, arg_min(value, event_id) AS first_value,
+           arg_max(value, event_id) AS last_value
     FROM events GROUP BY user_id
     """
 )
 def group_first_last(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return first_last(table(spark, sf_dir, "events"), "user_id", "value", ["ts", "event_id"])
+    return first_last(table(spark, sf_dir, "events"), "user_id", "value", ["event_id"])
 
 
 @query(

@@ -155,3 +155,9 @@ def test_class_counts(skewed):
     listed = sampling.class_counts_of(skewed, ["big", "gone"]).collect()
     assert {r.label: r.n for r in listed} == {"big": 4000, "gone": 0}
     assert sampling.strata(skewed).count() == 10
+
+
+def test_counts_of_classes_that_are_numbers(spark):
+    df = spark.range(10).selectExpr("cast(id % 3 AS int) AS label")
+    listed = sampling.class_counts_of(df, [0, 2, 9]).collect()
+    assert {r.label: r.n for r in listed} == {0: 4, 2: 3, 9: 0}
