@@ -256,9 +256,8 @@ def nearest_by_mismatch(donors: DataFrame, asked: DataFrame, k: int) -> DataFram
                 .where(F.col("nth") <= k)
                 .drop("nth")
             )
-            found.append(
-                asked.withColumn("agreed", agreed).join(top, "agreed").select("x", "held", "donor", "y")
-            )
+            rows = asked.withColumn("agreed", agreed).join(materialize(top, "knn-agreed"), "agreed")
+            found.append(rows.select("x", "held", "donor", "y"))
     apart = sum(
         (F.when(F.col("x")[n] != F.col("held")[n], 1).otherwise(0) for n in features), F.lit(0)
     )

@@ -14,15 +14,19 @@ from functools import reduce
 from operator import and_
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tessera.sources import chosen_images, labelled_images
 from tessera.workspace import materialize
 
 # Hex digits of the hash that are counted; 16 ** 4 counts per class at most.
 PREFIX_DIGITS = 4
 
+# Paths handed to a scan one by one, and so held by the driver.
+LISTED_PATHS = 10_000
+
 # Longest array folded in one row; more classes are folded in several levels.
 FOLD_ROWS = 1_000
 
@@ -132,6 +136,22 @@ def sample_equal(
     return Sample(_draw(df, plan, label, key, seed, prefixes), plan)
 
 
+def sample_images(
+    spark: SparkSession, root: str, size: int, pattern: str = "*.jpg", seed: int = 42
+) -> Sample:
+    """:func:`sample_proportional` of the images below ``root``, with their bytes.
+
+    The draw needs paths only. A sample of up to ``LISTED_PATHS`` images is then read
+    by path; a larger one by a scan that keeps the drawn paths.
+    """
+    images = labelled_images(spark, root, pattern)
+    rows, plan = sample_proportional(images.select("path", "label"), size, "label", "path", seed)
+    if 0 < size <= LISTED_PATHS:
+        paths = [row.path for row in rows.select("path").collect()]
+        return Sample(chosen_images(spark, paths), plan)
+    return Sample(images.join(rows.select("path"), "path", "left_semi").select(*images.columns), plan)
+
+
 def _draw(
     df: DataFrame,
     plan: DataFrame,

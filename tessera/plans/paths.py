@@ -63,10 +63,7 @@ def object_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     """
     WITH uris AS (
-        SELECT page_id,
-               CASE WHEN page_id % 2 = 0 THEN regexp_replace(url, '^https?://', 's3://')
-                    ELSE url END AS uri
-        FROM pages
+        SELECT page_id, regexp_replace(url, '^https://', 's3://') AS uri FROM pages
     ), rest AS (
         SELECT page_id, uri, starts_with(uri, 's3://') AS is_object,
                substr(uri, strpos(uri, '://') + 3) AS tail
@@ -81,10 +78,8 @@ def object_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def uri_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every second address is given the object-store scheme, so both cases occur."""
-    uri = F.when(
-        F.col("page_id") % 2 == 0, F.regexp_replace("url", "^https?://", paths.OBJECT_SCHEME)
-    ).otherwise(F.col("url"))
+    """Secure addresses are given the object-store scheme, so both cases occur."""
+    uri = F.regexp_replace("url", "^https://", paths.OBJECT_SCHEME)
     return (
         table(spark, sf_dir, "pages")
         .select("page_id", uri.alias("uri"))

@@ -191,5 +191,5 @@ def sample_materialize(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     sample = sampling.sample_proportional(documents, 90, "source", "doc_id")
     path = scratch_path(spark, "sample")
-    write_by_label(sample.rows, path, "source", files_per_label=1, spread_by="doc_id")
+    write_by_label(sample.rows, path, "source")
     return spark.read.parquet(path)

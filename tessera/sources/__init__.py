@@ -1,4 +1,5 @@
 from tessera.sources.files import (
+    chosen_images,
     decode_images,
     image_files,
     labelled_images,
@@ -15,6 +16,7 @@ from tessera.sources.tables import (
 )
 
 __all__ = [
+    "chosen_images",
     "decode_images",
     "image_files",
     "labelled_images",

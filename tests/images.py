@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pathlib import Path
 
-LABELS = ["Apple Red 1", "Kiwi", "Plum+2"]
+LABELS = ["Apple Red 1", "Kiwi", "Plum+2 [x]"]
 
 
 def draw_image(spark, file: Path, red: int, green: int, blue: int, *, side=100, grey=False):

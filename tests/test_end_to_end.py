@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pytest
 
@@ -18,21 +20,26 @@ def tree(spark, tmp_path_factory):
     return draw_tree(spark, tmp_path_factory.mktemp("images"), per_label=6)
 
 
-def test_sample_of_images_keeps_their_bytes(spark, tree, tmp_path):
+@pytest.mark.parametrize("listed", [0, 100])
+def test_sample_of_images_keeps_their_bytes(spark, tree, tmp_path, monkeypatch, listed):
+    monkeypatch.setattr(sampling, "LISTED_PATHS", listed)
     images = sources.labelled_images(spark, str(tree))
     counts = {r.label: r.n for r in sampling.class_counts(images).collect()}
     assert counts == {LABELS[0]: 6, LABELS[1]: 7, LABELS[2]: 6}
-    sample = sampling.sample_proportional(images, 7, "label", "path")
-    assert sum(r.quota for r in sample.plan.collect()) == 7
+    sample = sampling.sample_images(spark, str(tree), 7)
+    assert sample.rows.columns == images.columns
+    plan = {r.label: r.quota for r in sample.plan.collect()}
+    assert sum(plan.values()) == 7
     sinks.write_by_label(sample.rows, str(tmp_path / "sample"))
     stored = spark.read.parquet(str(tmp_path / "sample")).collect()
-    assert len(stored) == 7
+    assert Counter(r.label for r in stored) == plan
     for row in stored:
         name = row.path.removeprefix("file:")
         assert open(name, "rb").read() == bytes(row.content)
         assert name.split("/")[-2] == row.label
+    assert sampling.sample_images(spark, str(tree), 0).rows.count() == 0
     with pytest.raises(ValueError):
-        sampling.sample_proportional(images, 20, "label", "path")
+        sampling.sample_images(spark, str(tree), 20)
 
 
 def test_features_of_a_folder(spark, tree, tmp_path):
