@@ -1,17 +1,16 @@
 """Class counts and exact-size, repeatable stratified samples.
 
-Rows are drawn in the order of ``md5(seed:key)``. Instead of ranking every class,
-the draw finds for each class the hash at which its quota is reached: counts per
-hash prefix give the one prefix in which that happens, and only the rows with that
-prefix are put in order. The sample is then a filter over the full rows, which are
-never shuffled, and a class with most of the rows is no burden to one task.
+Rows are drawn in the order of ``md5(seed:key)``. Instead of ranking every class, the
+draw finds for each class the hash at which its quota is reached. As hashes are spread
+evenly, that hash lies near ``quota / n`` of their range: one pass counts the rows below
+a narrow interval around it and puts only those inside in order, which are of the order
+of the square root of the class. The sample is then a filter over the full rows, which
+are never shuffled, and a class with most of the rows is no burden to one task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -21,8 +20,9 @@ from pyspark.sql.types import StructType
 from tessera.sources import chosen_images, labelled_images
 from tessera.workspace import materialize
 
-# Hex digits of the hash that are counted; 16 ** 4 counts per class at most.
-PREFIX_DIGITS = 4
+# Half widths of the interval in standard deviations, tried in turn. Rows with unique
+# keys miss the first about once in a thousand million draws.
+SLACKS = (6.0, 30.0, 150.0)
 
 # Paths handed to a scan one by one, and so held by the driver.
 LISTED_PATHS = 10_000
@@ -95,12 +95,15 @@ def proportional_plan(
         return drafted.drop("_order")
 
     movable = F.col("quota") < F.col("n") if left_over > 0 else F.col("quota") > 0
-    candidates = drafted.where(movable).select(F.lit(0).alias("all"), "_order")
+    candidates = materialize(
+        drafted.where(movable).select(F.lit(0).alias("all"), "_order"), "movable"
+    )
     wanted = drafted.sparkSession.range(1).select(
-        F.lit(0).alias("all"), F.lit(abs(left_over)).cast("long").alias("quota")
+        F.col("id").cast("int").alias("all"),
+        F.lit(candidates.count()).alias("n"),
+        F.lit(abs(left_over)).alias("quota"),
     )
-    last = _cutoffs(candidates, _prefix_counts(candidates, "all"), wanted, "all")
-    cutoff = last.first()["cutoff"]
+    cutoff = _cutoffs(candidates, wanted, "all").first()["cutoff"]
     step = F.lit(1 if left_over > 0 else -1)
     moved = F.when(movable & (F.col("_order") <= cutoff), step).otherwise(0)
     return drafted.select(label, "n", (F.col("quota") + moved).alias("quota"))
@@ -109,31 +112,33 @@ def proportional_plan(
 def draw(
     df: DataFrame, plan: DataFrame, label: str, key: str | Sequence[str], seed: int = 42
 ) -> DataFrame:
-    """The first ``quota`` rows of every class in hash order. ``key`` must be unique."""
-    keyed = df.select(label, draw_order(key, seed).alias("_order"))
-    return _draw(df, plan, label, key, seed, _prefix_counts(keyed, label))
+    """The first ``quota`` rows of every class in hash order.
+
+    ``plan`` is ``label, n, quota`` with ``n`` the rows of the class. ``key`` must be
+    unique within a class.
+    """
+    order = draw_order(key, seed)
+    keyed = df.select(label, order.alias("_order"))
+    cutoffs = _cutoffs(keyed, plan, label).withColumnRenamed(label, "_label")
+    in_class = F.col(label).eqNullSafe(F.col("_label"))
+    return df.join(cutoffs, in_class & (order <= F.col("cutoff"))).select(*df.columns)
 
 
 def sample_proportional(
     df: DataFrame, size: int, label: str, key: str | Sequence[str], seed: int = 42
 ) -> Sample:
     """Exactly ``size`` rows, classes in proportion, and the plan behind them."""
-    keyed = df.select(label, draw_order(key, seed).alias("_order"))
-    prefixes = materialize(_prefix_counts(keyed, label), "prefix-counts")
-    counts = prefixes.groupBy(label).agg(F.sum("n").alias("n"))
-    plan = materialize(proportional_plan(counts, size, label, seed), "sample-plan")
-    return Sample(_draw(df, plan, label, key, seed, prefixes), plan)
+    plan = proportional_plan(class_counts(df, label), size, label, seed)
+    plan = materialize(plan, "sample-plan")
+    return Sample(draw(df, plan, label, key, seed), plan)
 
 
 def sample_equal(
     df: DataFrame, size: int, label: str, key: str | Sequence[str], seed: int = 42
 ) -> Sample:
     """A sample by :func:`equal_plan`."""
-    keyed = df.select(label, draw_order(key, seed).alias("_order"))
-    prefixes = materialize(_prefix_counts(keyed, label), "prefix-counts")
-    counts = prefixes.groupBy(label).agg(F.sum("n").alias("n"))
-    plan = materialize(equal_plan(counts, size, label), "sample-plan")
-    return Sample(_draw(df, plan, label, key, seed, prefixes), plan)
+    plan = materialize(equal_plan(class_counts(df, label), size, label), "sample-plan")
+    return Sample(draw(df, plan, label, key, seed), plan)
 
 
 def sample_images(
@@ -152,70 +157,57 @@ def sample_images(
     return Sample(images.join(rows.select("path"), "path", "left_semi").select(*images.columns), plan)
 
 
-def _draw(
-    df: DataFrame,
-    plan: DataFrame,
-    label: str,
-    key: str | Sequence[str],
-    seed: int,
-    prefixes: DataFrame,
-) -> DataFrame:
-    keyed = df.select(label, draw_order(key, seed).alias("_order"))
-    cutoffs = materialize(
-        _cutoffs(keyed, prefixes, plan.select(label, "quota"), label).select(
-            F.col(label).alias("_label"), "cutoff"
-        ),
-        "cutoffs",
-    )
-    return df.join(
-        cutoffs,
-        F.col(label).eqNullSafe(F.col("_label")) & (draw_order(key, seed) <= F.col("cutoff")),
-    ).select(*df.columns)
-
-
-def _prefix_counts(keyed: DataFrame, group: str) -> DataFrame:
-    prefix = F.substring("_order", 1, PREFIX_DIGITS)
-    return keyed.groupBy(group, prefix.alias("prefix")).agg(F.count("*").alias("n"))
-
-
-def _cutoffs(
-    keyed: DataFrame, prefixes: DataFrame, quotas: DataFrame, group: str
-) -> DataFrame:
+def _cutoffs(keyed: DataFrame, plan: DataFrame, group: str) -> DataFrame:
     """``group, cutoff``: the hash of the last row within the quota of each group.
 
-    Groups with quota 0 have none. Raises if two rows share that hash, for then the
-    key is not unique and the quota cannot be met exactly.
+    Groups with quota 0 have none. Fails if two rows share that hash, for then the key
+    is not unique and the quota cannot be met exactly.
     """
-    along = Window.partitionBy(group).orderBy("prefix")
-    reached = prefixes.withColumn("upto", F.sum("n").over(along))
-    quota = quotas.select(F.col(group).alias("_group"), "quota")
-    edges = materialize(
-        reached.join(quota, F.col(group).eqNullSafe(F.col("_group")))
-        .where((F.col("quota") > F.col("upto") - F.col("n")) & (F.col("quota") <= F.col("upto")))
-        .select(
-            "_group",
-            F.col("prefix").alias("_prefix"),
-            (F.col("quota") - (F.col("upto") - F.col("n"))).alias("need"),
-        ),
-        "edges",
-    )
-    at_edge = reduce(
-        and_,
-        [
-            F.col(group).eqNullSafe(F.col("_group")),
-            F.substring("_order", 1, PREFIX_DIGITS) == F.col("_prefix"),
-        ],
+    asked = plan.where(F.col("quota") > 0).select(F.col(group).alias("_group"), "n", "quota")
+    groups = asked.count()
+    found = None
+    for slack in SLACKS:
+        reached = materialize(_quota_reached(keyed, asked, group, slack), "cutoffs")
+        found = reached if found is None else found.unionByName(reached)
+        if found.count() == groups:
+            return found
+        met = reached.select(F.col(group).alias("_met"))
+        asked = asked.join(met, F.col("_group").eqNullSafe(F.col("_met")), "left_anti")
+    raise ValueError("the key to sample by is not unique or the plan is not of these rows")
+
+
+def _quota_reached(keyed: DataFrame, asked: DataFrame, group: str, slack: float) -> DataFrame:
+    """:func:`_cutoffs` of the groups whose cut-off lies within ``slack``."""
+    digits = 12
+    share = F.col("quota") / F.col("n")
+    width = slack * F.sqrt(share * (1 - share) / F.col("n")) + 2 * slack / F.col("n")
+    low = F.greatest(F.floor((share - width) * 16**digits), F.lit(0))
+    high = F.ceil((share + width) * 16**digits)
+
+    def as_digits(number: Column) -> Column:
+        return F.lpad(F.lower(F.hex(number.cast("long"))), digits, "0")
+
+    # "g" comes after every hash.
+    bounds = asked.select(
+        "_group",
+        "quota",
+        as_digits(low).alias("low"),
+        F.when(high < 16**digits, as_digits(high)).otherwise("g").alias("high"),
     )
-    ordered = Window.partitionBy(group).orderBy("_order")
-    unique = F.when(F.col("upto") == F.col("need"), F.col("_order")).otherwise(
+    in_group = F.col(group).eqNullSafe(F.col("_group"))
+    inside = F.when(F.col("_order") >= F.col("low"), F.col("_order"))
+    along = Window.partitionBy(group).orderBy(F.asc_nulls_first("cutoff"))
+    upto, quota = F.col("upto"), F.col("quota")
+    unique = F.when(upto == quota, F.col("cutoff")).otherwise(
         F.raise_error(F.lit("the key to sample by is not unique")).cast("string")
     )
+    # All rows below the interval are one count, without a hash, before the others.
     return (
-        keyed.join(edges, at_edge)
-        .groupBy(group, "need", "_order")
-        .agg(F.count("*").alias("n"))
-        .withColumn("upto", F.sum("n").over(ordered))
-        .where((F.col("need") > F.col("upto") - F.col("n")) & (F.col("need") <= F.col("upto")))
+        keyed.join(bounds, in_group & (F.col("_order") < F.col("high")))
+        .groupBy(group, "quota", inside.alias("cutoff"))
+        .agg(F.count("*").alias("here"))
+        .withColumn("upto", F.sum("here").over(along))
+        .where((upto >= quota) & (upto - F.col("here") < quota) & F.col("cutoff").isNotNull())
         .select(group, unique.alias("cutoff"))
     )
 

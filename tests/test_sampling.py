@@ -32,6 +32,19 @@ def test_proportional_plan_goldens(spark):
     assert quotas(sampling.proportional_plan(counts.limit(0), 0)) == {}
 
 
+def test_a_missed_interval_is_widened(skewed, monkeypatch):
+    expected = {r.id for r in sampling.sample_proportional(skewed, 300, "label", "id").rows.collect()}
+    monkeypatch.setattr(sampling, "SLACKS", (0.0, 0.3, 30.0))
+    again = sampling.sample_proportional(skewed, 300, "label", "id")
+    assert {r.id for r in again.rows.collect()} == expected
+
+
+def test_a_plan_of_other_rows_is_refused(skewed):
+    plan = sampling.sample_proportional(skewed, 5000, "label", "id").plan
+    with pytest.raises(ValueError, match="plan"):
+        sampling.draw(skewed.where("id % 3 = 0"), plan, "label", "id")
+
+
 @settings(max_examples=15, **SLOW)
 @given(st.lists(st.integers(0, 60), min_size=1, max_size=25), st.floats(0, 1))
 @example([1] * 25, 0.5)
@@ -133,9 +146,10 @@ def test_equal_sample(skewed):
 
 
 def test_a_key_that_repeats_is_refused(spark):
-    df = spark.range(100).selectExpr("'x' AS label", "0 AS key")
-    with pytest.raises(PySparkException, match="not unique"):
-        sampling.sample_proportional(df, 50, "label", "key")
+    df = spark.range(100).selectExpr("'x' AS label", "0 AS same", "id % 10 AS tenfold")
+    for key in ("same", "tenfold"):
+        with pytest.raises((PySparkException, ValueError), match="not unique"):
+            sampling.sample_proportional(df, 55, "label", key)
 
 
 def test_sample_to_folders(spark, skewed, tmp_path):
