@@ -22,8 +22,12 @@ def raw_words(text: Column) -> Column:
 
 
 def words(text: Column) -> Column:
-    """Words between runs of any white space; no empty strings."""
-    return F.filter(F.split(text, ANY_SPACE), lambda word: word != "")
+    """Words between runs of any white space, with an empty string at an end that has some.
+
+    The caller drops empty strings after exploding: a filter on rows is part of the
+    generated code, one on array elements is not.
+    """
+    return F.split(text, ANY_SPACE)
 
 
 def word_count(df: DataFrame, column: str = "value") -> DataFrame:
@@ -39,6 +43,7 @@ def normalized_word_count(df: DataFrame, column: str = "value") -> DataFrame:
     """``word, n`` over lower-cased words split at any white space."""
     return (
         df.select(F.explode(words(F.lower(F.col(column)))).alias("word"))
+        .where(F.col("word") != "")
         .groupBy("word")
         .agg(F.count("*").alias("n"))
     )
@@ -48,6 +53,7 @@ def document_word_count(df: DataFrame, key: str, column: str = "value") -> DataF
     """``key, word, n`` per document."""
     return (
         df.select(key, F.explode(words(F.col(column))).alias("word"))
+        .where(F.col("word") != "")
         .groupBy(key, "word")
         .agg(F.count("*").alias("n"))
     )
@@ -58,3 +64,23 @@ def merge_word_counts(per_document: DataFrame) -> DataFrame:
     return per_document.groupBy("word").agg(
         F.count("*").alias("n_docs"), F.sum("n").alias("n")
     )
+
+
+def corpus_word_count(df: DataFrame, column: str = "value") -> DataFrame:
+    """What :func:`merge_word_counts` gives, for a table with one row per document.
+
+    A row holds its whole document, so both counts are made from it on the spot and
+    are combined before the only shuffle, which carries words rather than documents.
+    Each row gives all of its words, then each of them once more.
+    """
+    found = df.select(words(F.col(column)).alias("found")).select(
+        "found", F.size("found").alias("length")
+    )
+    both = F.posexplode(F.concat("found", F.array_distinct("found"))).alias("at", "word")
+    every = F.col("at") < F.col("length")
+    return (
+        found.select("length", both)
+        .where(F.col("word") != "")
+        .groupBy("word")
+        .agg(F.count_if(~every).alias("n_docs"), F.count_if(every).alias("n"))
+    )

@@ -151,12 +151,11 @@ def fill_knn(
         near = nearest_by_order(donors, asked, k)
     else:
         near = nearest_by_distance(donors, asked, k, POWERS.get(metric, power))
-    found = materialize(near.groupBy("x").agg(F.avg("y").alias("_filled")), "knn-found")
-
+    means = near.groupBy(F.col("x").alias("_x")).agg(F.avg("y").alias("_filled"))
     filled = (
         df.where(open_)
-        .withColumn("x_", x)
-        .join(found, F.col("x_") == F.col("x"), "left")
+        .withColumn("_at", x)
+        .join(materialize(means, "knn-found"), F.col("_at") == F.col("_x"), "left")
         .withColumn(target, F.col("_filled").cast(df.schema[target].dataType))
         .select(*df.columns)
     )

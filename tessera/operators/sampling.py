@@ -117,11 +117,18 @@ def draw(
     ``plan`` is ``label, n, quota`` with ``n`` the rows of the class. ``key`` must be
     unique within a class.
     """
+    return _draw(df, materialize(plan, "sample-plan"), label, key, seed)
+
+
+def _draw(
+    df: DataFrame, plan: DataFrame, label: str, key: str | Sequence[str], seed: int
+) -> DataFrame:
+    """:func:`draw` by a plan whose size is known to Spark."""
     order = draw_order(key, seed)
     keyed = df.select(label, order.alias("_order"))
-    cutoffs = _cutoffs(keyed, plan, label).withColumnRenamed(label, "_label")
+    cutoffs = _cutoffs(keyed, plan, label).withColumnsRenamed({label: "_label", "cutoff": "_cutoff"})
     in_class = F.col(label).eqNullSafe(F.col("_label"))
-    return df.join(cutoffs, in_class & (order <= F.col("cutoff"))).select(*df.columns)
+    return df.join(cutoffs, in_class & (order <= F.col("_cutoff"))).select(*df.columns)
 
 
 def sample_proportional(
@@ -129,8 +136,7 @@ def sample_proportional(
 ) -> Sample:
     """Exactly ``size`` rows, classes in proportion, and the plan behind them."""
     plan = proportional_plan(class_counts(df, label), size, label, seed)
-    plan = materialize(plan, "sample-plan")
-    return Sample(draw(df, plan, label, key, seed), plan)
+    return Sample(_draw(df, plan, label, key, seed), plan)
 
 
 def sample_equal(
@@ -138,7 +144,7 @@ def sample_equal(
 ) -> Sample:
     """A sample by :func:`equal_plan`."""
     plan = materialize(equal_plan(class_counts(df, label), size, label), "sample-plan")
-    return Sample(draw(df, plan, label, key, seed), plan)
+    return Sample(_draw(df, plan, label, key, seed), plan)
 
 
 def sample_images(

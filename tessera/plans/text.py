@@ -45,5 +45,16 @@ def word_count_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def word_count_by_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    per_document = text.document_word_count(_documents(spark, sf_dir), "doc_id", "text")
-    return text.merge_word_counts(per_document)
+    return text.corpus_word_count(_documents(spark, sf_dir), "text")
+
+
+@query(
+    rf"""
+    SELECT doc_id, word, count(*) AS n
+    FROM (SELECT doc_id, unnest(string_split_regex(text, '{text.ANY_SPACE}')) AS word
+          FROM documents)
+    WHERE word <> '' GROUP BY doc_id, word
+    """
+)
+def document_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return text.document_word_count(_documents(spark, sf_dir), "doc_id", "text")

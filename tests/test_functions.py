@@ -35,6 +35,7 @@ def test_corpus_counts(spark):
     merged = {r.word: (r.n_docs, r.n) for r in text.merge_word_counts(per_document).collect()}
     assert merged["notre"] == (4, 5)
     assert sum(n for _, n in merged.values()) == 19
+    assert {r.word: (r.n_docs, r.n) for r in text.corpus_word_count(corpus).collect()} == merged
 
 
 def test_split_rules(spark):
@@ -53,8 +54,12 @@ def test_split_rules(spark):
 )
 def test_words_split_as_python_does(spark, texts):
     expected = Counter(w for t in texts for w in t.split())
-    df = documents(spark, texts).select(F.explode(text.words(F.col("value"))).alias("word"))
-    assert Counter(r.word for r in df.collect()) == expected
+    per_document = text.document_word_count(documents(spark, texts), "doc")
+    total = Counter()
+    for row in per_document.collect():
+        assert row.n == texts[row.doc].split().count(row.word)
+        total[row.word] += row.n
+    assert total == expected
 
 
 def one(spark, column, value):

@@ -146,6 +146,11 @@ def test_few_or_no_donors(spark, metric, features):
     assert {r.key: r.y for r in none.collect()} == {1: None, 4: None}
 
 
+def test_columns_may_have_any_name(spark):
+    df = spark.createDataFrame([(1, 1.0, None), (2, 2.0, 5.0)], "donor long, x double, y double")
+    assert missing.fill_knn(df, "y", "x", "donor").where("y = 5").count() == 2
+
+
 def test_unknown_metric(spark):
     df = spark.createDataFrame([(1, 1.0, 2.0)], "key long, a double, y double")
     with pytest.raises(ValueError, match="cosine"):

@@ -115,6 +115,11 @@ def test_draw_takes_the_first_rows_in_hash_order(skewed, size, seed):
     assert {r.id for r in again.collect()} == set(drawn)
 
 
+def test_columns_may_have_any_name(spark):
+    df = spark.range(60).selectExpr("id AS cutoff", "id % 3 AS label", "1 AS n", "2 AS quota")
+    assert sampling.sample_proportional(df, 7, "label", "cutoff").rows.count() == 7
+
+
 def test_draw_beyond_the_broadcast_limit(spark, skewed):
     key = "spark.sql.autoBroadcastJoinThreshold"
     before = spark.conf.get(key)
