@@ -16,16 +16,16 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.workspace import materialize
 
 # Bounds on what the driver and each task hold: cells in all, donor vectors sampled
-# per cell to place the cuts, and rows looked up in one cell by one task.
+# per cell to place the cuts, and rows or donor vectors of a cell met by one task.
 MAX_CELLS = 32_768
 SAMPLED_PER_CELL = 8
-ASKED_PER_TASK = 20_000
+PER_TASK = 20_000
 
 
 def nearest_by_distance(
@@ -34,7 +34,7 @@ def nearest_by_distance(
     k: int,
     power: float = 2.0,
     cell_rows: int = 5_000,
-    asked_per_task: int = ASKED_PER_TASK,
+    per_task: int = PER_TASK,
 ) -> DataFrame:
     """``x, donor, y``: for each vector ``asked.x`` its k nearest donors.
 
@@ -55,14 +55,14 @@ def nearest_by_distance(
     # distance found there bounds which other cells can matter.
     home = asked.select("x", F.explode(_cells_at(boxes, k, power)("x")).alias("cell"))
     first = materialize(
-        _look_up(celled, home, donors, k, power, asked_per_task), "knn-first"
+        _look_up(celled, home, donors, k, power, per_task), "knn-first"
     )
     reach = first.groupBy("x").agg(
         F.when(F.count("*") >= k, F.max("gap")).otherwise(float("inf")).alias("reach")
     )
     bounded = asked.join(reach, "x")
     rest = bounded.select("x", F.explode(_cells_within(boxes, k, power)("x", "reach")).alias("cell"))
-    second = _look_up(celled, rest, donors, k, power, asked_per_task)
+    second = _look_up(celled, rest, donors, k, power, per_task)
     return _lowest(first.unionByName(second), k).select("x", "donor", "y")
 
 
@@ -190,25 +190,44 @@ def _look_up(
     donors: DataFrame,
     k: int,
     power: float,
-    asked_per_task: int,
+    per_task: int,
 ) -> DataFrame:
-    """``x, gap, donor, y``: the k nearest donors within each visited cell.
+    """``x, gap, donor, y``: donors of each visited cell, with its k nearest among them.
 
-    A cell that many rows visit is looked up by several tasks, each with its share of
-    the rows and a copy of the cell's donors.
+    A cell that many rows visit, or that holds many vectors, is looked up by several
+    tasks: its rows and its vectors are dealt out, and every share of the rows meets
+    every share of the vectors.
     """
     visits = materialize(visits, "knn-visits")
-    shares = visits.groupBy("cell").agg(
-        F.ceil(F.count("*") / F.lit(asked_per_task)).cast("int").alias("shares")
+
+    def shares(rows: DataFrame, name: str) -> DataFrame:
+        needed = F.ceil(F.count("*") / F.lit(per_task)).cast("int")
+        return rows.groupBy("cell").agg(needed.alias(name))
+
+    split = materialize(
+        shares(visits, "row_shares").join(shares(celled, "vector_shares"), "cell"), "knn-shares"
     )
-    shares = materialize(shares, "knn-shares")
-    share = F.pmod(F.xxhash64("x"), F.col("shares")).cast("int")
-    dealt = visits.join(shares, "cell").select("x", "cell", share.alias("share"))
-    copied = celled.join(shares, "cell").select(
-        "cell",
+
+    def own(name: str) -> Column:
+        return F.pmod(F.xxhash64("x"), F.col(name)).cast("int")
+
+    def each(name: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(name) - 1))
+
+    # A stated number of tasks: merged by size, as small shuffles are, the comparisons
+    # would run on a few cores.
+    part = ["cell", "row_share", "vector_share"]
+    parts = split.agg(F.sum(F.col("row_shares") * F.col("vector_shares"))).first()[0] or 1
+    tasks = min(parts, 4 * visits.sparkSession.sparkContext.defaultParallelism)
+    dealt = visits.join(split, "cell").select(
+        "x", "cell", own("row_shares").alias("row_share"), each("vector_shares").alias("vector_share")
+    )
+    copied = celled.join(split, "cell").select(
         "x",
         "donors",
-        F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"),
+        "cell",
+        own("vector_shares").alias("vector_share"),
+        each("row_shares").alias("row_share"),
     )
     key_type = donors.schema["donor"].dataType.simpleString()
 
@@ -227,8 +246,9 @@ def _look_up(
         return pd.DataFrame(found, columns=["x", "gap", "donor", "y"])
 
     return (
-        dealt.groupBy("cell", "share")
-        .cogroup(copied.groupBy("cell", "share"))
+        dealt.repartition(tasks, *part)
+        .groupBy(*part)
+        .cogroup(copied.repartition(tasks, *part).groupBy(*part))
         .applyInPandas(compare, f"x array<double>, gap double, donor {key_type}, y double")
     )
 

@@ -90,8 +90,8 @@ def test_mahalanobis(spark):
     assert flat.where("y IS NULL").count() == 0
 
 
-@pytest.mark.parametrize("span, cell_rows, asked_per_task", [(9, 10, 7), (1000, 5, 1000), (1000, 40, 3)])
-def test_many_cells_and_shared_lookups(spark, span, cell_rows, asked_per_task):
+@pytest.mark.parametrize("span, cell_rows, per_task", [(9, 10, 7), (1000, 5, 1000), (1000, 40, 3)])
+def test_many_cells_and_shared_lookups(spark, span, cell_rows, per_task):
     draws = random.Random(span)
     vectors = {(draws.randrange(span), draws.randrange(span)) for _ in range(300)}
     vectors |= {(span * 50, i) for i in range(3)}
@@ -104,7 +104,7 @@ def test_many_cells_and_shared_lookups(spark, span, cell_rows, asked_per_task):
         4,
         2.0,
         cell_rows,
-        asked_per_task,
+        per_task,
     )
     got = {}
     for row in found.collect():
