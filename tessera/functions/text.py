@@ -5,16 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Every character that Python's str.split() takes as white space.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 # Line ends as text files break them, then the single space.
 LINE_OR_SPACE = r"\r\n|[\n\r ]"
 
-# Every character Python's str.split() takes as white space. The same
-# pattern text is valid in Java and in RE2.
-ANY_SPACE = (
-    r"[\s\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
-)
-
 
 def raw_words(text: Column) -> Column:
     """Words between single spaces within lines; case kept, empty strings kept."""
@@ -22,12 +23,13 @@ def raw_words(text: Column) -> Column:
 
 
 def words(text: Column) -> Column:
-    """Words between runs of any white space, with an empty string at an end that has some.
+    """Words between any white space, with empty strings where it is doubled or at an end.
 
     The caller drops empty strings after exploding: a filter on rows is part of the
-    generated code, one on array elements is not.
+    generated code, one on array elements is not. Mapping all white space to one
+    character first takes half the time of splitting at a class of characters.
     """
-    return F.split(text, ANY_SPACE)
+    return F.split(F.translate(text, WHITE_SPACE, " " * len(WHITE_SPACE)), " ")
 
 
 def word_count(df: DataFrame, column: str = "value") -> DataFrame:

@@ -55,13 +55,14 @@ def nearest_by_distance(
     # distance found there bounds which other cells can matter.
     home = asked.select("x", F.explode(_cells_at(boxes, k, power)("x")).alias("cell"))
     first = materialize(
-        _look_up(celled, home, donors, k, power, per_task), "knn-first"
+        _lowest(_look_up(celled, home, donors, k, power, per_task), k), "knn-first"
     )
     reach = first.groupBy("x").agg(
         F.when(F.count("*") >= k, F.max("gap")).otherwise(float("inf")).alias("reach")
     )
     bounded = asked.join(reach, "x")
-    rest = bounded.select("x", F.explode(_cells_within(boxes, k, power)("x", "reach")).alias("cell"))
+    others = _cells_within(boxes, k, power)("x", "reach")
+    rest = bounded.select("x", F.explode(others).alias("cell"))
     second = _look_up(celled, rest, donors, k, power, per_task)
     return _lowest(first.unionByName(second), k).select("x", "donor", "y")
 
@@ -262,6 +263,7 @@ def nearest_by_mismatch(donors: DataFrame, asked: DataFrame, k: int) -> DataFram
     found by an equi-join, and the empty subset gives the k lowest keys of all.
     """
     features = donors.schema["x"].dataType.names
+    donors, asked = materialize(donors, "knn-donors"), materialize(asked, "knn-asked")
     whole = donors.orderBy("donor").limit(k).agg(
         F.collect_list(F.struct(F.col("x").alias("held"), "donor", "y"))
     )

@@ -6,6 +6,12 @@ from tessera.functions import text
 from tessera.plans.registry import query, table
 from tessera.sources import spread_scan
 
+# White space as a pattern, for the SQL.
+ANY_SPACE = (
+    r"[\s\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
+    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+)
+
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread_scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -25,7 +31,7 @@ def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     rf"""
     SELECT word, count(*) AS n
-    FROM (SELECT unnest(string_split_regex(lower(text), '{text.ANY_SPACE}')) AS word
+    FROM (SELECT unnest(string_split_regex(lower(text), '{ANY_SPACE}')) AS word
           FROM documents)
     WHERE word <> '' GROUP BY word
     """
@@ -38,7 +44,7 @@ def word_count_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
     rf"""
     SELECT word, count(*) AS n_docs, cast(sum(n) AS bigint) AS n
     FROM (SELECT doc_id, word, count(*) AS n
-          FROM (SELECT doc_id, unnest(string_split_regex(text, '{text.ANY_SPACE}')) AS word
+          FROM (SELECT doc_id, unnest(string_split_regex(text, '{ANY_SPACE}')) AS word
                 FROM documents)
           WHERE word <> '' GROUP BY doc_id, word)
     GROUP BY word
@@ -51,7 +57,7 @@ def word_count_by_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     rf"""
     SELECT doc_id, word, count(*) AS n
-    FROM (SELECT doc_id, unnest(string_split_regex(text, '{text.ANY_SPACE}')) AS word
+    FROM (SELECT doc_id, unnest(string_split_regex(text, '{ANY_SPACE}')) AS word
           FROM documents)
     WHERE word <> '' GROUP BY doc_id, word
     """
