@@ -1,4 +1,4 @@
-"""Round trips through the file formats.
+"""Round trips through the file formats and folders.
 
 What is written goes to the shared folder, to a new path each time.
 """
@@ -6,9 +6,17 @@ What is written goes to the shared folder, to a new path each time.
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions.paths import path_label
 from tessera.plans.registry import query, table
-from tessera.sinks import save, write_csv, write_json, write_parquet, write_text
-from tessera.sources import read_csv, read_json, read_parquet, read_text_lines
+from tessera.sinks import save, write_by_label, write_csv, write_json, write_parquet, write_text
+from tessera.sources import (
+    list_files,
+    read_csv,
+    read_json,
+    read_parquet,
+    read_text_files,
+    read_text_lines,
+)
 from tessera.workspace import scratch_path
 
 
@@ -76,3 +84,36 @@ def text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "text")
     write_text(table(spark, sf_dir, "pages"), path, "url")
     return read_text_lines(spark, path)
+
+
+@query("SELECT cast(r_regionkey AS varchar) AS _c0, r_name AS _c1 FROM region")
+def csv_no_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "csv")
+    write_csv(table(spark, sf_dir, "region"), path, header=False)
+    return read_csv(spark, path)
+
+
+@query("SELECT c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
+def csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With a separator of its own; numbers come back as numbers."""
+    path = scratch_path(spark, "csv")
+    columns = ["c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
+    write_csv(table(spark, sf_dir, "customer"), path, columns, sep="|")
+    return read_csv(spark, path, sep="|", header=True, infer=True)
+
+
+@query("SELECT cast(sum(length(url) + 1) AS bigint) AS n_chars FROM pages")
+def whole_text_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """However many files the lines went to, their contents add up."""
+    path = scratch_path(spark, "text")
+    write_text(table(spark, sf_dir, "pages"), path, "url")
+    return read_text_files(spark, path).agg(F.sum(F.length("value")).alias("n_chars"))
+
+
+@query("SELECT DISTINCT 'source=' || source AS folder FROM documents")
+def listed_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class folders that a listing finds; no file is opened for it."""
+    path = scratch_path(spark, "folders")
+    write_by_label(table(spark, sf_dir, "documents").select("doc_id", "source"), path, "source")
+    listing = list_files(spark, path, "parquet", recursive=True)
+    return listing.select(path_label("path").alias("folder")).distinct()

@@ -24,9 +24,10 @@ def write_csv(
     columns: Sequence[str] | None = None,
     *,
     header: bool = True,
+    sep: str = ",",
     mode: str = "errorifexists",
 ) -> None:
-    _project(df, columns).write.mode(mode).csv(path, header=header)
+    _project(df, columns).write.mode(mode).csv(path, header=header, sep=sep)
 
 
 def save(
