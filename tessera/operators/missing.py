@@ -1,6 +1,6 @@
 """Filling missing values from statistics of the column or from near rows.
 
-Dropping rows and replacing values are ``df.na.drop`` and ``df.na.replace``.
+Missing means null or NaN, as it does to ``df.na``. Dropping rows and replacing values are ``df.na.drop`` and ``df.na.replace``.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from operator import and_
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 from tessera.operators.aggregates import most_frequent
 from tessera.operators.neighbours import (
@@ -25,13 +26,21 @@ from tessera.workspace import materialize
 POWERS = {"euclidean": 2.0, "manhattan": 1.0, "mahalanobis": 2.0}
 
 
+def _is_present(df: DataFrame, column: str) -> Column:
+    value = F.col(column)
+    if isinstance(df.schema[column].dataType, (FloatType, DoubleType)):
+        return value.isNotNull() & ~F.isnan(value)
+    return value.isNotNull()
+
+
 def fill_mean(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Fill each column with its mean, all means from one aggregate.
 
     As with any ``na.fill`` the value takes the column's type: an integer column
     gets the mean truncated. A column without values is left as it is.
     """
-    means = df.agg(*(F.avg(c).alias(c) for c in columns)).first().asDict()
+    present = {c: F.when(_is_present(df, c), F.col(c)) for c in columns}
+    means = df.agg(*(F.avg(v).alias(c) for c, v in present.items())).first().asDict()
     return df.na.fill({c: v for c, v in means.items() if v is not None})
 
 
@@ -43,7 +52,7 @@ def fill_median(df: DataFrame, column: str, bracket_rows: int = 1_000_000) -> Da
 
 def fill_mode(df: DataFrame, column: str) -> DataFrame:
     """Fill with the most frequent value, the smallest of equals."""
-    mode = most_frequent(df, column)
+    mode = most_frequent(df.where(_is_present(df, column)), column)
     return df if mode is None else df.na.fill({column: mode})
 
 
@@ -51,7 +60,7 @@ def exact_median(
     df: DataFrame, column: str, bracket_rows: int = 1_000_000
 ) -> float | None:
     """The median, without one task ever holding more than ``bracket_rows`` values."""
-    values = df.select(F.col(column).cast("double").alias("v")).where("v IS NOT NULL")
+    values = df.where(_is_present(df, column)).select(F.col(column).cast("double").alias("v"))
     total = values.count()
     if total <= bracket_rows:
         return values.agg(F.median("v")).first()[0]
@@ -123,9 +132,9 @@ def fill_knn(
     unfilled. The result is exact.
     """
     names = [features] if isinstance(features, str) else list(features)
-    has_features = reduce(and_, (F.col(c).isNotNull() for c in names))
-    known = F.col(target).isNotNull() & has_features
-    open_ = F.col(target).isNull() & has_features
+    has_features = reduce(and_, (_is_present(df, c) for c in names))
+    known = _is_present(df, target) & has_features
+    open_ = ~_is_present(df, target) & has_features
     if metric == "hamming":
         x = F.struct(*names)
     elif metric == "mahalanobis":

@@ -75,6 +75,17 @@ def test_median_of_repeated_values(spark, values):
     assert missing.exact_median(df, "v", bracket_rows=3) == statistics.median(values)
 
 
+def test_nan_is_missing(spark):
+    nan = float("nan")
+    rows = [(1, 1.0, nan), (2, 1.0, 2.0), (3, 4.0, 8.0), (4, nan, 2.0), (5, None, 6.0)]
+    df = spark.createDataFrame(rows, "key long, x double, y double")
+    assert [r.x for r in missing.fill_mean(df, ["x"]).orderBy("key").collect()][3:] == [2.0, 2.0]
+    assert missing.exact_median(df, "y") == 4.0
+    assert missing.fill_mode(df, "y").orderBy("key").first().y == 2.0
+    near = {r.key: r.y for r in missing.fill_knn(df, "y", "x", "key", k=2).collect()}
+    assert near == {1: 5.0, 2: 2.0, 3: 8.0, 4: 2.0, 5: 6.0}
+
+
 def test_median_narrows_to_small_brackets(spark):
     draws = np.random.default_rng(1).lognormal(0, 3, 20_001)
     draws[:8000] = 2.0
