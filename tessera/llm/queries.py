@@ -5,8 +5,13 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tessera.llm.archives import archived_pages
+from tessera.llm.flat_tokens import token_counts
+from tessera.llm.language import identify
 from tessera.llm.pieces import encode_decode
+from tessera.llm.quality import quality
 from tessera.llm.registry import query, table
+from tessera.llm.urls import judge_urls, labelled_urls
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -14,3 +19,53 @@ PIECES = public_tokenizers.path("piece_bpe_32k.model")
 @query()
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents"), PIECES)
+
+
+@query(
+    """
+    WITH p AS (
+        SELECT page_id, coalesce(html, '') AS html FROM pages
+    ), f AS (
+        SELECT page_id, strlen(html) AS payload_bytes, sha256(html) AS payload_digest,
+               min(page_id) OVER (PARTITION BY html) AS first_id
+        FROM p
+    )
+    SELECT page_id, payload_bytes, payload_digest,
+           CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit'
+                ELSE 'response' END AS record_type,
+           CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+    FROM f
+    """
+)
+def op5_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived_pages(table(spark, sf_dir, "pages")).drop("target", "date")
+
+
+@query()
+def op6_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), PIECES)
+
+
+@query()
+def op8_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), PIECES).select("doc_id", "n_tokens")
+
+
+@query()
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
+# Fixed values of the query: (action, host and path).
+URL_RULES = [
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+]
+
+
+@query()
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"), URL_RULES, labelled_urls(spark))
