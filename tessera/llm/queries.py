@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm.archives import archived_pages
+from tessera.llm.decontamination import decontaminate
 from tessera.llm.flat_tokens import token_counts
 from tessera.llm.language import identify
 from tessera.llm.pieces import encode_decode
@@ -69,3 +70,49 @@ URL_RULES = [
 @query()
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES, labelled_urls(spark))
+
+
+@query(
+    r"""
+    WITH docs AS (
+        SELECT doc_id, regexp_extract_all(
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                             'abcdefghijklmnopqrstuvwxyz'),
+                   '[0-9a-z\x{80}-\x{10FFFF}]+') AS ws
+        FROM documents
+    ), items AS (
+        SELECT item_id, regexp_extract_all(
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                             'abcdefghijklmnopqrstuvwxyz'),
+                   '[0-9a-z\x{80}-\x{10FFFF}]+') AS ws
+        FROM benchmark
+    ), starts AS (
+        SELECT item_id, ws, least(len(ws), 10) AS n, unnest(range(1, greatest(len(ws) - 8, 2))) AS s
+        FROM items WHERE len(ws) > 0
+    ), windows AS (
+        SELECT DISTINCT item_id, n, array_to_string(ws[s:s + n - 1], ' ') AS w FROM starts
+    ), sizes AS (
+        SELECT DISTINCT n FROM windows
+    ), spots AS (
+        SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS s
+        FROM docs, sizes WHERE len(ws) >= n
+    ), hits AS (
+        SELECT doc_id, s, spots.n, item_id
+        FROM spots JOIN windows
+          ON spots.n = windows.n AND array_to_string(ws[s:s + spots.n - 1], ' ') = w
+    ), hit_words AS (
+        SELECT doc_id, count(DISTINCT p) AS n_hit
+        FROM (SELECT DISTINCT doc_id, unnest(range(s, s + n)) AS p FROM hits) GROUP BY doc_id
+    ), hit_items AS (
+        SELECT doc_id, count(DISTINCT item_id) AS n_items,
+               array_to_string(list_sort(list(DISTINCT CAST(item_id AS VARCHAR))), ',') AS ids
+        FROM hits GROUP BY doc_id
+    )
+    SELECT docs.doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit,
+           coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+           coalesce(n_hit, 0) > 0 AS contaminated
+    FROM docs LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+    """
+)
+def op2_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
