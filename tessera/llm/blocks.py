@@ -32,3 +32,9 @@ def blocks(
 def texts_of(batch: pa.RecordBatch, column: str) -> list[str]:
     """The texts, null as empty."""
     return [text or "" for text in batch.column(column).to_pylist()]
+
+
+def large_texts(texts: pa.Array) -> pa.Array:
+    """The texts as an array of its own (not a slice) with wide offsets, null as empty."""
+    own = texts.take(pa.array(range(len(texts)), pa.int64()))
+    return pc.fill_null(own.cast(pa.large_string()), "")

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.blocks import blocks
+from tessera.llm.blocks import blocks, large_texts
 from tessera.llm.scripts import NAMES, script_table
 
 UNDETERMINED = "und"
@@ -47,7 +47,7 @@ class LanguageModel(NamedTuple):
 
 def letter_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """Lower-case runs of letters of all texts in order, and how many each text has."""
-    texts = pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
+    texts = pc.utf8_lower(large_texts(texts))
     # Words are cut out with a border on both sides, hence never empty in the middle.
     words = pc.split_pattern_regex(texts, r"[^\pL]+")
     flat = words.flatten()

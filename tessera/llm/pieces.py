@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.blocks import blocks
+from tessera.llm.blocks import blocks, large_texts
 
 NORMAL, UNKNOWN, BYTE = 1, 2, 6  # fixed values of the model format
 SPACE = "▁"
@@ -129,7 +129,7 @@ class PieceModel:
 
     def flat_segments(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
         """Segments of all texts in one array, and where each text's begin and end."""
-        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        texts = large_texts(texts)
         odd = pc.match_substring_regex(texts, ODD) if self.plain else pa.array([True] * len(texts))
         odd = np.asarray(pc.and_(odd, pc.not_equal(texts, "")).to_numpy(zero_copy_only=False))
         plain = texts.filter(pa.array(~odd))

@@ -9,6 +9,7 @@ from tessera.llm.archives import archived_pages
 from tessera.llm.decontamination import decontaminate
 from tessera.llm.flat_tokens import token_counts
 from tessera.llm.language import identify
+from tessera.llm.minhash import near_duplicates
 from tessera.llm.pieces import encode_decode
 from tessera.llm.quality import quality
 from tessera.llm.registry import query, table
@@ -116,3 +117,8 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op2_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op10_similarity_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
