@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tessera.llm.archives import archived_pages
 from tessera.llm.decontamination import decontaminate
@@ -13,6 +14,7 @@ from tessera.llm.minhash import near_duplicates
 from tessera.llm.pieces import encode_decode
 from tessera.llm.quality import quality
 from tessera.llm.registry import query, table
+from tessera.llm.repeats import remove_repeats
 from tessera.llm.urls import judge_urls, labelled_urls
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -122,3 +124,10 @@ def op2_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_similarity_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
+
+
+@query()
+def op4_column_wise_bwt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
