@@ -95,7 +95,12 @@ def candidate_windows(lengths: list[int]) -> Column:
     )
 
 
-def decontaminate(
+def decontaminate(docs: DataFrame, benchmark: DataFrame, **columns: str) -> DataFrame:
+    """``judged_rows`` without the hash of the text."""
+    return judged_rows(docs, benchmark, **columns).drop("content")
+
+
+def judged_rows(
     docs: DataFrame,
     benchmark: DataFrame,
     id_col: str = "doc_id",
@@ -105,7 +110,8 @@ def decontaminate(
 ) -> DataFrame:
     """Words of every whole document that lie in a window of a benchmark item.
 
-    One row per input row. Null and empty texts have no words; items without
+    One row per input row, with ``content``, a hash of its text. Null and empty
+    texts have no words; items without
     words match nothing, items of equal text all count, an item with a null id
     hits words but is not listed. Rows that repeat get equal results, rows of one
     id with different texts are judged apart.
@@ -198,6 +204,7 @@ def decontaminate(
         )
         .select(
             "doc_id",
+            "content",
             "n_words",
             F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
             F.coalesce(F.size("items"), F.lit(0)).cast("bigint").alias("n_items"),
