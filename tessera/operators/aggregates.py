@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.workspace import materialize
@@ -12,7 +12,7 @@ from tessera.workspace import materialize
 
 def grouped_means(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """``key, avg_<column>...``"""
-    return df.groupBy(key).agg(*(F.avg(c).alias(f"avg_{c}") for c in columns))
+    return df.groupBy(f"`{key}`").agg(*(F.avg(f"`{c}`").alias(f"avg_{c}") for c in columns))
 
 
 def grouped_range_stats(
@@ -22,11 +22,11 @@ def grouped_range_stats(
     stats = [F.min(date).alias("first_date"), F.max(date).alias("last_date")]
     for c in measures:
         stats += [
-            F.min(c).alias(f"min_{c}"),
-            F.max(c).alias(f"max_{c}"),
-            F.avg(c).alias(f"avg_{c}"),
+            F.min(f"`{c}`").alias(f"min_{c}"),
+            F.max(f"`{c}`").alias(f"max_{c}"),
+            F.avg(f"`{c}`").alias(f"avg_{c}"),
         ]
-    return df.groupBy(key).agg(*stats)
+    return df.groupBy(f"`{key}`").agg(*stats)
 
 
 def first_last(
@@ -46,46 +46,61 @@ def first_last(
     )
 
 
+LIST_ROWS = 10_000
+
+
 def collect_values(
-    df: DataFrame, key: str, value: str, spread_by: str, list_rows: int = 1_000_000
+    df: DataFrame, key: str, value: str, list_rows: int = LIST_ROWS
 ) -> DataFrame:
-    """``key, part, items``: the sorted non-null values of each key.
+    """``key, chunk, items``: the sorted non-null values of each key, in chunks.
 
-    A key with up to ``list_rows`` values is one row with ``part = 0``. A larger key
-    is cut into parts of about that size by the hash of ``spread_by``, a column that
-    differs within the key; its parts together hold every value.
+    Chunk ``i`` of a key holds its values from place ``i * list_rows`` on, so chunks
+    put together in order are the sorted list, for every key and size. Rows are dealt
+    out by ranges of key and value, and places are counted per range; a key with most
+    of the rows is spread over many tasks.
     """
-    present = df.where(F.col(value).isNotNull()).select(
-        F.col(key), F.col(value), F.xxhash64(spread_by).alias("_spread")
+    present = df.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{value}`").alias("_value")).where(
+        "_value IS NOT NULL"
     )
-    large = materialize(
-        present.groupBy(F.col(key).alias("_large"))
-        .agg(F.ceil(F.count("*") / F.lit(list_rows)).alias("_parts"))
-        .where(F.col("_parts") > 1),
-        "large-groups",
+    ranged = materialize(
+        present.withColumn("_tie", F.monotonically_increasing_id())
+        .repartitionByRange("_key", "_value", "_tie")
+        .withColumn("_range", F.spark_partition_id()),
+        "ranged-values",
+    )
+    before = Window.partitionBy("_key").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        ranged.groupBy("_key", "_range")
+        .agg(F.count("*").alias("_n"))
+        .select("_key", "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+        .withColumnsRenamed({"_key": "_of_key", "_range": "_of_range"})
     )
-    part = F.coalesce(F.pmod("_spread", "_parts"), F.lit(0)).cast("int")
+    here = F.row_number().over(Window.partitionBy("_key", "_range").orderBy("_value", "_tie"))
+    same = F.col("_key").eqNullSafe(F.col("_of_key")) & (F.col("_range") == F.col("_of_range"))
     return (
-        present.join(large, F.col(key).eqNullSafe(F.col("_large")), "left")
-        .groupBy(key, part.alias("part"))
-        .agg(F.array_sort(F.collect_list(value)).alias("items"))
+        ranged.withColumn("_here", here)
+        .join(offsets, same)
+        .withColumn("chunk", F.floor((F.col("_before") + F.col("_here") - 1) / list_rows).cast("int"))
+        .groupBy(F.col("_key").alias(key), "chunk")
+        .agg(F.array_sort(F.collect_list("_value")).alias("items"))
     )
 
 
 def collect_distinct(
-    df: DataFrame, key: str, value: str, list_rows: int = 1_000_000
+    df: DataFrame, key: str, value: str, list_rows: int = LIST_ROWS
 ) -> DataFrame:
     """:func:`collect_values` over distinct values; repeats go before the shuffle."""
-    return collect_values(df.select(key, value).distinct(), key, value, value, list_rows)
+    return collect_values(df.select(f"`{key}`", f"`{value}`").distinct(), key, value, list_rows)
 
 
 def most_frequent(df: DataFrame, column: str) -> object | None:
     """The non-null value with most rows, the smallest of equals."""
     top = (
-        df.where(F.col(column).isNotNull())
-        .groupBy(column)
+        df.select(F.col(f"`{column}`").alias("_value"))
+        .where("_value IS NOT NULL")
+        .groupBy("_value")
         .agg(F.count("*").alias("_n"))
-        .orderBy(F.desc("_n"), F.asc(column))
+        .orderBy(F.desc("_n"), F.asc("_value"))
         .first()
     )
     return None if top is None else top[0]

@@ -46,7 +46,7 @@ def pooled_model(weights: Sequence[np.ndarray]) -> Predict:
     """224 x 224 x 3 to 1280 by average pooling, projection and a clip to 0..6.
 
     It has the shape and the cost structure of the pre-trained network's last inner
-    layer, not its learned values; pass :func:`mobilenet_model` where Keras is there.
+    layer, not its learned values; pass a model of your own for these.
     """
     kernel, bias = weights
 
@@ -59,28 +59,6 @@ def pooled_model(weights: Sequence[np.ndarray]) -> Predict:
     return predict
 
 
-def mobilenet_weights() -> list[np.ndarray]:
-    """Pre-trained weights, loaded once on the driver. Needs Keras."""
-    return _mobilenet("imagenet").get_weights()
-
-
-def mobilenet_model(weights: Sequence[np.ndarray]) -> Predict:
-    """The pre-trained network up to its pooled 1280-wide layer. Needs Keras."""
-    model = _mobilenet(None)
-    model.set_weights(weights)
-    return lambda batch: model.predict(batch, verbose=0)
-
-
-def _mobilenet(source: str | None):
-    try:
-        from keras.applications import MobileNetV2
-    except ImportError as error:
-        raise RuntimeError("this model needs Keras on the driver and the workers") from error
-    return MobileNetV2(
-        weights=source, include_top=False, pooling="avg", input_shape=(INPUT_SIZE, INPUT_SIZE, 3)
-    )
-
-
 def _in_batches(
     predict: Predict,
     load: Callable[[int, int], tuple[np.ndarray, np.ndarray]],
@@ -157,7 +135,7 @@ def image_features(
     pixels = F.col("image.data")
     if on_error == "raise":
         pixels = F.when(readable, pixels).otherwise(
-            F.raise_error(F.concat(F.lit("invalid image content: "), F.col(keep[0]))).cast("binary")
+            F.raise_error(F.concat(F.lit("not a readable image: "), F.col(keep[0]))).cast("binary")
         )
     shared = images.sparkSession.sparkContext.broadcast(weights)
 
@@ -186,18 +164,17 @@ def content_features(
     weights: Sequence[np.ndarray],
     model_fn: ModelFn = pooled_model,
     *,
-    decode: Callable[[bytes], np.ndarray] | None = None,
+    decode: Callable[[bytes], np.ndarray],
     batch_rows: int = 64,
     keep: Sequence[str] = ("path", "label"),
 ) -> DataFrame:
     """``path, label, features, error`` from a binary ``content`` column.
 
-    For images kept as bytes in a table. ``decode`` gives height x width x 3 RGB bytes;
-    the default needs Pillow on the workers. A row that cannot be decoded has no
+    For images kept as bytes in a table. ``decode`` gives height x width x 3 RGB bytes
+    or raises ``ValueError``. A row that cannot be decoded has no
     features and says why in ``error``; errors of the model itself fail the job.
     """
     shared = images.sparkSession.sparkContext.broadcast(weights)
-    decode = decode or pillow_decode
 
     @F.pandas_udf("features array<float>, error string")
     def infer(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -219,17 +196,3 @@ def content_features(
             yield pd.DataFrame({"features": features, "error": errors})
 
     return images.select(*keep, infer("content").alias("out")).select(*keep, "out.*")
-
-
-def pillow_decode(content: bytes) -> np.ndarray:
-    """Three-channel pixels of encoded image bytes; ``ValueError`` if they are not valid."""
-    try:
-        from PIL import Image, UnidentifiedImageError
-    except ImportError as error:
-        raise RuntimeError("decoding image bytes needs Pillow on the workers") from error
-    import io
-
-    try:
-        return np.asarray(Image.open(io.BytesIO(content)).convert("RGB"))
-    except (UnidentifiedImageError, OSError, TypeError) as error:
-        raise ValueError("invalid image content") from error

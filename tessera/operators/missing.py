@@ -5,7 +5,8 @@ Missing means null or NaN, as it does to ``df.na``. Dropping rows and replacing
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from decimal import Decimal
 from functools import reduce
 from operator import and_
 
@@ -27,49 +28,71 @@ POWERS = {"euclidean": 2.0, "manhattan": 1.0, "mahalanobis": 2.0}
 
 
 def _is_present(df: DataFrame, column: str) -> Column:
-    value = F.col(column)
+    value = F.col(f"`{column}`")
     if isinstance(df.schema[column].dataType, (FloatType, DoubleType)):
         return value.isNotNull() & ~F.isnan(value)
     return value.isNotNull()
 
 
+def _filled(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
+    """Missing cells of each column set to its value, cast to the column's type."""
+    return df.select(
+        *(
+            F.when(_is_present(df, c), F.col(f"`{c}`"))
+            .otherwise(F.lit(values[c]).cast(df.schema[c].dataType))
+            .alias(c)
+            if values.get(c) is not None
+            else F.col(f"`{c}`")
+            for c in df.columns
+        )
+    )
+
+
 def fill_mean(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Fill each column with its mean, all means from one aggregate.
 
-    As with any ``na.fill`` the value takes the column's type: an integer column
-    gets the mean truncated. A column without values is left as it is.
+    The value takes the column's type: an integer column gets the mean truncated, a
+    decimal one the mean in its own scale. A column without values stays as it is.
     """
-    present = {c: F.when(_is_present(df, c), F.col(c)) for c in columns}
-    means = df.agg(*(F.avg(v).alias(c) for c, v in present.items())).first().asDict()
-    return df.na.fill({c: v for c, v in means.items() if v is not None})
+    present = [F.when(_is_present(df, c), F.col(f"`{c}`")) for c in columns]
+    means = df.agg(*(F.avg(v).alias(f"m{i}") for i, v in enumerate(present))).first()
+    return _filled(df, dict(zip(columns, means)))
 
 
 def fill_median(df: DataFrame, column: str, bracket_rows: int = 1_000_000) -> DataFrame:
-    """Fill with the exact median."""
-    median = exact_median(df, column, bracket_rows)
-    return df if median is None else df.na.fill({column: median})
+    """Fill with the exact median, truncated in an integer column."""
+    return _filled(df, {column: exact_median(df, column, bracket_rows)})
 
 
 def fill_mode(df: DataFrame, column: str) -> DataFrame:
-    """Fill with the most frequent value, the smallest of equals."""
-    mode = most_frequent(df.where(_is_present(df, column)), column)
-    return df if mode is None else df.na.fill({column: mode})
+    """Fill with the most frequent value of any type, the smallest of equals."""
+    return _filled(df, {column: most_frequent(df.where(_is_present(df, column)), column)})
 
 
 def exact_median(
     df: DataFrame, column: str, bracket_rows: int = 1_000_000
-) -> float | None:
-    """The median, without one task ever holding more than ``bracket_rows`` values."""
-    values = df.where(_is_present(df, column)).select(F.col(column).cast("double").alias("v"))
-    total = values.count()
-    if total <= bracket_rows:
-        return values.agg(F.median("v")).first()[0]
-    ranks = sorted({(total + 1) // 2, total // 2 + 1})
-    middle = [_value_at(values, rank, total, bracket_rows) for rank in ranks]
-    return sum(middle) / len(middle)
-
+) -> float | Decimal | None:
+    """The median, without one task ever holding more than ``bracket_rows`` values.
 
-def _value_at(values: DataFrame, rank: int, inside: int, bracket_rows: int) -> float:
+    The search runs in the column's own type. Between two integers it is a decimal.
+    """
+    values = df.where(_is_present(df, column)).select(F.col(f"`{column}`").alias("v"))
+    total = values.count()
+    if total == 0:
+        return None
+    low = _value_at(values, (total + 1) // 2, total, bracket_rows)
+    upto, above = values.agg(
+        F.count_if(F.col("v") <= F.lit(low)), F.min(F.when(F.col("v") > F.lit(low), F.col("v")))
+    ).first()
+    high = low if upto >= total // 2 + 1 else above
+    if isinstance(low, float):
+        return low if low == high else low / 2 + high / 2
+    return (Decimal(low) + Decimal(high)) / 2
+
+
+def _value_at(
+    values: DataFrame, rank: int, inside: int, bracket_rows: int
+) -> int | float | Decimal:
     """The value at ``rank`` (from 1) in sorted order.
 
     Approximate percentiles only propose a bracket; exact counts decide on which
@@ -82,27 +105,28 @@ def _value_at(values: DataFrame, rank: int, inside: int, bracket_rows: int) -> f
         low, high = values.agg(
             F.percentile_approx(v, [max(share - slack, 0.0), min(share + slack, 1.0)], 10_000)
         ).first()[0]
+        low_, high_ = F.lit(low), F.lit(high)
         under, at_low, between, at_high = values.agg(
-            F.count_if(v < low),
-            F.count_if(v == low),
-            F.count_if((v > low) & (v < high)),
-            F.count_if((v == high) & (v > low)),
+            F.count_if(v < low_),
+            F.count_if(v == low_),
+            F.count_if((v > low_) & (v < high_)),
+            F.count_if((v == high_) & (v > low_)),
         ).first()
         if rank <= under:
-            values, inside = values.where(v < low), under
+            values, inside = values.where(v < low_), under
             continue
         rank -= under
         if rank <= at_low:
             return low
         rank -= at_low
         if rank <= between:
-            values, inside = values.where((v > low) & (v < high)), between
+            values, inside = values.where((v > low_) & (v < high_)), between
             continue
         rank -= between
         if rank <= at_high:
             return high
         rank -= at_high
-        values, inside = values.where(v > high), inside - under - at_low - between - at_high
+        values, inside = values.where(v > high_), inside - under - at_low - between - at_high
 
     running = Window.partitionBy(F.lit(0)).orderBy("v")
     counted = values.groupBy("v").agg(F.count("*").alias("n"))

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType, StringType
+from pyspark.sql.types import IntegralType, NumericType, StringType
 
 
 def table_shape(df: DataFrame) -> DataFrame:
@@ -16,32 +14,27 @@ def table_shape(df: DataFrame) -> DataFrame:
     )
 
 
-# Numeric columns per aggregate; with more, Spark gives up generated code for it.
-COLUMNS_PER_PASS = 8
+DESCRIBED = (
+    "column string, n bigint, mean double, stddev double, min_value double, max_value double, "
+    "min_whole bigint, max_whole bigint, min_text string, max_text string"
+)
 
 
 def describe_long(df: DataFrame) -> DataFrame:
-    """Typed statistics, one row per numeric or string column.
+    """Typed statistics, one row per numeric or string column, from one scan.
 
-    Statistics of several columns share an aggregate that reads just those columns,
-    and only its one result row is turned into one row per column. Numbers and
-    strings are kept apart, as the minimum of a string rules out a hash aggregate.
+    Only the result row of the aggregate is turned into one row per column. Integer
+    columns have their exact ends in ``min_whole`` and ``max_whole`` as well. A table
+    without such columns has no rows.
     """
-    numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
-    text = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
-    passes = [
-        _statistics(df, names[i : i + COLUMNS_PER_PASS], is_numeric)
-        for names, is_numeric in ((numeric, True), (text, False))
-        for i in range(0, len(names), COLUMNS_PER_PASS)
-    ]
-    return reduce(DataFrame.unionByName, passes)
-
-
-def _statistics(df: DataFrame, names: list[str], numeric: bool) -> DataFrame:
     none = F.lit(None)
     stats, rows = [], []
-    for i, name in enumerate(names):
-        column = F.col(f"`{name}`")
+    for i, field in enumerate(df.schema.fields):
+        numeric = isinstance(field.dataType, NumericType)
+        whole = isinstance(field.dataType, IntegralType)
+        if not numeric and not isinstance(field.dataType, StringType):
+            continue
+        column = F.col(f"`{field.name}`")
         stats += [
             F.count(column).alias(f"n{i}"),
             F.min(column).alias(f"min{i}"),
@@ -52,16 +45,20 @@ def _statistics(df: DataFrame, names: list[str], numeric: bool) -> DataFrame:
         low, high = F.col(f"min{i}"), F.col(f"max{i}")
         rows.append(
             F.struct(
-                F.lit(name).alias("column"),
+                F.lit(field.name).alias("column"),
                 F.col(f"n{i}").alias("n"),
                 (F.col(f"avg{i}") if numeric else none).cast("double").alias("mean"),
                 (F.col(f"std{i}") if numeric else none).cast("double").alias("stddev"),
                 (low if numeric else none).cast("double").alias("min_value"),
                 (high if numeric else none).cast("double").alias("max_value"),
+                (low if whole else none).cast("bigint").alias("min_whole"),
+                (high if whole else none).cast("bigint").alias("max_whole"),
                 (none if numeric else low).cast("string").alias("min_text"),
                 (none if numeric else high).cast("string").alias("max_text"),
             )
         )
+    if not rows:
+        return df.sparkSession.createDataFrame([], DESCRIBED)
     return df.agg(*stats).select(F.inline(F.array(*rows)))
 
 

@@ -15,18 +15,15 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
-from tessera.sources import chosen_images, labelled_images
+from tessera.sources import labelled_images, with_contents
 from tessera.workspace import materialize
 
 # Half widths of the interval in standard deviations, tried in turn. Rows with unique
 # keys miss the first about once in a thousand million draws.
 SLACKS = (6.0, 30.0, 150.0)
 
-# Paths handed to a scan one by one, and so held by the driver.
-LISTED_PATHS = 10_000
-
 # Longest array folded in one row; more classes are folded in several levels.
 FOLD_ROWS = 1_000
 
@@ -57,19 +54,30 @@ def class_counts_with_total(df: DataFrame, label: str = "label") -> DataFrame:
 def class_counts_of(
     df: DataFrame, wanted: Sequence[str], label: str = "label"
 ) -> DataFrame:
-    """Counts of the wanted classes only, zero for those without rows."""
-    kind = StructType([df.schema[label]])
-    listed = df.sparkSession.createDataFrame([(name,) for name in wanted], kind)
-    counted = class_counts(df.where(F.col(label).isin(*wanted)), label)
-    return listed.join(counted, label, "left").select(
-        label, F.coalesce("n", F.lit(0)).alias("n")
+    """Counts of the wanted classes only, each once, zero for those without rows; null is one."""
+    kind = StructType([StructField("_wanted", df.schema[label].dataType)])
+    rows = [(name,) for name in dict.fromkeys(wanted)]
+    listed = df.sparkSession.createDataFrame(rows, kind)
+    same = F.col(label).eqNullSafe(F.col("_wanted"))
+    return listed.join(class_counts(df, label), same, "left").select(
+        F.col("_wanted").alias(label), F.coalesce("n", F.lit(0)).alias("n")
     )
 
 
 def draw_order(key: str | Sequence[str], seed: int) -> Column:
-    """The hash that fixes the order in which rows are drawn."""
-    parts = [key] if isinstance(key, str) else key
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), *(F.col(c).cast("string") for c in parts)))
+    """The hash that fixes the order in which rows are drawn.
+
+    Parts of a composite key go in with their lengths, and null as itself, so that
+    different keys are never the same text.
+    """
+    if isinstance(key, str):
+        parts = [F.col(key).cast("string")]
+    else:
+        texts = [F.col(c).cast("string") for c in key]
+        parts = [
+            F.coalesce(F.concat(F.length(t), F.lit("."), t), F.lit("null")) for t in texts
+        ]
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), *parts))
 
 
 def proportional_plan(
@@ -152,15 +160,13 @@ def sample_images(
 ) -> Sample:
     """:func:`sample_proportional` of the images below ``root``, with their bytes.
 
-    The draw needs paths only. A sample of up to ``LISTED_PATHS`` images is then read
-    by path; a larger one by a scan that keeps the drawn paths.
+    The draw needs paths only; each task then opens the files that it was dealt.
     """
     images = labelled_images(spark, root, pattern)
-    rows, plan = sample_proportional(images.select("path", "label"), size, "label", "path", seed)
-    if 0 < size <= LISTED_PATHS:
-        paths = [row.path for row in rows.select("path").collect()]
-        return Sample(chosen_images(spark, paths), plan)
-    return Sample(images.join(rows.select("path"), "path", "left_semi").select(*images.columns), plan)
+    listed = images.drop("content")
+    rows, plan = sample_proportional(listed, size, "label", "path", seed)
+    drawn = rows.repartition(F.col("path"))
+    return Sample(with_contents(drawn).select(*images.columns), plan)
 
 
 def _cutoffs(keyed: DataFrame, plan: DataFrame, group: str) -> DataFrame:

@@ -150,22 +150,41 @@ def group_first_last(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-    SELECT o_custkey, 0 AS part, string_agg(o_orderkey, ',' ORDER BY o_orderkey) AS items
-    FROM orders GROUP BY o_custkey
+    SELECT user_id, arg_min(value, event_id) FILTER (value > 50) AS first_value,
+           arg_max(value, event_id) FILTER (value > 50) AS last_value
+    FROM events GROUP BY user_id
+    """
+)
+def group_first_last_present(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Small values count as missing and are passed over."""
+    events = table(spark, sf_dir, "events").withColumn("value", F.expr("nullif(value, if(value > 50, null, value))"))
+    return first_last(events, "user_id", "value", ["event_id"], ignore_nulls=True)
+
+
+@query(
+    """
+    SELECT o_custkey, chunk, string_agg(o_orderkey, ',' ORDER BY o_orderkey) AS items
+    FROM (SELECT o_custkey, o_orderkey, cast((row_number() OVER (
+                     PARTITION BY o_custkey ORDER BY o_orderkey) - 1) // 4 AS integer) AS chunk
+          FROM orders)
+    GROUP BY o_custkey, chunk
     """
 )
 def group_collect(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lists = collect_values(table(spark, sf_dir, "orders"), "o_custkey", "o_orderkey", "o_orderkey")
+    """Chunks of four values; most customers have several."""
+    lists = collect_values(table(spark, sf_dir, "orders"), "o_custkey", "o_orderkey", list_rows=4)
     return lists.withColumn("items", F.array_join("items", ","))
 
 
 @query(
     """
-    SELECT o_custkey, 0 AS part,
-           string_agg(DISTINCT o_orderpriority, ',' ORDER BY o_orderpriority) AS items
-    FROM orders GROUP BY o_custkey
+    SELECT o_custkey, chunk, string_agg(o_orderpriority, ',' ORDER BY o_orderpriority) AS items
+    FROM (SELECT o_custkey, o_orderpriority, cast((row_number() OVER (
+                     PARTITION BY o_custkey ORDER BY o_orderpriority) - 1) // 2 AS integer) AS chunk
+          FROM (SELECT DISTINCT o_custkey, o_orderpriority FROM orders))
+    GROUP BY o_custkey, chunk
     """
 )
 def group_collect_set(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sets = collect_distinct(table(spark, sf_dir, "orders"), "o_custkey", "o_orderpriority")
+    sets = collect_distinct(table(spark, sf_dir, "orders"), "o_custkey", "o_orderpriority", list_rows=2)
     return sets.withColumn("items", F.array_join("items", ","))

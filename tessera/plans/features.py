@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.paths import path_label
 from tessera.operators.features import (
+    content_features,
     image_features as features_of_images,
     linear_model,
     pooled_weights,
@@ -14,7 +15,7 @@ from tessera.operators.features import (
 from tessera.operators.pixels import FEATURE_WIDTH
 from tessera.plans.registry import query, table
 from tessera.sinks import write_parquet
-from tessera.sources import read_parquet, spread_scan
+from tessera.sources import read_parquet
 from tessera.workspace import scratch_path
 
 COMPONENTS = 4
@@ -91,7 +92,7 @@ def image_features(spark: SparkSession, sf_dir: str) -> DataFrame:
         "embedding",
         lambda x: F.lpad(F.hex(F.least(F.abs(F.round(x * 255)), F.lit(255)).cast("int")), 2, "0"),
     )
-    images = spread_scan(table(spark, sf_dir, "embeddings")).select(
+    images = table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").cast("string").alias("path"),
         F.concat(F.lit("class "), "label").alias("label"),
         F.struct(
@@ -110,6 +111,58 @@ def image_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def decode_square(content: bytes) -> np.ndarray:
+    """Grey squares: the side in one byte, then a byte for each pixel."""
+    if not content or len(content) != 1 + content[0] ** 2:
+        raise ValueError("not a grey square")
+    side = content[0]
+    grey = np.frombuffer(content, np.uint8, offset=1).reshape(side, side, 1)
+    return np.repeat(grey, 3, axis=2)
+
+
+def mean_model(weights: list[np.ndarray]):
+    """The mean of all scaled pixels, times each weight."""
+    return lambda batch: batch.mean(axis=(1, 2, 3))[:, None] * weights[0]
+
+
+@query(
+    """
+    SELECT 'squares/class ' || label || '/' || vec_id || '.grey' AS path, 'class ' || label AS label,
+           CASE WHEN vec_id % 17 <> 0 THEN round(2 * (shade / 127.5 - 1), 3) END AS f0,
+           CASE WHEN vec_id % 17 <> 0 THEN round(-3 * (shade / 127.5 - 1), 3) END AS f1,
+           CASE WHEN vec_id % 17 = 0 THEN 'not a grey square' END AS error
+    FROM (SELECT *, cast(least(abs(round_even(embedding[1]::double * 255, 0)), 255) AS integer) AS shade
+          FROM embeddings)
+    """
+)
+def image_bytes_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encoded images in a column, some of them cut short, dealt out before the model."""
+    shade = F.least(F.abs(F.bround(F.element_at("embedding", 1).cast("double") * 255)), F.lit(255))
+    pixels = F.repeat(F.lpad(F.hex(shade.cast("int")), 2, "0"), 64)
+    whole = F.concat(F.lit("08"), pixels)
+    images = (
+        table(spark, sf_dir, "embeddings")
+        .select(
+            F.format_string("squares/class %s/%s.grey", "label", "vec_id").alias("path"),
+            F.unhex(F.when(F.col("vec_id") % 17 == 0, F.substring(whole, 1, 40)).otherwise(whole)).alias(
+                "content"
+            ),
+        )
+        .withColumn("label", path_label("path"))
+        .repartition(8, "path")
+    )
+    features = content_features(
+        images, [np.array([2.0, -3.0])], mean_model, decode=decode_square, batch_rows=16
+    )
+    return features.select(
+        "path",
+        "label",
+        F.round(F.get("features", F.lit(0)).cast("double"), 3).alias("f0"),
+        F.round(F.get("features", F.lit(1)).cast("double"), 3).alias("f1"),
+        "error",
+    )
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Path to label, batch inference with broadcast weights, check of every vector."""
     wide = [np.random.default_rng(42).normal(size=(FEATURE_WIDTH, VECTOR_WIDTH))]

@@ -86,6 +86,47 @@ def na_fill_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return missing.fill_mode(_events(spark, sf_dir).select("event_id", "event_type"), "event_type")
 
 
+@query(
+    """
+    WITH o AS (
+        SELECT o_orderkey, CASE WHEN o_orderkey % 9 <> 0 THEN cast(o_orderdate AS date) END AS day,
+               CASE WHEN o_orderkey % 9 <> 0 THEN cast(round(o_totalprice, 2) AS decimal(12, 2)) END
+                   AS price,
+               CASE WHEN o_orderkey % 9 <> 0 THEN 1152921504606846977 + o_orderkey END AS big
+        FROM orders
+    )
+    SELECT o_orderkey,
+           coalesce(day, (SELECT day FROM o WHERE day IS NOT NULL GROUP BY day
+                          ORDER BY count(*) DESC, day LIMIT 1)) AS day,
+           coalesce(cast(price AS varchar), (SELECT cast(cast(
+               round(sum(price)::decimal(38, 8) / count(price), 2) AS decimal(12, 2)) AS varchar) FROM o))
+               AS price,
+           coalesce(big, (SELECT (quantile_disc(big, 0.5) + coalesce(
+               (SELECT min(big) FROM o WHERE big > (SELECT quantile_disc(big, 0.5) FROM o)
+                AND (SELECT count(big) % 2 = 0 FROM o)), quantile_disc(big, 0.5))) // 2 FROM o)) AS big
+    FROM o
+    """
+)
+def na_fill_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mode of a date, mean of a decimal and median of large integers, under a dotted name."""
+    there = F.col("o_orderkey") % 9 != 0
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.when(there, F.col("o_orderdate").cast("date")).alias("order.day"),
+        F.when(there, F.round("o_totalprice", 2).cast("decimal(12,2)")).alias("order.price"),
+        F.when(there, F.lit(1152921504606846977) + F.col("o_orderkey")).alias("order.big"),
+    )
+    filled = missing.fill_mode(orders, "order.day")
+    filled = missing.fill_mean(filled, ["order.price"])
+    filled = missing.fill_median(filled, "order.big")
+    return filled.select(
+        "o_orderkey",
+        F.col("`order.day`").alias("day"),
+        F.col("`order.price`").cast("string").alias("price"),
+        F.col("`order.big`").alias("big"),
+    )
+
+
 _CUSTOMER = """
     WITH c AS (
         SELECT c_custkey, c_nationkey, c_mktsegment,

@@ -22,6 +22,7 @@ _NUMERIC = [
     "l_discount",
     "l_tax",
 ]
+_WHOLE = _NUMERIC[:4]
 _TEXT = ["l_returnflag", "l_linestatus"]
 
 
@@ -32,6 +33,8 @@ _TEXT = ["l_returnflag", "l_linestatus"]
             SELECT '{c}' AS "column", count({c}) AS n, round(avg({c}), 4) AS mean,
                    round(stddev_samp({c}), 4) AS stddev,
                    cast(min({c}) AS double) AS min_value, cast(max({c}) AS double) AS max_value,
+                   {f'cast(min({c}) AS bigint)' if c in _WHOLE else 'cast(NULL AS bigint)'} AS min_whole,
+                   {f'cast(max({c}) AS bigint)' if c in _WHOLE else 'cast(NULL AS bigint)'} AS max_whole,
                    cast(NULL AS varchar) AS min_text, cast(NULL AS varchar) AS max_text
             FROM lineitem
             """
@@ -39,7 +42,7 @@ _TEXT = ["l_returnflag", "l_linestatus"]
         ]
         + [
             f"""
-            SELECT '{c}', count({c}), NULL, NULL, NULL, NULL, min({c}), max({c}) FROM lineitem
+            SELECT '{c}', count({c}), NULL, NULL, NULL, NULL, NULL, NULL, min({c}), max({c}) FROM lineitem
             """
             for c in _TEXT
         ]

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import sampling
 from tessera.plans.registry import query, table
-from tessera.sinks import write_by_label
+from tessera.sinks import read_by_label, write_by_label
 from tessera.workspace import scratch_path
 
 WANTED = ["src0", "src3", "src7", "not_there"]
@@ -130,8 +130,11 @@ def sample_proportional(spark: SparkSession, sf_dir: str) -> DataFrame:
     , ranked AS (
         SELECT *, row_number() OVER (
                    PARTITION BY l_returnflag
-                   ORDER BY md5('42:' || l_orderkey || ':' || l_partkey || ':' || l_suppkey
-                                || ':' || l_linenumber)) AS nth
+                   ORDER BY md5('42:' || length(l_orderkey::varchar) || '.' || l_orderkey
+                                || ':' || length(l_partkey::varchar) || '.' || l_partkey
+                                || ':' || length(l_suppkey::varchar) || '.' || l_suppkey
+                                || ':' || length(l_linenumber::varchar) || '.' || l_linenumber)
+               ) AS nth
         FROM lineitem
     )
     SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_returnflag, l_extendedprice
@@ -191,5 +194,5 @@ def sample_materialize(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     sample = sampling.sample_proportional(documents, 90, "source", "doc_id")
     path = scratch_path(spark, "sample")
-    write_by_label(sample.rows, path, "source")
-    return spark.read.parquet(path)
+    write_by_label(sample.rows, path, "source", files_per_label=1, spread_by="doc_id")
+    return read_by_label(spark, path, "source")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.paths import path_label
 from tessera.plans.registry import query, table
-from tessera.sinks import save, write_by_label, write_csv, write_json, write_parquet, write_text
+from tessera.sinks import read_by_label, save, write_by_label, write_csv, write_json, write_parquet, write_text
 from tessera.sources import (
     list_files,
     read_csv,
@@ -28,6 +28,43 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path, header=True)
 
 
+@query("SELECT doc_id, text, lang FROM documents")
+def csv_multiline_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with line ends, quotes and white space at their ends come back as they were."""
+    path = scratch_path(spark, "csv")
+    write_csv(table(spark, sf_dir, "documents"), path, ["doc_id", "text", "lang"])
+    schema = "doc_id bigint, text string, lang string"
+    return read_csv(spark, path, header=True, schema=schema, multiline=True)
+
+
+@query("SELECT replace(text, chr(10), ' / ') AS value FROM documents")
+def text_line_ends_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "text")
+    write_text(table(spark, sf_dir, "documents"), path, "text", line_end=" / ")
+    return read_text_lines(spark, path)
+
+
+@query(
+    """
+    SELECT p_partkey, CASE p_size % 4 WHEN 0 THEN '00' || (p_size % 3) WHEN 1 THEN ''
+                      WHEN 2 THEN cast(p_size AS varchar) END AS label
+    FROM part
+    """
+)
+def labels_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels that look like numbers, are empty or null come back from folders as they were."""
+    path = scratch_path(spark, "labels")
+    size = F.col("p_size")
+    label = (
+        F.when(size % 4 == 0, F.concat(F.lit("00"), size % 3))
+        .when(size % 4 == 1, "")
+        .when(size % 4 == 2, size.cast("string"))
+    )
+    parts = table(spark, sf_dir, "part").select("p_partkey", label.alias("label"))
+    write_by_label(parts, path, files_per_label=2, spread_by="p_partkey")
+    return read_by_label(spark, path)
+
+
 @query(
     """
     SELECT o_orderkey AS order_id, o_orderstatus AS status, o_totalprice AS price,
@@ -114,6 +151,7 @@ def whole_text_size(spark: SparkSession, sf_dir: str) -> DataFrame:
 def listed_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class folders that a listing finds; no file is opened for it."""
     path = scratch_path(spark, "folders")
-    write_by_label(table(spark, sf_dir, "documents").select("doc_id", "source"), path, "source")
+    write_by_label(table(spark, sf_dir, "documents").select("doc_id", "source"), path, "source",
+                   files_per_label=1, spread_by="doc_id")
     listing = list_files(spark, path, "parquet", recursive=True)
     return listing.select(path_label("path").alias("folder")).distinct()

@@ -4,7 +4,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tessera.functions import text
 from tessera.plans.registry import query, table
-from tessera.sources import spread_scan
 
 # White space as a pattern, for the SQL.
 ANY_SPACE = (
@@ -14,7 +13,7 @@ ANY_SPACE = (
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread_scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
 @query(

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+STORED_LABEL = "_label"
+
+
 def _project(df: DataFrame, columns: Sequence[str] | None) -> DataFrame:
     return df if columns is None else df.select(*columns)
 
@@ -27,7 +31,15 @@ def write_csv(
     sep: str = ",",
     mode: str = "errorifexists",
 ) -> None:
-    _project(df, columns).write.mode(mode).csv(path, header=header, sep=sep)
+    """Cells keep their white space, quotes and line ends; read them with ``multiline``."""
+    _project(df, columns).write.mode(mode).csv(
+        path,
+        header=header,
+        sep=sep,
+        escape='"',
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+    )
 
 
 def save(
@@ -41,9 +53,21 @@ def write_json(df: DataFrame, path: str, columns: Sequence[str] | None = None) -
     save(df, path, "json", columns)
 
 
-def write_text(df: DataFrame, path: str, column: str = "value") -> None:
-    """One string column as text, one line per row."""
-    df.select(column).write.text(path)
+def write_text(
+    df: DataFrame, path: str, column: str = "value", line_end: str | None = None
+) -> None:
+    """One string column as text, one line per row.
+
+    A value that holds a line end would come back as several: without ``line_end``
+    the write fails on it, else each line end is replaced by that text.
+    """
+    value = F.col(f"`{column}`")
+    if line_end is None:
+        broken = F.raise_error(F.lit("a value holds a line end")).cast("string")
+        value = F.when(value.rlike(r"[\r\n]"), broken).otherwise(value)
+    else:
+        value = F.regexp_replace(value, F.lit(r"\r\n|\r|\n"), F.lit(re.sub(r"([\\$])", r"\\\1", line_end)))
+    df.select(value.alias(column)).write.text(path)
 
 
 def write_by_label(
@@ -57,6 +81,9 @@ def write_by_label(
 ) -> None:
     """``path/<label>=<value>/`` folders, one per label that has rows.
 
+    The files hold the label as well, so that :func:`read_by_label` returns it as it
+    was, be it ``001``, empty or null.
+
     By default each task writes what it holds and nothing is shuffled. With
     ``files_per_label`` the rows of every label are spread over up to that many tasks
     by the hash of ``spread_by``, so a label with most of the rows is not one task.
@@ -66,4 +93,11 @@ def write_by_label(
             raise ValueError("files_per_label needs a column to spread by")
         salt = F.pmod(F.xxhash64(spread_by), F.lit(files_per_label))
         df = df.repartition(F.col(label), salt)
-    df.write.mode(mode).partitionBy(label).parquet(path)
+    stored = df.withColumn(STORED_LABEL, F.col(f"`{label}`"))
+    stored.write.mode(mode).partitionBy(label).parquet(path)
+
+
+def read_by_label(spark: SparkSession, path: str, label: str = "label") -> DataFrame:
+    """The rows of all folders of :func:`write_by_label`, the label last and of its own type."""
+    stored = spark.read.option("recursiveFileLookup", "true").parquet(path)
+    return stored.withColumnRenamed(STORED_LABEL, label)

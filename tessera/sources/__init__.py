@@ -1,22 +1,20 @@
 from tessera.sources.files import (
-    chosen_images,
     decode_images,
     image_files,
     labelled_images,
     list_files,
     read_text_files,
     read_text_lines,
+    with_contents,
 )
 from tessera.sources.tables import (
     read_csv,
     read_json,
     read_parquet,
     rename_dotted,
-    spread_scan,
 )
 
 __all__ = [
-    "chosen_images",
     "decode_images",
     "image_files",
     "labelled_images",
@@ -27,5 +25,5 @@ __all__ = [
     "read_text_files",
     "read_text_lines",
     "rename_dotted",
-    "spread_scan",
+    "with_contents",
 ]

@@ -15,15 +15,24 @@ def read_csv(
     schema: StructType | str | None = None,
     infer: bool = False,
     mode: str = "PERMISSIVE",
+    multiline: bool = False,
 ) -> DataFrame:
     """CSV in any of three schema modes.
 
     Without ``schema`` and ``infer`` every column is a string, named ``_c0`` on when
     there is no header. A declared schema maps by position and, in PERMISSIVE mode,
-    turns cells that do not parse into nulls. ``infer`` costs one more pass.
+    turns cells that do not parse into nulls. ``infer`` costs one more pass. Cells
+    with line ends need ``multiline``, which reads each file in one task.
     """
     return spark.read.csv(
-        path, sep=sep, header=header, schema=schema, inferSchema=infer, mode=mode
+        path,
+        sep=sep,
+        header=header,
+        schema=schema,
+        inferSchema=infer,
+        mode=mode,
+        multiLine=multiline,
+        escape='"',
     )
 
 
@@ -43,14 +52,3 @@ def rename_dotted(df: DataFrame, replacement: str = "_") -> DataFrame:
     """Rename columns such as ``market.cap``, which else need back-quotes everywhere."""
     renames = {name: name.replace(".", replacement) for name in df.columns if "." in name}
     return df.withColumnsRenamed(renames)
-
-
-def spread_scan(df: DataFrame) -> DataFrame:
-    """Deal the rows of a scan out to all cores, if its files give fewer tasks.
-
-    For costly work per row on a few files. A large input has more splits than there
-    are cores and is left as it is, so nothing is shuffled. Only for plain scans:
-    asking for the number of tasks would run the stages of anything else.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

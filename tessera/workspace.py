@@ -7,23 +7,23 @@ size is below ``spark.sql.autoBroadcastJoinThreshold``.
 
 from __future__ import annotations
 
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder; a machine-local one is made in local mode only."""
+    """The checkpoint folder; where none is named, local mode has one beside its warehouse."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
-            if not context.master.startswith("local"):
+            if not re.match(r"local(\[|$)", context.master):
                 raise RuntimeError(
                     "spark.checkpoint.dir must name a folder that all executors share"
                 )
-            folder = tempfile.mkdtemp(prefix="tessera-")
+            folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
         context.setCheckpointDir(folder)
     return context.getCheckpointDir()
 

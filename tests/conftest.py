@@ -11,10 +11,14 @@ from tessera.session import get_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = get_session(
         "tessera-tests",
-        {"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false"},
+        {
+            "spark.sql.shuffle.partitions": "8",
+            "spark.ui.enabled": "false",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+        },
         master="local[8]",
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -20,9 +20,7 @@ def tree(spark, tmp_path_factory):
     return draw_tree(spark, tmp_path_factory.mktemp("images"), per_label=6)
 
 
-@pytest.mark.parametrize("listed", [0, 100])
-def test_sample_of_images_keeps_their_bytes(spark, tree, tmp_path, monkeypatch, listed):
-    monkeypatch.setattr(sampling, "LISTED_PATHS", listed)
+def test_sample_of_images_keeps_their_bytes(spark, tree, tmp_path):
     images = sources.labelled_images(spark, str(tree))
     counts = {r.label: r.n for r in sampling.class_counts(images).collect()}
     assert counts == {LABELS[0]: 6, LABELS[1]: 7, LABELS[2]: 6}
@@ -31,7 +29,7 @@ def test_sample_of_images_keeps_their_bytes(spark, tree, tmp_path, monkeypatch,
     plan = {r.label: r.quota for r in sample.plan.collect()}
     assert sum(plan.values()) == 7
     sinks.write_by_label(sample.rows, str(tmp_path / "sample"))
-    stored = spark.read.parquet(str(tmp_path / "sample")).collect()
+    stored = sinks.read_by_label(spark, str(tmp_path / "sample")).collect()
     assert Counter(r.label for r in stored) == plan
     for row in stored:
         name = row.path.removeprefix("file:")

@@ -158,11 +158,3 @@ def test_inference_runs_once_per_row(spark):
     used = table.select(F.size("features"), F.element_at("features", 1))
     plan = used._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
-
-
-@pytest.mark.skipif(
-    __import__("importlib").util.find_spec("keras") is not None, reason="Keras is there"
-)
-def test_pretrained_model_is_gated():
-    with pytest.raises(RuntimeError, match="Keras"):
-        features.mobilenet_weights()

@@ -172,19 +172,3 @@ def test_write_by_label_spreads_a_large_class(spark, tmp_path):
         "big": 900,
         "small": 100,
     }
-
-
-def test_small_scans_are_spread_and_others_left(spark, tmp_path):
-    cores = spark.sparkContext.defaultParallelism
-    spark.range(100).coalesce(1).write.parquet(str(tmp_path / "one"))
-    one = sources.spread_scan(spark.read.parquet(str(tmp_path / "one")))
-    assert one.rdd.getNumPartitions() == cores
-    assert one.count() == 100
-    spark.range(100).repartition(cores).write.parquet(str(tmp_path / "many"))
-    key = "spark.sql.files.openCostInBytes"
-    spark.conf.set(key, str(128 << 20))
-    try:
-        many = spark.read.parquet(str(tmp_path / "many"))
-        assert sources.spread_scan(many) is many
-    finally:
-        spark.conf.unset(key)

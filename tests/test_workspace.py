@@ -35,6 +35,12 @@ def test_no_local_folder_on_a_cluster():
         workspace.shared_folder(session("yarn"))
 
 
+def test_local_mode_writes_beside_the_warehouse():
+    local = session("local[2]", folder=None)
+    local.conf.get = lambda key, default=None: {"spark.sql.warehouse.dir": "file:/w/"}.get(key, default)
+    assert workspace.shared_folder(local) == "file:/w/_scratch"
+
+
 def test_materialize_keeps_rows_and_schema(spark):
     df = spark.createDataFrame([(1, None), (2, "b")], "k int, v string")
     stored = workspace.materialize(df, "t")
