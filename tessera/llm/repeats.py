@@ -20,6 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,9 +33,10 @@ STRINGS = 20_000  # lined up at once
 CROWDED = 20_000  # distinct segments of an anchor that are cut into shorter ones
 NARROW = (16, 1)  # windows of a segment after each cut
 
-FOUND = (
-    "anchor bigint, segment bigint, doc_id bigint, content bigint, first bigint, windows bigint, "
-    "shift bigint, data binary"
+FOUND = "anchor bigint, segment bigint, content bigint, first int, windows int, shift int"
+STRINGS_DDL = (
+    "anchor bigint, part bigint, of_anchor bigint, of_segment bigint, skipped bigint, copies bigint, "
+    "windows bigint, shift bigint, data binary"
 )
 
 
@@ -100,45 +102,34 @@ def runs(flags: np.ndarray) -> list[list[int]]:
     return edge.reshape(-1, 2).tolist()
 
 
-def segment_rows(
-    block: pa.RecordBatch, window: int, keep: np.ndarray | None, seen: set[tuple[int, int]]
-) -> pa.RecordBatch:
-    """Segments of a block whose anchor passes the filter; bytes at their first sight in a task."""
+def slot_of(anchor: np.ndarray) -> np.ndarray:
+    """The place of an anchor in the filter; anchors are small hashes, so they are mixed again."""
+    return ((anchor * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+
+
+def segment_rows(block: pa.RecordBatch, window: int, keep: np.ndarray) -> pa.RecordBatch:
+    """Segments of a block whose anchor passes the filter."""
     flat, sizes = flat_bytes(block.column("text"))
     found = segments(np.frombuffer(flat, np.uint8), sizes, window)
-    if keep is not None:
-        slot = (found.anchor >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
-        passes = (keep[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1) == 1
-        found = Segments(*(x[passes] for x in found))
+    slot = slot_of(found.anchor)
+    passes = (keep[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1) == 1
+    found = Segments(*(x[passes] for x in found))
     begin = np.cumsum(sizes) - sizes
     row = np.searchsorted(begin, found.first, side="right") - 1
-    keys, data = [], []
-    for anchor, a, n in zip(
-        found.anchor.view(np.int64).tolist(), found.first.tolist(), found.windows.tolist()
-    ):
-        part = flat[a : a + n + window - 1]
-        key = xxhash.xxh3_64_intdigest(part) - 2**63
-        keys.append(key)
-        if (anchor, key) in seen:
-            data.append(None)
-        else:
-            seen.add((anchor, key))
-            data.append(part)
-    if len(seen) > 500_000:
-        seen.clear()
-    owner = pa.array(row)
+    keys = [
+        xxhash.xxh3_64_intdigest(flat[a : a + n + window - 1]) - 2**63
+        for a, n in zip(found.first.tolist(), found.windows.tolist())
+    ]
     return pa.RecordBatch.from_arrays(
         [
             pa.array(found.anchor.view(np.int64)),
             pa.array(keys, pa.int64()),
-            block.column("doc_id").take(owner),
-            block.column("content").take(owner),
-            pa.array(found.first - begin[row]),
-            pa.array(found.windows),
-            pa.array(found.shift),
-            pa.array(data, pa.binary()),
+            block.column("content").take(pa.array(row)),
+            pa.array((found.first - begin[row]).astype(np.int32)),
+            pa.array(found.windows.astype(np.int32)),
+            pa.array(found.shift.astype(np.int32)),
         ],
-        names=["anchor", "segment", "doc_id", "content", "first", "windows", "shift", "data"],
+        names=["anchor", "segment", "content", "first", "windows", "shift"],
     )
 
 
@@ -149,8 +140,7 @@ def repeated_anchors(rows: DataFrame, window: int) -> np.ndarray:
         for block in blocks(batches, "text"):
             flat, sizes = flat_bytes(block.column("text"))
             anchor = segments(np.frombuffer(flat, np.uint8), sizes, window).anchor
-            slot = (anchor >> np.uint64(64 - FILTER_BITS)).astype(np.int32)
-            slot, times = np.unique(slot, return_counts=True)
+            slot, times = np.unique(slot_of(anchor).astype(np.int32), return_counts=True)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(slot), pa.array(np.minimum(times, 2).astype(np.int32))],
                 names=["slot", "times"],
@@ -194,6 +184,7 @@ def narrower(strings: DataFrame, width: int, window: int) -> DataFrame:
                             "of_anchor": r["of_anchor"],
                             "of_segment": r["of_segment"],
                             "skipped": r["skipped"] + a,
+                            "copies": r["copies"],
                             "windows": b - a,
                             "shift": core - a,
                             "data": part,
@@ -201,25 +192,25 @@ def narrower(strings: DataFrame, width: int, window: int) -> DataFrame:
                     )
             yield pa.RecordBatch.from_pylist(rows, schema=CUT)
 
-    return strings.select(*CUT.names).mapInArrow(
-        cut,
-        "anchor bigint, part bigint, of_anchor bigint, of_segment bigint, skipped bigint, "
-        "windows bigint, shift bigint, data binary",
-    )
+    return strings.select(*CUT.names).mapInArrow(cut, STRINGS_DDL)
 
 
 CUT = pa.schema(
     [("anchor", pa.int64()), ("part", pa.int64()), ("of_anchor", pa.int64()),
-     ("of_segment", pa.int64()), ("skipped", pa.int64()), ("windows", pa.int64()),
-     ("shift", pa.int64()), ("data", pa.binary())]
+     ("of_segment", pa.int64()), ("skipped", pa.int64()), ("copies", pa.int64()),
+     ("windows", pa.int64()), ("shift", pa.int64()), ("data", pa.binary())]
 )
 
 
 def judged(strings: DataFrame, window: int) -> DataFrame:
-    """Repeated windows (``spans`` of first and past-the-last) of strings by anchor and part."""
+    """Repeated windows of strings, as ``spans`` of first and past-the-last.
+
+    Strings of one anchor come together and equal parts of it one after the other.
+    """
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
+        owners: list[list[dict]] = []
 
         def out() -> pa.RecordBatch:
             data = b"".join(r["data"] for r in held)
@@ -234,105 +225,144 @@ def judged(strings: DataFrame, window: int) -> DataFrame:
                 window,
             )
             rows = []
-            for r, own in zip(held, np.split(flags, np.cumsum(windows)[:-1])):
-                spans = [[0, r["windows"]]] if r["copies"] > 1 else runs(own)
+            for r, of, own in zip(held, owners, np.split(flags, np.cumsum(windows)[:-1])):
+                twice = sum(o["copies"] for o in of) > 1
+                spans = [[0, r["windows"]]] if twice else runs(own)
                 if spans:
-                    rows.append({"anchor": r["anchor"], "part": r["part"], "spans": spans})
+                    rows += [
+                        {
+                            "anchor": o["of_anchor"],
+                            "segment": o["of_segment"],
+                            "spans": [[a + o["skipped"], b + o["skipped"]] for a, b in spans],
+                        }
+                        for o in of
+                    ]
             held.clear()
+            owners.clear()
             return pa.RecordBatch.from_pylist(rows, schema=JUDGED)
 
         for batch in batches:
             for row in batch.to_pylist():
-                if len(held) >= STRINGS and row["anchor"] != held[-1]["anchor"]:
+                new_anchor = not held or row["anchor"] != held[-1]["anchor"]
+                if not new_anchor and row["part"] == held[-1]["part"]:
+                    row.pop("data")
+                    owners[-1].append(row)
+                    continue
+                if new_anchor and len(held) >= STRINGS:
                     yield out()
                 held.append(row)
+                owners.append([row])
         if held:
             yield out()
 
     return (
-        strings.select("anchor", "part", "copies", "windows", "shift", "data")
-        .repartition("anchor")
-        .sortWithinPartitions("anchor")
-        .mapInArrow(judge, "anchor bigint, part bigint, spans array<array<bigint>>")
+        strings.repartition("anchor")
+        .sortWithinPartitions("anchor", "part")
+        .mapInArrow(judge, "anchor bigint, segment bigint, spans array<array<bigint>>")
     )
 
 
 JUDGED = pa.schema(
-    [("anchor", pa.int64()), ("part", pa.int64()), ("spans", pa.list_(pa.list_(pa.int64())))]
+    [("anchor", pa.int64()), ("segment", pa.int64()), ("spans", pa.list_(pa.list_(pa.int64())))]
 )
 
 
-def repeated_spans(rows: DataFrame, window: int) -> DataFrame:
-    """Repeated windows of documents: ``doc_id, content, from, to`` in bytes, past the last."""
-    spark = rows.sparkSession
-    keep = spark.sparkContext.broadcast(repeated_anchors(rows, window))
+def packed(rows: DataFrame) -> DataFrame:
+    """``text`` as compressed UTF-8, for the way through a shuffle."""
 
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[tuple[int, int]] = set()
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=3)
         for block in blocks(batches, "text"):
-            yield segment_rows(block, window, keep.value, seen)
+            data = [squeeze.compress(t.encode()) for t in block.column("text").to_pylist()]
+            columns = [*(block.column(c) for c in ("doc_id", "content")), pa.array(data, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "content", "packed"])
+
+    return rows.select("doc_id", "content", "text").mapInArrow(
+        pack, "doc_id bigint, content bigint, packed binary"
+    )
 
-    found = materialize(rows.mapInArrow(find, FOUND), "segments")
-    strings = (
+
+def cut_out(found: DataFrame, rows: DataFrame, window: int) -> DataFrame:
+    """The distinct segments with their bytes, each taken from one of the texts that have it."""
+    chosen = (
         found.groupBy("anchor", "segment")
         .agg(
             F.count(F.lit(1)).alias("copies"),
-            F.max("data").alias("data"),
-            F.max("windows").alias("windows"),
-            F.max("shift").alias("shift"),
+            F.min(F.struct("content", "first", "windows", "shift")).alias("at"),
         )
-        .withColumns({"part": F.col("segment"), "of_anchor": F.col("anchor"),
-                      "of_segment": F.col("segment"), "skipped": F.lit(0).cast("bigint")})
-    )
-    strings = materialize(strings, "strings")
+        .groupBy(F.col("at.content").alias("content"))
+        .agg(
+            F.collect_list(
+                F.struct("anchor", "segment", "copies", "at.first", "at.windows", "at.shift")
+            ).alias("wanted")
+        )
+    )
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        spread = zstandard.ZstdDecompressor()
+        for block in blocks(batches, "packed", 1 << 20):
+            out = []
+            for row in block.to_pylist():
+                data = spread.decompress(row["packed"])
+                for w in row["wanted"]:
+                    end = w["first"] + w["windows"] + window - 1
+                    out.append(
+                        {
+                            "anchor": w["anchor"], "part": w["segment"], "of_anchor": w["anchor"],
+                            "of_segment": w["segment"], "skipped": 0, "copies": w["copies"],
+                            "windows": w["windows"], "shift": w["shift"],
+                            "data": data[w["first"] : end],
+                        }
+                    )
+            yield pa.RecordBatch.from_pylist(out, schema=CUT)
+
+    return (
+        packed(rows)
+        .groupBy("content")
+        .agg(F.first("packed").alias("packed"))
+        .join(chosen, "content")
+        .select("packed", "wanted")
+        .mapInArrow(cut, STRINGS_DDL)
+    )
+
+
+def repeated_spans(rows: DataFrame, window: int) -> DataFrame:
+    """Repeated windows of texts: ``content, from, to`` in bytes, past the last."""
+    spark = rows.sparkSession
+    keep = spark.sparkContext.broadcast(repeated_anchors(rows, window))
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches, "text"):
+            yield segment_rows(block, window, keep.value)
+
+    found = materialize(rows.select("content", "text").mapInArrow(find, FOUND), "segments")
+    strings = cut_out(found, rows, window)
+    parts = found.select("anchor", "segment").distinct()
     decided = None
     for width in (*NARROW, None):
-        sizes = strings.groupBy("anchor").agg(
-            F.count_distinct("part").alias("n"), F.sum("copies").alias("times")
+        crowded = materialize(
+            parts.groupBy("anchor").count().where(f"count > {CROWDED}").select("anchor"), "crowded"
         )
-        crowded = sizes.where(f"n > {CROWDED}").select("anchor")
-        alone = sizes.where("times = 1").select("anchor")
-        ready = strings.join(alone, "anchor", "left_anti")
-        if width is not None:
-            ready = ready.join(crowded, "anchor", "left_anti")
-        spans = judged(
-            ready.groupBy("anchor", "part").agg(
-                F.sum("copies").alias("copies"),
-                F.max("data").alias("data"),
-                F.max("windows").alias("windows"),
-                F.max("shift").alias("shift"),
-            ),
-            window,
-        )
-        part = ready.select("anchor", "part", "of_anchor", "of_segment", "skipped").join(
-            spans, ["anchor", "part"]
-        ).select("of_anchor", "of_segment", "skipped", "spans")
-        decided = part if decided is None else decided.union(part)
-        if width is None:
-            break
-        rest = materialize(strings.join(crowded, "anchor", "left_semi"), "crowded")
-        if rest.isEmpty():
+        if width is None or crowded.isEmpty():
+            spans = judged(strings, window)
+            decided = spans if decided is None else decided.union(spans)
             break
+        spans = judged(strings.join(crowded, "anchor", "left_anti"), window)
+        decided = spans if decided is None else decided.union(spans)
         strings = materialize(
-            narrower(rest, width, window).join(
-                rest.select("of_anchor", "of_segment", "copies").distinct(),
-                ["of_anchor", "of_segment"],
-            ),
-            "strings",
+            narrower(strings.join(crowded, "anchor", "left_semi"), width, window), "strings"
         )
-    decided = decided.withColumnsRenamed({"of_anchor": "anchor", "of_segment": "segment"})
+        parts = strings.select("anchor", "part").distinct()
     return (
-        found.select("anchor", "segment", "doc_id", "content", "first")
+        found.select("anchor", "segment", "content", "first")
         .join(decided, ["anchor", "segment"])
-        .select("doc_id", "content", (F.col("first") + F.col("skipped")).alias("first"),
-                F.explode("spans").alias("span"))
+        .select("content", "first", F.explode("spans").alias("span"))
         .select(
-            "doc_id",
             "content",
             (F.col("first") + F.col("span")[0]).alias("from"),
             (F.col("first") + F.col("span")[1] + (window - 1)).alias("to"),
         )
-    )
+    )
 
 
 def remove_repeats(
@@ -341,8 +371,8 @@ def remove_repeats(
     """Bytes left of every whole text once all repeated strings of ``window`` bytes are gone.
 
     Returns ``doc_id, n_bytes, n_removed, n_spans, kept`` (binary), one row per
-    input row. Null is empty. A row that occurs twice repeats itself; rows of one
-    id with different texts are judged apart.
+    input row. Null is empty. A row that occurs twice repeats itself; equal texts
+    get equal results whatever their ids.
     """
     if window < GRAM:
         raise ValueError(f"windows must have {GRAM} bytes or more")
@@ -352,18 +382,18 @@ def remove_repeats(
     )
     spans = (
         repeated_spans(rows, window)
-        .groupBy("doc_id", "content")
+        .groupBy("content")
         .agg(F.collect_set(F.struct("from", "to")).alias("spans"))
-        .withColumnsRenamed({"doc_id": "s_doc_id", "content": "s_content"})
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, "text"):
+        spread = zstandard.ZstdDecompressor()
+        for block in blocks(batches, "packed", 1 << 20):
             out: list[tuple[int, int, int, bytes]] = []
             for text, spans in zip(
-                block.column("text").to_pylist(), block.column("spans").to_pylist()
+                block.column("packed").to_pylist(), block.column("spans").to_pylist()
             ):
-                data, kept, at, n = text.encode(), [], 0, 0
+                data, kept, at, n = spread.decompress(text), [], 0, 0
                 end = -1
                 for span in sorted((s["from"], s["to"]) for s in spans or []):
                     if span[0] > end:
@@ -383,9 +413,9 @@ def remove_repeats(
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"],
             )
 
-    same = (F.col("content") == F.col("s_content")) & F.col("doc_id").eqNullSafe(F.col("s_doc_id"))
     return (
-        rows.join(spans, same, "left")
-        .select("doc_id", "text", "spans")
+        packed(rows)
+        .join(spans, "content", "left")
+        .select("doc_id", "packed", "spans")
         .mapInArrow(cut, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
     )
