@@ -180,3 +180,16 @@ def test_counts_of_classes_that_are_numbers(spark):
     df = spark.range(10).selectExpr("cast(id % 3 AS int) AS label")
     listed = sampling.class_counts_of(df, [0, 2, 9]).collect()
     assert {r.label: r.n for r in listed} == {0: 4, 2: 3, 9: 0}
+
+
+def test_counts_of_null_and_of_repeated_names(spark):
+    df = spark.createDataFrame([("a",), ("a",), (None,)], "label string")
+    counted = sampling.class_counts_of(df, ["a", None, "a", "b"]).collect()
+    assert sorted(map(tuple, counted), key=str) == [("a", 2), ("b", 0), (None, 1)]
+
+
+def test_composite_keys_are_told_apart(spark):
+    rows = [("a:b", "c"), ("a", "b:c"), (None, "a"), ("a", None), ("", "a")]
+    df = spark.createDataFrame([("x", *r) for r in rows], "label string, k string, l string")
+    assert df.select(sampling.draw_order(["k", "l"], 1)).distinct().count() == len(rows)
+    assert sampling.sample_proportional(df, 3, "label", ["k", "l"]).rows.count() == 3

@@ -172,3 +172,19 @@ def test_write_by_label_spreads_a_large_class(spark, tmp_path):
         "big": 900,
         "small": 100,
     }
+
+
+def test_text_with_line_ends_is_refused_or_replaced(spark, tmp_path):
+    df = spark.createDataFrame([("one\ntwo\r\nthree",), ("four",)], "value string")
+    with pytest.raises(Exception, match="line end"):
+        sinks.write_text(df, str(tmp_path / "refused"))
+    sinks.write_text(df, str(tmp_path / "replaced"), line_end=r" $1\ ")
+    lines = sources.read_text_lines(spark, str(tmp_path / "replaced")).collect()
+    assert sorted(r.value for r in lines) == ["four", r"one $1\ two $1\ three"]
+
+
+def test_labels_keep_their_type(spark, tmp_path):
+    rows = [(1, "001"), (2, ""), (3, None), (4, "7")]
+    df = spark.createDataFrame(rows, "id long, label string")
+    sinks.write_by_label(df, str(tmp_path / "labels"))
+    assert sorted(map(tuple, sinks.read_by_label(spark, str(tmp_path / "labels")).collect())) == rows
