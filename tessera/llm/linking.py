@@ -20,6 +20,7 @@ from tessera.llm.components import components
 from tessera.workspace import materialize
 
 TOGETHER = 128  # members held against a leader in one task
+SLOT_BITS = 27
 
 Fits = Callable[[Column, Column, Column, Column], Column]
 Sets = Callable[[pa.Array], list[np.ndarray]]
@@ -78,17 +79,87 @@ def verified(pairs: DataFrame, texts: DataFrame, sets: Sets, percent: int) -> Da
     )
 
 
+def shared_slots(texts: DataFrame, sets: Sets) -> np.ndarray:
+    """A bitmap of fixed size of the elements that may be in two of the sets."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches, "text"):
+            found = sets(block.column("text"))
+            values = np.concatenate([np.zeros(0, np.uint64), *found])
+            slot = (values >> np.uint64(64 - SLOT_BITS)).astype(np.int32)
+            slot, times = np.unique(slot, return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(slot), pa.array(np.minimum(times, 2).astype(np.int32))],
+                names=["slot", "times"],
+            )
+
+    words = (
+        texts.select("text")
+        .mapInArrow(count, "slot int, times int")
+        .groupBy("slot")
+        .agg(F.sum("times").alias("times"))
+        .where("times > 1")
+        .groupBy(F.expr("slot div 64").alias("word"))
+        .agg(F.expr("bit_or(shiftleft(1L, slot % 64))").alias("bits"))
+        .toArrow()
+    )
+    shared = np.zeros(1 << (SLOT_BITS - 6), np.uint64)
+    if words.num_rows:
+        shared[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
+    return shared
+
+
+def lonely(texts: DataFrame, sets: Sets, percent: int) -> DataFrame:
+    """``rep`` of texts of which too little occurs in any other of ``texts`` to be similar to one."""
+    known = texts.sparkSession.sparkContext.broadcast(shared_slots(texts, sets))
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shared = known.value
+        for block in blocks(batches, "text"):
+            out = []
+            for rep, found in zip(block.column("rep").to_pylist(), sets(block.column("text"))):
+                slot = (found >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+                common = (shared[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1)
+                if 100 * int(common.sum()) < percent * len(found):
+                    out.append(rep)
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64())], names=["rep"])
+
+    return texts.mapInArrow(judge, "rep bigint")
+
+
+def ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+
+
+def parted(members: DataFrame) -> DataFrame:
+    """``bucket, major`` of buckets in several components, with that of most members."""
+    sizes = members.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("members"))
+    return (
+        sizes.groupBy("bucket")
+        .agg(
+            F.count(F.lit(1)).alias("parts"),
+            F.max(F.struct("members", "component")).getField("component").alias("major"),
+        )
+        .where("parts > 1")
+        .drop("parts")
+    )
+
+
 def linked(
     placed: DataFrame,
     fits: Fits,
     texts_for: Callable[[DataFrame], DataFrame],
     sets: Sets,
     percent: int,
+    sift: Callable[[DataFrame], DataFrame] = lambda pairs: pairs,
+    set_aside: bool = True,
 ) -> DataFrame:
     """Links (``a, b``) that join all similar members of ``placed`` (``bucket, rep, n, pos``).
 
     ``fits(n_a, pos_a, n_b, pos_b)`` says which members of a bucket can be similar
-    at all; ``texts_for`` gives ``rep, text`` for a table of ``rep``.
+    at all; ``texts_for`` gives ``rep, text`` for a table of ``rep``; ``sift`` takes
+    pairs out that cannot be similar, before their texts are fetched. Without
+    ``set_aside`` no member is ruled out by what it shares with all others.
     """
     heads = (
         placed.groupBy("bucket")
@@ -101,14 +172,15 @@ def linked(
     )
     can = fits(F.col("n_a"), F.col("pos_a"), F.col("n"), F.col("pos"))
     tested = materialize(
-        met.join(leader, "bucket")
-        .where((F.col("a") != F.col("rep")) & can)
-        .select("a", F.col("rep").alias("b"))
-        .distinct(),
+        sift(
+            met.join(leader, "bucket")
+            .where((F.col("a") != F.col("rep")) & can)
+            .select("a", F.col("rep").alias("b"))
+            .distinct()
+        ),
         "leader-pairs",
     )
-    texts = materialize(texts_for(met.select("rep").distinct()), "candidate-texts")
-    links = verified(tested, texts, sets, percent)
+    links = verified(tested, materialize(texts_for(ends(tested)), "texts"), sets, percent)
 
     joined = components(links)
     where = materialize(
@@ -117,17 +189,13 @@ def linked(
         .withColumn("component", F.coalesce("component", "rep")),
         "placed-members",
     )
-    sizes = where.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("members"))
-    largest = (
-        sizes.groupBy("bucket")
-        .agg(
-            F.count(F.lit(1)).alias("parts"),
-            F.max(F.struct("members", "component")).getField("component").alias("major"),
-        )
-        .where("parts > 1")
-        .drop("parts")
-    )
-    open_ = materialize(where.join(largest, "bucket"), "open-members")
+    divided = where.join(parted(where).select("bucket"), "bucket", "left_semi")
+    if set_aside:
+        divided = materialize(divided, "divided-members")
+        texts = materialize(texts_for(divided.select("rep").distinct()), "open-texts")
+        alone = lonely(texts, sets, percent)
+        divided = materialize(divided.join(alone, "rep", "left_anti"), "possible-members")
+    open_ = materialize(divided.join(parted(divided), "bucket"), "open-members")
     minor = open_.where("component <> major").select(
         "bucket",
         F.col("rep").alias("a"),
@@ -145,7 +213,9 @@ def linked(
         .select("a", F.col("rep").alias("b"))
         .distinct()
     )
-    untested = crossing.join(tested, ["a", "b"], "left_anti").join(
+    untested = sift(crossing).join(tested, ["a", "b"], "left_anti").join(
         tested.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti"
     )
-    return links.union(verified(materialize(untested, "crossing-pairs"), texts, sets, percent))
+    untested = materialize(untested, "crossing-pairs")
+    texts = materialize(texts_for(ends(untested)), "texts")
+    return links.union(verified(untested, texts, sets, percent))

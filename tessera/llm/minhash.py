@@ -7,10 +7,7 @@ with all shingles, so that every bin fills in the end. Rounds stop as soon as al
 bins of a text are filled, which large sets need one or two rounds for.
 
 Texts with equal sets are one class. Classes that agree on all bins of a band
-share a bucket. In a bucket all members are first held against a few leaders;
-what is verified is joined to components, and only pairs of members that are
-still in different components are then held against each other, so that a group
-of near copies is not expanded into its pairs and no link is lost.
+share a bucket, whose members are linked after a comparison of their full sets.
 """
 
 from __future__ import annotations
@@ -26,15 +23,15 @@ from pyspark.sql import functions as F
 
 from tessera.llm.blocks import blocks, large_texts
 from tessera.llm.components import components
+from tessera.llm.linking import linked
 from tessera.workspace import materialize
 
 BANDS = 32
 ROWS = 4
 SIMILAR = 80  # percent
-TOGETHER = 128  # members held against a leader in one task
 
 ODD = np.uint64(0x9E3779B97F4A7C15)
-SKETCHED = "doc_id bigint, n_shingles bigint, set_key string, bands array<bigint>"
+SKETCHED = "doc_id bigint, content bigint, n_shingles bigint, set_key string, bands array<bigint>"
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -119,72 +116,20 @@ def sketched(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     block.column("doc_id"),
+                    block.column("content"),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(keys, pa.string()),
                     pa.array(found, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "n_shingles", "set_key", "bands"],
+                names=["doc_id", "content", "n_shingles", "set_key", "bands"],
             )
 
     return docs.mapInArrow(sketch, SKETCHED)
 
 
-def close_enough(a: Column, b: Column) -> Column:
+def close_enough(n_a: Column, pos_a: Column, n_b: Column, pos_b: Column) -> Column:
     """Set sizes that can be similar at all."""
-    return 100 * F.least(a, b) >= SIMILAR * F.greatest(a, b)
-
-
-def verified(pairs: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
-    """Those of ``pairs`` (``a, b``) whose full sets are similar.
-
-    The members ``b`` of a leader ``a`` are dealt out in parts of bounded size,
-    each with the leader's text.
-    """
-    sizes = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / TOGETHER).alias("parts"))
-    dealt = materialize(
-        pairs.join(sizes, "a").select("a", "b", F.expr("pmod(xxhash64(b), parts)").alias("part")),
-        "pairs",
-    )
-    members = dealt.join(texts.withColumnRenamed("doc_id", "b"), "b").select(
-        "a", "part", F.lit(1).alias("place"), "b", "text"
-    )
-    leaders = (
-        dealt.select("a", "part")
-        .distinct()
-        .join(texts.withColumnRenamed("doc_id", "a"), "a")
-        .select("a", "part", F.lit(0).alias("place"), F.col("a").alias("b"), "text")
-    )
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        leader, own = None, np.zeros(0, np.uint64)
-        for block in blocks(batches, "text"):
-            sets = shingle_sets(block.column("text"), shingle)
-            out_a, out_b = [], []
-            places = zip(
-                block.column("a").to_pylist(), block.column("b").to_pylist(),
-                block.column("place").to_pylist(), sets,
-            )
-            for a, b, place, found in places:
-                if place == 0:
-                    leader, own = a, found
-                    continue
-                if a != leader:
-                    raise ValueError("a member came before its leader")
-                both = np.r_[own, found]
-                both.sort()
-                common = int((both[1:] == both[:-1]).sum())
-                if 100 * common >= SIMILAR * (len(both) - common):
-                    out_a.append(a)
-                    out_b.append(b)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], names=["a", "b"]
-            )
-
-    rows = members.unionByName(leaders).repartition("a", "part")
-    return materialize(
-        rows.sortWithinPartitions("a", "part", "place").mapInArrow(compare, "a bigint, b bigint"),
-        "similar-pairs",
-    )
+    return 100 * F.least(n_a, n_b) >= SIMILAR * F.greatest(n_a, n_b)
 
 
 def near_duplicates(
@@ -203,106 +148,52 @@ def near_duplicates(
     with several texts; a row without id is not linked and stays. With 32 bands of
     4 bins a pair at the threshold shares no bucket with probability 5e-8.
     """
-    source = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    source = docs.select(
+        F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("content"), text.alias("text")
+    )
     found = materialize(sketched(source, shingle, bands, rows), "sketches")
-    linked = found.where("doc_id IS NOT NULL AND n_shingles > 0")
+    worded = found.where("doc_id IS NOT NULL AND n_shingles > 0")
     classes = materialize(
-        linked.groupBy("set_key").agg(
-            F.min("doc_id").alias("rep"),
+        worded.groupBy("set_key")
+        .agg(
+            F.min(F.struct("doc_id", "content")).alias("first"),
             F.first("n_shingles").alias("n"),
             F.first("bands").alias("bands"),
-        ),
+        )
+        .withColumn("rep", F.monotonically_increasing_id()),
         "set-classes",
     )
     placed = classes.select("rep", "n", F.posexplode("bands").alias("band", "bin")).select(
-        F.xxhash64("band", "bin").alias("bucket"), "rep", "n"
+        F.xxhash64("band", "bin").alias("bucket"), "rep", "n", F.lit(0).alias("pos")
     )
-    one, two = F.xxhash64("rep"), F.xxhash64("rep", F.lit(1))
-    heads = materialize(
-        placed.groupBy("bucket")
-        .agg(
-            F.count_distinct("rep").alias("members"),
-            F.min(F.struct(one.alias("o"), "rep", "n")).alias("first"),
-            F.max(F.struct(one.alias("o"), "rep", "n")).alias("last"),
-            F.min(F.struct(two.alias("o"), "rep", "n")).alias("other"),
-        )
-        .where("members > 1")
-        .select(
-            "bucket",
-            F.array_distinct(
-                F.array(*(F.struct(f"{x}.rep", f"{x}.n") for x in ("first", "last", "other")))
-            ).alias("leaders"),
-        ),
-        "buckets",
-    )
-    met = materialize(placed.join(heads, "bucket"), "bucket-members")
-    texts = materialize(
-        source.where("doc_id IS NOT NULL").join(
-            met.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"
-        ),
-        "candidate-texts",
-    )
-    tested = materialize(
-        met.select("rep", "n", F.explode("leaders").alias("leader"))
-        .where((F.col("leader.rep") != F.col("rep")) & close_enough(F.col("n"), F.col("leader.n")))
-        .select(F.col("leader.rep").alias("a"), F.col("rep").alias("b"))
-        .distinct(),
-        "leader-pairs",
-    )
-    links = verified(tested, texts, shingle)
 
-    # What is left: members of a bucket in different components.
-    joined = components(links)
-    where = materialize(
-        met.select("bucket", "rep", "n")
-        .join(joined.withColumnRenamed("id", "rep"), "rep", "left")
-        .select("bucket", "rep", "n", F.coalesce("component", "rep").alias("component")),
-        "placed-members",
-    )
-    largest = (
-        where.groupBy("bucket", "component")
-        .agg(F.count(F.lit(1)).alias("members"))
-        .groupBy("bucket")
-        .agg(
-            F.count(F.lit(1)).alias("parts"),
-            F.max(F.struct("members", "component")).getField("component").alias("major"),
-        )
-        .where("parts > 1")
-        .drop("parts")
-    )
-    open_ = materialize(where.join(largest, "bucket"), "open-members")
-    minor = open_.where("component <> major").select(
-        "bucket", F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b")
-    )
-    others = open_.select(
-        "bucket", F.col("rep").alias("a"), F.col("n").alias("n_a"), "component", "major"
-    )
-    crossing = (
-        minor.join(others, "bucket")
-        .where(
-            (F.col("c_b") != F.col("component"))
-            & ((F.col("component") == F.col("major")) | (F.col("a") < F.col("b")))
-            & close_enough(F.col("n_a"), F.col("n_b"))
-        )
-        .select(F.col("b").alias("a"), F.col("a").alias("b"))
-        .distinct()
-    )
-    untested = crossing.join(tested, ["a", "b"], "left_anti").join(
-        tested.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti"
-    )
-    links = links.union(verified(materialize(untested, "crossing-pairs"), texts, shingle))
+    def texts_for(reps: DataFrame) -> DataFrame:
+        wanted = classes.join(reps, "rep").select("rep", "first.*")
+        return source.join(wanted, ["doc_id", "content"]).select("rep", "text")
+
+    links = linked(placed, close_enough, texts_for, lambda t: shingle_sets(t, shingle), SIMILAR)
     # An id with several texts links their classes.
-    shared = linked.join(classes.select("set_key", "rep"), "set_key").select("doc_id", "rep")
-    own = shared.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    final = components(links.union(own))
+    shared = (
+        worded.join(classes.select("set_key", "rep"), "set_key")
+        .groupBy("doc_id")
+        .agg(F.min("rep").alias("a"), F.max("rep").alias("last"), F.collect_set("rep").alias("reps"))
+        .where("a < last")
+        .select("a", F.explode("reps").alias("b"))
+    )
+    joined = components(links.union(shared)).withColumnRenamed("id", "rep")
+    numbered = materialize(
+        classes.select("set_key", "rep", F.col("first.doc_id").alias("least"))
+        .join(joined, "rep", "left")
+        .withColumn("component", F.coalesce("component", "rep")),
+        "class-components",
+    )
+    smallest = numbered.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = numbered.join(smallest, "component").select("set_key", "component_id")
+    alone = F.col("doc_id").isNull() | (F.col("n_shingles") == 0)
     return (
-        found.join(final.withColumnRenamed("id", "doc_id"), "doc_id", "left")
-        .withColumn(
-            "component_id",
-            F.when(F.col("n_shingles") > 0, F.coalesce("component", "doc_id")).otherwise(
-                F.col("doc_id")
-            ),
-        )
+        found.join(named, "set_key", "left")
+        .withColumn("component_id", F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")))
         .select(
             "doc_id",
             "n_shingles",
