@@ -29,6 +29,7 @@ from tessera.llm.blocks import blocks
 from tessera.workspace import materialize
 
 FILTER_BITS = 27
+BLOCK_BYTES = 2 << 20  # some 80 bytes of arrays for each
 STRINGS = 20_000  # lined up at once
 CROWDED = 20_000  # distinct segments of an anchor that are cut into shorter ones
 NARROW = (16, 1)  # windows of a segment after each cut
@@ -137,7 +138,7 @@ def repeated_anchors(rows: DataFrame, window: int) -> np.ndarray:
     """A bitmap of fixed size of the anchors that may occur twice."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, "text"):
+        for block in blocks(batches, "text", BLOCK_BYTES):
             flat, sizes = flat_bytes(block.column("text"))
             anchor = segments(np.frombuffer(flat, np.uint8), sizes, window).anchor
             slot, times = np.unique(slot_of(anchor).astype(np.int32), return_counts=True)
@@ -272,7 +273,7 @@ def packed(rows: DataFrame) -> DataFrame:
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=3)
-        for block in blocks(batches, "text"):
+        for block in blocks(batches, "text", BLOCK_BYTES):
             data = [squeeze.compress(t.encode()) for t in block.column("text").to_pylist()]
             columns = [*(block.column(c) for c in ("doc_id", "content")), pa.array(data, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "content", "packed"])
@@ -332,7 +333,7 @@ def repeated_spans(rows: DataFrame, window: int) -> DataFrame:
     keep = spark.sparkContext.broadcast(repeated_anchors(rows, window))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, "text"):
+        for block in blocks(batches, "text", BLOCK_BYTES):
             yield segment_rows(block, window, keep.value)
 
     found = materialize(rows.select("content", "text").mapInArrow(find, FOUND), "segments")
