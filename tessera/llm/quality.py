@@ -2,7 +2,10 @@
 
 A text that passes the base rules is measured by a public vocabulary: characters
 per token, share of tokens that are bytes because no piece fits, and entropy of
-the tokens in bits. It is rejected outside the band of its main script.
+the tokens in bits. It is rejected outside the wide limits of its main script, and
+outside the fences of its own kind: texts of one language label, main script and
+size, as powers of two of tokens, since entropy grows with the length. The fences
+are Tukey's, from the quartiles of all distinct texts of a kind that pass so far.
 """
 
 from __future__ import annotations
@@ -12,12 +15,14 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tessera.llm.blocks import texts_of
 from tessera.llm.pieces import PieceModel, encoded_blocks
 from tessera.llm.scripts import main_script, script_table
+from tessera.workspace import materialize
 
 SYMBOLS = "#*$%&|<>"
 WHITE = " \t\n\v\f\r"
@@ -42,6 +47,14 @@ BANDS = {
 }
 OTHER = Band((0.2, 12.0), 1.0, 3.0)
 
+# Quartile distances that a text may lie below or above the middle half of its kind: Tukey's
+# inner fence on the side of noise, the outer one on the other. A quartile distance counts as
+# a share of the median at least, lest near copies narrow their kind to themselves.
+BELOW, ABOVE = 1.5, 3.0
+LEAST_SPREAD = 0.02
+DIGITS = 3  # measures are rounded to so many for the quartiles
+KIND = ["__lang", "__script", "__size"]
+
 MEASURED = pa.schema(
     [
         ("doc_id", pa.int64()),
@@ -132,10 +145,58 @@ def measured(
                 and spelled <= band.byte_share
                 and entropy >= band.entropy
             )
-            out.append((*counts, failed, not failed and fits, script, chars, spelled, entropy))
+            passed = not failed and fits
+            size = (b - a).bit_length()
+            out.append((*counts, failed, passed, script, chars, spelled, entropy, size))
         yield block, out
 
 
+def fences(passed: DataFrame) -> DataFrame:
+    """For each kind the least and most characters per token, and the least entropy.
+
+    ``passed`` has the kind, ``__content``, ``__chars`` and ``__entropy`` of all texts
+    that pass the base rules and the limits of their script. Equal texts count once.
+    Where noise is over a quarter of a kind, it widens the fences of that kind.
+    """
+    once = passed.dropDuplicates([*KIND, "__content"])
+    values = F.explode(
+        F.create_map(F.lit("chars"), F.col("__chars"), F.lit("entropy"), F.col("__entropy"))
+    )
+    counted = (
+        once.select(*KIND, values.alias("name", "value"))
+        .groupBy(*KIND, "name", F.round("value", DIGITS).alias("value"))
+        .agg(F.count("*").alias("n"))
+    )
+    quartile = F.percentile("value", F.array(*map(F.lit, (0.25, 0.5, 0.75))), F.col("n"))
+    found = counted.groupBy(*KIND, "name").agg(quartile.alias("q"))
+    q = F.col("q")
+    spread = F.greatest(q[2] - q[0], LEAST_SPREAD * q[1])
+
+    def of(name: str, value: Column) -> Column:
+        return F.max(F.when(F.col("name") == name, value))
+
+    return materialize(
+        found.groupBy(*KIND).agg(
+            of("chars", q[0] - BELOW * spread).alias("__least_chars"),
+            of("chars", q[2] + ABOVE * spread).alias("__most_chars"),
+            of("entropy", q[0] - BELOW * spread).alias("__least_entropy"),
+        ),
+        "quality-fences",
+    )
+
+
+INSIDE = "__chars BETWEEN __least_chars AND __most_chars AND __entropy >= __least_entropy"
+
+
+def kind_of(docs: DataFrame, text_col: str) -> list[Column]:
+    """``__lang`` and ``__content``; without a column ``lang``, or where it is null, an empty label."""
+    lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
+    return [
+        F.coalesce(lang, F.lit("")).alias("__lang"),
+        F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("__content"),
+    ]
+
+
 def quality(
     docs: DataFrame,
     model_path: str,
@@ -147,16 +208,41 @@ def quality(
     """Counts, measures and verdict of every whole text, one row per input row.
 
     A null or empty text has no words, measures zero and is not kept. Null ids
-    and repeated rows stay as they are; other columns are not read.
+    and repeated rows stay as they are; other columns than ``lang`` are not read.
     """
+    schema = pa.schema(
+        [*MEASURED, ("__size", pa.int32()), ("__lang", pa.string()), ("__content", pa.int64())]
+    )
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, rows in measured(batches, model_path, bands, other):
-            columns = [pa.array(c, f.type) for c, f in zip(zip(*rows), list(MEASURED)[1:])]
-            yield pa.RecordBatch.from_arrays([block.column("doc_id"), *columns], schema=MEASURED)
+            columns = [pa.array(c, f.type) for c, f in zip(zip(*rows), list(schema)[1:])]
+            yield pa.RecordBatch.from_arrays(
+                [block.column("doc_id"), *columns, block.column("__lang"), block.column("__content")],
+                schema=schema,
+            )
 
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(measure, MEASURED_DDL)
+    rows = docs.select(
+        F.col(id_col).cast("bigint").alias("doc_id"),
+        F.col(text_col).alias("text"),
+        *kind_of(docs, text_col),
+    )
+    ddl = f"{MEASURED_DDL}, __size int, __lang string, __content bigint"
+    found = materialize(
+        rows.mapInArrow(measure, ddl).withColumns(
+            {
+                "__script": F.col("script"),
+                "__chars": F.col("chars_per_token"),
+                "__entropy": F.col("token_entropy"),
+            }
+        ),
+        "quality-measures",
+    )
+    return (
+        found.join(fences(found.where("kept")), KIND, "left")
+        .withColumn("kept", F.col("kept") & F.coalesce(F.expr(INSIDE), F.lit(False)))
+        .select(*MEASURED.names)
+    )
 
 
 def keep_quality(
@@ -165,10 +251,25 @@ def keep_quality(
     bands: dict[str, Band] = BANDS,
     other: Band = OTHER,
 ) -> DataFrame:
-    """The rows of ``docs`` whose ``text`` is kept, with all their columns."""
+    """The rows of ``docs`` whose ``text`` is kept, with all their columns.
+
+    Rows that pass the base rules and the limits of their script are written once,
+    measured, so that no text is encoded twice or shuffled.
+    """
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, rows in measured(batches, model_path, bands, other):
-            yield block.filter(pa.array([row[6] for row in rows], pa.bool_()))
+            # script, characters per token, entropy, size
+            kinds = [
+                pa.array([row[k] for row in rows], kind)
+                for k, kind in ((7, pa.string()), (8, pa.float64()), (10, pa.float64()), (11, pa.int32()))
+            ]
+            names = [*block.schema.names, "__script", "__chars", "__entropy", "__size"]
+            whole = pa.RecordBatch.from_arrays([*block.columns, *kinds], names=names)
+            yield whole.filter(pa.array([row[6] for row in rows], pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    rows = docs.select("*", *kind_of(docs, "text"))
+    added = StructType.fromDDL("__script string, __chars double, __entropy double, __size int")
+    schema = StructType([*rows.schema, *added])
+    found = materialize(rows.mapInArrow(passing, schema), "quality-passing")
+    return found.join(fences(found), KIND).where(INSIDE).select(*docs.columns)
