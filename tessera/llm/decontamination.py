@@ -91,7 +91,7 @@ def candidate_windows(lengths: list[int]) -> Column:
     ]
     return F.expr(
         f"transform(concat({', '.join(found)}), w -> struct(w.at AS at, w.n AS n, "
-        "array_join(slice(plain, w.at + 1, w.n), ' ') AS window))"
+        "array_join(slice(ws, w.at + 1, w.n), ' ') AS window))"
     )
 
 
@@ -125,15 +125,14 @@ def judged_rows(
     )
     short = items.where(f"size(ws) > 0 AND size(ws) < {WINDOW}").select(F.size("ws").alias("n"))
     lengths = sorted(row["n"] for row in short.distinct().collect())  # nine at most
-    folded = items.select(F.expr("transform(ws, w -> lower(w))").alias("ws"))
     whole = "xxhash64(size(ws), {})".format
-    item_prints = fingerprints(folded.where(f"size(ws) >= {WINDOW}"), []).select(
+    item_prints = fingerprints(items.where(f"size(ws) >= {WINDOW}"), []).select(
         F.explode("prints").alias("print")
     )
     for n in lengths:
         parts = ", ".join(f"ws[{k}]" for k in range(n))
         item_prints = item_prints.union(
-            folded.where(f"size(ws) = {n}").select(F.expr(whole(parts)).alias("print"))
+            items.where(f"size(ws) = {n}").select(F.expr(whole(parts)).alias("print"))
         )
     mark = items.sparkSession.range(1).select(F.lit(MARK).cast("bigint").alias("print"))
     item_prints = materialize(item_prints.union(mark).distinct(), "benchmark-prints")
@@ -142,9 +141,8 @@ def judged_rows(
     rows = docs.select(
         F.col(id_col).alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("content")
     )
-    # Lower case beyond A-Z may only add candidates; word borders are the same.
     printed = fingerprints(
-        rows.select("doc_id", "content", words(F.lower("text")).alias("ws")), lengths
+        rows.select("doc_id", "content", words(lower_ascii(F.col("text"))).alias("ws")), lengths
     )
     met = materialize(
         printed.select(
@@ -167,13 +165,7 @@ def judged_rows(
             matched,
             (F.col("content") == F.col("m_content")) & F.col("doc_id").eqNullSafe(F.col("m_doc_id")),
         )
-        .select(
-            "doc_id",
-            "content",
-            "matched",
-            words(F.lower("text")).alias("ws"),
-            words(lower_ascii(F.col("text"))).alias("plain"),
-        )
+        .select("doc_id", "content", "matched", words(lower_ascii(F.col("text"))).alias("ws"))
         .withColumns(
             {"grams": F.expr(runs("ws", RUN)), **{f"runs{n}": F.expr(runs("ws", n)) for n in lengths}}
         )

@@ -66,3 +66,24 @@ def test_empty_tables(small):
     items = small(ITEMS, "item_id bigint, text string")
     assert decontaminate(docs.limit(0), items).count() == 0
     assert decontaminate(docs, items.limit(0)).where("contaminated").count() == 0
+
+
+GREEK_ITEMS = [
+    (1, "Η ΕΤΑΙΡΕΙΑ Α.Σ. ΤΗΣ ΑΘΗΝΑΣ ΚΑΙ Ο ΛΟΓΟΣ.ΚΑΙ ΤΟΥΣ'ΑΛΛΟΥΣ:ΟΛΟΥΣ ΜΑΖΙ"),
+    (2, "Ο ΛΟΓΟΣ.ΚΑΙ"),
+    (3, "Α.Σ. ΤΗΣ"),
+]
+GREEK_DOCS = [
+    (1, "xx " + GREEK_ITEMS[0][1] + " yy"),
+    (2, "ο λογος και " + GREEK_ITEMS[1][1]),
+    (3, "Ο ΛΟΓΟΣ ΚΑΙ"),
+    (4, "xx Α Σ ΤΗΣ yy"),
+    (5, GREEK_ITEMS[0][1].lower()),
+]
+
+
+def test_capital_sigma_before_a_word_border(small):
+    docs = small(GREEK_DOCS, "doc_id bigint, text string")
+    items = small(GREEK_ITEMS, "item_id bigint, text string")
+    got = [tuple(r) for r in decontaminate(docs, items).collect()]
+    assert sorted(got) == sorted(expected(*d, GREEK_ITEMS) for d in GREEK_DOCS)
