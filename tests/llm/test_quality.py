@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.llm.quality import keep_quality, quality
+from tessera.workspace import materialize
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
 SF_DIR = "/root/testdata/sf0.01"
@@ -13,7 +14,7 @@ SF_DIR = "/root/testdata/sf0.01"
 @pytest.fixture(scope="module")
 def judged(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
-    return docs, quality(docs, PATH).localCheckpoint()
+    return docs, materialize(quality(docs, PATH), "judged")
 
 
 def test_labelled_junk_goes_and_clean_texts_stay(spark, judged):
