@@ -16,7 +16,10 @@ from tessera.llm.pieces import encode_decode
 from tessera.llm.quality import quality
 from tessera.llm.registry import query, table
 from tessera.llm.repeats import remove_repeats
+from tessera.llm.spelling import spelling_variants
+from tessera.llm.topk import top_k
 from tessera.llm.urls import judge_urls, labelled_urls
+from tessera.llm.whitening import whiten
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -146,3 +149,97 @@ def op3_line_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.size("removed"), F.lit(0)).cast("bigint").alias("n_removed"),
         "removed",
     )
+
+
+@query(
+    r"""
+    WITH RECURSIVE entries AS (
+        SELECT list(list_reduce(list_prepend(i, range(8)),
+               lambda c, _: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+        FROM range(256) r(i)
+    ), runs AS (
+        SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+               unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS run
+        FROM documents
+    ), coded AS (
+        SELECT run, hex(encode(id || ':' || run)) AS h FROM runs WHERE length(run) >= 7
+    ), digests AS (
+        SELECT run, xor(list_reduce(list_prepend(4294967295::BIGINT,
+                   list_transform(range(1, length(h), 2), lambda k: CAST('0x' || h[k:k + 1] AS BIGINT))),
+               lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS d
+        FROM coded, entries
+    ), words AS (
+        SELECT CASE WHEN d % 31 = 0 THEN run[:d % length(run)] || run[d % length(run) + 2:]
+                    ELSE run END AS word
+        FROM digests
+    ), counted AS (
+        SELECT word, count(*) AS n FROM words WHERE length(word) >= 7 GROUP BY word HAVING count(*) >= 2
+    ), cuts AS (
+        SELECT word, n, unnest(range(1, length(word) + 1)) AS p FROM counted
+    ), holes AS (
+        SELECT word, n, p, word[:p - 1] || word[p + 1:] AS rest FROM cuts
+    ), replaced AS (
+        SELECT a.word, b.word AS near, b.n AS near_n
+        FROM holes a JOIN holes b ON a.rest = b.rest AND a.p = b.p AND a.word <> b.word
+    ), shorter AS (
+        SELECT DISTINCT h.word, h.n, c.word AS near, c.n AS near_n
+        FROM holes h JOIN counted c ON h.rest = c.word
+    ), links AS (
+        SELECT word, near, near_n FROM replaced
+        UNION SELECT word, near, near_n FROM shorter
+        UNION SELECT near, word, n FROM shorter
+    ), best AS (
+        SELECT word, count(*) AS n_near, max(near_n) AS most FROM links GROUP BY word
+    ), top AS (
+        SELECT links.word, min(near) AS near
+        FROM links JOIN best ON links.word = best.word AND near_n = most GROUP BY links.word
+    ), judged AS (
+        SELECT c.word, CASE WHEN most >= 10 * n THEN near END AS form, n,
+               coalesce(n_near, 0) AS n_near, CASE WHEN most >= 10 * n THEN most END AS form_n
+        FROM counted c LEFT JOIN best ON c.word = best.word LEFT JOIN top ON c.word = top.word
+    ), chains AS (
+        SELECT word, word AS root FROM judged
+        UNION ALL
+        SELECT chains.word, form FROM chains JOIN judged ON judged.word = root WHERE form IS NOT NULL
+    ), ends AS (
+        SELECT chains.word, root FROM chains JOIN judged ON judged.word = root WHERE form IS NULL
+    )
+    SELECT judged.word, form, root, n, n_near, form_n FROM judged JOIN ends ON judged.word = ends.word
+    """
+)
+def op11_letter_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+@query(
+    """
+    WITH scaled AS (
+        SELECT row_number() OVER () AS r, vec_id,
+               list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * 256)) AS w
+        FROM embeddings
+        WHERE embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), terms AS (
+        SELECT r, vec_id, unnest(w) AS weight, unnest(range(len(w))) AS term FROM scaled
+    ), products AS (
+        SELECT q.r, c.r AS other, sum(CAST(q.weight * c.weight AS HUGEINT)) AS score
+        FROM terms q JOIN terms c ON q.term = c.term WHERE q.vec_id % 50 = 0 GROUP BY q.r, c.r
+    ), scored AS (
+        SELECT q.vec_id AS query_id, c.vec_id,
+               CAST(coalesce(score, 0) AS BIGINT) AS score,
+               row_number() OVER (PARTITION BY q.r
+                   ORDER BY coalesce(score, 0) DESC, c.vec_id NULLS LAST, c.r) AS rank
+        FROM scaled q JOIN scaled c ON q.vec_id % 50 = 0 AND q.r <> c.r
+        LEFT JOIN products p ON p.r = q.r AND p.other = c.r
+    )
+    SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM scored WHERE rank <= 5
+    """
+)
+def op12_term_at_a_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op13_chebyshev_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
