@@ -1,296 +1,432 @@
 """Exact nearest rows by one or more features.
 
-One numeric feature: donors are numbered along it and looked up by number. Several:
-the distinct donor vectors are cut into cells of bounded size, and a row is compared
-with those cells that can hold one of its k nearest. Categories: rows are matched on
-every subset of the features. Equal distances always go by the donor's key.
-
-``donors`` has ``x, donor, y``: the k donors of lowest key for each distinct ``x``, which
-is all that is needed however many share it. ``asked`` has distinct ``x``.
+One numeric feature: donors are numbered along it and looked up by number. Several: donors
+are keyed by a near pivot and their distance to it; by the triangle inequality a row needs
+only those within its k-th distance of its own distance to the pivot, which shrinks from
+round to round. Categories: the features are cut into one group more than may differ, so
+that one group agrees, and rows are looked up by group. Equal distances always go by the
+donor's key.
+
+``donors`` has ``grp, x, donor, y``: the k donors of lowest key for each distinct ``grp, x``,
+which is all that is needed however many share it. ``asked`` has distinct ``grp, x``. Rows
+meet donors of their own ``grp`` only; where there is no such column all are of one.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-from itertools import combinations
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.workspace import materialize
 
-# Bounds on what the driver and each task hold: cells in all, donor vectors sampled
-# per cell to place the cuts, and rows or donor vectors of a cell met by one task.
-MAX_CELLS = 32_768
-SAMPLED_PER_CELL = 8
+# Rows or donor vectors of a look-up that one task meets, donor vectors of a ring around a
+# pivot, cells that a round adds to a row's (after them all that may hold a nearer donor),
+# and bytes of a block of differences.
 PER_TASK = 20_000
+RING_ROWS = 512
+FANS = (16, 128, None)
+BLOCK_BYTES = 16 << 20
 
+#: Of blocks of asked and held vectors to a matrix of gaps.
+Measure = Callable[[np.ndarray, np.ndarray], np.ndarray]
 
-def nearest_by_distance(
-    donors: DataFrame,
-    asked: DataFrame,
-    k: int,
-    power: float = 2.0,
-    cell_rows: int = 5_000,
-    per_task: int = PER_TASK,
-) -> DataFrame:
-    """``x, donor, y``: for each vector ``asked.x`` its k nearest donors.
 
-    Distances are compared by the sum of ``abs(difference) ** power``, which orders them
-    as the Minkowski distance of that power does.
-    """
-    packed = donors.groupBy("x").agg(F.collect_list(F.struct("donor", "y")).alias("donors"))
-    packed = materialize(packed, "knn-donors")
-    total = packed.count()
-    if total == 0:
-        return donors
-    asked = materialize(asked, "knn-asked")
-    cuts = _cuts(packed, total, cell_rows)
-    celled = materialize(packed.withColumn("cell", _cell_of(cuts)("x")), "knn-cells")
-    boxes = _boxes(celled)
-
-    # First the cells closest to each row that hold k donors between them; the k-th
-    # distance found there bounds which other cells can matter.
-    home = asked.select("x", F.explode(_cells_at(boxes, k, power)("x")).alias("cell"))
-    first = materialize(
-        _lowest(_look_up(celled, home, donors, k, power, per_task), k), "knn-first"
-    )
-    reach = first.groupBy("x").agg(
-        F.when(F.count("*") >= k, F.max("gap")).otherwise(float("inf")).alias("reach")
-    )
-    bounded = asked.join(reach, "x")
-    others = _cells_within(boxes, k, power)("x", "reach")
-    rest = bounded.select("x", F.explode(others).alias("cell"))
-    second = _look_up(celled, rest, donors, k, power, per_task)
-    return _lowest(first.unionByName(second), k).select("x", "donor", "y")
+def _grouped(rows: DataFrame) -> DataFrame:
+    return rows if "grp" in rows.columns else rows.withColumn("grp", F.lit(0).cast("long"))
+
+
+def _packed(donors: DataFrame) -> DataFrame:
+    """One row for each donor vector."""
+    return donors.groupBy("grp", "x").agg(F.collect_list(F.struct("donor", "y")).alias("donors"))
 
 
 def _lowest(found: DataFrame, k: int) -> DataFrame:
-    order = Window.partitionBy("x").orderBy("gap", "donor")
+    order = Window.partitionBy("grp", "x").orderBy("gap", "donor")
     return found.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= k).drop("nth")
 
 
-def _cuts(packed: DataFrame, total: int, cell_rows: int) -> tuple[np.ndarray, ...]:
-    """A tree of axis cuts that splits a bounded sample of the vectors evenly.
+def _powers(power: float) -> Measure:
+    """Sums of ``abs(difference) ** power``, which order as the Minkowski distance does."""
 
-    The sample only places the cuts, as for range partitioning; it has no bearing on
-    results. A node is ``axis, value, left, right``; a leaf has axis -1 and its cell.
-    """
-    cells = min(MAX_CELLS, -(-total // cell_rows))
-    wanted = cells * SAMPLED_PER_CELL
-    sample = packed.select("x")
-    if total > wanted:
-        sample = sample.sample(min(1.0, 1.2 * wanted / total), seed=42).limit(wanted)
-    rows = [row.x for row in sample.collect()] if cells > 1 else []
-    nodes: list[list[float]] = []
-
-    def grow(points: np.ndarray, leaves: int) -> int:
-        here = len(nodes)
-        nodes.append([-1, 0.0, 0, 0])
-        spread = np.ptp(points, axis=0) if leaves > 1 and len(points) > 1 else np.zeros(1)
-        if not spread.max() > 0:
-            return here
-        axis = int(spread.argmax())
-        values = np.unique(points[:, axis])
-        middle = np.searchsorted(values, np.median(points[:, axis]), side="right") - 1
-        value = values[min(middle, len(values) - 2)]
-        below = points[:, axis] <= value
-        left = grow(points[below], leaves // 2)
-        right = grow(points[~below], leaves - leaves // 2)
-        nodes[here] = [axis, value, left, right]
-        return here
-
-    grow(np.array(rows or [[0.0]], dtype=float), cells)
-    axis, value, left, right = np.array(nodes, dtype=float).T
-    return axis.astype(int), value, left.astype(int), right.astype(int)
-
-
-def _cell_of(cuts: tuple[np.ndarray, ...]):
-    """UDF: number of the cell a vector lies in."""
-    axis, value, left, right = cuts
-
-    @F.pandas_udf("int")
-    def cell(x: pd.Series) -> pd.Series:
-        points = np.stack(x.to_numpy())
-        node = np.zeros(len(points), dtype=int)
-        while (inner := axis[node] >= 0).any():
-            at = node[inner]
-            below = points[inner, axis[at]] <= value[at]
-            node[inner] = np.where(below, left[at], right[at])
-        return pd.Series(node.astype(np.int32))
-
-    return cell
-
-
-def _boxes(celled: DataFrame) -> tuple[np.ndarray, ...]:
-    """Cell numbers, donors in each, and lowest and highest corner; one row per cell."""
-    corners = celled.select(
-        "cell", F.size("donors").alias("n"), F.posexplode("x").alias("axis", "value")
-    )
-    sides = (
-        corners.groupBy("cell", "axis")
-        .agg(F.min("value").alias("low"), F.max("value").alias("high"), F.sum("n").alias("n"))
-        .orderBy("cell", "axis")
-        .toPandas()
-    )
-    width = sides["axis"].max() + 1
-    firsts = sides.iloc[::width]
-    return (
-        firsts["cell"].to_numpy(),
-        firsts["n"].to_numpy(),
-        sides["low"].to_numpy().reshape(-1, width),
-        sides["high"].to_numpy().reshape(-1, width),
-    )
+    def gaps(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        apart = np.abs(a[:, None, :] - b[None])
+        if power == int(power):
+            raised = apart
+            for _ in range(int(power) - 1):
+                raised = raised * apart
+            return raised.sum(axis=2)
+        return (apart**power).sum(axis=2)
 
+    return gaps
 
-def _gap_to_boxes(point: np.ndarray, low: np.ndarray, high: np.ndarray, power: float):
-    return (np.maximum(np.maximum(low - point, point - high), 0.0) ** power).sum(axis=1)
 
+def _blocks(rows: int, others: int, width: int) -> Iterator[slice]:
+    """Slices of ``rows`` whose differences from ``others`` fill a block at most, or one row."""
+    step = max(1, BLOCK_BYTES // (8 * max(1, others * width)))
+    return (slice(at, at + step) for at in range(0, rows, step))
 
-def _closest(gaps: np.ndarray, held: np.ndarray, k: int) -> np.ndarray:
-    """Positions of the closest boxes that hold k donors together, or of all boxes."""
-    order = np.argsort(gaps, kind="stable")
-    enough = np.searchsorted(np.cumsum(held[order]), k) + 1
-    return order[:enough]
 
+class Pivots:
+    """Some donor vectors of each group; their places number the cells."""
 
-def _cells_at(boxes: tuple[np.ndarray, ...], k: int, power: float):
-    """UDF: the cells to look into first."""
-    cells, held, low, high = boxes
+    def __init__(self, groups: np.ndarray, points: np.ndarray, power: float):
+        order = np.argsort(groups, kind="stable")
+        self.points, groups = points[order], groups[order]
+        names, firsts = np.unique(groups, return_index=True)
+        ends = [*firsts[1:].tolist(), len(groups)]
+        self.spans = dict(zip(names.tolist(), zip(firsts.tolist(), ends)))
+        self.gaps = _powers(power)
+        # Below a power of 1 the sum itself obeys the triangle inequality.
+        self.root = 1 / power if power >= 1 else 1.0
 
-    @F.pandas_udf("array<int>")
-    def at(x: pd.Series) -> pd.Series:
-        gaps = (_gap_to_boxes(point, low, high, power) for point in x)
-        return pd.Series([cells[_closest(gap, held, k)] for gap in gaps])
+    def distances(self, group: int, points: np.ndarray) -> Iterator[tuple[slice, int, np.ndarray]]:
+        """Blocks of rows, the first cell of the group, and distances to its pivots."""
+        first, end = self.spans.get(group, (0, 0))
+        held = self.points[first:end]
+        for part in _blocks(len(points), end - first, points.shape[1]):
+            yield part, first, self.gaps(points[part], held) ** self.root
 
-    return at
 
+def _by_group(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Of ``grp, x``: each group, its rows and their vectors."""
+    groups = batch.column("grp").to_numpy()
+    x = batch.column("x")
+    points = x.flatten().to_numpy(zero_copy_only=False).reshape(len(batch), -1)
+    for group in np.unique(groups):
+        rows = np.flatnonzero(groups == group)
+        yield int(group), rows, points[rows]
 
-def _cells_within(boxes: tuple[np.ndarray, ...], k: int, power: float):
-    """UDF: the other cells with a corner, side or inside as close as ``reach``."""
-    cells, held, low, high = boxes
 
-    @F.pandas_udf("array<int>")
-    def within(x: pd.Series, reach: pd.Series) -> pd.Series:
-        found = []
-        for point, bound in zip(x, reach):
-            gap = _gap_to_boxes(point, low, high, power)
-            near = gap <= bound * (1 + 1e-9)
-            near[_closest(gap, held, k)] = False
-            found.append(cells[near])
-        return pd.Series(found)
+def _pivots(packed: DataFrame, power: float) -> Pivots | None:
+    """About the square root of each group's vectors, drawn by a hash over all of them.
 
-    return within
+    They are sent to the tasks: 8 bytes a feature for the square root of the donors, 8 MB
+    for a million million donors of one feature. They have no bearing on results.
+    """
+    place = F.abs(F.xxhash64("grp", "x") / 2.0**63)
+    totals = packed.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("least")).collect()
+    if not totals:
+        return None
+    upto = [F.lit(v) for r in totals for v in (r.grp, max(r.least, 1 / math.sqrt(r.n)))]
+    drawn = packed.where(place <= F.create_map(*upto)[F.col("grp")]).select("grp", "x").toArrow()
+    points = drawn.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    return Pivots(drawn.column("grp").to_numpy(), points.reshape(len(drawn), -1), power)
+
+
+def _with_cells(packed: DataFrame, pivots: Pivots) -> DataFrame:
+    """Adds ``cell``, the number of the nearest pivot, and ``far``, the distance to it."""
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cell, far = np.zeros(len(batch), np.int64), np.zeros(len(batch))
+            for group, rows, points in _by_group(batch):
+                for part, first, away in pivots.distances(group, points):
+                    nearest = away.argmin(axis=1)
+                    cell[rows[part]] = first + nearest
+                    far[rows[part]] = away[np.arange(len(nearest)), nearest]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(cell), pa.array(far)],
+                names=[*batch.schema.names, "cell", "far"],
+            )
 
+    schema = packed.select("*", F.lit(0).cast("long").alias("cell"), F.lit(0.0).alias("far")).schema
+    return packed.mapInArrow(place, schema)
 
-def _look_up(
-    celled: DataFrame,
-    visits: DataFrame,
-    donors: DataFrame,
-    k: int,
-    power: float,
-    per_task: int,
+
+def _visits(
+    open_: DataFrame, pivots: Pivots, cells: pd.DataFrame, k: int, before: int | None, fan: int | None
 ) -> DataFrame:
-    """``x, gap, donor, y``: donors of each visited cell, with its k nearest among them.
+    """``grp, x, reach, more, cell, far``: the cells that a row looks into in this round.
 
-    A cell that many rows visit, or that holds many vectors, is looked up by several
-    tasks: its rows and its vectors are dealt out, and every share of the rows meets
-    every share of the vectors.
+    Cells come in the order of what a donor there must at least be away. The first round
+    (``before`` is None) takes as many as hold k donors together; the next one goes on behind them
+    and the ``before`` cells of earlier rounds with ``fan`` cells, or all, within ``reach``.
+    ``more`` says that others are within it.
     """
-    visits = materialize(visits, "knn-visits")
+    count = len(pivots.points)
+    held, low, high = np.zeros(count, np.int64), np.full(count, np.inf), np.zeros(count)
+    at = cells["cell"].to_numpy()
+    held[at], low[at], high[at] = cells["n"], cells["low"], cells["high"]
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            reach = batch.column("reach").to_numpy(zero_copy_only=False)
+            found = []
+            for group, rows, points in _by_group(batch):
+                for part, first, away in pivots.distances(group, points):
+                    here = slice(first, first + away.shape[1])
+                    # From the ring around the pivot, and as no other pivot is nearer to a donor.
+                    nearest = away.min(axis=1, keepdims=True)
+                    least = np.maximum(np.maximum(away - high[here], low[here] - away), (away - nearest) / 2)
+                    for row, distances, bounds in zip(rows[part].tolist(), away, least):
+                        order = np.lexsort((distances, bounds))
+                        home = int(np.searchsorted(np.cumsum(held[here][order]), k)) + 1
+                        if before is None:
+                            found.append((row, order[:home] + first, distances[order[:home]], True))
+                            continue
+                        upto = reach[row] ** pivots.root * (1 + 1e-9)
+                        last = int(np.searchsorted(bounds[order], upto + 1e-12 * distances.max(), "right"))
+                        end = last if fan is None else min(last, home + before + fan)
+                        order = order[home + before : end]
+                        if len(order):
+                            found.append((row, order + first, distances[order], end < last))
+            if found:
+                rows = np.repeat([f[0] for f in found], [len(f[1]) for f in found])
+                more = np.repeat([f[3] for f in found], [len(f[1]) for f in found])
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(c).take(pa.array(rows)) for c in ("grp", "x", "reach")),
+                     pa.array(more), pa.array(np.concatenate([f[1] for f in found])),
+                     pa.array(np.concatenate([f[2] for f in found]))],
+                    names=["grp", "x", "reach", "more", "cell", "far"],
+                )
+
+    return open_.select("grp", "x", "reach").mapInArrow(
+        look, "grp long, x array<double>, reach double, more boolean, cell long, far double"
+    )
 
-    def shares(rows: DataFrame, name: str) -> DataFrame:
-        needed = F.ceil(F.count("*") / F.lit(per_task)).cast("int")
-        return rows.groupBy("cell").agg(needed.alias(name))
 
-    split = materialize(
-        shares(visits, "row_shares").join(shares(celled, "vector_shares"), "cell"), "knn-shares"
+def nearest_by_distance(
+    donors: DataFrame,
+    asked: DataFrame,
+    k: int,
+    power: float = 2.0,
+    ring_rows: int = RING_ROWS,
+    per_task: int = PER_TASK,
+    tally: list[tuple[int, int]] | None = None,
+) -> DataFrame:
+    """``grp, x, gap, donor, y``: for each vector ``asked.x`` its k nearest donors.
+
+    ``gap`` is the sum of ``abs(difference) ** power``. ``tally`` gets for each round the
+    number of rows that still looked for donors and of vectors they were compared with.
+    """
+    donors, asked = _grouped(donors), _grouped(asked)
+    packed = materialize(_packed(donors), "knn-donors")
+    nothing = packed.select("grp", "x", F.lit(0.0).alias("gap"), F.inline("donors")).limit(0)
+    pivots = _pivots(packed, power)
+    if pivots is None:
+        return nothing
+    along = Window.partitionBy("cell").orderBy("far")
+    ring = F.floor((F.row_number().over(along) - 1) / ring_rows).cast("long")
+    celled = materialize(_with_cells(packed, pivots).withColumn("part", ring), "knn-cells")
+    rings = materialize(
+        celled.groupBy("cell", "part").agg(
+            F.min("far").alias("low"),
+            F.max("far").alias("high"),
+            F.sum(F.size("donors")).alias("n"),
+            F.count(F.lit(1)).alias("vectors"),
+        ),
+        "knn-rings",
     )
+    cells = rings.groupBy("cell").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n")).toPandas()
+
+    open_ = asked.select("grp", "x", F.lit(float("inf")).alias("reach"))
+    best, before = None, None
+    for fan in (0, *FANS):
+        visits = _visits(open_, pivots, cells, k, before, fan).join(rings, "cell")
+        upto = F.pow(F.col("reach"), F.lit(pivots.root)) * (1 + 1e-9) + 1e-12 * F.col("far")
+        within = (F.col("low") <= F.col("far") + upto) & (F.col("high") >= F.col("far") - upto)
+        names = ["grp", "x", "reach", "more", "cell", "part", "vectors"]
+        visits = materialize(visits.where(within).select(*names), "knn-visits")
+        met, compared = visits.agg(F.count(F.lit(1)), F.coalesce(F.sum("vectors"), F.lit(0))).first()
+        if tally is not None:
+            tally.append((visits.select("grp", "x").distinct().count(), compared))
+        if met == 0:
+            break
+        found = _look_up(celled, visits, donors, k, _powers(power), per_task, met, ring_rows)
+        best = materialize(_lowest(found if best is None else best.unionByName(found), k), "knn-best")
+        if fan is None or visits.where("more").isEmpty():
+            break
+        # Rows whose k-th distance reaches into cells not seen yet go on.
+        reach = best.groupBy("grp", "x").agg(
+            F.when(F.count(F.lit(1)) >= k, F.max("gap")).otherwise(float("inf")).alias("reach")
+        )
+        onward = visits.where("more").select("grp", "x").distinct()
+        open_ = reach if before is None else reach.join(onward, ["grp", "x"], "left_semi")
+        before = fan if before is None else before + fan
+    return nothing if best is None else best
 
-    def own(name: str) -> Column:
-        return F.pmod(F.xxhash64("x"), F.col(name)).cast("int")
 
-    def each(name: str) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.col(name) - 1))
+def _look_up(
+    celled: DataFrame,
+    visits: DataFrame,
+    donors: DataFrame,
+    k: int,
+    measure: Measure,
+    per_task: int,
+    n_visits: int,
+    n_vectors: int,
+) -> DataFrame:
+    """``grp, x, gap, donor, y``: of each visited ``cell, part`` the k nearest donors in reach.
 
+    One that many rows visit, or that holds many vectors, is looked up by several tasks:
+    its rows and its vectors are dealt out, and every share of the rows meets every share
+    of the vectors. With no more than ``n_visits`` and ``n_vectors`` in any, none may need that.
+    """
+    at = ["cell", "part"]
+    session = visits.sparkSession
+    tasks = max(int(session.conf.get("spark.sql.shuffle.partitions")), session.sparkContext.defaultParallelism)
+    if max(n_visits, n_vectors) <= per_task:
+        one = F.lit(0).alias("row_share"), F.lit(0).alias("vector_share")
+        dealt = visits.select("grp", "x", "reach", *at, *one)
+        copied = celled.select("x", "donors", *at, *one)
+    else:
+
+        def shares(rows: DataFrame, name: str) -> DataFrame:
+            needed = F.ceil(F.count(F.lit(1)) / F.lit(per_task)).cast("int")
+            return rows.groupBy("cell", "part").agg(needed.alias(name))
+
+        split = materialize(
+            shares(visits, "row_shares").join(shares(celled, "vector_shares"), at), "knn-shares"
+        )
+
+        def own(name: str) -> Column:
+            return F.pmod(F.xxhash64("x"), F.col(name)).cast("int")
+
+        def each(name: str) -> Column:
+            return F.explode(F.sequence(F.lit(0), F.col(name) - 1))
+
+        meetings = split.agg(F.sum(F.col("row_shares").cast("long") * F.col("vector_shares"))).first()[0] or 1
+        tasks = max(tasks, meetings // 64)
+        dealt = visits.join(split, at).select(
+            "grp", "x", "reach", *at, own("row_shares").alias("row_share"), each("vector_shares").alias("vector_share")
+        )
+        copied = celled.join(split, at).select(
+            "x", "donors", *at, own("vector_shares").alias("vector_share"), each("row_shares").alias("row_share")
+        )
     # A stated number of tasks: merged by size, as small shuffles are, the comparisons
     # would run on a few cores.
-    part = ["cell", "row_share", "vector_share"]
-    parts = split.agg(F.sum(F.col("row_shares") * F.col("vector_shares"))).first()[0] or 1
-    tasks = min(parts, 4 * visits.sparkSession.sparkContext.defaultParallelism)
-    dealt = visits.join(split, "cell").select(
-        "x", "cell", own("row_shares").alias("row_share"), each("vector_shares").alias("vector_share")
-    )
-    copied = celled.join(split, "cell").select(
-        "x",
-        "donors",
-        "cell",
-        own("vector_shares").alias("vector_share"),
-        each("row_shares").alias("row_share"),
-    )
-    key_type = donors.schema["donor"].dataType.simpleString()
+    key = [*at, "row_share", "vector_share"]
+    vector, donor = (f.dataType.simpleString() for f in (visits.schema["x"], donors.schema["donor"]))
+    names = ["grp", "x", "gap", "donor", "y"]
 
     def compare(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        if not len(asked) or not len(held):
+            return pd.DataFrame(columns=names)
+        a, b = _vectors(asked["x"], held["x"])
+        sizes = held["donors"].map(len).to_numpy()
+        firsts = np.cumsum(sizes) - sizes
+        flat = pd.DataFrame([(d["donor"], d["y"]) for ds in held["donors"] for d in ds], columns=["donor", "y"])
+        reach = asked["reach"].fillna(np.inf).to_numpy(float) * (1 + 1e-9)
         found = []
-        points = np.stack(held["x"].to_numpy()) if len(held) else None
-        for x in asked["x"] if points is not None else []:
-            gaps = (np.abs(points - x) ** power).sum(axis=1)
-            near = np.arange(len(gaps))
-            if len(gaps) > k:
-                near = np.flatnonzero(gaps <= np.partition(gaps, k - 1)[k - 1])
-            ranked = sorted(
-                (gaps[i], donor["donor"], donor["y"]) for i in near for donor in held["donors"].iat[i]
-            )
-            found += [(x, *one) for one in ranked[:k]]
-        return pd.DataFrame(found, columns=["x", "gap", "donor", "y"])
+        for part in _blocks(len(a), *b.shape):
+            gaps = measure(a[part], b)
+            upto = reach[part]
+            if len(b) > k:
+                upto = np.minimum(upto, np.partition(gaps, k - 1, axis=1)[:, k - 1])
+            i, j = np.nonzero(gaps <= upto[:, None])
+            one = pd.DataFrame({"row": np.repeat(i + part.start, sizes[j]), "gap": np.repeat(gaps[i, j], sizes[j])})
+            within = np.arange(len(one)) - np.repeat(np.cumsum(sizes[j]) - sizes[j], sizes[j])
+            one[["donor", "y"]] = flat.take(np.repeat(firsts[j], sizes[j]) + within).to_numpy(object)
+            found.append(one.sort_values(["row", "gap", "donor"]).groupby("row").head(k))
+        best = pd.concat(found)
+        here = asked[["grp", "x"]].take(best["row"].to_numpy()).reset_index(drop=True)
+        return pd.concat([here, best[["gap", "donor", "y"]].reset_index(drop=True)], axis=1)[names]
 
     return (
-        dealt.repartition(tasks, *part)
-        .groupBy(*part)
-        .cogroup(copied.repartition(tasks, *part).groupBy(*part))
-        .applyInPandas(compare, f"x array<double>, gap double, donor {key_type}, y double")
+        dealt.repartition(tasks, *key)
+        .groupBy(*key)
+        .cogroup(copied.repartition(tasks, *key).groupBy(*key))
+        .applyInPandas(compare, f"grp long, x {vector}, gap double, donor {donor}, y double")
     )
 
 
-def nearest_by_mismatch(donors: DataFrame, asked: DataFrame, k: int) -> DataFrame:
-    """``x, donor, y``: for each ``asked.x`` the k donors that differ in fewest fields.
+def _vectors(asked: pd.Series, held: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """Both as rows of numbers; texts become the places of the distinct ones."""
+    a, b = np.stack(asked.to_numpy()), np.stack(held.to_numpy())
+    if a.dtype != object:
+        return a, b
+    places = pd.factorize(np.concatenate([a.ravel(), b.ravel()]))[0]
+    return places[: a.size].reshape(a.shape), places[a.size :].reshape(b.shape)
+
+
+def _mismatches(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return (a[:, None, :] != b[None]).sum(axis=2).astype(float)
+
 
-    Here ``x`` is a struct of the features. Among the donors that agree with a row on
-    some features, only the k of lowest key can be among its k nearest: any other is
-    preceded by those. So every subset of the features gives k candidates per row,
-    found by an equi-join, and the empty subset gives the k lowest keys of all.
+def radii(features: int) -> list[int]:
+    """Numbers of differing features that the rounds reach: 0, 1, 3, ... up to two less than all."""
+    steps = [2**i - 1 for i in range(features.bit_length() + 1) if 2**i - 1 < features - 2]
+    return [*steps, *([features - 2] if features > 1 else [])]
+
+
+def nearest_by_mismatch(
+    donors: DataFrame, asked: DataFrame, k: int, per_task: int = PER_TASK, tally: list[int] | None = None
+) -> DataFrame:
+    """``grp, x, gap, donor, y``: for each ``asked.x`` the k donors that differ in fewest fields.
+
+    Here ``x`` is an array of texts. Of donors that differ in r features at most, one of
+    r + 1 groups of features agrees with the row as a whole: each round looks rows up by
+    the values of such groups, and rows with k donors in reach are done. Beyond all but
+    one feature, only the k donors of lowest key of each value matter, and the k lowest of
+    all: any other is preceded by those. ``tally`` gets the rows asked in each round.
     """
-    features = donors.schema["x"].dataType.names
-    donors, asked = materialize(donors, "knn-donors"), materialize(asked, "knn-asked")
-    whole = donors.orderBy("donor").limit(k).agg(
-        F.collect_list(F.struct(F.col("x").alias("held"), "donor", "y"))
-    )
-    found = [asked.select("x", F.inline(whole.scalar()))]
-    for size in range(1, len(features) + 1):
-        for chosen in combinations(features, size):
-            agreed = F.struct(*(F.col("x")[name] for name in chosen))
-            lowest = Window.partitionBy("agreed").orderBy("donor")
-            top = (
-                donors.select(agreed.alias("agreed"), F.col("x").alias("held"), "donor", "y")
-                .withColumn("nth", F.row_number().over(lowest))
-                .where(F.col("nth") <= k)
-                .drop("nth")
+    donors, asked = _grouped(donors), _grouped(asked)
+    packed = materialize(_packed(donors), "knn-donors")
+    open_ = materialize(asked.select("grp", "x"), "knn-asked")
+    vectors, n = packed.agg(F.count(F.lit(1)), F.max(F.size("x"))).first()
+    if not vectors:
+        return packed.select("grp", "x", F.lit(0.0).alias("gap"), F.inline("donors"))
+    asked_now = open_.count()
+    done, best = [], None
+    for radius in radii(n):
+        if tally is not None:
+            tally.append(asked_now)
+        own = [[F.col("x")[i] for i in range(g, n, radius + 1)] for g in range(radius + 1)]
+        by_group = F.inline(
+            F.array(
+                *(
+                    F.struct(F.lit(g).cast("long").alias("cell"), F.xxhash64("grp", *values).alias("part"))
+                    for g, values in enumerate(own)
+                )
             )
-            rows = asked.withColumn("agreed", agreed).join(materialize(top, "knn-agreed"), "agreed")
-            found.append(rows.select("x", "held", "donor", "y"))
-    apart = sum(
-        (F.when(F.col("x")[n] != F.col("held")[n], 1).otherwise(0) for n in features), F.lit(0)
+        )
+        celled = packed.select("x", "donors", by_group)
+        visits = open_.select("grp", "x", F.lit(float(radius)).alias("reach"), by_group)
+        found = _look_up(celled, visits, donors, k, _mismatches, per_task, asked_now, vectors)
+        best = materialize(_lowest(found.distinct(), k), "knn-best")
+        enough = best.groupBy("grp", "x").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= k)
+        done.append(best.join(enough.select("grp", "x"), ["grp", "x"], "left_semi"))
+        open_ = materialize(open_.join(enough, ["grp", "x"], "left_anti"), "knn-open")
+        asked_now = open_.count()
+        if not asked_now:
+            return _union(done)
+    if tally is not None:
+        tally.append(asked_now)
+
+    # One row for each feature and value, and one for all donors.
+    values = F.posexplode(F.concat("x", F.array(F.lit("")))).alias("feature", "value")
+    lowest = Window.partitionBy("grp", "feature", "value").orderBy("donor")
+    top = (
+        donors.select("grp", F.col("x").alias("held"), "donor", "y", values)
+        .withColumn("nth", F.row_number().over(lowest))
+        .where(F.col("nth") <= k)
+        .drop("nth")
     )
-    candidates = reduce(DataFrame.unionByName, found).withColumn("gap", apart)
-    return _lowest(candidates.select("x", "gap", "donor", "y").distinct(), k).drop("gap")
+    met = open_.select("grp", "x", values).join(materialize(top, "knn-tops"), ["grp", "feature", "value"])
+    apart = F.size(F.filter(F.zip_with("x", "held", lambda a, b: a != b), lambda d: d))
+    found = met.select("grp", "x", apart.cast("double").alias("gap"), "donor", "y")
+    if best is not None:
+        found = found.unionByName(best.join(open_, ["grp", "x"], "left_semi"))
+    return _union([*done, _lowest(found.distinct(), k)])
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 def nearest_by_order(
     donors: DataFrame, asked: DataFrame, k: int, bins: int | None = None
 ) -> DataFrame:
-    """:func:`nearest_by_distance` for one feature, where every power orders alike.
+    """:func:`nearest_by_distance` for one feature and group, where every power orders alike.
 
     Distinct donor values are numbered along the feature. The k nearest rows of a place
     lie within k donor values on either side, which an equi-join on the number fetches.
@@ -331,6 +467,6 @@ def nearest_by_order(
         F.col("p").alias("at"), F.explode(around).alias("place")
     )
     candidates = lookups.join(numbered.where("donors IS NOT NULL"), "place").select(
-        F.array("at").alias("x"), F.abs(F.col("p") - F.col("at")).alias("gap"), F.inline("donors")
+        F.lit(0).cast("long").alias("grp"), F.array("at").alias("x"), F.abs(F.col("p") - F.col("at")).alias("gap"), F.inline("donors")
     )
-    return _lowest(candidates, k).drop("gap")
+    return _lowest(candidates, k)

@@ -90,8 +90,8 @@ def test_mahalanobis(spark):
     assert flat.where("y IS NULL").count() == 0
 
 
-@pytest.mark.parametrize("span, cell_rows, per_task", [(9, 10, 7), (1000, 5, 1000), (1000, 40, 3)])
-def test_many_cells_and_shared_lookups(spark, span, cell_rows, per_task):
+@pytest.mark.parametrize("span, ring_rows, per_task", [(9, 10, 7), (1000, 5, 1000), (1000, 40, 3)])
+def test_many_cells_and_shared_lookups(spark, span, ring_rows, per_task):
     draws = random.Random(span)
     vectors = {(draws.randrange(span), draws.randrange(span)) for _ in range(300)}
     vectors |= {(span * 50, i) for i in range(3)}
@@ -103,7 +103,7 @@ def test_many_cells_and_shared_lookups(spark, span, cell_rows, per_task):
         spark.createDataFrame([(x,) for x in asked], "x array<double>"),
         4,
         2.0,
-        cell_rows,
+        ring_rows,
         per_task,
     )
     got = {}
@@ -155,3 +155,134 @@ def test_unknown_metric(spark):
     df = spark.createDataFrame([(1, 1.0, 2.0)], "key long, a double, y double")
     with pytest.raises(ValueError, match="cosine"):
         missing.fill_knn(df, "y", "a", "key", metric="cosine")
+
+
+@pytest.mark.parametrize("width", [8, 16])
+@pytest.mark.parametrize("metric, power", [("euclidean", 2.0), ("minkowski", 3.0), ("minkowski", 0.5)])
+def test_many_features_meet_a_bounded_share_of_the_donors(spark, width, metric, power):
+    """Features that depend on three others, as measured ones do."""
+    draws = np.random.default_rng(width)
+    turn = draws.normal(size=(3, width))
+    points = draws.normal(size=(4000, 3)) @ turn + draws.normal(size=(4000, width)) * 0.01
+    donors = [(list(map(float, x)), i, 0.0) for i, x in enumerate(points[:3800])]
+    asked = points[3800:]
+    tally = []
+    found = neighbours.nearest_by_distance(
+        spark.createDataFrame(donors, "x array<double>, donor long, y double"),
+        spark.createDataFrame([(list(map(float, x)),) for x in asked], "x array<double>"),
+        5,
+        power,
+        tally=tally,
+    )
+    got = {}
+    for row in found.collect():
+        got.setdefault(tuple(row.x), set()).add(row.donor)
+    gaps = (np.abs(points[:3800][None] - asked[:, None]) ** power).sum(axis=2)
+    assert got == {tuple(x): set(np.argsort(g, kind="stable")[:5].tolist()) for x, g in zip(asked, gaps)}
+    assert tally[0][0] == len(asked)
+    # Below a power of one small differences count as much as large ones: only results are held.
+    share = 0.25 if power > 1 else 1.0
+    assert sum(compared for _, compared in tally) <= share * len(asked) * 3800
+
+
+def test_every_pivot_takes_part_without_a_cap(spark):
+    points = [([float(i % 211), float(i % 307)], i, 0.0) for i in range(20_000)]
+    donors = spark.createDataFrame(points, "x array<double>, donor long, y double")
+    packed = neighbours._packed(neighbours._grouped(donors))
+    pivots = neighbours._pivots(packed, 2.0)
+    assert 0.7 * 20_000**0.5 < len(pivots.points) < 1.3 * 20_000**0.5
+
+
+@pytest.mark.parametrize("n, rounds", [(1, 0), (2, 1), (3, 2), (12, 5), (40, 7), (100, 8)])
+def test_rounds_of_categories_grow_with_the_logarithm(n, rounds):
+    steps = neighbours.radii(n)
+    assert len(steps) == rounds and steps == sorted(set(steps))
+    assert steps[-1:] == [n - 2][: n > 1]
+
+
+def jobs_of(spark, group, run):
+    spark.sparkContext.setJobGroup(group, "counted")
+    run()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_categories_in_any_number(spark):
+    """Jobs grow at most linearly with the features; rows far from all donors are found too."""
+    draws = random.Random(4)
+    jobs = {}
+    for width in (3, 6, 12):
+        rows = [tuple(str(draws.randrange(9)) for _ in range(width)) for _ in range(400)]
+        held = {x: i for i, x in enumerate(rows[:340])}
+        donors = [(list(x), i, float(i)) for x, i in held.items()]
+        asked = [list(x) for x in set(rows[340:])] + [["none"] * width]
+        tally = []
+        a = spark.createDataFrame(donors, "x array<string>, donor long, y double")
+        b = spark.createDataFrame([(x,) for x in asked], "x array<string>")
+        out = []
+        run = lambda: out.extend(neighbours.nearest_by_mismatch(a, b, 4, 50, tally).collect())  # noqa: E731,B023
+        jobs[width] = jobs_of(spark, f"categories{width}", run)
+        got = {}
+        for row in out:
+            got.setdefault(tuple(row.x), []).append((row.gap, row.donor))
+        for x in asked:
+            want = sorted((float(METRICS["hamming"](x, v)), d) for v, d in held.items())[:4]
+            assert sorted(got[tuple(x)]) == want
+        assert tally[-1] >= 1
+    assert jobs[12] <= 12 * max(jobs[3] / 3, 8)
+
+
+def partial_distance(metric, width):
+    def distance(a, b):
+        both = [(i, j) for i, j in zip(a, b) if i is not None and j is not None]
+        return METRICS[metric](*zip(*both)) * width / len(both) if both else None
+
+    return distance
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "manhattan", "hamming"])
+def test_rows_that_lack_features(spark, metric):
+    draws = random.Random(11)
+    rows = []
+    for key in range(260):
+        x = [None if draws.random() < 0.3 else draws.randrange(8) for _ in range(3)]
+        rows.append((key, *x, None if draws.random() < 0.3 else draws.randrange(1000) / 4))
+    distance = partial_distance(metric, 3)
+    want = {}
+    for key, *x, y in rows:
+        if y is None:
+            near = [(distance(v, x), d, value) for d, *v, value in rows if value is not None]
+            near = sorted(n for n in near if n[0] is not None)[:4]
+            y = sum(n[2] for n in near) / len(near) if near else None
+        want[key] = y
+    names = ["x0", "x1", "x2"]
+    filled = missing.fill_knn(table(spark, rows, 3), "y", names, "key", k=4, metric=metric, partial=True)
+    assert {r.key: r.y for r in filled.collect()} == pytest.approx(want)
+    assert any(None in r[1:4] and r[4] is None and want[r[0]] is not None for r in rows)
+
+
+def test_mahalanobis_of_rows_that_lack_a_feature(spark):
+    draws = np.random.default_rng(8)
+    points = draws.normal(size=(200, 2)) @ np.array([[1.0, 0.9], [0.0, 0.3]]) * 100 + 1.7e9
+    rows = [(i, float(a), float(b), None if i % 4 == 0 else float(i)) for i, (a, b) in enumerate(points)]
+    lacking = [(i, a, None if i % 7 == 0 else b, y) for i, a, b, y in rows]
+    df = spark.createDataFrame(lacking, "key long, a double, b double, y double")
+    filled = missing.fill_knn(df, "y", ["a", "b"], "key", metric="mahalanobis", partial=True)
+    got = {r.key: r.y for r in filled.collect()}
+    assert all(y is not None for y in got.values())
+    have = np.array([(a, b) for _, a, b, _ in lacking if b is not None])
+    cov = np.cov(have.T)
+    cov[0, 0] = np.var([a for _, a, _, _ in lacking], ddof=1)
+    inverse = np.linalg.inv(cov)
+    for key, a, b, y in lacking:
+        if y is None:
+            near = []
+            for d, v, w, value in lacking:
+                if value is None:
+                    continue
+                if b is None or w is None:
+                    near.append(((a - v) ** 2 / cov[0, 0] * 2, d, value))
+                else:
+                    e = np.array([a - v, b - w])
+                    near.append((e @ inverse @ e, d, value))
+            assert got[key] == pytest.approx(np.mean([n[2] for n in sorted(near)[:5]]))
