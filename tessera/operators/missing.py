@@ -28,6 +28,7 @@ from tessera.operators.neighbours import (
     nearest_by_mismatch,
     nearest_by_order,
 )
+from tessera.operators.selection import column_medians, group_medians
 from tessera.workspace import materialize
 
 # The powers that make a Minkowski distance one of these.
@@ -66,9 +67,35 @@ def fill_mean(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return _filled(df, dict(zip(columns, means)))
 
 
-def fill_median(df: DataFrame, column: str, bracket_rows: int = 1_000_000) -> DataFrame:
-    """Fill with the exact median, truncated in an integer column."""
-    return _filled(df, {column: exact_median(df, column, bracket_rows)})
+def fill_median(
+    df: DataFrame, columns: str | Sequence[str], by: str | Sequence[str] = ()
+) -> DataFrame:
+    """Fill each column with its exact median, over all rows or per group of ``by``.
+
+    All columns share the passes. The value takes the column's type: an integer column gets
+    the median truncated. A column, or group, without values stays as it is; null is a
+    group of its own.
+    """
+    columns = [columns] if isinstance(columns, str) else list(columns)
+    by = [by] if isinstance(by, str) else list(by)
+    if not by:
+        return _filled(df, dict(zip(columns, column_medians(df, columns))))
+    medians = group_medians(df, columns, by).toDF(
+        *(f"_g{i}" for i in range(len(by))), *(f"_m{i}" for i in range(len(columns)))
+    )
+    own = [F.col(f"`{b}`").eqNullSafe(F.col(f"_g{i}")) for i, b in enumerate(by)]
+    joined = df.join(materialize(medians, "group-medians"), reduce(and_, own), "left")
+    found = {c: F.col(f"_m{i}").cast(df.schema[c].dataType) for i, c in enumerate(columns)}
+    return joined.select(
+        *(
+            F.when(_is_present(df, c), F.col(f"`{c}`"))
+            .otherwise(F.coalesce(found[c], F.col(f"`{c}`")))
+            .alias(c)
+            if c in found
+            else F.col(f"`{c}`")
+            for c in df.columns
+        )
+    )
 
 
 def fill_mode(df: DataFrame, column: str) -> DataFrame:
@@ -76,73 +103,9 @@ def fill_mode(df: DataFrame, column: str) -> DataFrame:
     return _filled(df, {column: most_frequent(df.where(_is_present(df, column)), column)})
 
 
-def exact_median(
-    df: DataFrame, column: str, bracket_rows: int = 1_000_000
-) -> float | Decimal | None:
-    """The median, without one task ever holding more than ``bracket_rows`` values.
-
-    The search runs in the column's own type. Between two integers it is a decimal.
-    """
-    values = df.where(_is_present(df, column)).select(F.col(f"`{column}`").alias("v"))
-    total = values.count()
-    if total == 0:
-        return None
-    low = _value_at(values, (total + 1) // 2, total, bracket_rows)
-    upto, above = values.agg(
-        F.count_if(F.col("v") <= F.lit(low)), F.min(F.when(F.col("v") > F.lit(low), F.col("v")))
-    ).first()
-    high = low if upto >= total // 2 + 1 else above
-    if isinstance(low, float):
-        return low if low == high else low / 2 + high / 2
-    return (Decimal(low) + Decimal(high)) / 2
-
-
-def _value_at(
-    values: DataFrame, rank: int, inside: int, bracket_rows: int
-) -> int | float | Decimal:
-    """The value at ``rank`` (from 1) in sorted order.
-
-    Approximate percentiles only propose a bracket; exact counts decide on which
-    side of its edges the rank lies, so a poor proposal costs a pass, not the result.
-    Each bracket is open at both ends, which keeps heavy repeated values out of it.
-    """
-    v = F.col("v")
-    while inside > bracket_rows:
-        share, slack = rank / inside, 1e-3
-        low, high = values.agg(
-            F.percentile_approx(v, [max(share - slack, 0.0), min(share + slack, 1.0)], 10_000)
-        ).first()[0]
-        low_, high_ = F.lit(low), F.lit(high)
-        under, at_low, between, at_high = values.agg(
-            F.count_if(v < low_),
-            F.count_if(v == low_),
-            F.count_if((v > low_) & (v < high_)),
-            F.count_if((v == high_) & (v > low_)),
-        ).first()
-        if rank <= under:
-            values, inside = values.where(v < low_), under
-            continue
-        rank -= under
-        if rank <= at_low:
-            return low
-        rank -= at_low
-        if rank <= between:
-            values, inside = values.where((v > low_) & (v < high_)), between
-            continue
-        rank -= between
-        if rank <= at_high:
-            return high
-        rank -= at_high
-        values, inside = values.where(v > high_), inside - under - at_low - between - at_high
-
-    running = Window.partitionBy(F.lit(0)).orderBy("v")
-    counted = values.groupBy("v").agg(F.count("*").alias("n"))
-    return (
-        counted.withColumn("upto", F.sum("n").over(running))
-        .where(F.col("upto") >= rank)
-        .agg(F.min("v"))
-        .first()[0]
-    )
+def exact_median(df: DataFrame, column: str) -> float | Decimal | None:
+    """The median of all values. Between two integers it is a decimal."""
+    return column_medians(df, [column])[0]
 
 
 def fill_knn(

@@ -73,6 +73,22 @@ def na_fill_median(spark: SparkSession, sf_dir: str) -> DataFrame:
     return missing.fill_median(events, "value").withColumn("value", F.round("value", 6))
 
 
+@query(
+    _EVENTS
+    + """
+    SELECT event_id, user_id, round(coalesce(value, median(value) OVER g), 6) AS value,
+           coalesce(whole_value, cast(trunc(median(whole_value) OVER g) AS integer)) AS whole_value
+    FROM e WINDOW g AS (PARTITION BY user_id, event_type)
+    """
+)
+def na_fill_median_grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two columns, each filled with the median of its group; some groups have no type."""
+    filled = missing.fill_median(
+        _events(spark, sf_dir), ["value", "whole_value"], ["user_id", "event_type"]
+    )
+    return filled.select("event_id", "user_id", F.round("value", 6).alias("value"), "whole_value")
+
+
 @query(
     _EVENTS
     + """

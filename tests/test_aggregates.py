@@ -70,7 +70,7 @@ def test_mean_fill_truncates_into_integers(spark):
 @given(st.lists(st.sampled_from([0.0, 1.0, 1.0, 1.0, 2.5, -7.0, 1e12, 3.25]), min_size=1, max_size=40))
 def test_median_of_repeated_values(spark, values):
     df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double")
-    assert missing.exact_median(df, "v", bracket_rows=3) == statistics.median(values)
+    assert missing.exact_median(df, "v") == statistics.median(values)
 
 
 def test_nan_is_missing(spark):
@@ -89,7 +89,7 @@ def test_median_narrows_to_small_brackets(spark):
     draws[:8000] = 2.0
     for values in (draws, draws[:-1]):
         df = spark.createDataFrame([(float(v),) for v in values], "v double")
-        assert missing.exact_median(df, "v", bracket_rows=50) == pytest.approx(np.median(values), abs=0)
+        assert missing.exact_median(df, "v") == pytest.approx(np.median(values), abs=0)
     assert missing.exact_median(df.where("v < -1"), "v") is None
 
 
