@@ -18,12 +18,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from tessera.sources import labelled_images, with_contents
-from tessera.workspace import materialize
+from tessera.workspace import materialize_observed
 
 # Half widths of the interval in standard deviations, tried in turn. Rows with unique
 # keys miss the first about once in a thousand million draws.
 SLACKS = (6.0, 30.0, 150.0)
 
+# Drawn files that one task opens.
+FILES_PER_TASK = 32
+
 # Longest array folded in one row; more classes are folded in several levels.
 FOLD_ROWS = 1_000
 
@@ -89,32 +92,39 @@ def proportional_plan(
     per class, and every class rounded down (up) can give (take) one row, so moving
     one row in as many classes as needed, chosen by hash, settles it at once.
     """
-    counts = materialize(counts.select(label, "n"), "class-counts")
-    available = counts.agg(F.sum("n")).first()[0] or 0
+    counts, seen = materialize_observed(
+        counts.select(label, "n"), "class-counts", available=F.coalesce(F.sum("n"), F.lit(0))
+    )
+    available = seen["available"]
     if size > available:
         raise ValueError(f"cannot draw {size} rows, only {available} are there")
     if size == 0:
         return counts.withColumn("quota", F.lit(0).cast("long"))
 
     share = F.bround(F.lit(size) / F.lit(available) * F.col("n")).cast("long")
-    drafted = counts.withColumn("quota", share).withColumn("_order", draw_order(label, seed))
-    left_over = size - drafted.agg(F.sum("quota")).first()[0]
+    quota = F.col("quota")
+    drafted, seen = materialize_observed(
+        counts.withColumn("quota", share).withColumn("_order", draw_order(label, seed)),
+        "drafted-plan",
+        drafted=F.sum("quota"),
+        can_take=F.count_if(quota < F.col("n")),
+        can_give=F.count_if(quota > 0),
+    )
+    left_over = size - seen["drafted"]
     if left_over == 0:
         return drafted.drop("_order")
 
-    movable = F.col("quota") < F.col("n") if left_over > 0 else F.col("quota") > 0
-    candidates = materialize(
-        drafted.where(movable).select(F.lit(0).alias("all"), "_order"), "movable"
-    )
+    movable = quota < F.col("n") if left_over > 0 else quota > 0
+    candidates = drafted.where(movable).select(F.lit(0).alias("all"), "_order")
     wanted = drafted.sparkSession.range(1).select(
         F.col("id").cast("int").alias("all"),
-        F.lit(candidates.count()).alias("n"),
+        F.lit(seen["can_take" if left_over > 0 else "can_give"]).alias("n"),
         F.lit(abs(left_over)).alias("quota"),
     )
-    cutoff = _cutoffs(candidates, wanted, "all").first()["cutoff"]
+    cutoff = _cutoffs(candidates, wanted, "all", 1).first()["cutoff"]
     step = F.lit(1 if left_over > 0 else -1)
     moved = F.when(movable & (F.col("_order") <= cutoff), step).otherwise(0)
-    return drafted.select(label, "n", (F.col("quota") + moved).alias("quota"))
+    return drafted.select(label, "n", (quota + moved).alias("quota"))
 
 
 def draw(
@@ -125,34 +135,33 @@ def draw(
     ``plan`` is ``label, n, quota`` with ``n`` the rows of the class. ``key`` must be
     unique within a class.
     """
-    return _draw(df, materialize(plan, "sample-plan"), label, key, seed)
+    return _draw(df, plan, label, key, seed)[0]
 
 
 def _draw(
     df: DataFrame, plan: DataFrame, label: str, key: str | Sequence[str], seed: int
-) -> DataFrame:
-    """:func:`draw` by a plan whose size is known to Spark."""
+) -> tuple[DataFrame, DataFrame]:
+    """:func:`draw`, and the plan as a written table, whose size is known to Spark."""
+    plan, seen = materialize_observed(plan, "sample-plan", drawn=F.count_if(F.col("quota") > 0))
     order = draw_order(key, seed)
     keyed = df.select(label, order.alias("_order"))
-    cutoffs = _cutoffs(keyed, plan, label).withColumnsRenamed({label: "_label", "cutoff": "_cutoff"})
+    cutoffs = _cutoffs(keyed, plan, label, seen["drawn"]).withColumnsRenamed({label: "_label", "cutoff": "_cutoff"})
     in_class = F.col(label).eqNullSafe(F.col("_label"))
-    return df.join(cutoffs, in_class & (order <= F.col("_cutoff"))).select(*df.columns)
+    return df.join(cutoffs, in_class & (order <= F.col("_cutoff"))).select(*df.columns), plan
 
 
 def sample_proportional(
     df: DataFrame, size: int, label: str, key: str | Sequence[str], seed: int = 42
 ) -> Sample:
     """Exactly ``size`` rows, classes in proportion, and the plan behind them."""
-    plan = proportional_plan(class_counts(df, label), size, label, seed)
-    return Sample(_draw(df, plan, label, key, seed), plan)
+    return Sample(*_draw(df, proportional_plan(class_counts(df, label), size, label, seed), label, key, seed))
 
 
 def sample_equal(
     df: DataFrame, size: int, label: str, key: str | Sequence[str], seed: int = 42
 ) -> Sample:
     """A sample by :func:`equal_plan`."""
-    plan = materialize(equal_plan(class_counts(df, label), size, label), "sample-plan")
-    return Sample(_draw(df, plan, label, key, seed), plan)
+    return Sample(*_draw(df, equal_plan(class_counts(df, label), size, label), label, key, seed))
 
 
 def sample_images(
@@ -160,31 +169,35 @@ def sample_images(
 ) -> Sample:
     """:func:`sample_proportional` of the images below ``root``, with their bytes.
 
-    The draw needs paths only; each task then opens the files that it was dealt.
+    The draw needs paths only; each task then opens the files that it was dealt,
+    ``FILES_PER_TASK`` on average.
     """
     images = labelled_images(spark, root, pattern)
     listed = images.drop("content")
     rows, plan = sample_proportional(listed, size, "label", "path", seed)
-    drawn = rows.repartition(F.col("path"))
+    # A stated number: a repartition by a column alone is merged to few tasks, as paths are short.
+    drawn = rows.repartition(max(1, -(-size // FILES_PER_TASK)), "path")
     return Sample(with_contents(drawn).select(*images.columns), plan)
 
 
-def _cutoffs(keyed: DataFrame, plan: DataFrame, group: str) -> DataFrame:
+def _cutoffs(keyed: DataFrame, plan: DataFrame, group: str, groups: int) -> DataFrame:
     """``group, cutoff``: the hash of the last row within the quota of each group.
 
-    Groups with quota 0 have none. Fails if two rows share that hash, for then the key
+    ``groups`` have a quota above 0, the others have no cut-off. Fails if two rows share that hash, for then the key
     is not unique and the quota cannot be met exactly.
     """
     asked = plan.where(F.col("quota") > 0).select(F.col(group).alias("_group"), "n", "quota")
-    groups = asked.count()
-    found = None
+    found, met = None, 0
     for slack in SLACKS:
-        reached = materialize(_quota_reached(keyed, asked, group, slack), "cutoffs")
+        reached, seen = materialize_observed(
+            _quota_reached(keyed, asked, group, slack), "cutoffs", n=F.count(F.lit(1))
+        )
         found = reached if found is None else found.unionByName(reached)
-        if found.count() == groups:
+        met += seen["n"]
+        if met == groups:
             return found
-        met = reached.select(F.col(group).alias("_met"))
-        asked = asked.join(met, F.col("_group").eqNullSafe(F.col("_met")), "left_anti")
+        done = reached.select(F.col(group).alias("_met"))
+        asked = asked.join(done, F.col("_group").eqNullSafe(F.col("_met")), "left_anti")
     raise ValueError("the key to sample by is not unique or the plan is not of these rows")
 
 
@@ -234,8 +247,10 @@ def equal_plan(
     to zero; one that has fewer rows raises it by what is missing. The rule does not
     ensure that the quotas add up to ``size``.
     """
-    counts = materialize(counts.select(label, "n"), "class-counts")
-    classes = counts.count()
+    counts, seen = materialize_observed(
+        counts.select(label, "n"), "class-counts", classes=F.count(F.lit(1))
+    )
+    classes = seen["classes"]
     if classes == 0:
         return counts.withColumn("quota", F.lit(0).cast("long"))
     base, extra = divmod(size, classes)
@@ -248,33 +263,41 @@ def equal_plan(
         F.lit(0).cast("long").alias("edge"),
         F.when(n > base, F.lit(-1)).otherwise(F.lit(base + 1) - n).cast("long").alias("shift"),
     )
-    carries = _carry_before(effect, label, extra, fold_rows)
+    carries = _carry_before(effect, classes, label, extra, fold_rows)
     asked = F.lit(base) + F.when(F.col("carry") > 0, 1).otherwise(0)
     return counts.join(
         carries.withColumnRenamed(label, "_label"), F.col(label).eqNullSafe(F.col("_label"))
     ).select(label, "n", F.least(n, asked).cast("long").alias("quota"))
 
 
-def _carry_before(effect: DataFrame, order: str, start: int, fold_rows: int) -> DataFrame:
+def _carry_before(
+    effect: DataFrame, rows: int, order: str, start: int, fold_rows: int
+) -> DataFrame:
     """``order, carry``: the carry that reaches each row, rows taken in order.
 
     Effects of this shape stay so when one follows another, so each run of
     neighbouring rows acts on the carry like a single row. Runs are summarised, the
     carry is followed over the summaries by the same rule, then within each run.
     """
-    runs = -(-effect.count() // fold_rows)
-    ranged = effect.repartitionByRange(runs, order).withColumn("run", F.spark_partition_id())
-    packed = materialize(
+    runs = -(-rows // fold_rows)
+    if runs == 1:
+        ranged = effect.withColumn("run", F.lit(0))
+    else:
+        ranged = effect.repartitionByRange(runs, order).withColumn("run", F.spark_partition_id())
+    packed, seen = materialize_observed(
         ranged.groupBy("run").agg(
             F.array_sort(F.collect_list(F.struct(order, "bottom", "edge", "shift"))).alias("steps")
         ),
         "runs",
+        n=F.count(F.lit(1)),
     )
     if runs == 1:
         opened = packed.withColumn("carry", F.lit(start).cast("long"))
     else:
         whole = packed.select(F.col("run").alias("place"), _as_one("steps").alias("one"))
-        followed = _carry_before(whole.select("place", "one.*"), "place", start, fold_rows)
+        followed = _carry_before(
+            whole.select("place", "one.*"), seen["n"], "place", start, fold_rows
+        )
         opened = packed.join(followed, F.col("run") == F.col("place"))
 
     def follow(state: Column, step: Column) -> Column:

@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -39,3 +39,10 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def materialize_observed(df: DataFrame, name: str, **measures: Column) -> tuple[DataFrame, dict]:
+    """:func:`materialize`, and aggregates of the rows as they are written: no pass of their own."""
+    seen = Observation()
+    table = materialize(df.observe(seen, *(m.alias(n) for n, m in measures.items())), name)
+    return table, seen.get

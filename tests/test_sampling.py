@@ -193,3 +193,18 @@ def test_composite_keys_are_told_apart(spark):
     df = spark.createDataFrame([("x", *r) for r in rows], "label string, k string, l string")
     assert df.select(sampling.draw_order(["k", "l"], 1)).distinct().count() == len(rows)
     assert sampling.sample_proportional(df, 3, "label", ["k", "l"]).rows.count() == 3
+
+
+def jobs_of(spark, name, run):
+    spark.sparkContext.setJobGroup(name, "counted")
+    run()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+
+
+def test_plans_and_samples_take_few_jobs(spark, skewed):
+    """Counts, drafts and cut-offs are observed as they are written, not read for it again."""
+    counts = sampling.class_counts(skewed)
+    assert jobs_of(spark, "plan", lambda: sampling.proportional_plan(counts, 304).collect()) <= 10
+    assert jobs_of(spark, "draw", lambda: sampling.sample_proportional(skewed, 304, "label", "id").rows.collect()) <= 16
+    assert jobs_of(spark, "equal", lambda: sampling.sample_equal(skewed, 300, "label", "id").rows.collect()) <= 16
