@@ -272,8 +272,11 @@ INDEXED = pa.schema(
 
 
 def one_file_each(files: DataFrame) -> DataFrame:
-    """File names dealt out so that each task opens few of them."""
-    return files.repartition(F.col("file"))
+    """File names dealt out to as many tasks as there are files.
+
+    The number is stated: rows this small would else be merged into one task.
+    """
+    return files.repartition(max(1, files.count()), "file")
 
 
 def convert_arc(files: DataFrame, least_revisit: int = LEAST_REVISIT) -> DataFrame:

@@ -24,6 +24,7 @@ END_OF_DOCUMENT = 2  # the id of </s>
 ID_BYTES = 2
 BLOCK_BYTES = 1 << 20
 RUN = 1024
+BLOCKS_PER_TASK = 8
 
 WRITTEN = pa.schema(
     [("file", pa.string()), ("ordinal", pa.int64()), ("doc_id", pa.int64()), ("bytes", pa.int64())]
@@ -74,6 +75,22 @@ def write_flat(
     return files, written.where("bytes IS NULL").select("file", "ordinal", "doc_id")
 
 
+def dealt_blocks(files: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``file, bytes, block``, dealt out to a stated number of tasks.
+
+    Rows this small would else be merged into one. Each task has ``BLOCKS_PER_TASK`` blocks,
+    or fewer while cores are free.
+    """
+    blocks = files.select(
+        "file",
+        "bytes",
+        F.explode(F.expr(f"sequence(0L, (bytes - 1) div {block_bytes})")).alias("block"),
+    ).where("bytes > 0")
+    n = blocks.count()
+    least = files.sparkSession.sparkContext.defaultParallelism
+    return blocks.repartition(max(1, min(n, max(least, n // BLOCKS_PER_TASK))), "file", "block")
+
+
 def scan_flat(
     files: DataFrame,
     separator: int = END_OF_DOCUMENT,
@@ -111,19 +128,15 @@ def scan_flat(
                     names=["file", "block", "run", "stop", "n_ends", "last_end", "ends"],
                 )
 
-    blocks = files.select(
-        "file",
-        "bytes",
-        F.explode(F.expr(f"sequence(0L, (bytes - 1) div {block_bytes})")).alias("block"),
-    ).where("bytes > 0")
-    summary = materialize(
-        blocks.repartition(F.xxhash64("file", "block")).mapInArrow(
+    found = materialize(
+        dealt_blocks(files, block_bytes).mapInArrow(
             search,
             "file string, block bigint, run bigint, stop bigint, n_ends bigint, "
             "last_end bigint, ends array<bigint>",
         ),
         "flat-blocks",
     )
+    summary = found.drop("ends")
     by_file = Window.partitionBy("file").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
     runs = (
         summary.groupBy("file", "run")
@@ -140,12 +153,12 @@ def scan_flat(
     earlier = in_run.rowsBetween(Window.unboundedPreceding, -1)
     stitched = summary.join(runs, ["file", "run"]).select(
         "file",
+        "block",
         "stop",
         (F.col("ends_before") + F.coalesce(F.sum("n_ends").over(earlier), F.lit(0))).alias("first"),
         F.greatest("last_before", F.coalesce(F.max("last_end").over(earlier), F.lit(-1))).alias(
             "before"
         ),
-        "ends",
         "n_ends",
         "last_end",
         (F.col("next_run").isNull() & F.lead("block").over(in_run).isNull()).alias("is_last"),
@@ -156,7 +169,8 @@ def scan_flat(
         F.array(F.col("stop")),
     ).otherwise(F.array().cast("array<bigint>"))
     return (
-        stitched.withColumn("closes", F.concat("ends", rest))
+        stitched.join(found.select("file", "block", "ends"), ["file", "block"])
+        .withColumn("closes", F.concat("ends", rest))
         .withColumn("opens", F.concat(F.array("before"), F.col("ends")))
         .select(
             "file",

@@ -7,7 +7,8 @@ import public_tokenizers
 import pytest
 import sentencepiece
 
-from tessera.llm.flat_tokens import scan_flat, token_counts
+from tessera.llm.archives import one_file_each
+from tessera.llm.flat_tokens import dealt_blocks, scan_flat, token_counts
 from tessera.llm.quality import quality, repeated_words
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
@@ -86,3 +87,14 @@ def test_bands_reject_what_the_vocabulary_spells_out(small):
 def test_repeated_words_of_overlapping_windows():
     assert repeated_words([b"a"] * 4) == 4
     assert repeated_words([b"a", b"b", b"c", b"d"]) == 0
+
+
+def test_blocks_and_files_are_dealt_to_many_tasks(spark):
+    def held(df):
+        return [n for n in df.rdd.glom().map(len).collect() if n]
+
+    files = spark.createDataFrame([(f"f{i}", 50 << 20) for i in range(8)], "file string, bytes bigint")
+    tasks = held(dealt_blocks(files))
+    assert sum(tasks) == 400 and len(tasks) > 30 and max(tasks) < 40
+    one = held(one_file_each(files))
+    assert sum(one) == 8 and len(one) >= 3
