@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from tessera.sources import labelled_images, with_contents
+from tessera.functions.paths import path_label
+from tessera.sources import listed_files, with_contents
 from tessera.workspace import materialize_observed
 
 # Half widths of the interval in standard deviations, tried in turn. Rows with unique
@@ -169,15 +170,15 @@ def sample_images(
 ) -> Sample:
     """:func:`sample_proportional` of the images below ``root``, with their bytes.
 
-    The draw needs paths only; each task then opens the files that it was dealt,
+    The draw needs paths only, which tasks list; each task then opens the files that it was dealt,
     ``FILES_PER_TASK`` on average.
     """
-    images = labelled_images(spark, root, pattern)
-    listed = images.drop("content")
+    listed = listed_files(spark, root, pattern).withColumn("label", path_label("path"))
     rows, plan = sample_proportional(listed, size, "label", "path", seed)
     # A stated number: a repartition by a column alone is merged to few tasks, as paths are short.
     drawn = rows.repartition(max(1, -(-size // FILES_PER_TASK)), "path")
-    return Sample(with_contents(drawn).select(*images.columns), plan)
+    names = ["path", "modificationTime", "length", "content", "label"]
+    return Sample(with_contents(drawn).select(*names), plan)
 
 
 def _cutoffs(keyed: DataFrame, plan: DataFrame, group: str, groups: int) -> DataFrame:

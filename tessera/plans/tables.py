@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 from tessera.functions.paths import path_label
 from tessera.plans.registry import query, table
 from tessera.sinks import read_by_label, save, write_by_label, write_csv, write_json, write_parquet, write_text
+from tessera.sinks.files import write_files
 from tessera.sources import (
     list_files,
+    listed_files,
     read_csv,
+    read_files,
     read_json,
     read_parquet,
     read_text_files,
@@ -155,3 +158,30 @@ def listed_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
                    files_per_label=1, spread_by="doc_id")
     listing = list_files(spark, path, "parquet", recursive=True)
     return listing.select(path_label("path").alias("folder")).distinct()
+
+
+@query(
+    """
+    SELECT source AS label,
+           doc_id || CASE WHEN doc_id % 2 = 0 THEN '.txt' ELSE '.md' END AS file,
+           strlen(coalesce(text, '')) AS length, md5(coalesce(text, '')) AS digest
+    FROM documents
+    """
+)
+def scanned_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text as a file in its source's folder, found by a glob and read, all by tasks."""
+    path = scratch_path(spark, "tree")
+    end = F.when(F.col("doc_id") % 2 == 0, ".txt").otherwise(".md")
+    documents = table(spark, sf_dir, "documents").select(
+        F.concat("source", F.lit("/"), F.col("doc_id").cast("string"), end).alias("name"),
+        F.coalesce("text", F.lit("")).alias("content"),
+    )
+    decoys = documents.select(F.concat("name", F.lit(".part")).alias("name"), F.lit("").alias("content"))
+    write_files(documents.union(decoys.where("name LIKE '%0.txt.part'")), path)
+    files = read_files(listed_files(spark, path, "*.{txt,md}"))
+    return files.select(
+        path_label("path").alias("label"),
+        F.element_at(F.split("path", "/"), -1).alias("file"),
+        F.length("content").cast("long").alias("length"),
+        F.md5("content").alias("digest"),
+    )

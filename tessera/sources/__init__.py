@@ -7,6 +7,7 @@ from tessera.sources.files import (
     read_text_lines,
     with_contents,
 )
+from tessera.sources.folders import listed_files, listed_images, read_files
 from tessera.sources.tables import (
     read_csv,
     read_json,
@@ -19,7 +20,10 @@ __all__ = [
     "image_files",
     "labelled_images",
     "list_files",
+    "listed_files",
+    "listed_images",
     "read_csv",
+    "read_files",
     "read_json",
     "read_parquet",
     "read_text_files",
