@@ -1,10 +1,12 @@
-"""Shape, statistics and validation of a table, each in one pass."""
+"""Shape, statistics and validation of a table; no column is read twice."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType, NumericType, StringType
+from pyspark.sql.types import DataType, IntegralType, NumericType, StringType
 
 
 def table_shape(df: DataFrame) -> DataFrame:
@@ -21,20 +23,30 @@ DESCRIBED = (
 
 
 def describe_long(df: DataFrame) -> DataFrame:
-    """Typed statistics, one row per numeric or string column, from one scan.
+    """Typed statistics, one row per numeric or string column.
 
-    Only the result row of the aggregate is turned into one row per column. Integer
-    columns have their exact ends in ``min_whole`` and ``max_whole`` as well. A table
-    without such columns has no rows.
+    Numbers and strings are aggregated apart, each from a scan of its own columns: with
+    strings among them, no aggregate could be hashed. Only the result row of an aggregate is
+    turned into one row per column. Integer columns have their exact ends in
+    ``min_whole`` and ``max_whole`` as well. A table without such columns has no rows.
     """
+    kinds = [(f.name, f.dataType) for f in df.schema.fields]
+    parts = [
+        _described(df, [(i, *kind) for i, kind in enumerate(kinds) if isinstance(kind[1], family)])
+        for family in (NumericType, StringType)
+    ]
+    parts = [part for part in parts if part is not None]
+    if not parts:
+        return df.sparkSession.createDataFrame([], DESCRIBED)
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _described(df: DataFrame, fields: list[tuple[int, str, DataType]]) -> DataFrame | None:
     none = F.lit(None)
     stats, rows = [], []
-    for i, field in enumerate(df.schema.fields):
-        numeric = isinstance(field.dataType, NumericType)
-        whole = isinstance(field.dataType, IntegralType)
-        if not numeric and not isinstance(field.dataType, StringType):
-            continue
-        column = F.col(f"`{field.name}`")
+    for i, name, kind in fields:
+        numeric, whole = isinstance(kind, NumericType), isinstance(kind, IntegralType)
+        column = F.col(f"`{name}`")
         stats += [
             F.count(column).alias(f"n{i}"),
             F.min(column).alias(f"min{i}"),
@@ -45,7 +57,7 @@ def describe_long(df: DataFrame) -> DataFrame:
         low, high = F.col(f"min{i}"), F.col(f"max{i}")
         rows.append(
             F.struct(
-                F.lit(field.name).alias("column"),
+                F.lit(name).alias("column"),
                 F.col(f"n{i}").alias("n"),
                 (F.col(f"avg{i}") if numeric else none).cast("double").alias("mean"),
                 (F.col(f"std{i}") if numeric else none).cast("double").alias("stddev"),
@@ -57,9 +69,7 @@ def describe_long(df: DataFrame) -> DataFrame:
                 (none if numeric else high).cast("string").alias("max_text"),
             )
         )
-    if not rows:
-        return df.sparkSession.createDataFrame([], DESCRIBED)
-    return df.agg(*stats).select(F.inline(F.array(*rows)))
+    return df.agg(*stats).select(F.inline(F.array(*rows))) if rows else None
 
 
 def vector_length_check(df: DataFrame, column: str, expected: int) -> DataFrame:
