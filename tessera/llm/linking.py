@@ -21,8 +21,9 @@ from tessera.workspace import materialize
 
 TOGETHER = 128  # members held against a leader in one task
 SLOT_BITS = 27
+PARITY_BITS = 512
 
-Fits = Callable[[Column, Column, Column, Column], Column]
+Fits = Callable[[Column, Column], Column]
 Sets = Callable[[pa.Array], list[np.ndarray]]
 
 
@@ -109,22 +110,37 @@ def shared_slots(texts: DataFrame, sets: Sets) -> np.ndarray:
     return shared
 
 
-def lonely(texts: DataFrame, sets: Sets, percent: int) -> DataFrame:
-    """``rep`` of texts of which too little occurs in any other of ``texts`` to be similar to one."""
+def measured(texts: DataFrame, sets: Sets, percent: int) -> DataFrame:
+    """``rep, shared, parity`` of ``texts`` that can be similar to another of them.
+
+    ``shared`` is the number of elements that may occur in others; with fewer than
+    ``percent`` of its own a text is similar to none and left out. ``parity`` has a bit
+    for each of 512 shares of the elements.
+    """
     known = texts.sparkSession.sparkContext.broadcast(shared_slots(texts, sets))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shared = known.value
+        slots = known.value
         for block in blocks(batches, "text"):
-            out = []
+            reps, shared, parity = [], [], []
             for rep, found in zip(block.column("rep").to_pylist(), sets(block.column("text"))):
                 slot = (found >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
-                common = (shared[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1)
-                if 100 * int(common.sum()) < percent * len(found):
-                    out.append(rep)
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64())], names=["rep"])
+                common = (slots[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1)
+                if 100 * int(common.sum()) >= percent * len(found):
+                    odd = np.bincount((found & np.uint64(PARITY_BITS - 1)).astype(np.int64), minlength=PARITY_BITS)
+                    reps.append(rep)
+                    shared.append(int(common.sum()))
+                    parity.append(np.packbits((odd & 1).astype(np.uint8)).view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(reps, pa.int64()),
+                    pa.array(shared, pa.int64()),
+                    pa.array(parity, pa.list_(pa.int64())),
+                ],
+                names=["rep", "shared", "parity"],
+            )
 
-    return texts.mapInArrow(judge, "rep bigint")
+    return texts.mapInArrow(judge, "rep bigint, shared bigint, parity array<bigint>")
 
 
 def ends(pairs: DataFrame) -> DataFrame:
@@ -151,15 +167,11 @@ def linked(
     texts_for: Callable[[DataFrame], DataFrame],
     sets: Sets,
     percent: int,
-    sift: Callable[[DataFrame], DataFrame] = lambda pairs: pairs,
-    set_aside: bool = True,
 ) -> DataFrame:
-    """Links (``a, b``) that join all similar members of ``placed`` (``bucket, rep, n, pos``).
+    """Links (``a, b``) that join all similar members of ``placed`` (``bucket, rep, n``).
 
-    ``fits(n_a, pos_a, n_b, pos_b)`` says which members of a bucket can be similar
-    at all; ``texts_for`` gives ``rep, text`` for a table of ``rep``; ``sift`` takes
-    pairs out that cannot be similar, before their texts are fetched. Without
-    ``set_aside`` no member is ruled out by what it shares with all others.
+    ``fits(n_a, n_b)`` says which members of a bucket can be similar at all, by the
+    sizes of their sets; ``texts_for`` gives ``rep, text`` for a table of ``rep``.
     """
     heads = (
         placed.groupBy("bucket")
@@ -168,52 +180,57 @@ def linked(
     )
     met = materialize(placed.join(heads, "bucket"), "bucket-members")
     leader = met.where("rep = low OR rep = high").select(
-        "bucket", F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("pos").alias("pos_a")
+        "bucket", F.col("rep").alias("a"), F.col("n").alias("n_a")
     )
-    can = fits(F.col("n_a"), F.col("pos_a"), F.col("n"), F.col("pos"))
+    can = fits(F.col("n_a"), F.col("n"))
     tested = materialize(
-        sift(
-            met.join(leader, "bucket")
-            .where((F.col("a") != F.col("rep")) & can)
-            .select("a", F.col("rep").alias("b"))
-            .distinct()
-        ),
+        met.join(leader, "bucket")
+        .where((F.col("a") != F.col("rep")) & can)
+        .select("a", F.col("rep").alias("b"))
+        .distinct(),
         "leader-pairs",
     )
     links = verified(tested, materialize(texts_for(ends(tested)), "texts"), sets, percent)
 
     joined = components(links)
     where = materialize(
-        met.select("bucket", "rep", "n", "pos")
+        met.select("bucket", "rep", "n")
         .join(joined.withColumnRenamed("id", "rep"), "rep", "left")
         .withColumn("component", F.coalesce("component", "rep")),
         "placed-members",
     )
-    divided = where.join(parted(where).select("bucket"), "bucket", "left_semi")
-    if set_aside:
-        divided = materialize(divided, "divided-members")
-        texts = materialize(texts_for(divided.select("rep").distinct()), "open-texts")
-        alone = lonely(texts, sets, percent)
-        divided = materialize(divided.join(alone, "rep", "left_anti"), "possible-members")
-    open_ = materialize(divided.join(parted(divided), "bucket"), "open-members")
+    divided = materialize(
+        where.join(parted(where).select("bucket"), "bucket", "left_semi"), "divided-members"
+    )
+    texts = materialize(texts_for(divided.select("rep").distinct()), "open-texts")
+    known = materialize(measured(texts, sets, percent), "measured")
+    possible = materialize(divided.join(known, "rep", "left_semi"), "possible-members")
+    open_ = materialize(possible.join(parted(possible), "bucket").join(known, "rep"), "open-members")
     minor = open_.where("component <> major").select(
         "bucket",
         F.col("rep").alias("a"),
         F.col("n").alias("n_a"),
-        F.col("pos").alias("pos_a"),
         F.col("component").alias("c_a"),
+        F.col("shared").alias("s_a"),
+        F.col("parity").alias("p_a"),
     )
+    # What both share is no more than what either shares with any; sets differ in as
+    # many elements at least as their parities in bits.
+    both = F.col("n_a") + F.col("n")
+    apart = F.expr(" + ".join(f"bit_count(p_a[{i}] ^ parity[{i}])" for i in range(PARITY_BITS // 64)))
     crossing = (
         minor.join(open_, "bucket")
         .where(
             (F.col("c_a") != F.col("component"))
             & ((F.col("component") == F.col("major")) | (F.col("rep") < F.col("a")))
             & can
+            & ((100 + percent) * F.least("s_a", "shared") >= percent * both)
+            & ((100 + percent) * apart <= (100 - percent) * both)
         )
         .select("a", F.col("rep").alias("b"))
         .distinct()
     )
-    untested = sift(crossing).join(tested, ["a", "b"], "left_anti").join(
+    untested = crossing.join(tested, ["a", "b"], "left_anti").join(
         tested.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti"
     )
     untested = materialize(untested, "crossing-pairs")

@@ -127,7 +127,7 @@ def sketched(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
     return docs.mapInArrow(sketch, SKETCHED)
 
 
-def close_enough(n_a: Column, pos_a: Column, n_b: Column, pos_b: Column) -> Column:
+def close_enough(n_a: Column, n_b: Column) -> Column:
     """Set sizes that can be similar at all."""
     return 100 * F.least(n_a, n_b) >= SIMILAR * F.greatest(n_a, n_b)
 
@@ -165,7 +165,7 @@ def near_duplicates(
         "set-classes",
     )
     placed = classes.select("rep", "n", F.posexplode("bands").alias("band", "bin")).select(
-        F.xxhash64("band", "bin").alias("bucket"), "rep", "n", F.lit(0).alias("pos")
+        F.xxhash64("band", "bin").alias("bucket"), "rep", "n"
     )
 
     def texts_for(reps: DataFrame) -> DataFrame:
