@@ -272,4 +272,4 @@ def keep_quality(
     added = StructType.fromDDL("__script string, __chars double, __entropy double, __size int")
     schema = StructType([*rows.schema, *added])
     found = materialize(rows.mapInArrow(passing, schema), "quality-passing")
-    return found.join(fences(found), KIND).where(INSIDE).select(*docs.columns)
+    return found.join(fences(found), KIND).where(INSIDE).select(*(f"`{c}`" for c in docs.columns))
