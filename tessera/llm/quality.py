@@ -268,8 +268,11 @@ def keep_quality(
             whole = pa.RecordBatch.from_arrays([*block.columns, *kinds], names=names)
             yield whole.filter(pa.array([row[6] for row in rows], pa.bool_()))
 
-    rows = docs.select("*", *kind_of(docs, "text"))
+    # Arrow functions take no names with dots.
+    names = [c if c in ("text", "lang") else f"__c{i}" for i, c in enumerate(docs.columns)]
+    plain = docs.toDF(*names)
+    rows = plain.select("*", *kind_of(plain, "text"))
     added = StructType.fromDDL("__script string, __chars double, __entropy double, __size int")
     schema = StructType([*rows.schema, *added])
     found = materialize(rows.mapInArrow(passing, schema), "quality-passing")
-    return found.join(fences(found), KIND).where(INSIDE).select(*(f"`{c}`" for c in docs.columns))
+    return found.join(fences(found), KIND).where(INSIDE).select(*names).toDF(*docs.columns)

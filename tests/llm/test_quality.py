@@ -39,3 +39,11 @@ def test_copies_do_not_narrow_their_kind(judged):
     again = quality(docs.unionByName(many), PATH).where(F.col("doc_id") != one)
     other = rows.where(F.col("doc_id") != one)
     assert again.select("doc_id", "kept").exceptAll(other.select("doc_id", "kept")).count() == 0
+
+
+def test_extra_columns_keep_their_names(small):
+    text = " ".join(f"word{i} of a plain text" for i in range(30))
+    docs = small([(1, text, "en", "k"), (2, None, None, None)], "doc_id bigint, text string, lang string, `a.b` string")
+    kept = keep_quality(docs, PATH)
+    assert kept.columns == docs.columns
+    assert all(r["a.b"] == "k" for r in kept.collect())
