@@ -5,13 +5,15 @@ each language. The script of a word narrows its candidates to languages written
 in it. Viterbi over the words, with a penalty for each switch, labels spans.
 
 Texts of a block are one sequence of words in which switching is free at the
-first word of a text. The sequence is cut into stretches of equal length that are
-solved side by side for every entering language, chained, and traced back.
+first word of a text. The sequence is gone through in windows whose memory does not
+depend on the number of languages. With few languages a window is cut into stretches of
+equal length that are solved side by side for every entering language, chained, and
+traced back; with many it is one stretch.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -27,11 +29,14 @@ UNDETERMINED = "und"
 BUCKETS = 1 << 15
 GRAMS = (1, 2, 3, 4)
 SAMPLE_PER_LANG = 3_000
-MAX_LANGS = 200
 SWITCH_PENALTY = 8.0
 SCRIPT_SHARE = 0.01
 NOT_CANDIDATE = -50.0
 STRETCH = 512
+# Above so many languages, trying every entering one costs more than going word by word.
+SIDE_BY_SIDE = 64
+WINDOW_CELLS = 4_000_000  # words x languages of a window
+GATHERED_CELLS = 500_000  # words x languages scored at once
 
 PREDICTED = (
     "doc_id bigint, lang_pred string, score double, n_words bigint, "
@@ -78,17 +83,22 @@ def word_features(words: list[str]) -> tuple[list[tuple[np.ndarray, np.ndarray]]
 
 
 def sampled(docs: DataFrame, per_lang: int) -> tuple[list[str], DataFrame]:
-    """The languages, and about ``per_lang`` labelled rows of each, by a hash of the text."""
-    labelled = docs.where("lang IS NOT NULL AND text IS NOT NULL")
-    counts = labelled.groupBy("lang").count().limit(MAX_LANGS + 1).collect()
-    if len(counts) > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages")
-    known = {r["lang"]: r["count"] for r in counts}
-    if not known:
-        return [], labelled
-    share = F.create_map(*(F.lit(x) for k, n in known.items() for x in (k, per_lang / n)))
-    place = F.pmod(F.xxhash64("text"), F.lit(1_000_000)) / 1_000_000
-    return sorted(known), labelled.where(place < share[F.col("lang")])
+    """The languages, and about ``per_lang`` distinct labelled texts of each, by a hash of the text.
+
+    A text that repeats in a language is one text, whatever the number of its copies.
+    """
+    labelled = docs.where("lang IS NOT NULL AND text IS NOT NULL").withColumn(
+        "place", F.xxhash64("text")
+    )
+    counts = labelled.select("lang", "place").distinct().groupBy("lang").count().collect()
+    if not counts:
+        return [], labelled.select("text", "lang")
+    # Hashes are spread over all 64 bits; those below a language's bound are drawn.
+    bounds = {r["lang"]: (per_lang << 64) // r["count"] - (1 << 63) for r in counts}
+    most = (1 << 63) - 1
+    bound = F.create_map(*(F.lit(x) for k, at in bounds.items() for x in (k, min(at, most))))
+    drawn = labelled.where(F.col("place") <= bound[F.col("lang")])
+    return sorted(bounds), drawn.dropDuplicates(["lang", "place"]).select("text", "lang")
 
 
 def train(
@@ -99,9 +109,10 @@ def train(
 ) -> LanguageModel:
     """A model of the languages of labelled texts.
 
-    It is fitted on about ``per_lang`` texts of each language, drawn by a hash
+    It is fitted on about ``per_lang`` distinct texts of each language, drawn by a hash
     over all of them; whole texts are counted. Rows without text or language
-    teach nothing. What reaches the driver is a table of languages x buckets.
+    teach nothing, an empty table gives a model without languages. What reaches the
+    driver is a table of languages x buckets, 256 KB a language; there is no most.
     """
     rows = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     langs, rows = sampled(rows, per_lang)
@@ -149,43 +160,58 @@ def train(
 
 def word_scores(words: list[str], model: LanguageModel, script: np.ndarray) -> np.ndarray:
     """Scores of distinct words in each language, the best 0."""
-    grams, first = word_features(words)
+    step = max(1, GATHERED_CELLS // len(model.langs))
     scores = np.zeros((len(words), len(model.langs)))
-    for bucket, count in grams:
-        some = count > 0
-        start = (np.cumsum(count) - count)[some]
-        scores[some] += np.add.reduceat(model.weights[bucket], start, axis=0)
-    scores /= len(GRAMS)
-    fits = model.candidates[script[first]]
-    scores = np.where(fits, scores, -np.inf)
-    scores[~fits.any(1)] = 0
-    scores -= scores.max(1, keepdims=True)
+    for at in range(0, len(words), step):
+        grams, first = word_features(words[at : at + step])
+        held = scores[at : at + step]
+        for bucket, count in grams:
+            some = count > 0
+            start = (np.cumsum(count) - count)[some]
+            held[some] += np.add.reduceat(model.weights[bucket], start, axis=0)
+        held /= len(GRAMS)
+        fits = model.candidates[script[first]]
+        held[~fits] = -np.inf
+        held[~fits.any(1)] = 0
+        held -= held.max(1, keepdims=True)
     return np.maximum(scores, NOT_CANDIDATE)
 
 
-def viterbi(scores: np.ndarray, penalty: np.ndarray) -> np.ndarray:
-    """Best labels of a sequence, where entering row ``i`` in another label costs ``penalty[i]``."""
+class Trace(NamedTuple):
+    """What leads back through a window: where switches pay, and from which label."""
+
+    switched: np.ndarray  # length x stretches x labels
+    source: np.ndarray  # length x stretches
+    before: np.ndarray  # stretches x labels, the label that enters the stretch
+    n: int
+
+
+def forward(
+    scores: np.ndarray, penalty: np.ndarray, entering: np.ndarray
+) -> tuple[np.ndarray, Trace]:
+    """The best sums that leave a window in each label, given those that enter it."""
     n, k = scores.shape
-    if not n:
-        return np.zeros(0, np.int64)
-    length = max(min(STRETCH, n), -(-n * k * k // 4_000_000))
+    length = n
+    if k <= SIDE_BY_SIDE:
+        length = max(min(STRETCH, n), -(-n * k * k // 4_000_000))
     parts = -(-n // length)
     score = np.zeros((parts * length, k))
-    cost = np.zeros(parts * length)
+    cost = np.full(parts * length, np.inf)  # no switches behind the end
     score[:n], cost[:n] = scores, penalty
     score = score.reshape(parts, length, k).transpose(1, 0, 2).copy()
     cost = cost.reshape(parts, length).T.copy()
-    # Best sum of each stretch from every entering to every leaving label.
-    best = np.where(np.eye(k, dtype=bool), 0.0, -1e9)[None].repeat(parts, 0)
-    for t in range(length):
-        best = np.maximum(best, best.max(2, keepdims=True) - cost[t][:, None, None])
-        best += score[t][:, None, :]
-    entering = np.zeros((parts, k))
-    for part in range(parts - 1):
-        left = (entering[part][:, None] + best[part]).max(0)
-        entering[part + 1] = left - left.max()
-    # Once more with what really enters, noting where switches pay.
-    value = entering
+    value = np.zeros((parts, k))
+    value[0] = entering
+    if parts > 1:
+        # Best sum of each stretch from every entering to every leaving label.
+        best = np.where(np.eye(k, dtype=bool), 0.0, -1e9)[None].repeat(parts, 0)
+        for t in range(length):
+            best = np.maximum(best, best.max(2, keepdims=True) - cost[t][:, None, None])
+            best += score[t][:, None, :]
+        for part in range(parts - 1):
+            left = (value[part][:, None] + best[part]).max(0)
+            value[part + 1] = left - left.max()
+    # With what really enters, noting where switches pay.
     switched = np.zeros((length, parts, k), bool)
     source = np.zeros((length, parts), np.int64)
     for t in range(length):
@@ -193,19 +219,53 @@ def viterbi(scores: np.ndarray, penalty: np.ndarray) -> np.ndarray:
         other = value.max(1) - cost[t]
         switched[t] = other[:, None] > value
         value = np.where(switched[t], other[:, None], value) + score[t]
-    rows = np.arange(parts)
     before = np.arange(k)[None].repeat(parts, 0)
-    for t in range(length - 1, -1, -1):
-        before = np.where(switched[t][rows[:, None], before], source[t][:, None], before)
+    if parts > 1:
+        for t in range(length - 1, -1, -1):
+            rows = np.arange(parts)[:, None]
+            before = np.where(switched[t][rows, before], source[t][:, None], before)
+    return value[-1], Trace(switched, source, before, n)
+
+
+def backward(trace: Trace, leaving: int) -> tuple[np.ndarray, int]:
+    """The labels of a window that leaves in ``leaving``, and the label that enters it."""
+    length, parts, _ = trace.switched.shape
+    rows = np.arange(parts)
     last = np.zeros(parts, np.int64)
-    last[-1] = value[-1].argmax()
+    last[-1] = leaving
     for part in range(parts - 1, 0, -1):
-        last[part - 1] = before[part, last[part]]
+        last[part - 1] = trace.before[part, last[part]]
     labels = np.zeros((length, parts), np.int64)
     for t in range(length - 1, -1, -1):
         labels[t] = last
-        last = np.where(switched[t][rows, last], source[t], last)
-    return labels.T.reshape(-1)[:n]
+        last = np.where(trace.switched[t][rows, last], trace.source[t], last)
+    return labels.T.reshape(-1)[: trace.n], int(last[0])
+
+
+def viterbi(
+    scores: Callable[[int, int], np.ndarray], penalty: np.ndarray, n_labels: int
+) -> np.ndarray:
+    """Best labels of a sequence, where entering row ``i`` in another label costs ``penalty[i]``.
+
+    ``scores(a, b)`` gives rows ``a`` to ``b``. Windows are gone through forwards for
+    the sums that enter them, then backwards for their labels.
+    """
+    n, step = len(penalty), max(1, WINDOW_CELLS // max(1, n_labels))
+    labels = np.zeros(n, np.int64)
+    starts = list(range(0, n, step))
+    entering = [np.zeros(n_labels)]
+    trace = None
+    for a in starts:
+        b = min(a + step, n)
+        left, trace = forward(scores(a, b), penalty[a:b], entering[-1])
+        entering.append(left - left.max())
+    last = int(entering[-1].argmax()) if n else 0
+    for i in range(len(starts) - 1, -1, -1):
+        a, b = starts[i], min(starts[i] + step, n)
+        if i < len(starts) - 1:
+            trace = forward(scores(a, b), penalty[a:b], entering[i])[1]
+        labels[a:b], last = backward(trace, last)
+    return labels
 
 
 def predict(
@@ -221,7 +281,8 @@ def predict(
     their share. A text that is null or has no letter is ``und`` with score 0 and
     no spans, as is every text if nothing was learned. One row per input row.
     """
-    known = docs.sparkSession.sparkContext.broadcast(model)
+    # Plain values: a class would have to be importable where they are unpickled.
+    known = docs.sparkSession.sparkContext.broadcast(tuple(model))
     letters_type = pa.list_(
         pa.struct(
             [("lang", pa.string()), ("first_word", pa.int64()), ("n_words", pa.int64()),
@@ -230,7 +291,7 @@ def predict(
     )
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, script = known.value, script_table()
+        model, script = LanguageModel(*known.value), script_table()
         langs = model.langs
         for block in blocks(batches, "text"):
             words, sizes = letter_words(block.column("text"))
@@ -238,12 +299,17 @@ def predict(
             n = block.num_rows
             found, score, spans = [UNDETERMINED] * n, [0.0] * n, [[] for _ in range(n)]
             if len(words) and langs:
-                scores = word_scores(coded.dictionary.to_pylist(), model, script)
+                number = coded.indices.to_numpy()
+
+                def scores(a: int, b: int, number=number, known_words=coded.dictionary) -> np.ndarray:
+                    own, place = np.unique(number[a:b], return_inverse=True)
+                    return word_scores(known_words.take(pa.array(own)).to_pylist(), model, script)[place]
+
                 letters = pc.utf8_length(words).to_numpy().astype(np.int64)
                 begin = np.cumsum(sizes) - sizes
                 penalty = np.full(len(words), switch_penalty)
                 penalty[begin[sizes > 0]] = 0.0
-                labels = viterbi(scores[coded.indices.to_numpy()], penalty)
+                labels = viterbi(scores, penalty, len(langs))
                 doc = np.repeat(np.arange(n), sizes)
                 share = np.bincount(doc * len(langs) + labels, letters, n * len(langs))
                 share = share.reshape(n, len(langs))
@@ -289,7 +355,13 @@ def held_out(doc_id: Column) -> Column:
 
 
 def identify(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG) -> DataFrame:
-    """Learns from the documents that are not held out and predicts all."""
+    """Learns from the documents that are not held out and predicts all.
+
+    One row per row of ``docs``, repeated ones included. A null doc_id is not held out
+    and stays null; null and empty texts are ``und`` with score 0 and teach nothing; equal
+    texts in a language are learned from once; an empty table gives an empty result.
+    Columns other than doc_id, text and lang have no part in it.
+    """
     model = train(docs.where(~held_out(F.col("doc_id"))), per_lang=per_lang)
     return predict(docs, model).select(
         "doc_id",
