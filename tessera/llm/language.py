@@ -35,7 +35,7 @@ NOT_CANDIDATE = -50.0
 STRETCH = 512
 # Above so many languages, trying every entering one costs more than going word by word.
 SIDE_BY_SIDE = 64
-WINDOW_CELLS = 4_000_000  # words x languages of a window
+WINDOW_CELLS = 8_000_000  # words x languages of a window
 GATHERED_CELLS = 500_000  # words x languages scored at once
 
 PREDICTED = (
@@ -302,8 +302,10 @@ def predict(
                 number = coded.indices.to_numpy()
 
                 def scores(a: int, b: int, number=number, known_words=coded.dictionary) -> np.ndarray:
-                    own, place = np.unique(number[a:b], return_inverse=True)
-                    return word_scores(known_words.take(pa.array(own)).to_pylist(), model, script)[place]
+                    held = np.zeros(len(known_words), bool)
+                    held[number[a:b]] = True
+                    own = known_words.filter(pa.array(held)).to_pylist()
+                    return word_scores(own, model, script)[(np.cumsum(held) - 1)[number[a:b]]]
 
                 letters = pc.utf8_length(words).to_numpy().astype(np.int64)
                 begin = np.cumsum(sizes) - sizes
