@@ -1,14 +1,17 @@
-"""Feature vectors from batches, with model weights broadcast once.
+"""Feature vectors from batches, with model weights shared once.
 
 A model is a function ``model_fn(weights) -> predict`` where ``predict`` maps an
 array whose first axis is the batch to an array of the same first axis. It is called
-once per Python task, on the broadcast weights, and its result is reused for every
-batch of that task. The broadcast handle travels in the closure of the UDF.
+once per Python task, on the shared weights, and its result is reused for every
+batch of that task. The handle of the weights travels in the closure of the UDF.
+
+What the model is given at once is bounded by rows and by bytes of payload: decoded
+pixels are held until either bound is reached, and a larger image is a batch of its own.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from typing import Any
 
 import numpy as np
@@ -23,6 +26,9 @@ from tessera.operators.pixels import (
     resize_all,
     scale_pixels,
 )
+from tessera.operators.weights import shared_weights
+
+BATCH_BYTES = 64 << 20
 
 Predict = Callable[[np.ndarray], np.ndarray]
 ModelFn = Callable[[Any], Predict]
@@ -59,26 +65,50 @@ def pooled_model(weights: Sequence[np.ndarray]) -> Predict:
     return predict
 
 
+def bounded_batches(
+    inputs: Iterable[tuple[int, np.ndarray]], batch_rows: int, batch_bytes: int
+) -> Iterator[tuple[list[int], list[np.ndarray]]]:
+    """Row numbers and arrays, ``batch_rows`` and ``batch_bytes`` at most, or one larger array.
+
+    ``inputs`` is read as batches are asked for: besides the batch, one array is held.
+    """
+    if batch_rows < 1 or batch_bytes < 1:
+        raise ValueError("a batch holds one row and one byte at least")
+    rows: list[int] = []
+    held: list[np.ndarray] = []
+    size = 0
+    for row, array in inputs:
+        if rows and (len(rows) == batch_rows or size + array.nbytes > batch_bytes):
+            yield rows, held
+            rows, held, size = [], [], 0
+        rows.append(row)
+        held.append(array)
+        size += array.nbytes
+    if rows:
+        yield rows, held
+
+
 def _in_batches(
     predict: Predict,
-    load: Callable[[int, int], tuple[np.ndarray, np.ndarray]],
+    prepare: Callable[[list[np.ndarray]], np.ndarray],
+    inputs: Iterable[tuple[int, np.ndarray]],
     total: int,
     batch_rows: int,
+    batch_bytes: int,
 ) -> pd.Series:
-    """Vectors for ``total`` rows; at most ``batch_rows`` inputs are held at a time.
-
-    ``load(start, stop)`` gives the inputs that could be read and their row numbers.
-    """
+    """Vectors for ``total`` rows, null where ``inputs`` has none."""
     vectors = np.empty(total, dtype=object)
-    for start in range(0, total, batch_rows):
-        inputs, rows = load(start, min(start + batch_rows, total))
-        if len(rows):
-            flat = np.asarray(predict(inputs)).reshape(len(rows), -1)
-            for row, vector in zip(rows, flat):
-                vectors[row] = vector
+    for rows, held in bounded_batches(inputs, batch_rows, batch_bytes):
+        flat = np.asarray(predict(prepare(held))).reshape(len(rows), -1)
+        for row, vector in zip(rows, flat):
+            vectors[row] = vector
     return pd.Series(vectors)
 
 
+def _network_input(images: list[np.ndarray]) -> np.ndarray:
+    return scale_pixels(resize_all(images))
+
+
 def vector_features(
     df: DataFrame,
     column: str,
@@ -87,23 +117,18 @@ def vector_features(
     *,
     element: str = "float",
     batch_rows: int = 4096,
+    batch_bytes: int = BATCH_BYTES,
     keep: Sequence[str] = ("path", "label"),
 ) -> DataFrame:
     """``path, label, features`` from an array column; a null vector stays null."""
-    shared = df.sparkSession.sparkContext.broadcast(weights)
+    shared = shared_weights(df.sparkSession, weights)
 
     @F.pandas_udf(f"array<{element}>")
     def infer(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         predict = model_fn(shared.value)
         for batch in batches:
-
-            def load(start: int, stop: int, batch=batch):
-                part = batch.iloc[start:stop]
-                kept = part[part.notna()]
-                rows = np.flatnonzero(part.notna()) + start
-                return (np.stack(kept.to_numpy()) if len(kept) else np.empty(0)), rows
-
-            yield _in_batches(predict, load, len(batch), batch_rows)
+            given = ((row, vector) for row, vector in enumerate(batch) if vector is not None)
+            yield _in_batches(predict, np.stack, given, len(batch), batch_rows, batch_bytes)
 
     return df.select(*keep, infer(column).alias("features"))
 
@@ -116,6 +141,7 @@ def image_features(
     on_error: str = "null",
     partitions: int | None = None,
     batch_rows: int = 64,
+    batch_bytes: int = BATCH_BYTES,
     keep: Sequence[str] = ("path", "label"),
 ) -> DataFrame:
     """``path, label, features`` from decoded images (an ``image`` struct column).
@@ -137,7 +163,7 @@ def image_features(
         pixels = F.when(readable, pixels).otherwise(
             F.raise_error(F.concat(F.lit("not a readable image: "), F.col(keep[0]))).cast("binary")
         )
-    shared = images.sparkSession.sparkContext.broadcast(weights)
+    shared = shared_weights(images.sparkSession, weights)
 
     @F.pandas_udf("array<float>")
     def infer(
@@ -145,13 +171,8 @@ def image_features(
     ) -> Iterator[pd.Series]:
         predict = model_fn(shared.value)
         for heights, widths, channels, data in batches:
-
-            def load(start: int, stop: int, columns=(heights, widths, channels, data)):
-                part = [column.iloc[start:stop].to_numpy() for column in columns]
-                decoded, rows = pixels_from_rows(*part)
-                return scale_pixels(resize_all(decoded)), rows + start
-
-            yield _in_batches(predict, load, len(data), batch_rows)
+            given = pixels_from_rows(heights, widths, channels, data)
+            yield _in_batches(predict, _network_input, given, len(data), batch_rows, batch_bytes)
 
     features = infer(
         F.col("image.height"), F.col("image.width"), F.col("image.nChannels"), pixels
@@ -166,6 +187,7 @@ def content_features(
     *,
     decode: Callable[[bytes], np.ndarray],
     batch_rows: int = 64,
+    batch_bytes: int = BATCH_BYTES,
     keep: Sequence[str] = ("path", "label"),
 ) -> DataFrame:
     """``path, label, features, error`` from a binary ``content`` column.
@@ -174,7 +196,7 @@ def content_features(
     or raises ``ValueError``. A row that cannot be decoded has no
     features and says why in ``error``; errors of the model itself fail the job.
     """
-    shared = images.sparkSession.sparkContext.broadcast(weights)
+    shared = shared_weights(images.sparkSession, weights)
 
     @F.pandas_udf("features array<float>, error string")
     def infer(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -182,17 +204,18 @@ def content_features(
         for batch in batches:
             errors = np.empty(len(batch), dtype=object)
 
-            def load(start: int, stop: int, batch=batch, errors=errors):
-                decoded, rows = [], []
-                for row, content in enumerate(batch.iloc[start:stop], start):
+            def decoded(batch=batch, errors=errors) -> Iterator[tuple[int, np.ndarray]]:
+                for row, content in enumerate(batch):
                     try:
-                        decoded.append(decode(content))
-                        rows.append(row)
+                        pixels = decode(content)
                     except ValueError as error:
                         errors[row] = str(error)
-                return scale_pixels(resize_all(decoded)), np.array(rows, dtype=int)
+                        continue
+                    yield row, pixels
 
-            features = _in_batches(predict, load, len(batch), batch_rows)
+            features = _in_batches(
+                predict, _network_input, decoded(), len(batch), batch_rows, batch_bytes
+            )
             yield pd.DataFrame({"features": features, "error": errors})
 
     return images.select(*keep, infer("content").alias("out")).select(*keep, "out.*")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 
@@ -12,14 +12,13 @@ FEATURE_WIDTH = 1280
 
 
 def pixels_from_rows(
-    heights: np.ndarray, widths: np.ndarray, channels: np.ndarray, data: np.ndarray
-) -> tuple[list[np.ndarray], np.ndarray]:
-    """RGB arrays of the rows that were decoded, and the numbers of those rows.
+    heights: Iterable, widths: Iterable, channels: Iterable, data: Iterable
+) -> Iterator[tuple[int, np.ndarray]]:
+    """Numbers of the rows that were decoded, and their RGB arrays, one after the other.
 
     The image source stores blue first; grey images get three equal channels and a
     fourth, alpha, is dropped.
     """
-    decoded, rows = [], []
     for row, (height, width, depth, raw) in enumerate(zip(heights, widths, channels, data)):
         if raw is None or not height > 0:
             continue
@@ -28,9 +27,7 @@ def pixels_from_rows(
             pixels = np.repeat(pixels, 3, axis=2)
         else:
             pixels = pixels[:, :, 2::-1]
-        decoded.append(pixels)
-        rows.append(row)
-    return decoded, np.array(rows, dtype=int)
+        yield row, pixels
 
 
 def scale_pixels(pixels: np.ndarray) -> np.ndarray:

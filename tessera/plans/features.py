@@ -13,9 +13,11 @@ from tessera.operators.features import (
     vector_features as features_of_vectors,
 )
 from tessera.operators.pixels import FEATURE_WIDTH
+from tessera.operators.weights import mapped_weights
 from tessera.plans.registry import query, table
 from tessera.sinks import write_parquet
-from tessera.sources import read_parquet
+from tessera.sinks.files import write_files
+from tessera.sources import listed_images, read_parquet
 from tessera.workspace import scratch_path
 
 COMPONENTS = 4
@@ -51,6 +53,21 @@ def vector_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.select("vec_id", "label", *_components(features))
 
 
+@query(f"SELECT vec_id, label, {_COMPONENT_SQL} FROM embeddings")
+def vector_features_mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The weights are a file that the workers of an executor map."""
+    features = features_of_vectors(
+        table(spark, sf_dir, "embeddings"),
+        "embedding",
+        mapped_weights(spark, small_weights()),
+        linear_model,
+        element="double",
+        batch_bytes=64 * 1024,
+        keep=["vec_id", "label"],
+    )
+    return features.select("vec_id", "label", *_components(features))
+
+
 def labelled_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``path, label, embedding`` with the label taken from a path of class and id."""
     vectors = table(spark, sf_dir, "embeddings").select(
@@ -163,6 +180,78 @@ def image_bytes_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Pixels of the resized image whose cubic weights are multiples of 1/1024, hence exact.
+PROBED = (45, 101, 171)
+
+
+def probe_model(weights: list[np.ndarray]):
+    """The first channel at each pair of the given rows and columns, as 0..255."""
+    at = weights[0]
+    return lambda batch: np.rint((batch[:, at[:, None], at[None, :], 0] + 1) * 127.5)
+
+
+@query(
+    f"""
+    WITH taps AS (
+        SELECT x, c, CASE WHEN d < 1 THEN 1.5 * d ** 3 - 2.5 * d ** 2 + 1
+                          WHEN d < 2 THEN -0.5 * d ** 3 + 2.5 * d ** 2 - 4 * d + 2
+                          ELSE 0 END AS w
+        FROM (SELECT x, c, abs((c + 0.5::double) - (x + 0.5::double) * 8 / 224) AS d
+              FROM (SELECT unnest({list(PROBED)}) AS x), range(8) AS t(c))
+    ), files AS (
+        SELECT * FROM embeddings WHERE vec_id % 5 <> 0
+    ), pixels AS (
+        SELECT vec_id, i // 8 AS r, i % 8 AS c,
+               least(abs(round_even(embedding[i + 1]::double * 255, 0)), 255) AS shade
+        FROM files, range(64) AS t(i) WHERE vec_id % 17 <> 0
+    ), across AS (
+        SELECT vec_id, r, x, least(greatest(round_even(sum(w * shade), 0), 0), 255) AS shade
+        FROM pixels JOIN taps USING (c) GROUP BY ALL
+    ), whole AS (
+        SELECT vec_id, t.x AS y, a.x, least(greatest(round_even(sum(w * shade), 0), 0), 255) AS shade
+        FROM across AS a JOIN taps AS t ON a.r = t.c GROUP BY ALL
+    ), probed AS (
+        SELECT vec_id, string_agg(cast(cast(shade AS integer) AS varchar), ' ' ORDER BY y, x) AS probed
+        FROM whole GROUP BY vec_id
+    )
+    SELECT vec_id, 'class ' || label AS label, probed,
+           CASE WHEN vec_id % 17 = 0 THEN 'not a grey square' END AS error
+    FROM files LEFT JOIN probed USING (vec_id)
+    """
+)
+def image_file_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files in folders of classes: listed by a glob, some cut short, 8 x 8 resized to 224 x 224."""
+    shades = F.transform(
+        "embedding",
+        lambda x: F.lpad(
+            F.hex(F.least(F.abs(F.bround(x.cast("double") * 255)), F.lit(255)).cast("int")), 2, "0"
+        ),
+    )
+    pixels = F.concat(F.lit("08"), F.array_join(shades, ""))
+    ending = F.when(F.col("vec_id") % 5 == 0, "raw").otherwise("grey")
+    files = table(spark, sf_dir, "embeddings").select(
+        F.format_string("class %s/%s.%s", "label", "vec_id", ending).alias("name"),
+        F.unhex(F.when(F.col("vec_id") % 17 == 0, F.substring(pixels, 1, 40)).otherwise(pixels)).alias(
+            "content"
+        ),
+    )
+    root = scratch_path(spark, "image-files")
+    write_files(files, root)
+    features = content_features(
+        listed_images(spark, root, "*.grey"),
+        [np.array(PROBED)],
+        probe_model,
+        decode=decode_square,
+        batch_bytes=1 << 20,
+    )
+    return features.select(
+        F.regexp_extract("path", r"([0-9]+)\.grey$", 1).cast("bigint").alias("vec_id"),
+        "label",
+        F.array_join(F.transform("features", lambda x: x.cast("int").cast("string")), " ").alias("probed"),
+        "error",
+    )
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Path to label, batch inference with broadcast weights, check of every vector."""
     wide = [np.random.default_rng(42).normal(size=(FEATURE_WIDTH, VECTOR_WIDTH))]

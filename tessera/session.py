@@ -22,6 +22,7 @@ def get_session(
     case_sensitive: bool | None = None,
     legacy_parquet: bool = False,
     arrow_batch_rows: int | None = None,
+    arrow_batch_bytes: int | None = None,
 ) -> SparkSession:
     """Get or create the session; ``conf`` wins over every named option."""
     settings = dict(SESSION_DEFAULTS)
@@ -31,6 +32,8 @@ def get_session(
         settings["spark.sql.parquet.writeLegacyFormat"] = "true"
     if arrow_batch_rows is not None:
         settings["spark.sql.execution.arrow.maxRecordsPerBatch"] = str(arrow_batch_rows)
+    if arrow_batch_bytes is not None:
+        settings["spark.sql.execution.arrow.maxBytesPerBatch"] = str(arrow_batch_bytes)
     settings.update(conf or {})
 
     builder = SparkSession.builder.appName(app_name)

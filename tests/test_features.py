@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 import sys
 
 import numpy as np
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from images import LABELS, draw_image, draw_tree
 from tessera import sinks, sources
-from tessera.operators import features, pixels
+from tessera.operators import features, pixels, weights
 from tessera.operators.profile import vector_length_check
 
 # The models below travel to the workers with the UDF.
@@ -158,3 +159,128 @@ def test_inference_runs_once_per_row(spark):
     used = table.select(F.size("features"), F.element_at("features", 1))
     plan = used._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
+
+
+@pytest.mark.parametrize("batch_rows", [1, 3, 100])
+def test_batches_are_bounded_by_rows_and_bytes(batch_rows):
+    draw = np.random.default_rng(batch_rows)
+    sizes = [*draw.integers(0, 400, 60), 5_000, 1, 1_000, 1, 1_000, 999, 1]
+    arrays = [np.zeros(size, np.uint8) for size in sizes]
+    batches = list(features.bounded_batches(enumerate(arrays), batch_rows, 1_000))
+    assert [row for rows, _ in batches for row in rows] == list(range(len(sizes)))
+    for rows, held in batches:
+        assert len(rows) == len(held) <= batch_rows
+        assert len(rows) == 1 or sum(a.nbytes for a in held) <= 1_000
+    for (rows, held), (_, after) in zip(batches, batches[1:]):
+        assert len(rows) == batch_rows or sum(a.nbytes for a in held) + after[0].nbytes > 1_000
+
+
+def test_inputs_are_read_as_batches_are_taken():
+    read = []
+
+    def inputs():
+        for row in range(100):
+            read.append(row)
+            yield row, np.zeros(10, np.uint8)
+
+    batches = features.bounded_batches(inputs(), 100, 50)
+    next(batches)
+    assert len(read) == 6
+    assert list(features.bounded_batches([], 1, 1)) == []
+    with pytest.raises(ValueError):
+        next(features.bounded_batches(inputs(), 0, 1))
+
+
+def wide_decode(content: bytes) -> np.ndarray:
+    """A height of eight bytes, an image of 1,000 columns."""
+    return np.full((int.from_bytes(content[:8], "little"), 1000, 3), content[8], np.uint8)
+
+
+def count_model(weights):
+    """How many images the model was given at once, and the mean shade of each."""
+    return lambda batch: np.stack(
+        [np.full(len(batch), len(batch)), np.rint((batch.mean(axis=(1, 2, 3)) + 1) * 127.5)], axis=1
+    )
+
+
+def test_images_of_one_kilobyte_to_fifty_megabytes(spark):
+    """3 KB to 50 MB of pixels: at most 30 MB go into a batch, or one larger image."""
+    heights = [1, 1, 16_700, 1, 3_000, 7_000, 3_000, 1, 10_000, 16_700, 1, 1, 1]
+    rows = [(i, h.to_bytes(8, "little") + bytes([10 + i])) for i, h in enumerate(heights)]
+    stored = spark.createDataFrame(rows, "id long, content binary").coalesce(1)
+    table = features.content_features(
+        stored, [], count_model, decode=wide_decode, batch_bytes=30_000_000, keep=["id"]
+    )
+    got = {r.id: r.features for r in table.collect()}
+    assert [got[i][0] for i in range(13)] == [2, 2, 1, 2, 2, 2, 2, 1, 1, 1, 3, 3, 3]
+    assert [got[i][1] for i in range(13)] == [10 + i for i in range(13)]
+
+
+def test_arrow_batches_are_bounded_by_bytes(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    rows = spark.range(0, 200, 1, 1).select("id", F.expr("cast(repeat('x', 100000) AS binary)").alias("content"))
+
+    @F.pandas_udf("long")
+    def held(content):
+        import pandas as pd
+
+        return pd.Series([sum(map(len, content))] * len(content))
+
+    def most():
+        return max(r[0] for r in rows.select(held("content")).collect())
+
+    assert most() == 20_000_000
+    before = spark.conf.get(name)
+    spark.conf.set(name, "1000000")
+    try:
+        assert most() <= 1_200_000
+    finally:
+        spark.conf.set(name, before)
+
+
+def mapped_pages():
+    """Process and mapped file of each worker, and the weights as they see them."""
+
+    def model_fn(arrays):
+        base = arrays[0]
+        while not isinstance(base, np.memmap) or isinstance(base.base, np.memmap):
+            base = base.base
+        inode = os.stat(base.filename).st_ino
+        total = float(sum(a.sum() for a in arrays))
+        with open("/proc/self/maps") as maps:
+            shared = sum(line.split()[4] == str(inode) for line in maps)
+        return lambda batch: np.tile([os.getpid(), inode, shared, total], (len(batch), 1))
+
+    return model_fn
+
+
+def test_two_workers_map_one_file(spark):
+    arrays = [np.arange(3_000_000, dtype=np.float32), np.ones((2, 3), np.int64), np.ones(5)[::2]]
+    handle = weights.shared_weights(spark, arrays)
+    assert isinstance(handle, weights.MappedWeights)
+    assert weights.mapped_weights(spark, arrays).name == handle.name
+    df = spark.range(0, 64, 1, 8).select("id", F.array(F.col("id").cast("double")).alias("v"))
+    seen = [
+        r.features
+        for r in features.vector_features(
+            df, "v", handle, mapped_pages(), element="double", keep=["id"]
+        ).collect()
+    ]
+    assert len(seen) == 64
+    assert len({r[0] for r in seen}) > 1
+    assert len({r[1] for r in seen}) == 1 and all(r[2] >= 1 for r in seen)
+    expected = float(sum(a.sum() for a in arrays))
+    assert all(r[3] == expected for r in seen)
+
+
+def test_small_weights_are_broadcast_and_odd_ones_refused(spark):
+    small = weights.shared_weights(spark, [np.ones(3)])
+    assert not isinstance(small, weights.MappedWeights) and small.value[0].sum() == 3
+    assert weights.shared_weights(spark, small) is small
+    assert weights.shared_weights(spark, {"a": 1}).value == {"a": 1}
+    with pytest.raises(TypeError):
+        weights.mapped_weights(spark, [np.array([object()])])
+    with pytest.raises(ValueError):
+        weights.mapped_weights(spark, [])
+    empty = weights.mapped_weights(spark, [np.ones((0, 3)), np.ones((2, 2), np.int16)])
+    assert [a.shape for a in empty.value] == [(0, 3), (2, 2)]
