@@ -30,6 +30,7 @@ SPACE = "▁"
 ODD = "^ |  |\\x00|" + SPACE
 NO_PAIR = np.iinfo(np.int32).max
 CACHED_SEGMENTS = 400_000
+ENCODED_BYTES = 3 << 20  # text encoded at once; its ids take many times that
 QUEUED_SYMBOLS = 256
 MERGED = 30_000
 
@@ -351,7 +352,7 @@ def encoded_blocks(
 ) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray], SegmentCache]]:
     """Blocks of rows and, for each row, the numbers of the segments of its text."""
     cache = SegmentCache(model)
-    for block in blocks(batches, "text"):
+    for block in blocks(batches, "text", ENCODED_BYTES):
         flat, start, end = model.flat_segments(block.column("text"))
         coded = flat.dictionary_encode()
         known = cache.numbers(coded.dictionary.to_pylist())
