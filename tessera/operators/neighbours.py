@@ -3,8 +3,8 @@
 One numeric feature: donors are numbered along it and looked up by number. Several: donors
 are keyed by a near pivot and their distance to it; by the triangle inequality a row needs
 only those within its k-th distance of its own distance to the pivot, which shrinks from
-round to round. Categories: the features are cut into one group more than may differ, so
-that one group agrees, and rows are looked up by group. Equal distances always go by the
+round to round. Categories: rows are looked up by sets of features, chosen by how telling
+they are, of which all that may be near agree on one. Equal distances always go by the
 donor's key.
 
 ``donors`` has ``grp, x, donor, y``: the k donors of lowest key for each distinct ``grp, x``,
@@ -16,6 +16,9 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from functools import reduce
+from itertools import combinations
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -33,6 +36,11 @@ RING_ROWS = 512
 FANS = (16, 128, None)
 BLOCK_BYTES = 16 << 20
 
+# Of a round over categories: microseconds for a row of a set that is sent, for a pair that
+# meets, for one that is near, and for the round itself; sets that a row may be sent for.
+ROW_SENT, PAIR_MET, PAIR_FOUND, ROUND = 1.5, 0.02, 3.0, 4e6
+MOST_SETS = 1_000
+
 #: Of blocks of asked and held vectors to a matrix of gaps.
 Measure = Callable[[np.ndarray, np.ndarray], np.ndarray]
 
@@ -345,57 +353,166 @@ def _vectors(asked: pd.Series, held: pd.Series) -> tuple[np.ndarray, np.ndarray]
     return places[: a.size].reshape(a.shape), places[a.size :].reshape(b.shape)
 
 
-def _mismatches(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return (a[:, None, :] != b[None]).sum(axis=2).astype(float)
-
-
 def radii(features: int) -> list[int]:
     """Numbers of differing features that the rounds reach: 0, 1, 3, ... up to two less than all."""
     steps = [2**i - 1 for i in range(features.bit_length() + 1) if 2**i - 1 < features - 2]
     return [*steps, *([features - 2] if features > 1 else [])]
 
 
+def _odds(donors: DataFrame, asked: DataFrame, n: int) -> list[float]:
+    """For each feature the share of all pairs of a row and a donor vector that agree on it."""
+
+    def held(rows: DataFrame, name: str) -> DataFrame:
+        values = rows.select("grp", F.posexplode("x").alias("feature", "value"))
+        return values.groupBy("grp", "feature", "value").agg(F.count(F.lit(1)).cast("double").alias(name))
+
+    met = held(donors, "a").join(held(asked, "b"), ["grp", "feature", "value"])
+    found = {r.feature: r.met for r in met.groupBy("feature").agg(F.sum(F.col("a") * F.col("b")).alias("met")).collect()}
+    return [found.get(i, 0.0) for i in range(n)]
+
+
+def _sums_of_products(odds: list[float]) -> list[float]:
+    """At place j the sum over all j of the features of the chance that these agree."""
+    sums = [1.0]
+    for p in odds:
+        sums = [a + p * b for a, b in zip([*sums, 0.0], [0.0, *sums])]
+    return sums
+
+
+def _within(odds: list[float]) -> list[float]:
+    """At place r the chance that a pair differs in r features at most, were they independent."""
+    exact = [1.0]
+    for p in odds:
+        exact = [a * p + b * (1 - p) for a, b in zip([*exact, 0.0], [0.0, *exact])]
+    return np.cumsum(exact).tolist()
+
+
+class Plan(NamedTuple):
+    """How one round finds the donors within ``radius``: by sets of features that agree."""
+
+    cost: float
+    radius: int
+    sets: tuple[tuple[int, ...], ...]
+    tops: bool  # only the k donors of lowest key that agree on a set are met
+
+
+def _plan(odds: list[float], radius: int, done: int, asked: int, vectors: int, k: int) -> Plan:
+    """The cheapest way to find all that matters within ``radius`` when all within ``done`` are known.
+
+    Of pairs that agree on m features, any j agree at least among the first n - m + j: rows meet
+    the donors that agree with them on such j of the most telling features. Where only the next
+    radius is looked at, they meet the k lowest donors that agree on m features: of a donor that
+    is beyond these in a set, all k come first.
+    """
+    n = len(odds)
+    order = sorted(range(n), key=lambda i: odds[i])
+    least, pairs, plans = n - radius, float(asked) * vectors, []
+    near = pairs * _within(odds)[radius] * PAIR_FOUND
+    for j in range(1, least + 1):
+        first = order[: n - least + j]
+        count = math.comb(len(first), j)
+        if count > MOST_SETS and j > 1:
+            continue
+        met = pairs * _sums_of_products([odds[i] for i in first])[j] * PAIR_MET
+        plans.append((count * (asked + vectors) * ROW_SENT + met + near, j, first, False))
+    count = math.comb(n, least)
+    if radius == done + 1 and count <= MOST_SETS:
+        cost = count * (2 * vectors * ROW_SENT + asked * (ROW_SENT + k * PAIR_FOUND))
+        plans.append((cost, least, order, True))
+    cost, j, first, tops = min(plans)
+    return Plan(cost, radius, tuple(combinations(first, j)), tops)
+
+
+def _next_round(odds: list[float], done: int, asked: int, vectors: int, k: int) -> Plan:
+    """The next of :func:`radii` at which a row is likely to have a donor, or less if that costs much more."""
+    within = _within(odds)
+    steps = [r for r in radii(len(odds)) if r > done]
+    wanted = next((r for r in steps if vectors * within[r] >= 1), steps[-1])
+    plans = [_plan(odds, r, done, asked, vectors, k) for r in range(done + 1, wanted + 1)]
+    return next(p for p in reversed(plans) if p.cost <= max(ROUND, 2 * plans[0].cost) or p is plans[0])
+
+
+def _coded(rows: DataFrame, n: int, name: str) -> DataFrame:
+    """Adds a number, and 16 bits for each feature, four to a word: other bits, other values."""
+    codes = [F.xxhash64(F.col("x")[i]).bitwiseAND(0xFFFF) for i in range(n)]
+    words = [
+        reduce(lambda a, b: a.bitwiseOR(b), (F.shiftleft(c, 16 * i) for i, c in enumerate(codes[at : at + 4])))
+        for at in range(0, n, 4)
+    ]
+    return rows.withColumns({name: F.monotonically_increasing_id(), **{f"w{i}": w for i, w in enumerate(words)}})
+
+
+def _agreeing(donors: DataFrame, asked: DataFrame, n: int, k: int, plan: Plan, tasks: int) -> DataFrame:
+    """``row, vector`` of pairs that may differ in ``plan.radius`` features at most, each once."""
+    words = [f"w{i}" for i in range(-(-n // 4))]
+
+    def keyed(rows: DataFrame, *columns: str) -> DataFrame:
+        own = [F.xxhash64(F.lit(i), "grp", F.col("x")[i]).alias(f"h{i}") for i in range(n)]
+        keys = [reduce(lambda a, b: a.bitwiseXOR(b), (F.col(f"h{i}") for i in chosen)) for chosen in plan.sets]
+        return rows.select(*columns, *own).select(*columns, F.explode(F.array(*keys)).alias("key"))
+
+    held = keyed(donors, "vector", "lowest", *words)
+    if plan.tops:
+        # A set is met by its k lowest, however many agree on it: Spark prunes each task to these.
+        lowest = Window.partitionBy("key").orderBy("lowest")
+        held = held.withColumn("nth", F.row_number().over(lowest)).where(F.col("nth") <= k)
+    # A stated number of tasks: merged by size, the comparisons would run on a few cores.
+    rows = keyed(asked, "row", *words).withColumnsRenamed({w: f"o{w}" for w in words})
+    met = held.drop("lowest", "nth").repartition(tasks, "key").join(rows.repartition(tasks, "key"), "key")
+    apart = [
+        (F.col(f"w{i // 4}").bitwiseXOR(F.col(f"ow{i // 4}")).bitwiseAND(F.shiftleft(F.lit(0xFFFF).cast("long"), 16 * (i % 4))) != 0)
+        for i in range(n)
+    ]
+    return met.where(sum((a.cast("int") for a in apart), F.lit(0)) <= plan.radius).select("row", "vector").distinct()
+
+
 def nearest_by_mismatch(
     donors: DataFrame, asked: DataFrame, k: int, per_task: int = PER_TASK, tally: list[int] | None = None
 ) -> DataFrame:
     """``grp, x, gap, donor, y``: for each ``asked.x`` the k donors that differ in fewest fields.
 
-    Here ``x`` is an array of texts. Of donors that differ in r features at most, one of
-    r + 1 groups of features agrees with the row as a whole: each round looks rows up by
-    the values of such groups, and rows with k donors in reach are done. Beyond all but
-    one feature, only the k donors of lowest key of each value matter, and the k lowest of
-    all: any other is preceded by those. ``tally`` gets the rows asked in each round.
+    Here ``x`` is an array of texts. Each round reaches a number of differing features, see
+    :func:`_plan`, and rows with k donors in reach are done. Beyond all but one feature, only
+    the k donors of lowest key of each value matter, and the k lowest of all: any other is
+    preceded by those. ``tally`` gets the rows asked in each round.
     """
     donors, asked = _grouped(donors), _grouped(asked)
-    packed = materialize(_packed(donors), "knn-donors")
-    open_ = materialize(asked.select("grp", "x"), "knn-asked")
-    vectors, n = packed.agg(F.count(F.lit(1)), F.max(F.size("x"))).first()
-    if not vectors:
+    packed = _packed(donors)
+    n = packed.agg(F.max(F.size("x"))).first()[0]
+    if n is None:
         return packed.select("grp", "x", F.lit(0.0).alias("gap"), F.inline("donors"))
-    asked_now = open_.count()
-    done, best = [], None
-    for radius in radii(n):
+    lowest = F.array_min(F.transform("donors", lambda d: d["donor"]))
+    packed = materialize(_coded(packed.withColumn("lowest", lowest), n, "vector"), "knn-donors")
+    open_ = materialize(_coded(asked.select("grp", "x"), n, "row"), "knn-asked")
+    vectors, asked_now = packed.count(), open_.count()
+    odds = [met / max(1, vectors * asked_now) for met in _odds(packed, open_, n)]
+    done, best, radius = [], None, -1
+    session = packed.sparkSession
+    least = max(int(session.conf.get("spark.sql.shuffle.partitions")), session.sparkContext.defaultParallelism)
+    mismatched = F.size(F.filter(F.zip_with("x", "held", lambda a, b: a != b), lambda d: d)).cast("double")
+    while radius < n - 2 and asked_now:
         if tally is not None:
             tally.append(asked_now)
-        own = [[F.col("x")[i] for i in range(g, n, radius + 1)] for g in range(radius + 1)]
-        by_group = F.inline(
-            F.array(
-                *(
-                    F.struct(F.lit(g).cast("long").alias("cell"), F.xxhash64("grp", *values).alias("part"))
-                    for g, values in enumerate(own)
-                )
-            )
+        plan = _next_round(odds, radius, asked_now, vectors, k)
+        radius = plan.radius
+        tasks = max(least, len(plan.sets) * (asked_now + vectors // 16) // per_task)
+        near = materialize(_agreeing(packed, open_, n, k, plan, tasks), "knn-near")
+        found = (
+            near.join(packed.select("vector", F.col("grp").alias("own"), F.col("x").alias("held"), "donors"), "vector")
+            .join(open_.select("row", "grp", "x"), "row")
+            .select("grp", "x", "own", mismatched.alias("gap"), "donors")
+            .where((F.col("own") == F.col("grp")) & (F.col("gap") <= radius))
+            .select("grp", "x", "gap", F.inline("donors"))
         )
-        celled = packed.select("x", "donors", by_group)
-        visits = open_.select("grp", "x", F.lit(float(radius)).alias("reach"), by_group)
-        found = _look_up(celled, visits, donors, k, _mismatches, per_task, asked_now, vectors)
-        best = materialize(_lowest(found.distinct(), k), "knn-best")
+        if best is not None:
+            found = found.unionByName(best.join(open_, ["grp", "x"], "left_semi")).distinct()
+        best = materialize(_lowest(found, k), "knn-best")
         enough = best.groupBy("grp", "x").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= k)
         done.append(best.join(enough.select("grp", "x"), ["grp", "x"], "left_semi"))
-        open_ = materialize(open_.join(enough, ["grp", "x"], "left_anti"), "knn-open")
+        open_ = materialize(open_.join(enough, ["grp", "x"], "left_anti").select(*open_.columns), "knn-open")
         asked_now = open_.count()
-        if not asked_now:
-            return _union(done)
+    if not asked_now and done:
+        return _union(done)
     if tally is not None:
         tally.append(asked_now)
 

@@ -232,6 +232,67 @@ def test_categories_in_any_number(spark):
     assert jobs[12] <= 12 * max(jobs[3] / 3, 8)
 
 
+def test_weak_categories_do_not_bring_all_pairs_together(spark, monkeypatch):
+    """Features of two or three values beside a few telling ones, in two groups."""
+    draws = random.Random(6)
+    values = (2, 3, 3, 2, 40, 60, 50, 3)
+    rows = {(g, *(str(draws.randrange(v)) for v in values)) for g in (0, 1) for _ in range(2000)}
+    rows = sorted(rows)
+    draws.shuffle(rows)
+    held, asked = rows[:-150], rows[-150:]
+    met = []
+    agreeing = neighbours._agreeing
+
+    def counted(donors, open_, n, k, plan, tasks):
+        pairs = agreeing(donors, open_, n, k, plan, tasks)
+        met.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(neighbours, "_agreeing", counted)
+    found = neighbours.nearest_by_mismatch(
+        spark.createDataFrame([(g, x, i, 0.0) for i, (g, *x) in enumerate(held)], "grp long, x array<string>, donor long, y double"),
+        spark.createDataFrame([(g, x) for g, *x in asked], "grp long, x array<string>"),
+        5,
+    )
+    got = {}
+    for row in found.collect():
+        got.setdefault((row.grp, *row.x), []).append((row.gap, row.donor))
+    for g, *x in asked:
+        want = sorted((float(METRICS["hamming"](x, v)), i) for i, (h, *v) in enumerate(held) if h == g)
+        assert sorted(got[(g, *x)]) == want[:5]
+    assert 0 < sum(met) < 0.1 * len(held) * len(asked)
+
+
+def test_sets_of_categories_meet_a_falling_share_of_the_pairs():
+    odds = [1 / v for v in (25, 150, 50, 90, 90, 10, 3, 5, 7, 11, 13, 17)]
+    shares = []
+    for size in (20_000, 1_200_000, 7_200_000):
+        plan = neighbours._next_round(odds, 3, size // 10, size, 5)
+        shares.append(sum(np.prod([odds[i] for i in chosen]) for chosen in plan.sets))
+    assert shares == sorted(shares, reverse=True) and shares[1] < 0.03
+
+
+@pytest.mark.parametrize("tops", [True, False])
+def test_each_way_to_look_categories_up_is_exact(spark, monkeypatch, tops):
+    monkeypatch.setattr(neighbours, "PAIR_MET", 1e9 if tops else 0.0)
+    monkeypatch.setattr(neighbours, "PAIR_FOUND", 1e-9 if tops else 0.0)
+    draws = random.Random(8)
+    rows = list({tuple(str(draws.randrange(3)) for _ in range(5)) for _ in range(300)})
+    donors = [(list(x), i * 2 + j, 0.0) for i, x in enumerate(rows[20:]) for j in range(2)]
+    asked = [list(x) for x in rows[:20]] + [["9", "9", "1", "1", "9"], ["9"] * 5]
+    found = neighbours.nearest_by_mismatch(
+        spark.createDataFrame(donors, "x array<string>, donor long, y double"),
+        spark.createDataFrame([(x,) for x in asked], "x array<string>"),
+        7,
+    )
+    got = {}
+    for row in found.collect():
+        got.setdefault(tuple(row.x), []).append((row.gap, row.donor))
+    for x in asked:
+        want = sorted((float(METRICS["hamming"](x, v)), d) for v, d, _ in donors)[:7]
+        assert sorted(got[tuple(x)]) == want
+
+
 def partial_distance(metric, width):
     def distance(a, b):
         both = [(i, j) for i, j in zip(a, b) if i is not None and j is not None]
