@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from tessera.sources.files import _store
 from tessera.workspace import materialize
 
+# Folders that a task remembers to have made.
+FOLDERS = 10_000
+
 
 def write_files(rows: DataFrame, root: str, name: str = "name", content: str = "content") -> DataFrame:
     """Each row's ``content`` at ``root/<name>``; returns ``name, path, length`` of what was written.
@@ -22,6 +25,7 @@ def write_files(rows: DataFrame, root: str, name: str = "name", content: str = "
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = set()
         for batch in batches:
             done = []
             for own, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -30,7 +34,10 @@ def write_files(rows: DataFrame, root: str, name: str = "name", content: str = "
                 path = f"{root.rstrip('/')}/{own}"
                 store, inner = _store(path)
                 folder, _, last = inner.rpartition("/")
-                store.create_dir(folder, recursive=True)
+                if folder not in made:
+                    store.create_dir(folder, recursive=True)
+                    if len(made) < FOLDERS:
+                        made.add(folder)
                 attempt = f"{folder}/.{last}.{uuid.uuid4().hex}"
                 try:
                     with store.open_output_stream(attempt, compression=None) as out:

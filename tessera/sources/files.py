@@ -16,6 +16,8 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 
 from tessera.functions.paths import path_label
 
+BATCH_BYTES = 1 << 20
+
 
 def image_files(
     spark: SparkSession, path: str, pattern: str = "*.jpg", recursive: bool = True
@@ -43,15 +45,19 @@ def with_contents(files: DataFrame, path: str = "path") -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in range(batch.num_rows):
-                one = batch.slice(row, 1)
-                name = one.column(path)[0].as_py()
+            held, size, first = [], 0, 0
+            for row, name in enumerate(batch.column(path).to_pylist()):
                 store, inner = _store(name)
                 with store.open_input_stream(inner, compression=None) as file:
-                    content = pa.array([file.read()], pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [*one.columns, content], names=[*one.schema.names, "content"]
-                )
+                    held.append(file.read())
+                size += len(held[-1])
+                # Small files share a batch, a large one ends it.
+                if size >= BATCH_BYTES or row + 1 == batch.num_rows:
+                    some = batch.slice(first, len(held))
+                    yield pa.RecordBatch.from_arrays(
+                        [*some.columns, pa.array(held, pa.binary())], names=[*some.schema.names, "content"]
+                    )
+                    held, size, first = [], 0, row + 1
 
     schema = StructType([*files.schema.fields, StructField("content", BinaryType())])
     return files.mapInArrow(read, schema)

@@ -21,9 +21,11 @@ from tessera.functions.paths import path_label
 from tessera.sources.files import _store, with_contents
 from tessera.workspace import materialize_observed
 
-# Folders that a task lists, files that it opens, and entries of a batch.
+# Folders that a task lists, files that it opens at least, and at most of files and bytes once
+# every core has tasks, and entries of a batch.
 FOLDERS_PER_TASK = 64
 FILES_PER_TASK = 32
+MOST_FILES, MOST_BYTES = 8192, 256 << 20
 ENTRIES = 10_000
 
 ENTRY = pa.schema(
@@ -112,9 +114,21 @@ def listed_files(
     return reduce(DataFrame.unionByName, levels)
 
 
+def reading_tasks(count: int, size: int, cores: int, files_per_task: int = FILES_PER_TASK) -> int:
+    """Tasks that open ``count`` files of ``size`` bytes in all.
+
+    One for ``files_per_task`` files until each core has four; more only for as many files or
+    bytes as make a task long, so that tasks and blocks of the shuffle to them stay few.
+    """
+    needed = max(4 * cores, -(-count // MOST_FILES), -(-size // MOST_BYTES))
+    return max(1, min(count // files_per_task, needed))
+
+
 def read_files(files: DataFrame, files_per_task: int = FILES_PER_TASK) -> DataFrame:
-    """:func:`listed_files` with ``content``, opened by a stated number of tasks."""
-    return with_contents(files.repartition(max(1, files.count() // files_per_task), "path"))
+    """:func:`listed_files` with ``content``, opened by a number of tasks that follows the data."""
+    count, size = files.agg(F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0))).first()
+    cores = files.sparkSession.sparkContext.defaultParallelism
+    return with_contents(files.repartition(reading_tasks(count, size, cores, files_per_task), "path"))
 
 
 def listed_images(spark: SparkSession, root: str, pattern: str = "*.jpg") -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import fnmatch
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.errors import PySparkException
 
@@ -12,7 +13,8 @@ from images import draw_tree
 from tessera import sources
 from tessera.operators.sampling import sample_images
 from tessera.sinks.files import write_files
-from tessera.sources.folders import glob_expression
+from tessera.sources.files import with_contents
+from tessera.sources.folders import glob_expression, reading_tasks
 
 
 @pytest.fixture(scope="module")
@@ -91,6 +93,28 @@ def test_written_files_come_back(spark, tmp_path):
     assert {(r.name, bytes(r.content)) for r in back.collect()} == {(n, c or b"") for n, c in rows}
 
 
+def test_tasks_that_read_stay_few_however_many_files():
+    assert [reading_tasks(n, n * 1000, 12) for n in (0, 31, 320, 3_200)] == [1, 1, 10, 48]
+    assert reading_tasks(3_000_000, 6 << 30, 12) == 367
+    assert reading_tasks(4_000, 1 << 40, 12) == 125
+    assert reading_tasks(1 << 20, 1 << 40, 12) == 4096
+
+
+def test_small_files_share_batches(spark, tmp_path):
+    for i in range(300):
+        (tmp_path / f"{i}.bin").write_bytes(bytes([i % 251]) * (i % 7) if i != 150 else b"x" * (3 << 20))
+    batches = with_contents(sources.listed_files(spark, str(tmp_path)).coalesce(1))
+
+    def sizes(parts):
+        for part in parts:
+            yield pa.RecordBatch.from_arrays([pa.array([part.num_rows])], names=["n"])
+
+    counts = [r.n for r in batches.mapInArrow(sizes, "n long").collect()]
+    assert sum(counts) == 300 and len(counts) < 30
+    got = {r.name: bytes(r.content) for r in batches.collect()}
+    assert got == {p.name: p.read_bytes() for p in tmp_path.iterdir()}
+
+
 @pytest.mark.parametrize("bad", ["/etc/x", "a/../../x", "", None, "taken"])
 def test_a_failing_attempt_leaves_no_part(spark, tmp_path, bad):
     (tmp_path / "taken" / "by a folder").mkdir(parents=True)
