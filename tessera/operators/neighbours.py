@@ -29,10 +29,11 @@ from pyspark.sql import functions as F
 from tessera.workspace import materialize
 
 # Rows or donor vectors of a look-up that one task meets, donor vectors of a ring around a
-# pivot, cells that a round adds to a row's (after them all that may hold a nearer donor),
+# pivot, pivots of a large group, cells that a round adds to a row's (after them all that may hold a nearer donor),
 # and bytes of a block of differences.
 PER_TASK = 20_000
 RING_ROWS = 512
+PIVOTS = 2048
 FANS = (16, 128, None)
 BLOCK_BYTES = 16 << 20
 
@@ -41,6 +42,9 @@ BLOCK_BYTES = 16 << 20
 ROW_SENT, PAIR_MET, PAIR_FOUND, ROUND = 1.5, 0.02, 3.0, 4e6
 MOST_SETS = 1_000
 
+# Cells that a first round puts in order for a row, more only for rows that need them.
+HOME = 8
+
 #: Of blocks of asked and held vectors to a matrix of gaps.
 Measure = Callable[[np.ndarray, np.ndarray], np.ndarray]
 
@@ -49,6 +53,11 @@ def _grouped(rows: DataFrame) -> DataFrame:
     return rows if "grp" in rows.columns else rows.withColumn("grp", F.lit(0).cast("long"))
 
 
+def _tasks(rows: DataFrame) -> int:
+    session = rows.sparkSession
+    return max(int(session.conf.get("spark.sql.shuffle.partitions")), session.sparkContext.defaultParallelism)
+
+
 def _packed(donors: DataFrame) -> DataFrame:
     """One row for each donor vector."""
     return donors.groupBy("grp", "x").agg(F.collect_list(F.struct("donor", "y")).alias("donors"))
@@ -62,14 +71,21 @@ def _lowest(found: DataFrame, k: int) -> DataFrame:
 def _powers(power: float) -> Measure:
     """Sums of ``abs(difference) ** power``, which order as the Minkowski distance does."""
 
+    def raised(apart: np.ndarray) -> np.ndarray:
+        if power != int(power):
+            return apart**power
+        out = apart
+        for _ in range(int(power) - 1):
+            out = out * apart
+        return out
+
     def gaps(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        apart = np.abs(a[:, None, :] - b[None])
-        if power == int(power):
-            raised = apart
-            for _ in range(int(power) - 1):
-                raised = raised * apart
-            return raised.sum(axis=2)
-        return (apart**power).sum(axis=2)
+        if a.shape[1] < 8:  # numpy adds so few one after the other, too
+            total = np.zeros((len(a), len(b)))
+            for i in range(a.shape[1]):
+                total += raised(np.abs(np.subtract.outer(a[:, i], b[:, i])))
+            return total
+        return raised(np.abs(a[:, None, :] - b[None])).sum(axis=2)
 
     return gaps
 
@@ -114,14 +130,14 @@ def _by_group(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarr
 def _pivots(packed: DataFrame, power: float) -> Pivots | None:
     """About the square root of each group's vectors, drawn by a hash over all of them.
 
-    They are sent to the tasks: 8 bytes a feature for the square root of the donors, 8 MB
-    for a million million donors of one feature. They have no bearing on results.
+    They are sent to the tasks. They have no bearing on results. Every row is held against
+    them, so beyond ``PIVOTS`` their number stays: cells grow then, and are cut into more rings.
     """
     place = F.abs(F.xxhash64("grp", "x") / 2.0**63)
     totals = packed.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("least")).collect()
     if not totals:
         return None
-    upto = [F.lit(v) for r in totals for v in (r.grp, max(r.least, 1 / math.sqrt(r.n)))]
+    upto = [F.lit(v) for r in totals for v in (r.grp, max(r.least, min(1 / math.sqrt(r.n), PIVOTS / r.n)))]
     drawn = packed.where(place <= F.create_map(*upto)[F.col("grp")]).select("grp", "x").toArrow()
     points = drawn.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False)
     return Pivots(drawn.column("grp").to_numpy(), points.reshape(len(drawn), -1), power)
@@ -144,7 +160,8 @@ def _with_cells(packed: DataFrame, pivots: Pivots) -> DataFrame:
             )
 
     schema = packed.select("*", F.lit(0).cast("long").alias("cell"), F.lit(0.0).alias("far")).schema
-    return packed.mapInArrow(place, schema)
+    # A stated number of tasks, here and below: few bytes, but each row is held against all pivots.
+    return packed.repartition(_tasks(packed), "x").mapInArrow(place, schema)
 
 
 def _visits(
@@ -168,33 +185,50 @@ def _visits(
             found = []
             for group, rows, points in _by_group(batch):
                 for part, first, away in pivots.distances(group, points):
+                    if not away.shape[1]:
+                        continue
                     here = slice(first, first + away.shape[1])
                     # From the ring around the pivot, and as no other pivot is nearer to a donor.
-                    nearest = away.min(axis=1, keepdims=True)
-                    least = np.maximum(np.maximum(away - high[here], low[here] - away), (away - nearest) / 2)
-                    for row, distances, bounds in zip(rows[part].tolist(), away, least):
-                        order = np.lexsort((distances, bounds))
-                        home = int(np.searchsorted(np.cumsum(held[here][order]), k)) + 1
-                        if before is None:
-                            found.append((row, order[:home] + first, distances[order[:home]], True))
-                            continue
-                        upto = reach[row] ** pivots.root * (1 + 1e-9)
-                        last = int(np.searchsorted(bounds[order], upto + 1e-12 * distances.max(), "right"))
-                        end = last if fan is None else min(last, home + before + fan)
-                        order = order[home + before : end]
-                        if len(order):
-                            found.append((row, order + first, distances[order], end < last))
+                    least = np.subtract(away, high[here])
+                    np.maximum(least, low[here] - away, out=least)
+                    np.maximum(least, (away - away.min(axis=1, keepdims=True)) / 2, out=least)
+                    # Only cells in reach are put in order: the first of the order of all.
+                    if before is None:
+                        upto = np.partition(least, min(HOME, least.shape[1]) - 1, axis=1)[:, min(HOME, least.shape[1]) - 1]
+                    else:
+                        upto = reach[rows[part]] ** pivots.root * (1 + 1e-9) + 1e-12 * away.max(axis=1)
+                    row, cell = np.nonzero(least <= upto[:, None])
+                    order = np.lexsort((away[row, cell], least[row, cell], row))
+                    row, cell = row[order], cell[order]
+                    last = np.bincount(row, minlength=len(away))
+                    place = np.arange(len(row)) - np.repeat(np.cumsum(last) - last, last)
+                    # Cells of a row that come before one of them and hold fewer than k donors together.
+                    above = np.cumsum(held[here][cell]) - held[here][cell]
+                    starts = (np.cumsum(last) - last)[row]
+                    home = np.bincount(row, above - above[starts] < k, len(away)).astype(np.int64)
+                    if before is None:
+                        taken, more = place < home[row], np.ones(len(row), bool)
+                        short = np.flatnonzero((np.bincount(row, held[here][cell], len(away)) < k) & (last < least.shape[1]))
+                        taken &= ~np.isin(row, short)
+                        for one in short.tolist():
+                            order = np.lexsort((away[one], least[one]))
+                            upto_k = int(np.searchsorted(np.cumsum(held[here][order]), k)) + 1
+                            chosen = order[:upto_k]
+                            found.append((np.full(len(chosen), rows[part][one]), chosen + first, away[one, chosen], np.ones(len(chosen), bool)))
+                    else:
+                        end = last if fan is None else np.minimum(last, home + before + fan)
+                        taken, more = (place >= (home + before)[row]) & (place < end[row]), (end < last)[row]
+                    row, cell = row[taken], cell[taken]
+                    found.append((rows[part][row], cell + first, away[row, cell], more[taken]))
             if found:
-                rows = np.repeat([f[0] for f in found], [len(f[1]) for f in found])
-                more = np.repeat([f[3] for f in found], [len(f[1]) for f in found])
+                row, cell, distances, more = (np.concatenate(f) for f in zip(*found))
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c).take(pa.array(rows)) for c in ("grp", "x", "reach")),
-                     pa.array(more), pa.array(np.concatenate([f[1] for f in found])),
-                     pa.array(np.concatenate([f[2] for f in found]))],
+                    [*(batch.column(c).take(pa.array(row)) for c in ("grp", "x", "reach")),
+                     pa.array(more), pa.array(cell), pa.array(distances)],
                     names=["grp", "x", "reach", "more", "cell", "far"],
                 )
 
-    return open_.select("grp", "x", "reach").mapInArrow(
+    return open_.select("grp", "x", "reach").repartition(_tasks(open_), "x").mapInArrow(
         look, "grp long, x array<double>, reach double, more boolean, cell long, far double"
     )
 
@@ -277,8 +311,7 @@ def _look_up(
     of the vectors. With no more than ``n_visits`` and ``n_vectors`` in any, none may need that.
     """
     at = ["cell", "part"]
-    session = visits.sparkSession
-    tasks = max(int(session.conf.get("spark.sql.shuffle.partitions")), session.sparkContext.defaultParallelism)
+    tasks = _tasks(visits)
     if max(n_visits, n_vectors) <= per_task:
         one = F.lit(0).alias("row_share"), F.lit(0).alias("vector_share")
         dealt = visits.select("grp", "x", "reach", *at, *one)
@@ -487,15 +520,13 @@ def nearest_by_mismatch(
     vectors, asked_now = packed.count(), open_.count()
     odds = [met / max(1, vectors * asked_now) for met in _odds(packed, open_, n)]
     done, best, radius = [], None, -1
-    session = packed.sparkSession
-    least = max(int(session.conf.get("spark.sql.shuffle.partitions")), session.sparkContext.defaultParallelism)
     mismatched = F.size(F.filter(F.zip_with("x", "held", lambda a, b: a != b), lambda d: d)).cast("double")
     while radius < n - 2 and asked_now:
         if tally is not None:
             tally.append(asked_now)
         plan = _next_round(odds, radius, asked_now, vectors, k)
         radius = plan.radius
-        tasks = max(least, len(plan.sets) * (asked_now + vectors // 16) // per_task)
+        tasks = max(_tasks(packed), len(plan.sets) * (asked_now + vectors // 16) // per_task)
         near = materialize(_agreeing(packed, open_, n, k, plan, tasks), "knn-near")
         found = (
             near.join(packed.select("vector", F.col("grp").alias("own"), F.col("x").alias("held"), "donors"), "vector")

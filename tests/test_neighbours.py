@@ -193,6 +193,27 @@ def test_every_pivot_takes_part_without_a_cap(spark):
     assert 0.7 * 20_000**0.5 < len(pivots.points) < 1.3 * 20_000**0.5
 
 
+def test_pivots_of_large_groups_stay_few_and_rows_are_placed_by_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "PIVOTS", 20)
+    monkeypatch.setattr(neighbours, "HOME", 2)
+    draws = random.Random(17)
+    points = sorted({(float(draws.randrange(500)), float(draws.randrange(500))) for _ in range(2000)})
+    donors = spark.createDataFrame([(list(x), i, 0.0) for i, x in enumerate(points)], "x array<double>, donor long, y double")
+    asked = [[draws.random() * 500, draws.random() * 500] for _ in range(40)]
+    rows = spark.createDataFrame([(x,) for x in asked], "x array<double>").coalesce(1)
+    packed = neighbours._packed(neighbours._grouped(donors))
+    pivots = neighbours._pivots(packed, 2.0)
+    assert 8 < len(pivots.points) < 36
+    assert neighbours._with_cells(packed.coalesce(1), pivots).rdd.getNumPartitions() >= 8
+    got = {}
+    # More donors than a cell or two hold: some rows put all cells in order.
+    for row in neighbours.nearest_by_distance(donors, rows, 250, ring_rows=30).collect():
+        got.setdefault(tuple(row.x), set()).add(row.donor)
+    for x in asked:
+        near = sorted((METRICS["euclidean"](x, v), i) for i, v in enumerate(points))[:250]
+        assert got[tuple(x)] == {i for _, i in near}
+
+
 @pytest.mark.parametrize("n, rounds", [(1, 0), (2, 1), (3, 2), (12, 5), (40, 7), (100, 8)])
 def test_rounds_of_categories_grow_with_the_logarithm(n, rounds):
     steps = neighbours.radii(n)
