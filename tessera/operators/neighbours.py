@@ -536,8 +536,9 @@ def nearest_by_mismatch(
             .select("grp", "x", "gap", F.inline("donors"))
         )
         if best is not None:
-            found = found.unionByName(best.join(open_, ["grp", "x"], "left_semi")).distinct()
-        best = materialize(_lowest(found, k), "knn-best")
+            found = found.unionByName(best.join(open_, ["grp", "x"], "left_semi"))
+        # Donors that come twice, key and value, are one.
+        best = materialize(_lowest(found.distinct(), k), "knn-best")
         enough = best.groupBy("grp", "x").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= k)
         done.append(best.join(enough.select("grp", "x"), ["grp", "x"], "left_semi"))
         open_ = materialize(open_.join(enough, ["grp", "x"], "left_anti").select(*open_.columns), "knn-open")

@@ -302,7 +302,7 @@ def test_each_way_to_look_categories_up_is_exact(spark, monkeypatch, tops):
     donors = [(list(x), i * 2 + j, 0.0) for i, x in enumerate(rows[20:]) for j in range(2)]
     asked = [list(x) for x in rows[:20]] + [["9", "9", "1", "1", "9"], ["9"] * 5]
     found = neighbours.nearest_by_mismatch(
-        spark.createDataFrame(donors, "x array<string>, donor long, y double"),
+        spark.createDataFrame(donors + donors[::3], "x array<string>, donor long, y double"),
         spark.createDataFrame([(x,) for x in asked], "x array<string>"),
         7,
     )
