@@ -302,7 +302,7 @@ def test_each_way_to_look_categories_up_is_exact(spark, monkeypatch, tops):
     donors = [(list(x), i * 2 + j, 0.0) for i, x in enumerate(rows[20:]) for j in range(2)]
     asked = [list(x) for x in rows[:20]] + [["9", "9", "1", "1", "9"], ["9"] * 5]
     found = neighbours.nearest_by_mismatch(
-        spark.createDataFrame(donors + donors[::3], "x array<string>, donor long, y double"),
+        spark.createDataFrame(donors, "x array<string>, donor long, y double"),
         spark.createDataFrame([(x,) for x in asked], "x array<string>"),
         7,
     )
@@ -314,6 +314,16 @@ def test_each_way_to_look_categories_up_is_exact(spark, monkeypatch, tops):
         assert sorted(got[tuple(x)]) == want
 
 
+def test_donors_that_come_twice_count_once(spark):
+    donors = [(["a", "b", "c"], 1, 1.0)] * 2 + [(["a", "b", "d"], 2, 2.0), (["a", "e", "f"], 3, 3.0)]
+    found = neighbours.nearest_by_mismatch(
+        spark.createDataFrame(donors, "x array<string>, donor long, y double"),
+        spark.createDataFrame([(["a", "b", "z"],)], "x array<string>"),
+        2,
+    )
+    assert sorted((r.gap, r.donor) for r in found.collect()) == [(1.0, 1), (1.0, 2)]
+
+
 def partial_distance(metric, width):
     def distance(a, b):
         both = [(i, j) for i, j in zip(a, b) if i is not None and j is not None]
