@@ -161,6 +161,38 @@ def parted(members: DataFrame) -> DataFrame:
     )
 
 
+def crossing(open_: DataFrame, fits: Fits, percent: int) -> DataFrame:
+    """Pairs (``a, b``) of members of different components that may be similar, each from one bucket.
+
+    Of the buckets that both are in (``buckets`` of each), the least forms the pair.
+    """
+    minor = open_.where("component <> major").select(
+        "bucket",
+        F.col("rep").alias("a"),
+        F.col("n").alias("n_a"),
+        F.col("component").alias("c_a"),
+        F.col("shared").alias("s_a"),
+        F.col("parity").alias("p_a"),
+        F.col("buckets").alias("in_a"),
+    )
+    # What both share is no more than what either shares with any; sets differ in as
+    # many elements at least as their parities in bits.
+    both = F.col("n_a") + F.col("n")
+    apart = F.expr(" + ".join(f"bit_count(p_a[{i}] ^ parity[{i}])" for i in range(PARITY_BITS // 64)))
+    return (
+        minor.join(open_, "bucket")
+        .where(
+            (F.col("c_a") != F.col("component"))
+            & ((F.col("component") == F.col("major")) | (F.col("rep") < F.col("a")))
+            & fits(F.col("n_a"), F.col("n"))
+            & ((100 + percent) * F.least("s_a", "shared") >= percent * both)
+            & ((100 + percent) * apart <= (100 - percent) * both)
+            & (F.col("bucket") == F.array_min(F.array_intersect("in_a", "buckets")))
+        )
+        .select("a", F.col("rep").alias("b"))
+    )
+
+
 def linked(
     placed: DataFrame,
     fits: Fits,
@@ -205,32 +237,12 @@ def linked(
     texts = materialize(texts_for(divided.select("rep").distinct()), "open-texts")
     known = materialize(measured(texts, sets, percent), "measured")
     possible = materialize(divided.join(known, "rep", "left_semi"), "possible-members")
-    open_ = materialize(possible.join(parted(possible), "bucket").join(known, "rep"), "open-members")
-    minor = open_.where("component <> major").select(
-        "bucket",
-        F.col("rep").alias("a"),
-        F.col("n").alias("n_a"),
-        F.col("component").alias("c_a"),
-        F.col("shared").alias("s_a"),
-        F.col("parity").alias("p_a"),
-    )
-    # What both share is no more than what either shares with any; sets differ in as
-    # many elements at least as their parities in bits.
-    both = F.col("n_a") + F.col("n")
-    apart = F.expr(" + ".join(f"bit_count(p_a[{i}] ^ parity[{i}])" for i in range(PARITY_BITS // 64)))
-    crossing = (
-        minor.join(open_, "bucket")
-        .where(
-            (F.col("c_a") != F.col("component"))
-            & ((F.col("component") == F.col("major")) | (F.col("rep") < F.col("a")))
-            & can
-            & ((100 + percent) * F.least("s_a", "shared") >= percent * both)
-            & ((100 + percent) * apart <= (100 - percent) * both)
-        )
-        .select("a", F.col("rep").alias("b"))
-        .distinct()
+    shared = materialize(possible.join(parted(possible), "bucket"), "shared-members")
+    open_ = materialize(
+        shared.join(known, "rep").join(shared.groupBy("rep").agg(F.collect_set("bucket").alias("buckets")), "rep"),
+        "open-members",
     )
-    untested = crossing.join(tested, ["a", "b"], "left_anti").join(
+    untested = crossing(open_, fits, percent).join(tested, ["a", "b"], "left_anti").join(
         tested.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti"
     )
     untested = materialize(untested, "crossing-pairs")

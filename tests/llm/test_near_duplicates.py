@@ -7,7 +7,8 @@ import numpy as np
 import pytest
 
 from tessera.llm.components import components
-from tessera.llm.minhash import near_duplicates, shingle_sets, sketches
+from tessera.llm.linking import crossing
+from tessera.llm.minhash import close_enough, near_duplicates, shingle_sets, sketches
 
 
 def joined(sets, percent=80):
@@ -97,3 +98,20 @@ def test_shingles_ignore_case_of_ascii_only(spark):
 
     a, b, c = shingle_sets(pa.array(["A b É", "a B É", "a b é"]), 2)
     assert (a == b).all() and not (a == c).all()
+
+
+def test_a_pair_comes_from_one_of_the_buckets_that_both_share(small):
+    held = {1: [10, 11, 12], 2: [10, 11, 12], 3: [11, 12], 4: [12, 13], 5: [13]}
+    major = {10: 1, 11: 1, 12: 2, 13: 4}
+    rows = [
+        (bucket, rep, 10, rep, major[bucket], 10, [0] * 8, buckets)
+        for rep, buckets in held.items()
+        for bucket in buckets
+    ]
+    schema = (
+        "bucket bigint, rep bigint, n bigint, component bigint, major bigint, shared bigint, "
+        "parity array<bigint>, buckets array<bigint>"
+    )
+    got = [frozenset(r) for r in crossing(small(rows, schema), close_enough, 80).collect()]
+    pairs = [frozenset(p) for p in itertools.combinations(held, 2) if set(held[min(p)]) & set(held[max(p)])]
+    assert sorted(map(sorted, got)) == sorted(map(sorted, pairs))
