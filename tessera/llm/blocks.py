@@ -8,6 +8,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 BLOCK_BYTES = 8 << 20
+SET_BYTES = 2 << 20  # where words, shingles or lines take several times the bytes of the text
 
 
 def blocks(

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.blocks import blocks, large_texts
+from tessera.llm.blocks import SET_BYTES, blocks, large_texts
 from tessera.llm.components import components
 from tessera.llm.linking import ends, verified
 from tessera.llm.minhash import mix
@@ -121,7 +121,7 @@ def token_levels(rows: DataFrame) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         times = np.zeros(1 << COUNT_BITS, np.int32)
-        for block in blocks(batches, "text"):
+        for block in blocks(batches, "text", SET_BYTES):
             words, _, _ = line_words(block.column("text"))
             slot, found = np.unique(words >> np.uint64(64 - COUNT_BITS), return_counts=True)
             times[slot.astype(np.int64)] += found.astype(np.int32)
@@ -158,7 +158,7 @@ def line_rows(rows: DataFrame) -> DataFrame:
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels = known.value
-        for block in blocks(batches, "text"):
+        for block in blocks(batches, "text", SET_BYTES):
             words, counts, lines = line_words(block.column("text"))
             real = np.flatnonzero(counts)
             if not len(real):
@@ -315,7 +315,7 @@ def signs(texts: DataFrame) -> DataFrame:
     """``rep, n, sign`` of ``texts``: the size of the set, and a parity bit for each of 256 shares of it."""
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, "text"):
+        for block in blocks(batches, "text", SET_BYTES):
             words, counts = word_hashes(block.column("text"))
             row = np.repeat(np.arange(len(counts)), counts)
             order = np.lexsort((words, row))

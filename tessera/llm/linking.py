@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.blocks import blocks
+from tessera.llm.blocks import SET_BYTES, blocks
 from tessera.llm.components import components
 from tessera.workspace import materialize
 
@@ -50,7 +50,7 @@ def verified(pairs: DataFrame, texts: DataFrame, sets: Sets, percent: int) -> Da
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         leader, own = None, np.zeros(0, np.uint64)
-        for block in blocks(batches, "text"):
+        for block in blocks(batches, "text", SET_BYTES):
             found_sets = sets(block.column("text"))
             out_a, out_b = [], []
             places = zip(
@@ -84,7 +84,7 @@ def shared_slots(texts: DataFrame, sets: Sets) -> np.ndarray:
     """A bitmap of fixed size of the elements that may be in two of the sets."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, "text"):
+        for block in blocks(batches, "text", SET_BYTES):
             found = sets(block.column("text"))
             values = np.concatenate([np.zeros(0, np.uint64), *found])
             slot = (values >> np.uint64(64 - SLOT_BITS)).astype(np.int32)
@@ -121,7 +121,7 @@ def measured(texts: DataFrame, sets: Sets, percent: int) -> DataFrame:
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slots = known.value
-        for block in blocks(batches, "text"):
+        for block in blocks(batches, "text", SET_BYTES):
             reps, shared, parity = [], [], []
             for rep, found in zip(block.column("rep").to_pylist(), sets(block.column("text"))):
                 slot = (found >> np.uint64(64 - SLOT_BITS)).astype(np.int64)

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.blocks import blocks, large_texts
+from tessera.llm.blocks import SET_BYTES, blocks, large_texts
 from tessera.llm.components import components
 from tessera.llm.linking import linked
 from tessera.workspace import materialize
@@ -106,7 +106,7 @@ def banded(sketch: np.ndarray, rows: int) -> np.ndarray:
 
 def sketched(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, "text"):
+        for block in blocks(batches, "text", SET_BYTES):
             sets = shingle_sets(block.column("text"), shingle)
             full = [i for i, s in enumerate(sets) if len(s)]
             keys: list[str | None] = [None] * len(sets)

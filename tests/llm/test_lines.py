@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
@@ -8,6 +9,7 @@ import pyarrow as pa
 from test_near_duplicates import joined
 
 from tessera.llm import lines as line_join
+from tessera.llm.blocks import SET_BYTES, blocks
 from tessera.llm.lines import dedup_lines, later_lines, sorted_sets, word_hashes
 
 
@@ -104,3 +106,14 @@ def test_sorted_sets_equal_unique():
     expected = [np.unique(w) for w in np.split(words, np.cumsum(counts)[:-1])]
     assert n.tolist() == [len(e) for e in expected]
     assert sets.tolist() == np.concatenate(expected).tolist()
+
+
+def test_words_of_large_batches_take_bounded_memory():
+    text = "some words of a line that repeats\n" * 30
+    batch = pa.RecordBatch.from_arrays([pa.array([text] * (16 << 20 >> 10))], names=["text"])
+    tracemalloc.start()
+    for block in blocks([batch], "text", SET_BYTES):
+        line_join.line_words(block.column("text"))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 * SET_BYTES
