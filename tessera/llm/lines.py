@@ -13,6 +13,10 @@ is the same everywhere is right, and a token that was counted once meets nothing
 Near copies are first linked to one of them: the tokens of a line are dealt into a few
 parts, and lines that agree on a part meet the first of them. After that only lines
 of different components meet, so a group of copies is not expanded into its pairs.
+
+Where every link is asked for (``linked_lines``), all sets that share a token of their
+prefixes meet. Sets with a token of many lines are held against each other in blocks,
+which yield numbers of links and roots of linked sets instead of pairs.
 """
 
 from __future__ import annotations
@@ -37,13 +41,17 @@ SIMILAR = 80  # percent
 PARTS = 4
 SIGN_WORDS = 4  # longs of parity bits that tell pairs apart before texts are sent for them
 CROWD = 1_000  # members of a token that meet without being split by component
+LINK_CROWD = 256  # members of a token that are held against each other in blocks where all links count
+BLOCK_SETS = 1024  # sets in a block, and their tokens
+BLOCK_TOKENS = 1 << 18
+COLUMNS = 4096
 HASHED_BYTES = 1 << 20
 SEPARATORS = np.isin(np.arange(256), [32, *range(9, 14)])
 LOWERED = np.arange(256) + 32 * np.isin(np.arange(256), range(65, 91))
 LETTERS = mix(LOWERED.astype(np.uint64) + np.uint64(1))
 LINES = (
     "doc_id bigint, content bigint, line bigint, set_key binary, n int, skipped int, "
-    "prefix array<int>, parity bigint, parts array<int>"
+    "prefix array<int>, common int, parity bigint, parts array<int>"
 )
 
 
@@ -151,10 +159,12 @@ def token_levels(rows: DataFrame) -> np.ndarray:
 def line_rows(rows: DataFrame) -> DataFrame:
     """Every line that has a word: the key and size of its set, and the prefix that can meet.
 
+    The last ``common`` tokens of ``prefix`` may be in over ``LINK_CROWD`` sets.
     ``parity`` has a bit for each sixty-fourth of the tokens, ``parts`` a hash for each
     quarter that is not empty.
     """
     known = rows.sparkSession.sparkContext.broadcast(token_levels(rows))
+    crowded = int(min(120, 4 * np.log2(LINK_CROWD)))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels = known.value
@@ -179,6 +189,7 @@ def line_rows(rows: DataFrame) -> DataFrame:
             left = length - skipped
             till = np.cumsum(left)
             at = np.arange(left.sum()) + np.repeat(starts + skipped - (till - left), left)
+            often = np.cumsum(np.r_[0, tokens[at] >= np.uint64(crowded << 56)])
             parity = np.bitwise_xor.reduceat(np.uint64(1) << (tokens & np.uint64(63)), starts)
             mixed, part = mix(tokens), (tokens >> np.uint64(6)) % np.uint64(PARTS)
             parts = np.stack(
@@ -202,6 +213,7 @@ def line_rows(rows: DataFrame) -> DataFrame:
                         pa.array(np.r_[0, till], pa.int32()),
                         pa.array(tokens[at].astype(np.uint32).view(np.int32)),
                     ),
+                    pa.array(often[till] - often[till - left], pa.int32()),
                     pa.array(parity.view(np.int64)),
                     pa.ListArray.from_arrays(
                         pa.array(np.r_[0, np.cumsum(some.sum(1))], pa.int32()),
@@ -311,6 +323,124 @@ def met_in_crowds(placed: DataFrame) -> DataFrame:
     return minor.join(placed, "token").where(apart).select("a", F.col("rep").alias("b"))
 
 
+def met_outside_crowds(placed: DataFrame) -> DataFrame:
+    """All pairs of lines that share a token of their prefixes, but no crowded one (``crowds``)."""
+    short = placed.where(F.col("pos") < least_prefix(F.col("n"))).select(
+        F.col("token"),
+        F.col("rep").alias("a"),
+        F.col("n").alias("n_a"),
+        F.col("pos").alias("pos_a"),
+        F.col("parity").alias("p_a"),
+        F.col("crowds").alias("in_a"),
+    )
+    fit = (
+        ((F.col("n_a") < F.col("n")) | ((F.col("n_a") == F.col("n")) & (F.col("a") < F.col("rep"))))
+        & sizes_fit(F.col("n_a"), F.col("p_a"), F.col("n"), F.col("parity"))
+        & places_fit(F.col("n_a"), F.col("pos_a"), F.col("n"), F.col("pos"))
+        & ~F.coalesce(F.arrays_overlap("in_a", "crowds"), F.lit(False))
+    )
+    return short.join(placed, "token").where(fit).select("a", F.col("rep").alias("b"))
+
+
+def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """The number of common elements of each set on the left with each on the right."""
+    found = np.zeros((len(left), len(right)), np.int64)
+    sides = [np.concatenate([np.zeros(0, np.uint64), *sets]) for sets in (left, right)]
+    both = np.intersect1d(*sides)
+    if not len(both):
+        return found
+    places = []
+    for sets, values in zip((left, right), sides):
+        row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        at = np.minimum(np.searchsorted(both, values), len(both) - 1)
+        held = both[at] == values
+        places.append((len(sets), row[held], at[held]))
+    for first in range(0, len(both), COLUMNS):
+        marks = []
+        for n, row, at in places:
+            here = (at >= first) & (at < first + COLUMNS)
+            mark = np.zeros((n, min(COLUMNS, len(both) - first)), np.float32)
+            mark[row[here], at[here] - first] = 1
+            marks.append(mark)
+        found += (marks[0] @ marks[1].T).astype(np.int64)
+    return found
+
+
+def block_links(token: int, reps: list[np.ndarray], sets: list[list], crowds: list[list]) -> list[tuple]:
+    """``a, root, links`` of the sets of two blocks of a crowd, or of one against itself.
+
+    A pair that is in several crowds counts in that of the least token. ``root`` is the
+    least set that ``a`` is joined to here.
+    """
+    same = len(sets) == 1
+    sizes = [np.array([len(s) for s in side], np.int64) for side in sets]
+    common = common_counts(sets[0], sets[-1])
+    alike = 100 * common >= SIMILAR * (sizes[0][:, None] + sizes[-1][None] - common)
+    lower = [
+        [np.array([c for c in own if c < token], np.int64).view(np.uint64) for own in side]
+        for side in crowds
+    ]
+    alike &= common_counts(lower[0], lower[-1]) == 0
+    if same:
+        np.fill_diagonal(alike, False)
+    far = np.iinfo(np.int64).max
+    roots = [r.copy() for r in reps]
+    while True:
+        before = [r.copy() for r in roots]
+        roots[0] = np.minimum(roots[0], np.where(alike, roots[-1][None], far).min(1))
+        roots[-1] = np.minimum(roots[-1], np.where(alike, roots[0][:, None], far).min(0))
+        if all((x == y).all() for x, y in zip(before, roots)):
+            break
+    links = [alike.sum(1)] if same else [alike.sum(1), alike.sum(0)]
+    return [
+        (a, root, n)
+        for side in zip(reps, roots, links)
+        for a, root, n in zip(*(column.tolist() for column in side))
+        if n
+    ]
+
+
+def crowd_links(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """``a, root, links`` of sets in crowds: all members of a token in blocks, each against each.
+
+    ``members`` has ``token, rep, n, crowds``, ``texts`` has ``rep, text``. A set that has
+    links in several blocks has a row for each.
+    """
+    parts = members.groupBy("token").agg(
+        F.expr(f"greatest(ceil(count(1) / {BLOCK_SETS}), ceil(sum(n) / {BLOCK_TOKENS}))").alias("parts")
+    )
+    dealt = (
+        members.join(parts, "token")
+        .withColumn("part", F.expr("pmod(xxhash64(rep), parts)"))
+        .withColumn("other", F.explode(F.expr("sequence(0L, parts - 1)")))
+        .select(
+            "token", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"),
+            "part", "rep", "crowds",
+        )
+    )
+
+    def compare(group: pa.Table) -> pa.Table:
+        rows, parts = [], group.column("part").to_numpy()
+        sides = [group.filter(pa.array(parts == part)) for part in np.unique(parts)]
+        token, i, j = (group.column(c)[0].as_py() for c in ("token", "i", "j"))
+        if i == j or len(sides) == 2:
+            rows = block_links(
+                token,
+                [side.column("rep").to_numpy() for side in sides],
+                [token_sets(side.column("text").combine_chunks()) for side in sides],
+                [side.column("crowds").to_pylist() for side in sides],
+            )
+        columns = list(zip(*rows)) or [[], [], []]
+        return pa.table([pa.array(c, pa.int64()) for c in columns], names=["a", "root", "links"])
+
+    return materialize(
+        dealt.join(texts.dropDuplicates(["rep"]), "rep")
+        .groupBy("token", "i", "j")
+        .applyInArrow(compare, "a bigint, root bigint, links bigint"),
+        "crowd-links",
+    )
+
+
 def signs(texts: DataFrame) -> DataFrame:
     """``rep, n, sign`` of ``texts``: the size of the set, and a parity bit for each of 256 shares of it."""
 
@@ -355,21 +485,30 @@ def close(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return sides.where((100 + SIMILAR) * apart <= (100 - SIMILAR) * both).select("a", "b")
 
 
-def later_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def later_lines(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", every_link: bool = False
+) -> DataFrame:
     """``doc_id, content, n_lines, removed``: lines with words, and numbers of the removed ones.
 
     ``content`` is the hash of the text; one row per distinct pair of both. Lines
     are ordered by doc_id (null last), content and number; lines without words
     are neither counted nor removed. Rows that repeat id and text are one.
+
+    With ``every_link`` two columns follow. ``n_links``: of each line, the other sets of words
+    that are similar to its own, summed over the lines. ``linked``: line, first line of its
+    class (``class_doc, class_content, class_line``) and links, of lines that have links or are removed.
     """
     rows = keyed(docs, id_col, text_col)
-    lines = materialize(line_rows(rows), "lines")
+    features = ["n", "skipped", "prefix", "parity", "common" if every_link else "parts"]
+    lines = materialize(
+        line_rows(rows).select("doc_id", "content", "line", "set_key", *features), "lines"
+    )
     place = F.struct(F.isnull("doc_id").alias("last"), "doc_id", "content", "line")
     classes = materialize(
         lines.groupBy("set_key")
         .agg(
             F.min(place).alias("first"),
-            *(F.first(c).alias(c) for c in ("n", "skipped", "prefix", "parity", "parts")),
+            *(F.first(c).alias(c) for c in features),
         )
         .withColumn("rep", F.monotonically_increasing_id()),
         "line-classes",
@@ -394,42 +533,100 @@ def later_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         texts = materialize(texts_for(ends(pairs)), "line-texts")
         return verified(materialize(close(pairs, texts), "close-pairs"), texts, token_sets, SIMILAR)
 
-    near = similar(materialize(copies(classes), "copies"))
-    parts = materialize(components(near), "copy-components").withColumnRenamed("id", "rep")
-    placed = (
-        classes.join(parts, "rep", "left")
-        .select(
-            "rep", F.coalesce("component", "rep").alias("component"), "n", "skipped", "parity",
-            F.posexplode("prefix").alias("at", "token"),
+    def joining() -> DataFrame:
+        """Links that join all similar sets."""
+        near = similar(materialize(copies(classes), "copies"))
+        parts = materialize(components(near), "copy-components").withColumnRenamed("id", "rep")
+        placed = (
+            classes.join(parts, "rep", "left")
+            .select(
+                "rep", F.coalesce("component", "rep").alias("component"), "n", "skipped", "parity",
+                F.posexplode("prefix").alias("at", "token"),
+            )
+            .select("token", "rep", "component", "n", (F.col("skipped") + F.col("at")).alias("pos"), "parity")
+        )
+        crowded = materialize(
+            placed.groupBy("token").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > CROWD).select("token"),
+            "crowded-tokens",
+        )
+        pairs = met(placed.join(crowded, "token", "left_anti")).union(
+            met_in_crowds(materialize(placed.join(crowded, "token", "left_semi"), "crowds"))
         )
-        .select("token", "rep", "component", "n", (F.col("skipped") + F.col("at")).alias("pos"), "parity")
-    )
-    crowded = materialize(
-        placed.groupBy("token").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > CROWD).select("token"),
-        "crowded-tokens",
-    )
-    pairs = met(placed.join(crowded, "token", "left_anti")).union(
-        met_in_crowds(materialize(placed.join(crowded, "token", "left_semi"), "crowds"))
-    )
-    links = near.union(similar(materialize(pairs.distinct(), "line-pairs")))
+        return near.union(similar(materialize(pairs.distinct(), "line-pairs")))
+
+    def all_links() -> tuple[DataFrame, DataFrame]:
+        """Links that join all similar sets, and the number of links of each set that has some."""
+        def placed(sets: DataFrame, *columns: str) -> DataFrame:
+            till = (F.size("prefix") - F.col("common")).alias("till")
+            at = F.posexplode("prefix").alias("at", "token")
+            return sets.select("rep", "n", "skipped", "parity", till, at, *columns).select(
+                "token", "rep", "n", (F.col("skipped") + F.col("at")).alias("pos"), "parity",
+                (F.col("at") >= F.col("till")).alias("often"), *columns,
+            )
+
+        often = placed(classes).where("often")
+        crowded = materialize(
+            often.groupBy("token").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > LINK_CROWD).select("token"),
+            "crowded-tokens",
+        )
+        held = often.join(crowded, "token", "left_semi").select("token", "rep", "n")
+        known = materialize(
+            held.groupBy("rep").agg(F.array_sort(F.collect_set("token")).alias("crowds")), "crowds"
+        )
+        members = materialize(held.join(known, "rep"), "crowd-members")
+        blocked = crowd_links(members, texts_for(known.select("rep")))
+        open_ = placed(classes.join(known, "rep", "left"), "crowds")
+        plain = open_.where("NOT often").union(open_.where("often").join(crowded, "token", "left_anti").select(open_.columns))
+        pairs = met_outside_crowds(plain.drop("often"))
+        links = similar(materialize(pairs.distinct(), "line-pairs")).distinct()
+        numbers = links.select(F.explode(F.array("a", "b")).alias("rep"), F.lit(1).alias("links")).union(
+            blocked.select("a", "links")
+        )
+        counted = materialize(numbers.groupBy("rep").agg(F.sum("links").alias("links")), "link-counts")
+        return links.union(blocked.select("a", F.col("root").alias("b"))), counted
+
+    links, counted = all_links() if every_link else (joining(), None)
     joined = materialize(components(links), "line-components").withColumnRenamed("id", "rep")
     grouped = classes.select("rep", "set_key", "first").join(joined, "rep", "left").withColumn(
         "component", F.coalesce("component", "rep")
     )
     earliest = grouped.groupBy("component").agg(F.min("first").alias("earliest"))
-    kept = grouped.join(earliest, "component").select("set_key", "earliest")
+    kept = grouped.join(earliest, "component").select("set_key", "rep", "earliest")
+    if every_link:
+        kept = kept.join(counted, "rep", "left").withColumn("links", F.coalesce("links", F.lit(0)))
     judged = (
         lines.select("doc_id", "content", "line", "set_key")
-        .join(kept, "set_key")
-        .select("doc_id", "content", "line", (place != F.col("earliest")).alias("later"))
-        .distinct()
+        .join(kept.drop("rep"), "set_key")
+        .withColumn("later", place != F.col("earliest"))
+    )
+    if not every_link:
+        judged = judged.select("doc_id", "content", "line", "later").distinct()
+        return judged.groupBy("doc_id", "content").agg(
+            F.count("line").alias("n_lines"),
+            F.array_sort(F.collect_list(F.when(F.col("later"), F.col("line")))).alias("removed"),
+        )
+    class_ = F.struct(
+        "line",
+        F.col("earliest.doc_id").alias("class_doc"),
+        F.col("earliest.content").alias("class_content"),
+        F.col("earliest.line").alias("class_line"),
+        F.col("links").alias("n_links"),
     )
+    marked = F.when(F.col("later") | (F.col("links") > 0), class_).alias("linked")
+    judged = judged.select("doc_id", "content", "line", "later", "links", marked).distinct()
     return judged.groupBy("doc_id", "content").agg(
         F.count("line").alias("n_lines"),
         F.array_sort(F.collect_list(F.when(F.col("later"), F.col("line")))).alias("removed"),
+        F.sum("links").alias("n_links"),
+        F.array_sort(F.collect_list("linked")).alias("linked"),
     )
 
 
+def linked_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """:func:`later_lines` with the class and the number of links of every line."""
+    return later_lines(docs, id_col, text_col, every_link=True)
+
+
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every row of ``docs`` with the later lines of each class taken out of its text.
 

@@ -10,7 +10,7 @@ from tessera.llm.archives import archived_pages
 from tessera.llm.decontamination import decontaminate
 from tessera.llm.flat_tokens import token_counts
 from tessera.llm.language import identify
-from tessera.llm.lines import later_lines
+from tessera.llm.lines import linked_lines
 from tessera.llm.minhash import near_duplicates
 from tessera.llm.pieces import encode_decode
 from tessera.llm.quality import quality
@@ -141,13 +141,15 @@ def op4_column_wise_bwt(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_line_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     keys = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("content"))
-    found = later_lines(docs).withColumnRenamed("doc_id", "l_id").withColumnRenamed("content", "l_content")
+    found = linked_lines(docs).withColumnRenamed("doc_id", "l_id").withColumnRenamed("content", "l_content")
     same = (F.col("content") == F.col("l_content")) & F.col("doc_id").eqNullSafe(F.col("l_id"))
     return keys.join(found, same, "left").select(
         "doc_id",
         F.coalesce("n_lines", F.lit(0)).alias("n_lines"),
         F.coalesce(F.size("removed"), F.lit(0)).cast("bigint").alias("n_removed"),
         "removed",
+        F.coalesce("n_links", F.lit(0)).alias("n_links"),
+        "linked",
     )
 
 

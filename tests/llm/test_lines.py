@@ -6,11 +6,12 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from test_near_duplicates import joined
 
 from tessera.llm import lines as line_join
 from tessera.llm.blocks import SET_BYTES, blocks
-from tessera.llm.lines import dedup_lines, later_lines, sorted_sets, word_hashes
+from tessera.llm.lines import dedup_lines, later_lines, linked_lines, sorted_sets, word_hashes
 
 
 def corpus():
@@ -86,6 +87,45 @@ def test_tokens_of_crowds_are_split_by_component(small, monkeypatch):
     assert {r.doc_id: r.removed for r in got.collect() if r.removed} == dict(removed_by_brute_force(rows))
 
 
+def links_by_brute_force(rows):
+    sets = {}
+    for doc_id, text in rows:
+        for number, line in enumerate((text or "").split("\n")):
+            if words := frozenset(line.encode().lower().split()):
+                sets[doc_id, number] = words
+    different = set(sets.values())
+    alike = lambda x, y: 100 * len(x & y) >= 80 * len(x | y)
+    number = {x: sum(alike(x, y) for y in different) - 1 for x in different}
+    return {at: number[x] for at, x in sets.items()}
+
+
+@pytest.mark.parametrize("crowd", [256, 5])
+def test_every_link_between_different_lines_counts(small, monkeypatch, crowd):
+    monkeypatch.setattr(line_join, "LINK_CROWD", crowd)
+    monkeypatch.setattr(line_join, "BLOCK_SETS", 16 if crowd == 5 else 256)
+    monkeypatch.setattr(line_join, "COLUMNS", 7)
+    draw = random.Random(19)
+    words = [f"w{i}" for i in range(60)]
+    texts = corpus()
+    for base in (draw.sample(words, 30), draw.sample(words, 12)):
+        for i in range(60):
+            line = list(base)
+            for _ in range(draw.choice([0, 1, 2, 3])):
+                line[draw.randrange(len(line))] = draw.choice([*words, f"own{i}"])
+            texts.append(" ".join(line) + "\n" + " ".join(draw.choices(words[:9], k=5)))
+    rows = list(enumerate(texts))
+    got = linked_lines(small(rows + rows[:9], "doc_id bigint, text string")).collect()
+    want, gone = links_by_brute_force(rows), removed_by_brute_force(rows)
+    assert sum(want.values()) > 2000
+    assert {r.doc_id: r.removed for r in got if r.removed} == dict(gone)
+    found = {(r.doc_id, x.line): x.n_links for r in got for x in r.linked}
+    assert {at: n for at, n in found.items() if n} == {at: n for at, n in want.items() if n}
+    for r in got:
+        assert r.n_links == sum(want[r.doc_id, x.line] for x in r.linked)
+        removed = [x for x in r.linked if (x.class_doc, x.class_line) != (r.doc_id, x.line)]
+        assert [x.line for x in removed] == r.removed
+
+
 def test_words_are_told_apart_as_bytes(monkeypatch):
     monkeypatch.setattr(line_join, "HASHED_BYTES", 7)
     draw = random.Random(3)
