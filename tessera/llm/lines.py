@@ -21,7 +21,8 @@ which yield numbers of links and roots of linked sets instead of pairs.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,12 +35,16 @@ from tessera.llm.blocks import SET_BYTES, blocks, large_texts
 from tessera.llm.components import components
 from tessera.llm.linking import ends, verified
 from tessera.llm.minhash import mix
-from tessera.workspace import materialize
+from tessera.workspace import materialize, materialize_alone
 
 COUNT_BITS = 23
 SIMILAR = 80  # percent
 PARTS = 4
-SIGN_WORDS = 4  # longs of parity bits that tell pairs apart before texts are sent for them
+BITS = ["bits", "half", "third", "fourth"]  # longs of parity of a line
+HALVED, QUARTERED = 64, 128  # tokens from which the halves and quarters of a set have bits of their own
+SIGN_WORDS = 4  # longs of parity bits that tell pairs apart before they are verified
+SLOT_BITS = 23  # of the bitmap by which rows without wanted lines are left out before their texts are sent
+PASSES = 2  # over the shares of the tokens by which lines meet, one after the other
 CROWD = 1_000  # members of a token that meet without being split by component
 LINK_CROWD = 256  # members of a token that are held against each other in blocks where all links count
 BLOCK_SETS = 1024  # sets in a block, and their tokens
@@ -50,8 +55,8 @@ SEPARATORS = np.isin(np.arange(256), [32, *range(9, 14)])
 LOWERED = np.arange(256) + 32 * np.isin(np.arange(256), range(65, 91))
 LETTERS = mix(LOWERED.astype(np.uint64) + np.uint64(1))
 LINES = (
-    "doc_id bigint, content bigint, line bigint, set_key binary, n int, skipped int, "
-    "prefix array<int>, common int, parity bigint, parts array<int>"
+    "doc_id bigint, content bigint, n_lines int, line bigint, set_key binary, n int, skipped int, "
+    "prefix array<int>, common int, bits bigint, half bigint, third bigint, fourth bigint, parts array<int>"
 )
 
 
@@ -160,7 +165,9 @@ def line_rows(rows: DataFrame) -> DataFrame:
     """Every line that has a word: the key and size of its set, and the prefix that can meet.
 
     The last ``common`` tokens of ``prefix`` may be in over ``LINK_CROWD`` sets.
-    ``parity`` has a bit for each sixty-fourth of the tokens, ``parts`` a hash for each
+    ``n_lines`` is the number of such lines in the text. ``bits`` has a bit of parity for each
+    sixty-fourth of the tokens; of large sets, ``half`` has them for one half of the tokens,
+    ``third`` and ``fourth`` for two quarters, null for others. ``parts`` has a hash for each
     quarter that is not empty.
     """
     known = rows.sparkSession.sparkContext.broadcast(token_levels(rows))
@@ -190,7 +197,16 @@ def line_rows(rows: DataFrame) -> DataFrame:
             till = np.cumsum(left)
             at = np.arange(left.sum()) + np.repeat(starts + skipped - (till - left), left)
             often = np.cumsum(np.r_[0, tokens[at] >= np.uint64(crowded << 56)])
-            parity = np.bitwise_xor.reduceat(np.uint64(1) << (tokens & np.uint64(63)), starts)
+            bit, quarter = np.uint64(1) << (tokens & np.uint64(63)), (tokens >> np.uint64(8)) & np.uint64(3)
+            parity = [
+                (np.bitwise_xor.reduceat(np.where(own, bit, np.uint64(0)), starts), n < least)
+                for own, least in (
+                    (np.ones(len(tokens), bool), 0),
+                    ((quarter & np.uint64(1)) == 1, HALVED),
+                    (quarter == 2, QUARTERED),
+                    (quarter == 3, QUARTERED),
+                )
+            ]
             mixed, part = mix(tokens), (tokens >> np.uint64(6)) % np.uint64(PARTS)
             parts = np.stack(
                 [
@@ -201,10 +217,12 @@ def line_rows(rows: DataFrame) -> DataFrame:
             ).astype(np.uint32)
             some = parts != 0
             row = pa.array(owner[real])
+            worded = np.bincount(owner[real], minlength=len(lines))
             yield pa.RecordBatch.from_arrays(
                 [
                     block.column("doc_id").take(row),
                     block.column("content").take(row),
+                    pa.array(worded[owner[real]], pa.int32()),
                     pa.array(number[real]),
                     pa.array(keys, pa.binary()),
                     pa.array(n, pa.int32()),
@@ -214,7 +232,7 @@ def line_rows(rows: DataFrame) -> DataFrame:
                         pa.array(tokens[at].astype(np.uint32).view(np.int32)),
                     ),
                     pa.array(often[till] - often[till - left], pa.int32()),
-                    pa.array(parity.view(np.int64)),
+                    *(pa.array(found.view(np.int64), mask=none) for found, none in parity),
                     pa.ListArray.from_arrays(
                         pa.array(np.r_[0, np.cumsum(some.sum(1))], pa.int32()),
                         pa.array(parts[some].view(np.int32)),
@@ -229,18 +247,48 @@ def line_rows(rows: DataFrame) -> DataFrame:
 LINES_NAMES = [column.split()[0] for column in LINES.split(", ")]
 
 
-def sizes_fit(n_a: Column, parity_a: Column, n_b: Column, parity_b: Column) -> Column:
-    """Length filter, and sets differ in as many tokens at least as their parities in bits."""
-    apart = F.bit_count(parity_a.bitwiseXOR(parity_b))
-    return (100 * F.least(n_a, n_b) >= SIMILAR * F.greatest(n_a, n_b)) & (
-        (100 + SIMILAR) * apart <= (100 - SIMILAR) * (n_a + n_b)
+def sizes_fit() -> Column:
+    """Length filter, and sets differ in as many tokens at least as their parities in bits.
+
+    Of a pair, one has columns that end in ``_a``. Its bits are compared in as many shares
+    of the tokens as both have.
+    """
+    n_a, n = F.col("n_a"), F.col("n")
+    whole, half, third, fourth = (F.col(f"{c}_a").bitwiseXOR(F.col(c)) for c in BITS)
+    halves = F.bit_count(whole.bitwiseXOR(half)) + F.bit_count(half)
+    quarters = (
+        F.bit_count(whole.bitwiseXOR(half).bitwiseXOR(third))
+        + F.bit_count(half.bitwiseXOR(fourth))
+        + F.bit_count(third)
+        + F.bit_count(fourth)
+    )
+    near = lambda apart: (100 + SIMILAR) * apart <= (100 - SIMILAR) * (n_a + n)
+    return (
+        (100 * F.least(n_a, n) >= SIMILAR * F.greatest(n_a, n))
+        & near(F.bit_count(whole))
+        & near(F.coalesce(quarters, halves, F.lit(0)))
     )
 
 
-def places_fit(n_a: Column, pos_a: Column, n_b: Column, pos_b: Column) -> Column:
+def places_fit() -> Column:
     """Positional filter for a pair that shares a token at these places."""
-    rest = F.least(n_a - pos_a, n_b - pos_b) + F.least(pos_a, pos_b)
-    return (100 + SIMILAR) * rest >= SIMILAR * (n_a + n_b)
+    n_a, pos_a, n, pos = (F.col(c) for c in ("n_a", "pos_a", "n", "pos"))
+    rest = F.least(n_a - pos_a, n - pos) + F.least(pos_a, pos)
+    return (100 + SIMILAR) * rest >= SIMILAR * (n_a + n)
+
+
+def sided(*columns: str) -> list[Column]:
+    """Columns of the one side of pairs."""
+    return [F.col(c).alias(f"{c}_a") for c in columns]
+
+
+def in_passes(placed: DataFrame, pairs: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What ``pairs`` makes of rows that share a token, for one share of the tokens after the other."""
+    found = [
+        materialize(pairs(placed.where(F.expr(f"pmod(token, {PASSES}) = {k}"))).distinct(), "line-pairs")
+        for k in range(PASSES)
+    ]
+    return materialize(reduce(DataFrame.union, found).distinct(), "line-pairs")
 
 
 def token_sets(texts: pa.Array) -> list[np.ndarray]:
@@ -255,22 +303,34 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
+def maybe_in(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """``rows`` without most of those whose ``key``, a hash, is not in ``wanted``: by a bitmap of bounded size."""
+    word = F.expr(f"pmod({key}, {1 << SLOT_BITS}L) div 64").alias("__word")
+    bit = F.expr(f"shiftleft(1L, cast(pmod({key}, 64L) AS int))").alias("__bit")
+    words = wanted.select(word, bit).groupBy("__word").agg(F.expr("bit_or(__bit)").alias("__bits"))
+    return (
+        rows.select("*", word, bit)
+        .join(F.broadcast(words), "__word")
+        .where("__bits & __bit <> 0")
+        .select(rows.columns)
+    )
+
+
 def copies(classes: DataFrame) -> DataFrame:
     """Pairs of lines that agree on a part of their tokens, one of them the first of all that do."""
-    dealt = classes.select("rep", "n", "parity", F.explode("parts").alias("part"))
+    dealt = classes.select("rep", "n", *BITS, F.explode("parts").alias("part"))
     heads = (
         dealt.groupBy("part")
         .agg(
-            F.min(F.struct(F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("parity").alias("p_a"))).alias("head"),
+            F.min(F.struct(F.col("rep").alias("a"), *sided("n", *BITS))).alias("head"),
             F.count(F.lit(1)).alias("members"),
         )
         .where("members > 1")
         .select("part", "head.*")
     )
-    fit = sizes_fit(F.col("n_a"), F.col("p_a"), F.col("n"), F.col("parity"))
     return (
         dealt.join(heads, "part")
-        .where((F.col("a") != F.col("rep")) & fit)
+        .where((F.col("a") != F.col("rep")) & sizes_fit())
         .select("a", F.col("rep").alias("b"))
         .distinct()
     )
@@ -279,18 +339,13 @@ def copies(classes: DataFrame) -> DataFrame:
 def met(placed: DataFrame) -> DataFrame:
     """Pairs of lines of different components that share a token of their prefixes."""
     short = placed.where(F.col("pos") < least_prefix(F.col("n"))).select(
-        F.col("token"),
-        F.col("rep").alias("a"),
-        F.col("component").alias("c_a"),
-        F.col("n").alias("n_a"),
-        F.col("pos").alias("pos_a"),
-        F.col("parity").alias("p_a"),
+        "token", F.col("rep").alias("a"), *sided("component", "n", "pos", *BITS)
     )
     apart = (
-        (F.col("c_a") != F.col("component"))
+        (F.col("component_a") != F.col("component"))
         & ((F.col("n_a") < F.col("n")) | ((F.col("n_a") == F.col("n")) & (F.col("a") < F.col("rep"))))
-        & sizes_fit(F.col("n_a"), F.col("p_a"), F.col("n"), F.col("parity"))
-        & places_fit(F.col("n_a"), F.col("pos_a"), F.col("n"), F.col("pos"))
+        & sizes_fit()
+        & places_fit()
     )
     return short.join(placed, "token").where(apart).select("a", F.col("rep").alias("b"))
 
@@ -304,21 +359,13 @@ def met_in_crowds(placed: DataFrame) -> DataFrame:
     minor = (
         placed.join(major, "token")
         .where("component <> major")
-        .select(
-            "token",
-            "major",
-            F.col("rep").alias("a"),
-            F.col("component").alias("c_a"),
-            F.col("n").alias("n_a"),
-            F.col("pos").alias("pos_a"),
-            F.col("parity").alias("p_a"),
-        )
+        .select("token", "major", F.col("rep").alias("a"), *sided("component", "n", "pos", *BITS))
     )
     apart = (
-        (F.col("c_a") != F.col("component"))
+        (F.col("component_a") != F.col("component"))
         & ((F.col("component") == F.col("major")) | (F.col("rep") < F.col("a")))
-        & sizes_fit(F.col("n_a"), F.col("p_a"), F.col("n"), F.col("parity"))
-        & places_fit(F.col("n_a"), F.col("pos_a"), F.col("n"), F.col("pos"))
+        & sizes_fit()
+        & places_fit()
     )
     return minor.join(placed, "token").where(apart).select("a", F.col("rep").alias("b"))
 
@@ -326,18 +373,13 @@ def met_in_crowds(placed: DataFrame) -> DataFrame:
 def met_outside_crowds(placed: DataFrame) -> DataFrame:
     """All pairs of lines that share a token of their prefixes, but no crowded one (``crowds``)."""
     short = placed.where(F.col("pos") < least_prefix(F.col("n"))).select(
-        F.col("token"),
-        F.col("rep").alias("a"),
-        F.col("n").alias("n_a"),
-        F.col("pos").alias("pos_a"),
-        F.col("parity").alias("p_a"),
-        F.col("crowds").alias("in_a"),
+        "token", F.col("rep").alias("a"), *sided("n", "pos", *BITS, "crowds")
     )
     fit = (
         ((F.col("n_a") < F.col("n")) | ((F.col("n_a") == F.col("n")) & (F.col("a") < F.col("rep"))))
-        & sizes_fit(F.col("n_a"), F.col("p_a"), F.col("n"), F.col("parity"))
-        & places_fit(F.col("n_a"), F.col("pos_a"), F.col("n"), F.col("pos"))
-        & ~F.coalesce(F.arrays_overlap("in_a", "crowds"), F.lit(False))
+        & sizes_fit()
+        & places_fit()
+        & ~F.coalesce(F.arrays_overlap("crowds_a", "crowds"), F.lit(False))
     )
     return short.join(placed, "token").where(fit).select("a", F.col("rep").alias("b"))
 
@@ -498,16 +540,22 @@ def later_lines(
     that are similar to its own, summed over the lines. ``linked``: line, first line of its
     class (``class_doc, class_content, class_line``) and links, of lines that have links or are removed.
     """
-    rows = keyed(docs, id_col, text_col)
-    features = ["n", "skipped", "prefix", "parity", "common" if every_link else "parts"]
+    return materialize_alone(
+        lambda: _later_lines(keyed(docs, id_col, text_col), every_link), "later-lines"
+    )
+
+
+def _later_lines(rows: DataFrame, every_link: bool) -> DataFrame:
+    features = ["n", "skipped", "prefix", *BITS, "common" if every_link else "parts"]
     lines = materialize(
-        line_rows(rows).select("doc_id", "content", "line", "set_key", *features), "lines"
+        line_rows(rows).select("doc_id", "content", "n_lines", "line", "set_key", *features), "lines"
     )
     place = F.struct(F.isnull("doc_id").alias("last"), "doc_id", "content", "line")
     classes = materialize(
         lines.groupBy("set_key")
         .agg(
             F.min(place).alias("first"),
+            F.count(F.lit(1)).alias("times"),
             *(F.first(c).alias(c) for c in features),
         )
         .withColumn("rep", F.monotonically_increasing_id()),
@@ -522,45 +570,50 @@ def later_lines(
             .agg(F.collect_list(F.struct(F.col("first.line").alias("line"), "rep")).alias("wanted"))
         )
         same = (F.col("content") == F.col("w_content")) & F.col("doc_id").eqNullSafe(F.col("w_id"))
+        wanted = materialize(wanted, "wanted-lines")
         return (
-            rows.join(materialize(wanted, "wanted-lines"), same)
+            maybe_in(rows, "content", wanted.select(F.col("w_content").alias("content")))
+            .join(wanted, same)
             .withColumn("lines", F.split("text", "\n", -1))
             .select(F.explode(F.expr("transform(wanted, w -> struct(w.rep, get(lines, cast(w.line AS int)) AS text))")).alias("w"))
             .select("w.rep", "w.text")
         )
 
     def similar(pairs: DataFrame) -> DataFrame:
-        texts = materialize(texts_for(ends(pairs)), "line-texts")
-        return verified(materialize(close(pairs, texts), "close-pairs"), texts, token_sets, SIMILAR)
+        def judge() -> DataFrame:
+            texts = materialize(texts_for(ends(pairs)), "line-texts")
+            return verified(materialize(close(pairs, texts), "close-pairs"), texts, token_sets, SIMILAR)
+
+        return materialize_alone(judge, "similar-lines")
 
     def joining() -> DataFrame:
         """Links that join all similar sets."""
         near = similar(materialize(copies(classes), "copies"))
         parts = materialize(components(near), "copy-components").withColumnRenamed("id", "rep")
-        placed = (
-            classes.join(parts, "rep", "left")
-            .select(
-                "rep", F.coalesce("component", "rep").alias("component"), "n", "skipped", "parity",
-                F.posexplode("prefix").alias("at", "token"),
-            )
-            .select("token", "rep", "component", "n", (F.col("skipped") + F.col("at")).alias("pos"), "parity")
-        )
+        joined = materialize(
+            classes.join(parts, "rep", "left").select(
+                "rep", F.coalesce("component", "rep").alias("component"), "n", "skipped", *BITS, "prefix"
+            ),
+            "joined-classes",
+        )
+        placed = joined.select(
+            "rep", "component", "n", "skipped", *BITS, F.posexplode("prefix").alias("at", "token")
+        ).select("token", "rep", "component", "n", (F.col("skipped") + F.col("at")).alias("pos"), *BITS)
         crowded = materialize(
             placed.groupBy("token").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > CROWD).select("token"),
             "crowded-tokens",
         )
-        pairs = met(placed.join(crowded, "token", "left_anti")).union(
-            met_in_crowds(materialize(placed.join(crowded, "token", "left_semi"), "crowds"))
-        )
-        return near.union(similar(materialize(pairs.distinct(), "line-pairs")))
+        crowds = materialize(placed.join(crowded, "token", "left_semi"), "crowds")
+        open_ = in_passes(placed, lambda some: met(some.join(crowded, "token", "left_anti")))
+        return near.union(similar(materialize(open_.union(met_in_crowds(crowds)).distinct(), "line-pairs")))
 
     def all_links() -> tuple[DataFrame, DataFrame]:
         """Links that join all similar sets, and the number of links of each set that has some."""
         def placed(sets: DataFrame, *columns: str) -> DataFrame:
             till = (F.size("prefix") - F.col("common")).alias("till")
             at = F.posexplode("prefix").alias("at", "token")
-            return sets.select("rep", "n", "skipped", "parity", till, at, *columns).select(
-                "token", "rep", "n", (F.col("skipped") + F.col("at")).alias("pos"), "parity",
+            return sets.select("rep", "n", "skipped", *BITS, till, at, *columns).select(
+                "token", "rep", "n", (F.col("skipped") + F.col("at")).alias("pos"), *BITS,
                 (F.col("at") >= F.col("till")).alias("often"), *columns,
             )
 
@@ -577,8 +630,7 @@ def later_lines(
         blocked = crowd_links(members, texts_for(known.select("rep")))
         open_ = placed(classes.join(known, "rep", "left"), "crowds")
         plain = open_.where("NOT often").union(open_.where("often").join(crowded, "token", "left_anti").select(open_.columns))
-        pairs = met_outside_crowds(plain.drop("often"))
-        links = similar(materialize(pairs.distinct(), "line-pairs")).distinct()
+        links = similar(in_passes(plain.drop("often"), met_outside_crowds)).distinct()
         numbers = links.select(F.explode(F.array("a", "b")).alias("rep"), F.lit(1).alias("links")).union(
             blocked.select("a", "links")
         )
@@ -587,24 +639,26 @@ def later_lines(
 
     links, counted = all_links() if every_link else (joining(), None)
     joined = materialize(components(links), "line-components").withColumnRenamed("id", "rep")
-    grouped = classes.select("rep", "set_key", "first").join(joined, "rep", "left").withColumn(
-        "component", F.coalesce("component", "rep")
+    # A line whose set is its own and linked with none is neither removed nor marked.
+    grouped = materialize(
+        classes.select("rep", "set_key", "first", "times")
+        .join(joined, "rep", "left")
+        .where("component IS NOT NULL OR times > 1")
+        .withColumn("component", F.coalesce("component", "rep"))
+        .drop("times"),
+        "grouped-classes",
     )
     earliest = grouped.groupBy("component").agg(F.min("first").alias("earliest"))
     kept = grouped.join(earliest, "component").select("set_key", "rep", "earliest")
-    if every_link:
-        kept = kept.join(counted, "rep", "left").withColumn("links", F.coalesce("links", F.lit(0)))
+    none = F.lit(None).cast("bigint")
+    kept = kept.join(counted, "rep", "left") if every_link else kept.withColumn("links", none)
     judged = (
-        lines.select("doc_id", "content", "line", "set_key")
+        lines.select("doc_id", "content", "n_lines", "line", "set_key")
         .join(kept.drop("rep"), "set_key")
         .withColumn("later", place != F.col("earliest"))
+        .withColumn("links", F.coalesce("links", F.lit(0)))
+        .where("later OR links > 0")
     )
-    if not every_link:
-        judged = judged.select("doc_id", "content", "line", "later").distinct()
-        return judged.groupBy("doc_id", "content").agg(
-            F.count("line").alias("n_lines"),
-            F.array_sort(F.collect_list(F.when(F.col("later"), F.col("line")))).alias("removed"),
-        )
     class_ = F.struct(
         "line",
         F.col("earliest.doc_id").alias("class_doc"),
@@ -612,14 +666,24 @@ def later_lines(
         F.col("earliest.line").alias("class_line"),
         F.col("links").alias("n_links"),
     )
-    marked = F.when(F.col("later") | (F.col("links") > 0), class_).alias("linked")
-    judged = judged.select("doc_id", "content", "line", "later", "links", marked).distinct()
-    return judged.groupBy("doc_id", "content").agg(
-        F.count("line").alias("n_lines"),
-        F.array_sort(F.collect_list(F.when(F.col("later"), F.col("line")))).alias("removed"),
-        F.sum("links").alias("n_links"),
-        F.array_sort(F.collect_list("linked")).alias("linked"),
+    key = ["doc_id", "content", "n_lines"]
+    removed = F.when(F.col("later"), F.col("line")).alias("gone")
+    marked = judged.select(*key, removed, class_.alias("mark"))
+    plain = lines.select(*key).distinct()
+    nothing = [F.lit(None).cast(marked.schema[c].dataType).alias(c) for c in ("gone", "mark")]
+    found = (
+        marked.union(plain.select(*key, *nothing))
+        .groupBy("doc_id", "content")
+        .agg(
+            F.max("n_lines").cast("bigint").alias("n_lines"),
+            F.array_sort(F.collect_set("gone")).alias("removed"),
+            *([F.array_sort(F.collect_set("mark")).alias("linked")] if every_link else []),
+        )
     )
+    if not every_link:
+        return found
+    total = F.expr("aggregate(linked, 0L, (s, x) -> s + x.n_links)").alias("n_links")
+    return found.select("doc_id", "content", "n_lines", "removed", total, "linked")
 
 
 def linked_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

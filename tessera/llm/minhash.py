@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tessera.llm.blocks import SET_BYTES, blocks, large_texts
 from tessera.llm.components import components
 from tessera.llm.linking import linked
-from tessera.workspace import materialize
+from tessera.workspace import materialize, materialize_alone
 
 BANDS = 32
 ROWS = 4
@@ -152,6 +152,10 @@ def near_duplicates(
     source = docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("content"), text.alias("text")
     )
+    return materialize_alone(lambda: _near_duplicates(source, shingle, bands, rows), "near-duplicates")
+
+
+def _near_duplicates(source: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
     found = materialize(sketched(source, shingle, bands, rows), "sketches")
     worded = found.where("doc_id IS NOT NULL AND n_shingles > 0")
     classes = materialize(

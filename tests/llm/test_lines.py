@@ -7,6 +7,7 @@ from collections import defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from test_near_duplicates import joined
 
 from tessera.llm import lines as line_join
@@ -126,6 +127,41 @@ def test_every_link_between_different_lines_counts(small, monkeypatch, crowd):
         assert [x.line for x in removed] == r.removed
 
 
+def test_long_lines_that_differ_are_no_pairs(small):
+    """Sixty-four bits let half of the pairs of lines of 150 words through that share one word."""
+    draw = random.Random(7)
+    words = [f"w{i}" for i in range(4000)]
+    texts = [" ".join(draw.sample(words, 150)) for _ in range(60)]
+    alike = [texts[0].split()[:140] + draw.sample(words, 10), texts[1].split()[12:] + ["own"]]
+    rows = list(enumerate([*texts, *map(" ".join, alike), " ".join(texts[2].split()[:127])]))
+    docs = line_join.keyed(small(rows, "doc_id bigint, text string"), "doc_id", "text")
+    sets = line_join.line_rows(docs).withColumnRenamed("doc_id", "rep")
+    assert sets.where("n >= 128 AND (half IS NULL OR fourth IS NULL)").count() == 0
+    left = sets.select(F.col("rep").alias("a"), *line_join.sided("n", *line_join.BITS))
+    pairs = left.crossJoin(sets).where(F.col("a") < F.col("rep"))
+    found = {(r.a, r.rep) for r in pairs.where(line_join.sizes_fit()).collect()}
+    assert found >= {(0, 60), (1, 61), (2, 62)}
+    assert len(found) < 20
+
+
+def test_rows_without_wanted_lines_are_not_sent(small):
+    rows = small([(i, (-1) ** i * i * 10**12) for i in range(300)] + [(300, None)], "v int, content bigint")
+    wanted = rows.where("v % 50 = 0 AND v < 300").select("content")
+    left = {r.v for r in line_join.maybe_in(rows, "content", wanted).collect()}
+    assert left >= {0, 50, 100, 150, 200, 250}
+    assert len(left) < 20
+
+
+def test_passes_find_the_links_of_one(small, monkeypatch):
+    rows = list(enumerate(corpus()))
+    docs = small(rows, "doc_id bigint, text string")
+    once = sorted(map(repr, linked_lines(docs).collect()))
+    monkeypatch.setattr(line_join, "PASSES", 3)
+    monkeypatch.setattr(line_join, "HALVED", 3)
+    monkeypatch.setattr(line_join, "QUARTERED", 8)
+    assert sorted(map(repr, linked_lines(docs).collect())) == once
+
+
 def test_words_are_told_apart_as_bytes(monkeypatch):
     monkeypatch.setattr(line_join, "HASHED_BYTES", 7)
     draw = random.Random(3)

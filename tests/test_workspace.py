@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -46,3 +47,28 @@ def test_materialize_keeps_rows_and_schema(spark):
     stored = workspace.materialize(df, "t")
     assert stored.dtypes == df.dtypes
     assert sorted(stored.collect()) == sorted(df.collect())
+
+
+def test_shuffle_files_are_removed_inside_only(spark):
+    before = spark.conf.get(workspace.CLEANUP)
+    with workspace.shuffles_removed(spark):
+        assert spark.conf.get(workspace.CLEANUP) == "true"
+    assert spark.conf.get(workspace.CLEANUP) == before
+
+
+def test_tables_on_the_way_are_deleted(spark):
+    paths = {}
+
+    def build():
+        first = workspace.materialize(spark.range(10).toDF("v"), "first")
+        inner = workspace.materialize_alone(
+            lambda: workspace.materialize(first.where("v > 2"), "second").where("v > 4"), "inner"
+        )
+        paths.update(first=first.inputFiles()[0], inner=inner.inputFiles()[0])
+        return first.join(inner, "v")
+
+    kept = workspace.materialize_alone(build, "kept")
+    assert sorted(r.v for r in kept.collect()) == [5, 6, 7, 8, 9]
+    folder = Path(kept.inputFiles()[0].removeprefix("file:")).parent.parent
+    assert not [p for p in paths.values() if Path(p.removeprefix("file:")).exists()]
+    assert not list(folder.glob("second-*"))
