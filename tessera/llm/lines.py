@@ -629,7 +629,7 @@ def _later_lines(rows: DataFrame, every_link: bool) -> DataFrame:
         members = materialize(held.join(known, "rep"), "crowd-members")
         blocked = crowd_links(members, texts_for(known.select("rep")))
         open_ = placed(classes.join(known, "rep", "left"), "crowds")
-        plain = open_.where("NOT often").union(open_.where("often").join(crowded, "token", "left_anti").select(open_.columns))
+        plain = open_.where("NOT coalesce(often AND array_contains(crowds, token), false)")
         links = similar(in_passes(plain.drop("often"), met_outside_crowds)).distinct()
         numbers = links.select(F.explode(F.array("a", "b")).alias("rep"), F.lit(1).alias("links")).union(
             blocked.select("a", "links")
