@@ -13,6 +13,7 @@ is the same everywhere is right, and a token that was counted once meets nothing
 Near copies are first linked to one of them: the tokens of a line are dealt into a few
 parts, and lines that agree on a part meet the first of them. After that only lines
 of different components meet, so a group of copies is not expanded into its pairs.
+The lines of a token that many have first meet a few of them, for the same reason.
 
 Where every link is asked for (``linked_lines``), all sets that share a token of their
 prefixes meet. Sets with a token of many lines are held against each other in blocks,
@@ -46,6 +47,7 @@ SIGN_WORDS = 4  # longs of parity bits that tell pairs apart before they are ver
 SLOT_BITS = 23  # of the bitmap by which rows without wanted lines are left out before their texts are sent
 PASSES = 2  # over the shares of the tokens by which lines meet, one after the other
 CROWD = 1_000  # members of a token that meet without being split by component
+LEADERS = 8  # members of such a token that all others meet first
 LINK_CROWD = 256  # members of a token that are held against each other in blocks where all links count
 BLOCK_SETS = 1024  # sets in a block, and their tokens
 BLOCK_TOKENS = 1 << 18
@@ -350,6 +352,15 @@ def met(placed: DataFrame) -> DataFrame:
     return short.join(placed, "token").where(apart).select("a", F.col("rep").alias("b"))
 
 
+def met_leaders(placed: DataFrame) -> DataFrame:
+    """Pairs of the members of a token with a few of them, of other components."""
+    slot = F.expr(f"pmod(xxhash64(rep), {LEADERS})").alias("slot")
+    own = F.struct(F.col("rep").alias("a"), *sided("component", "n", "pos", *BITS))
+    leaders = placed.groupBy("token", slot).agg(F.min(own).alias("leader")).select("token", "leader.*")
+    apart = (F.col("component_a") != F.col("component")) & sizes_fit() & places_fit()
+    return placed.join(leaders, "token").where(apart).select("a", F.col("rep").alias("b"))
+
+
 def met_in_crowds(placed: DataFrame) -> DataFrame:
     """As :func:`met` for tokens of many lines: those outside a token's main component meet all."""
     sizes = placed.groupBy("token", "component").agg(F.count(F.lit(1)).alias("members"))
@@ -604,8 +615,25 @@ def _later_lines(rows: DataFrame, every_link: bool) -> DataFrame:
             "crowded-tokens",
         )
         crowds = materialize(placed.join(crowded, "token", "left_semi"), "crowds")
+        led = similar(materialize(met_leaders(crowds).distinct(), "leader-pairs"))
+        # Linked to leaders, components are fewer and larger; what is still apart meets as before.
+        merged = materialize(
+            components(
+                led.join(joined.select(F.col("rep").alias("a"), F.col("component").alias("c")), "a")
+                .join(joined.select(F.col("rep").alias("b"), F.col("component").alias("d")), "b")
+                .select(F.col("c").alias("a"), F.col("d").alias("b"))
+            ),
+            "merged-components",
+        ).select(F.col("id").alias("component"), F.col("component").alias("merged"))
+        crowds = materialize(
+            crowds.join(merged, "component", "left")
+            .withColumn("component", F.coalesce("merged", "component"))
+            .drop("merged"),
+            "crowds",
+        )
         open_ = in_passes(placed, lambda some: met(some.join(crowded, "token", "left_anti")))
-        return near.union(similar(materialize(open_.union(met_in_crowds(crowds)).distinct(), "line-pairs")))
+        pairs = materialize(open_.union(met_in_crowds(crowds)).distinct(), "line-pairs")
+        return near.union(led).union(similar(pairs))
 
     def all_links() -> tuple[DataFrame, DataFrame]:
         """Links that join all similar sets, and the number of links of each set that has some."""

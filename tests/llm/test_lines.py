@@ -162,6 +162,25 @@ def test_passes_find_the_links_of_one(small, monkeypatch):
     assert sorted(map(repr, linked_lines(docs).collect())) == once
 
 
+def test_crowds_meet_few_leaders_once_components_are_merged(small, monkeypatch):
+    monkeypatch.setattr(line_join, "CROWD", 5)
+    sent = []
+    real = line_join.close
+    monkeypatch.setattr(line_join, "close", lambda pairs, texts: sent.append(pairs.count()) or real(pairs, texts))
+    draw = random.Random(23)
+    base = [f"w{i}" for i in range(40)]
+    texts = []
+    for i in range(120):
+        line = list(base)
+        for _ in range(3):
+            line[draw.randrange(40)] = f"x{draw.randrange(300)}"
+        texts.append(" ".join(line))
+    rows = list(enumerate(texts))
+    got = later_lines(small(rows, "doc_id bigint, text string"))
+    assert {r.doc_id: r.removed for r in got.collect() if r.removed} == dict(removed_by_brute_force(rows))
+    assert sum(sent) < 120 * (line_join.PARTS + line_join.LEADERS + 1)
+
+
 def test_words_are_told_apart_as_bytes(monkeypatch):
     monkeypatch.setattr(line_join, "HASHED_BYTES", 7)
     draw = random.Random(3)
