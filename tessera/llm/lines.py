@@ -16,8 +16,9 @@ of different components meet, so a group of copies is not expanded into its pair
 The lines of a token that many have first meet a few of them, for the same reason.
 
 Where every link is asked for (``linked_lines``), all sets that share a token of their
-prefixes meet. Sets with a token of many lines are held against each other in blocks,
-which yield numbers of links and roots of linked sets instead of pairs.
+prefixes meet, by what their postings tell: sizes, places and bits of parity. A token of
+many sets yields pairs as long as few are left; where its sets are alike, they are held
+against each other in blocks, which yield numbers of links and roots of linked sets instead.
 """
 
 from __future__ import annotations
@@ -48,9 +49,14 @@ SLOT_BITS = 23  # of the bitmap by which rows without wanted lines are left out
 PASSES = 2  # over the shares of the tokens by which lines meet, one after the other
 CROWD = 1_000  # members of a token that meet without being split by component
 LEADERS = 8  # members of such a token that all others meet first
-LINK_CROWD = 256  # members of a token that are held against each other in blocks where all links count
-BLOCK_SETS = 1024  # sets in a block, and their tokens
-BLOCK_TOKENS = 1 << 18
+LINK_CROWD = 256  # members of a token from which it is a crowd, where all links count
+MEET_SETS = 1 << 15  # members of a crowd that one task goes through, or twice as many of two parts
+MEET_ROWS = 1 << 15  # postings, and pairs of them, that are gone through at once
+MEET_CELLS = 1 << 17
+DENSE = 16  # pairs a member from which a crowd yields its members instead, to meet in blocks
+BLOCK_SETS = 1024  # sets that are held against each other in a matrix
+BLOCK_PARTS = 8  # such shares of sets in a block, and its tokens
+BLOCK_TOKENS = 1 << 20
 COLUMNS = 4096
 HASHED_BYTES = 1 << 20
 SEPARATORS = np.isin(np.arange(256), [32, *range(9, 14)])
@@ -60,6 +66,13 @@ LINES = (
     "doc_id bigint, content bigint, n_lines int, line bigint, set_key binary, n int, skipped int, "
     "prefix array<int>, common int, bits bigint, half bigint, third bigint, fourth bigint, parts array<int>"
 )
+POSTINGS = (
+    "key bigint, rep bigint, told bigint, "
+    "bits bigint, half bigint, third bigint, fourth bigint, crowds array<int>"
+)
+MEETINGS = "a bigint, b bigint, token int, cell int, role tinyint, n int, crowds array<int>"
+NO_ROLE, SHORT, WITHIN, LEFT, RIGHT = range(5)  # of a posting: the last three are those of crowds
+KEY_BITS, PLACE_BITS, ROLE_BITS = 31, 32, 3  # of a posting: token over cell, size over place over role
 
 
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -155,8 +168,8 @@ def token_levels(rows: DataFrame) -> np.ndarray:
         .agg(F.sum("times").alias("times"))
         .where("times > 1")
         .select("slot", F.expr("cast(least(120, round(4 * log2(times))) AS tinyint)").alias("level"))
-        .toArrow()
     )
+    counted = materialize(counted, "token-levels").toArrow()
     levels = np.zeros(1 << COUNT_BITS, np.uint8)
     if counted.num_rows:
         levels[counted.column("slot").to_numpy()] = counted.column("level").to_numpy()
@@ -381,18 +394,224 @@ def met_in_crowds(placed: DataFrame) -> DataFrame:
     return minor.join(placed, "token").where(apart).select("a", F.col("rep").alias("b"))
 
 
-def met_outside_crowds(placed: DataFrame) -> DataFrame:
-    """All pairs of lines that share a token of their prefixes, but no crowded one (``crowds``)."""
-    short = placed.where(F.col("pos") < least_prefix(F.col("n"))).select(
-        "token", F.col("rep").alias("a"), *sided("n", "pos", *BITS, "crowds")
-    )
-    fit = (
-        ((F.col("n_a") < F.col("n")) | ((F.col("n_a") == F.col("n")) & (F.col("a") < F.col("rep"))))
-        & sizes_fit()
-        & places_fit()
-        & ~F.coalesce(F.arrays_overlap("crowds_a", "crowds"), F.lit(False))
+def lists(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The values of all lists of numbers, where each starts, and their lengths."""
+    lengths = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    return column.flatten().to_numpy(zero_copy_only=False), np.cumsum(lengths) - lengths, lengths
+
+
+def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, one after the other."""
+    return np.arange(lengths.sum()) + np.repeat(starts - (np.cumsum(lengths) - lengths), lengths)
+
+
+def postings(classes: DataFrame, crowded: pa.Table, share: int) -> DataFrame:
+    """A row for each token of a prefix that is in this share of the tokens (``PASSES``).
+
+    Tokens of ``crowded`` (``token, members``) have cells: one for all members, or one for
+    each pair of parts of ``MEET_SETS`` members. ``crowds`` are all such tokens of the set, null for
+    none. ``key`` holds token and cell, ``told`` the size of the set, the token's place and the role.
+    """
+    order = np.argsort(crowded.column("token").to_numpy())
+    known = classes.sparkSession.sparkContext.broadcast(
+        (
+            crowded.column("token").to_numpy()[order],
+            -(-crowded.column("members").to_numpy()[order] // MEET_SETS),
+        )
     )
-    return short.join(placed, "token").where(fit).select("a", F.col("rep").alias("b"))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often, parts = (np.r_[x, x[:1]] for x in known.value)
+        for batch in batches:
+            rep, n, skipped, common = (batch.column(c).to_numpy() for c in ("rep", "n", "skipped", "common"))
+            token, starts, sizes = lists(batch.column("prefix"))
+            row = np.repeat(np.arange(len(rep)), sizes)
+            at = np.arange(len(row)) - starts[row]
+            nearest = np.searchsorted(often[: len(known.value[0])], token)
+            crowd = (at >= (sizes - common)[row]) & (len(often) > 0)
+            if len(often):
+                crowd &= often[nearest] == token
+            held, value = np.divmod(
+                np.unique((row[crowd] << 32) + (token[crowd].astype(np.int64) + (1 << 31))), 1 << 32
+            )
+            crowds = pa.ListArray.from_arrays(
+                pa.array(np.r_[0, np.cumsum(np.bincount(held, minlength=len(rep)))], pa.int32()),
+                pa.array((value - (1 << 31)).astype(np.int32)),
+                mask=pa.array(np.bincount(held, minlength=len(rep)) == 0),
+            )
+            short = skipped[row] + at < n[row] - -(-2 * SIMILAR * n[row] // (100 + SIMILAR)) + 1
+            own = token.astype(np.int64) % PASSES == share
+            plain, crowd = np.flatnonzero(own & ~crowd), np.flatnonzero(own & crowd)
+            total = parts[nearest[crowd]] if len(parts) else np.zeros(0, np.int64)
+            part = (mix(rep[row[crowd]].view(np.uint64)) % np.maximum(total, 1).astype(np.uint64)).astype(np.int64)
+            other = ranges(np.zeros(len(total), np.int64), total)
+            crowd, part, total = (np.repeat(x, total) for x in (crowd, part, total))
+            cell = np.minimum(part, other) * total + np.maximum(part, other)
+            role = np.where(part == other, WITHIN, np.where(part < other, LEFT, RIGHT))
+            where = np.r_[plain, crowd]
+            of = row[where]
+            key = (token[where].astype(np.int64) << KEY_BITS) + np.r_[np.zeros(len(plain), np.int64), cell + 1]
+            role = np.r_[np.where(short[plain], SHORT, NO_ROLE), role]
+            told = (n[of].astype(np.int64) << PLACE_BITS) + ((skipped[of] + at[where]) << ROLE_BITS) + role
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(key), pa.array(rep[of]), pa.array(told),
+                    *(batch.column(c).take(pa.array(of)) for c in BITS), crowds.take(pa.array(of)),
+                ],
+                names=[column.split()[0] for column in POSTINGS.split(", ")],
+            )
+
+    return classes.select("rep", "n", "skipped", "common", "prefix", *BITS).mapInArrow(place, POSTINGS)
+
+
+class Postings:
+    """Postings as arrays, in order of token, cell, size and set; rows come in order of token and cell."""
+
+    def __init__(self, rows: pa.Table):
+        told = rows.column("told").to_numpy()
+        order = np.lexsort((rows.column("rep").to_numpy(), told >> PLACE_BITS, rows.column("key").to_numpy()))
+        rows = rows.take(pa.array(order)).combine_chunks()
+        self.key, self.rep, told = (rows.column(c).to_numpy() for c in ("key", "rep", "told"))
+        self.token = self.key >> KEY_BITS
+        self.n = told >> PLACE_BITS
+        self.pos = (told & ((1 << PLACE_BITS) - 1)) >> ROLE_BITS
+        self.role = told & ((1 << ROLE_BITS) - 1)
+        nulls = [rows.column(c).combine_chunks() for c in BITS]
+        self.bits = [pc.fill_null(x, 0).to_numpy().view(np.uint64) for x in nulls]
+        self.halved, self.quartered = (~nulls[k].is_null().to_numpy(zero_copy_only=False) for k in (1, 2))
+        self.crowds = rows.column("crowds").combine_chunks()
+        self.value, self.start, self.held = lists(self.crowds)
+        self.first = np.full(len(self.rep), np.iinfo(np.int64).max)
+        some = self.held > 0
+        self.first[some] = self.value[self.start[some]]
+        new = np.r_[True, self.key[1:] != self.key[:-1]][: len(self.rep)]
+        self.run = np.cumsum(new) - 1
+        self.starts = np.flatnonzero(new)
+
+    def near(self, apart: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        return (100 + SIMILAR) * apart.astype(np.int64) <= (100 - SIMILAR) * (self.n[x] + self.n[y])
+
+    def meeting(self, rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of rows of one token and cell that can be similar, ``rows`` among them first or as the smaller."""
+        key = (self.run << 32) + self.n
+        most = np.searchsorted(key, (self.run[rows] << 32) + 100 * self.n[rows] // SIMILAR, "right") - rows - 1
+        ends = np.cumsum(most)
+        start = 0
+        while start < len(rows):
+            stop = max(start + 1, int(np.searchsorted(ends, ends[start] - most[start] + MEET_CELLS, "right")))
+            x = np.repeat(rows[start:stop], most[start:stop])
+            y = ranges(rows[start:stop] + 1, most[start:stop])
+            start = stop
+            left = self.near(np.bitwise_count(self.bits[0][x] ^ self.bits[0][y]), x, y)
+            x, y = x[left], y[left]
+            rest = np.minimum(self.n[x] - self.pos[x], self.n[y] - self.pos[y]) + np.minimum(self.pos[x], self.pos[y])
+            left = (100 + SIMILAR) * rest >= SIMILAR * (self.n[x] + self.n[y])
+            left &= (self.rep[x] != self.rep[y]) & ((self.role[x] <= WITHIN) | (self.role[x] != self.role[y]))
+            x, y = x[left], y[left]
+            whole, half, third, fourth = (b[x] ^ b[y] for b in self.bits)
+            halves = np.bitwise_count(whole ^ half).astype(np.int64) + np.bitwise_count(half)
+            quarters = (
+                np.bitwise_count(whole ^ half ^ third).astype(np.int64)
+                + np.bitwise_count(half ^ fourth)
+                + np.bitwise_count(third)
+                + np.bitwise_count(fourth)
+            )
+            halved, quartered = self.halved[x] & self.halved[y], self.quartered[x] & self.quartered[y]
+            left = self.near(np.where(quartered, quarters, np.where(halved, halves, 0)), x, y)
+            yield x[left], y[left]
+
+    def below(self, x: np.ndarray) -> np.ndarray:
+        """Up to which token another crowd takes a pair of these rows: any does where the token is no crowd."""
+        return np.where(self.role[x] < WITHIN, np.iinfo(np.int64).max, self.token[x])
+
+    def surely_elsewhere(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Pairs whose sets have the same least crowd, if that takes them."""
+        return (self.first[x] == self.first[y]) & (self.first[x] < self.below(x))
+
+    def elsewhere(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Pairs that another crowd takes, one that both sets are in."""
+        taken = self.surely_elsewhere(x, y)
+        open_ = np.flatnonzero(~taken & (np.maximum(self.first[x], self.first[y]) < self.below(x)))
+        found = []
+        for rows in (x[open_], y[open_]):
+            number = np.repeat(np.arange(len(open_)), self.held[rows])
+            value = self.value[ranges(self.start[rows], self.held[rows])].astype(np.int64)
+            left = value < self.below(x[open_])[number]
+            found.append((number[left] << 32) + value[left] + (1 << 31))
+        both = np.sort(np.concatenate(found))
+        taken[open_[both[1:][both[1:] == both[:-1]] >> 32]] = True
+        return taken
+
+
+def meetings(rows: DataFrame) -> DataFrame:
+    """Pairs (``a, b``) of sets that share a token of their prefixes and may be similar.
+
+    Pairs with crowds in common come from the least of these only, and where that has over ``DENSE`` a
+    member, its members come instead: ``a`` with ``token, cell, role, n, crowds``, ``b`` is null.
+    """
+
+    def answer(p: Postings) -> Iterator[pa.RecordBatch]:
+        none = lambda k, kind: pa.nulls(k, kind)
+        kinds = [pa.int32(), pa.int32(), pa.int8(), pa.int32(), pa.list_(pa.int32())]
+        names = [column.split()[0] for column in MEETINGS.split(", ")]
+
+        def pairs(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+            x, y = (np.concatenate([np.zeros(0, np.int64), *side]) for side in zip(*found, strict=True))
+            sides = np.sort(np.stack([p.rep[x], p.rep[y]], axis=1), axis=1)
+            sides = sides[np.lexsort(sides.T[::-1])]
+            sides = sides[np.r_[True, (sides[1:] != sides[:-1]).any(1)][: len(sides)]]
+            return pa.RecordBatch.from_arrays(
+                [*(pa.array(side, pa.int64()) for side in sides.T), *(none(len(sides), k) for k in kinds)], names=names
+            )
+
+        crowd = p.role >= WITHIN
+        for x, y in p.meeting(np.flatnonzero(p.role == SHORT)):
+            left = ~p.elsewhere(x, y)
+            yield pairs([(x[left], y[left])])
+        stops = np.r_[p.starts[1:], len(p.rep)]
+        few: list[tuple[np.ndarray, np.ndarray]] = []
+        for start, stop in zip(p.starts[crowd[p.starts]].tolist(), stops[crowd[p.starts]].tolist()):
+            own, count, met_ = [], 0, np.zeros(stop - start, bool)
+            dense = False
+            for x, y in p.meeting(np.arange(start, stop)):
+                left = ~(p.surely_elsewhere(x, y) if dense else p.elsewhere(x, y))
+                x, y = x[left], y[left]
+                met_[x - start] = met_[y - start] = True
+                count += len(x)
+                dense = dense or count > DENSE * (stop - start)
+                own = [] if dense else [*own, (x, y)]
+            if count <= DENSE * int(met_.sum()):
+                few += own
+            else:
+                at = np.flatnonzero(met_) + start
+                at = at[np.unique(p.rep[at], return_index=True)[1]]
+                cell = (p.key[at] & ((1 << KEY_BITS) - 1)) - 1
+                columns = [p.token[at], cell, p.role[at], p.n[at], p.crowds.take(pa.array(at))]
+                columns = [pa.array(c).cast(k) for c, k in zip(columns, kinds)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(p.rep[at]), none(len(at), pa.int64()), *columns], names=names
+                )
+        if few:
+            yield pairs(few)
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, count = [], 0
+        for batch in batches:
+            held.append(batch)
+            count += batch.num_rows
+            if count < MEET_ROWS:
+                continue
+            rows = pa.Table.from_batches(held)
+            key = rows.column("key").to_numpy()
+            whole = int(np.searchsorted(key, key[-1]))
+            if whole:
+                yield from answer(Postings(rows.slice(0, whole)))
+            held, count = rows.slice(whole).to_batches(), rows.num_rows - whole
+        if count:
+            yield from answer(Postings(pa.Table.from_batches(held)))
+
+    dealt = rows.repartition("key").sortWithinPartitions("key")
+    return materialize(dealt.mapInArrow(meet, MEETINGS), "meetings")
 
 
 def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -419,8 +638,10 @@ def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray
     return found
 
 
-def block_links(token: int, reps: list[np.ndarray], sets: list[list], crowds: list[list]) -> list[tuple]:
-    """``a, root, links`` of the sets of two blocks of a crowd, or of one against itself.
+def block_links(
+    token: int, reps: list[np.ndarray], sets: list[list], crowds: list[list], roles: list[np.ndarray]
+) -> list[tuple]:
+    """``a, root, links`` of the sets of two shares of a crowd, or of one against itself.
 
     A pair that is in several crowds counts in that of the least token. ``root`` is the
     least set that ``a`` is joined to here.
@@ -434,6 +655,7 @@ def block_links(token: int, reps: list[np.ndarray], sets: list[list], crowds: li
         for side in crowds
     ]
     alike &= common_counts(lower[0], lower[-1]) == 0
+    alike &= (roles[0][:, None] == WITHIN) | (roles[0][:, None] != roles[-1][None])
     if same:
         np.fill_diagonal(alike, False)
     far = np.iinfo(np.int64).max
@@ -454,41 +676,54 @@ def block_links(token: int, reps: list[np.ndarray], sets: list[list], crowds: li
 
 
 def crowd_links(members: DataFrame, texts: DataFrame) -> DataFrame:
-    """``a, root, links`` of sets in crowds: all members of a token in blocks, each against each.
+    """``a, root, links`` of sets in crowds: all members of a cell in blocks, each against each.
 
-    ``members`` has ``token, rep, n, crowds``, ``texts`` has ``rep, text``. A set that has
-    links in several blocks has a row for each.
+    ``members`` has ``token, cell, role, rep, n, crowds``, ``texts`` has ``rep, text``. A set that
+    has links in several blocks, or shares of one, has a row for each.
     """
-    parts = members.groupBy("token").agg(
-        F.expr(f"greatest(ceil(count(1) / {BLOCK_SETS}), ceil(sum(n) / {BLOCK_TOKENS}))").alias("parts")
+    parts = members.groupBy("token", "cell").agg(
+        F.expr(
+            f"greatest(ceil(count(1) / {BLOCK_PARTS * BLOCK_SETS}), ceil(sum(n) / {BLOCK_TOKENS}))"
+        ).alias("parts")
     )
     dealt = (
-        members.join(parts, "token")
+        members.join(parts, ["token", "cell"])
         .withColumn("part", F.expr("pmod(xxhash64(rep), parts)"))
         .withColumn("other", F.explode(F.expr("sequence(0L, parts - 1)")))
         .select(
-            "token", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"),
-            "part", "rep", "crowds",
+            "token", "cell", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"),
+            "part", "rep", "role", "crowds",
         )
     )
 
     def compare(group: pa.Table) -> pa.Table:
-        rows, parts = [], group.column("part").to_numpy()
-        sides = [group.filter(pa.array(parts == part)) for part in np.unique(parts)]
-        token, i, j = (group.column(c)[0].as_py() for c in ("token", "i", "j"))
-        if i == j or len(sides) == 2:
-            rows = block_links(
+        part, (token, i, j) = group.column("part").to_numpy(), (group.column(c)[0].as_py() for c in ("token", "i", "j"))
+        reps, roles = group.column("rep").to_numpy(), group.column("role").to_numpy()
+        sets, crowds = token_sets(group.column("text").combine_chunks()), group.column("crowds").to_pylist()
+        shares = [
+            [at[k : k + BLOCK_SETS] for k in range(0, len(at), BLOCK_SETS)]
+            for at in (np.flatnonzero(part == p) for p in sorted({i, j}))
+        ]
+        if i == j:
+            met_ = [(x, y) for k, x in enumerate(shares[0]) for y in shares[0][k:]]
+        else:
+            met_ = [(x, y) for x in shares[0] for y in shares[1]]
+        rows = []
+        for x, y in met_:
+            sides = [x] if x is y else [x, y]
+            rows += block_links(
                 token,
-                [side.column("rep").to_numpy() for side in sides],
-                [token_sets(side.column("text").combine_chunks()) for side in sides],
-                [side.column("crowds").to_pylist() for side in sides],
+                [reps[at] for at in sides],
+                [[sets[k] for k in at] for at in sides],
+                [[crowds[k] for k in at] for at in sides],
+                [roles[at] for at in sides],
             )
         columns = list(zip(*rows)) or [[], [], []]
         return pa.table([pa.array(c, pa.int64()) for c in columns], names=["a", "root", "links"])
 
     return materialize(
         dealt.join(texts.dropDuplicates(["rep"]), "rep")
-        .groupBy("token", "i", "j")
+        .groupBy("token", "cell", "i", "j")
         .applyInArrow(compare, "a bigint, root bigint, links bigint"),
         "crowd-links",
     )
@@ -637,28 +872,19 @@ def _later_lines(rows: DataFrame, every_link: bool) -> DataFrame:
 
     def all_links() -> tuple[DataFrame, DataFrame]:
         """Links that join all similar sets, and the number of links of each set that has some."""
-        def placed(sets: DataFrame, *columns: str) -> DataFrame:
-            till = (F.size("prefix") - F.col("common")).alias("till")
-            at = F.posexplode("prefix").alias("at", "token")
-            return sets.select("rep", "n", "skipped", *BITS, till, at, *columns).select(
-                "token", "rep", "n", (F.col("skipped") + F.col("at")).alias("pos"), *BITS,
-                (F.col("at") >= F.col("till")).alias("often"), *columns,
-            )
-
-        often = placed(classes).where("often")
-        crowded = materialize(
-            often.groupBy("token").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > LINK_CROWD).select("token"),
-            "crowded-tokens",
-        )
-        held = often.join(crowded, "token", "left_semi").select("token", "rep", "n")
-        known = materialize(
-            held.groupBy("rep").agg(F.array_sort(F.collect_set("token")).alias("crowds")), "crowds"
+        at = F.posexplode("prefix").alias("at", "token")
+        often = classes.select(F.size("prefix").alias("size"), "common", at).where("at >= size - common")
+        crowded = often.groupBy("token").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > LINK_CROWD)
+        crowded = materialize(crowded, "crowded-tokens").toArrow()
+        found = [meetings(postings(classes, crowded, k)) for k in range(PASSES)]
+        found = reduce(DataFrame.union, found)
+        pairs = materialize(found.where("b IS NOT NULL").select("a", "b").distinct(), "line-pairs")
+        members = materialize(
+            found.where("b IS NULL").select("token", "cell", "role", F.col("a").alias("rep"), "n", "crowds"),
+            "crowd-members",
         )
-        members = materialize(held.join(known, "rep"), "crowd-members")
-        blocked = crowd_links(members, texts_for(known.select("rep")))
-        open_ = placed(classes.join(known, "rep", "left"), "crowds")
-        plain = open_.where("NOT coalesce(often AND array_contains(crowds, token), false)")
-        links = similar(in_passes(plain.drop("often"), met_outside_crowds)).distinct()
+        blocked = crowd_links(members, texts_for(members.select("rep").distinct()))
+        links = similar(pairs).distinct()
         numbers = links.select(F.explode(F.array("a", "b")).alias("rep"), F.lit(1).alias("links")).union(
             blocked.select("a", "links")
         )

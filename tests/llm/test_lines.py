@@ -127,6 +127,45 @@ def test_every_link_between_different_lines_counts(small, monkeypatch, crowd):
         assert [x.line for x in removed] == r.removed
 
 
+def test_sets_of_crowds_that_differ_are_not_sent(small, monkeypatch):
+    """A common word does not bring the texts of all that have it together."""
+    monkeypatch.setattr(line_join, "LINK_CROWD", 5)
+    sent = []
+    real = line_join.crowd_links
+    monkeypatch.setattr(
+        line_join, "crowd_links", lambda members, texts: sent.append(members.count()) or real(members, texts)
+    )
+    draw = random.Random(29)
+    words = [f"w{i}" for i in range(150)]
+    rows = [(i, " ".join(draw.sample(words, 20))) for i in range(300)]
+    rows += [(300, rows[0][1] + " more"), (301, rows[1][1] + " own")]
+    got = linked_lines(small(rows, "doc_id bigint, text string")).collect()
+    assert {r.doc_id: r.n_links for r in got if r.n_links} == {0: 1, 1: 1, 300: 1, 301: 1}
+    assert sent == [0]
+
+
+def test_links_of_crowds_in_parts_and_blocks(small, monkeypatch):
+    for name, value in {
+        "LINK_CROWD": 5, "MEET_SETS": 20, "MEET_ROWS": 64, "MEET_CELLS": 100,
+        "DENSE": 1, "BLOCK_SETS": 8, "BLOCK_PARTS": 2,
+    }.items():
+        monkeypatch.setattr(line_join, name, value)
+    draw = random.Random(31)
+    words = [f"w{i}" for i in range(60)]
+    base, texts = draw.sample(words, 30), corpus()
+    for i in range(90):
+        line = list(base)
+        for _ in range(draw.choice([1, 2, 3])):
+            line[draw.randrange(len(line))] = draw.choice([*words, f"own{i}"])
+        texts.append(" ".join(line))
+    rows = list(enumerate(texts))
+    got = linked_lines(small(rows + rows[-3:], "doc_id bigint, text string")).collect()
+    found = {(r.doc_id, x.line): x.n_links for r in got for x in r.linked}
+    want = links_by_brute_force(rows)
+    assert {at: n for at, n in found.items() if n} == {at: n for at, n in want.items() if n}
+    assert {r.doc_id: r.removed for r in got if r.removed} == dict(removed_by_brute_force(rows))
+
+
 def test_long_lines_that_differ_are_no_pairs(small):
     """Sixty-four bits let half of the pairs of lines of 150 words through that share one word."""
     draw = random.Random(7)
